@@ -10,17 +10,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from winnow.functions.common import bind, strip_space, unescape_entities
-from winnow.functions.urls import absolute_url, is_link_candidate
+from winnow.functions.urls import absolute_url, base_parts, is_link_candidate, resolve
 
 # --- fixed values: page patterns ----------------------------------------------
-UNSEEN = (
-    r"(?is)<script\b.*?(?:</script[^>]*>|\z)"
-    r"|<style\b.*?(?:</style[^>]*>|\z)"
-    r"|<!--.*?(?:-->|\z)"
+UNSEEN_PARTS = (
+    r"script\b.*?(?:</script[^>]*>|\z)|style\b.*?(?:</style[^>]*>|\z)|!--.*?(?:-->|\z)"
 )
-TITLE_ELEMENT = r"(?is)<title\b[^>]*>(.*?)</title[^>]*>"
-BEFORE_BODY = r"(?is)^.*?<body\b[^>]*>"
+UNSEEN = rf"(?is)<(?:{UNSEEN_PARTS})"
+UNSEEN_OR_TITLE = rf"(?is)<(?:{UNSEEN_PARTS}|title\b.*?</title[^>]*>)"
+FIRST_TITLE = (
+    rf"(?is)\A(?:[^<]++|<(?:{UNSEEN_PARTS})|<(?!title\b))*+(<title\b[^>]*>(.*?)</title[^>]*>)"
+)
+BEFORE_BODY = r"(?is)\A.*?<body\b[^>]*>"
 AFTER_BODY = r"(?is)</body\b.*\z"
+BASE_HREF = r"(?is)<base\s[^>]*?href\s*=\s*[\"']?([^\s\"'>]+)"
 TAG = r"<[^>]*>"
 ANCHOR = r"(?is)<a\s[^>]*>.*?(?:</a\s*>|\z)"
 IMAGE = r"(?is)<img\s[^>]*>"
@@ -29,9 +32,9 @@ HREF = r"(?is)[\s\"']href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 LINK_VALUE = r"(?is)[\s\"'](?:href|src)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 ATTRIBUTE = r"[^\s\"'<>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
 BLOCK_TAG = (
-    r"(?i)</?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure"
+    r"(?i)<(?:/?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure"
     r"|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th"
-    r"|thead|tr|ul)(?:\s[^>]*)?/?>|<br\s*/?>\s*<br\s*/?>"
+    r"|thead|tr|ul)(?:\s[^>]*)?/?>|br\s*/?>\s*<br\s*/?>)"
 )
 # ------------------------------------------------------------------------------
 
@@ -43,28 +46,35 @@ def visible(html: Column) -> Column:
 
 def title_text(html: Column) -> Column:
     """Text of the first title element, '' when there is none."""
-    return strip_space(unescape_entities(F.regexp_extract(html, TITLE_ELEMENT, 1)))
+    return strip_space(unescape_entities(F.regexp_extract(html, FIRST_TITLE, 2)))
+
+
+def page_body(html: Column) -> Column:
+    """Inside of the body element; the whole page when it has none."""
+    tail = F.when(
+        F.contains(html, F.lit("</body>")), F.substring_index(html, "</body>", 1)
+    ).otherwise(F.regexp_replace(html, AFTER_BODY, ""))
+    return F.regexp_replace(tail, BEFORE_BODY, "")
 
 
 def _joined_nodes(html: Column) -> Column:
-    spaced = F.regexp_replace(html, r"(?i)&(?:nbsp|#160|#xa0);", " ")
+    spaced = html
+    for blank in ("&nbsp;", "&#160;", "&#xa0;", "&#xA0;"):
+        spaced = F.replace(spaced, F.lit(blank), F.lit("\u00a0"))
     nodes = F.transform(F.split(spaced, TAG), strip_space)
     return unescape_entities(F.array_join(F.filter(nodes, lambda node: node != ""), " "))
 
 
 def fast_text(html: Column, title_in_body: bool = True) -> Column:
     """Text nodes of the body joined by blanks, after ``<title>...</title>`` if there is one."""
-    seen = visible(html)
-    if title_in_body:
-        head = F.when(
-            F.rlike(seen, F.lit(TITLE_ELEMENT)),
-            F.concat(F.lit("<title>"), title_text(seen), F.lit("</title>")),
-        ).otherwise("")
-        seen = F.regexp_replace(seen, TITLE_ELEMENT, "")
-    else:
-        head = F.lit("")
-    body = F.regexp_replace(F.regexp_replace(seen, BEFORE_BODY, ""), AFTER_BODY, "")
-    return F.concat(head, _joined_nodes(body))
+    if not title_in_body:
+        return _joined_nodes(bind(visible(html), page_body))
+    head = F.when(
+        F.regexp_extract(html, FIRST_TITLE, 1) != "",
+        F.concat(F.lit("<title>"), title_text(html), F.lit("</title>")),
+    ).otherwise("")
+    seen = F.regexp_replace(html, UNSEEN_OR_TITLE, "")
+    return F.concat(head, _joined_nodes(bind(seen, page_body)))
 
 
 def plain_text(html: Column) -> Column:
@@ -94,20 +104,29 @@ def attributes(tag: Column) -> Column:
     )
 
 
+def _page_base(html: Column, page_url: Column) -> Column:
+    """What the links of a page are relative to: its URL, or its base element."""
+    given = F.when(F.contains(html, F.lit("<base")), F.regexp_extract(html, BASE_HREF, 1))
+    changed = F.coalesce(given, F.lit("")) != ""
+    return base_parts(F.when(changed, absolute_url(page_url, given)).otherwise(page_url))
+
+
 def images(html: Column, page_url: Column | None = None) -> Column:
     """One attribute map per ``<img>``; ``src`` made absolute when the page URL is given."""
     maps = F.transform(F.regexp_extract_all(visible(html), F.lit(IMAGE), F.lit(0)), attributes)
     if page_url is None:
         return maps
-    return F.transform(
-        maps,
-        lambda attrs: F.transform_values(
-            attrs,
-            lambda name, value: F.when(name == "src", absolute_url(page_url, value)).otherwise(
-                value
+
+    def resolved(base: Column) -> Column:
+        return F.transform(
+            maps,
+            lambda attrs: F.transform_values(
+                attrs,
+                lambda name, value: F.when(name == "src", resolve(base, value)).otherwise(value),
             ),
-        ),
-    )
+        )
+
+    return bind(_page_base(html, page_url), resolved)
 
 
 def anchors(html: Column, page_url: Column) -> Column:
@@ -116,11 +135,11 @@ def anchors(html: Column, page_url: Column) -> Column:
     ``spaced`` joins the text nodes by blanks, ``text`` joins them directly.
     """
 
-    def parts(element: Column, pos: Column) -> Column:
+    def parts(base: Column, element: Column, pos: Column) -> Column:
         inner = F.regexp_replace(element, r"(?is)^<a\s[^>]*>|</a\s*>\z", "")
         nodes = F.split(inner, TAG)
         return F.struct(
-            absolute_url(page_url, _unquoted(F.regexp_extract(element, HREF, 1))).alias("link"),
+            resolve(base, _unquoted(F.regexp_extract(element, HREF, 1))).alias("link"),
             pos.alias("pos"),
             strip_space(unescape_entities(F.array_join(nodes, " "))).alias("spaced"),
             strip_space(unescape_entities(F.array_join(nodes, ""))).alias("text"),
@@ -130,7 +149,10 @@ def anchors(html: Column, page_url: Column) -> Column:
         F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0)),
         lambda element: F.rlike(F.regexp_extract(element, r"(?s)^<[^>]*>", 0), F.lit(HREF)),
     )
-    return F.transform(found, parts)
+    return bind(
+        _page_base(html, page_url),
+        lambda base: F.transform(found, lambda element, pos: parts(base, element, pos)),
+    )
 
 
 def first_links(anchor_list: Column) -> Column:
@@ -216,17 +238,27 @@ def linked_elements(html: Column, page_url: Column) -> Column:
         F.regexp_extract_all(visible(html), F.lit(LINKED), F.lit(0)),
         lambda element: F.rlike(element, F.lit(LINK_VALUE)),
     )
-    return F.transform(
-        found,
-        lambda element: F.struct(
-            F.lower(F.regexp_extract(element, r"^<([A-Za-z]+)", 1)).alias("tag"),
-            absolute_url(
-                page_url, _unquoted(F.regexp_extract(element, LINK_VALUE, 1))
-            ).alias("link"),
+    return bind(
+        _page_base(html, page_url),
+        lambda base: F.transform(
+            found,
+            lambda element: F.struct(
+                F.lower(F.regexp_extract(element, r"^<([A-Za-z]+)", 1)).alias("tag"),
+                resolve(base, _unquoted(F.regexp_extract(element, LINK_VALUE, 1))).alias("link"),
+            ),
         ),
     )
 
 
+def _words(markup: Column) -> Column:
+    return F.regexp_count(F.regexp_replace(markup, TAG, " "), F.lit(r"\S++"))
+
+
+def _linked_words(markup: Column) -> Column:
+    linked = F.array_join(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(0)), " ")
+    return F.when(F.contains(F.lower(markup), F.lit("<a")), _words(linked)).otherwise(0)
+
+
 def main_content(html: Column) -> Column:
     """Article blocks of a page as ``<p>`` elements, '' when none qualifies.
 
@@ -234,25 +266,14 @@ def main_content(html: Column) -> Column:
     Shallow Text Features, WSDM 2010): a block counts by its own and its neighbours' word
     number and link density.
     """
-    body = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(visible(html), TITLE_ELEMENT, ""), BEFORE_BODY, ""),
-        AFTER_BODY,
-        "",
-    )
-
-    def words(markup: Column) -> Column:
-        bare = F.regexp_replace(markup, TAG, " ")
-        return F.regexp_count(bare, F.lit(r"(?U)[^\s]+"))
-
+    body = bind(F.regexp_replace(html, UNSEEN_OR_TITLE, ""), page_body)
     blocks = F.filter(
         F.transform(
             F.split(body, BLOCK_TAG),
             lambda markup: F.struct(
                 strip_space(markup).alias("markup"),
-                words(markup).alias("n"),
-                words(
-                    F.array_join(F.regexp_extract_all(markup, F.lit(ANCHOR), F.lit(0)), " ")
-                ).alias("linked"),
+                _words(markup).alias("n"),
+                _linked_words(markup).alias("linked"),
             ),
         ),
         lambda block: block["n"] > 0,

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from winnow.functions.common import nfkc, strip_space
+from winnow.functions.common import bind, nfkc, not_ascii, strip_space
 
 # --- fixed values: patterns and word lists that decide results ---------------
 TERMS = (
     r"(?:\b|\d+)(sts?|ch|sl[ -]?st|inc|dec|sc|h?dc|rep|row|rnd|round)(?:\b|\d+)"
     r"|single crochet|magic ring"
 )
+# Every hit of TERMS begins with one of these; tested first, it spares most positions.
+TERMS_START = r"(?=[\dcdhimrs])"
 LANGUAGES = [
     "English", "Russian", "Spanish", "French", "German", "Japanese", "Turkish", "Persian",
     "Portuguese", "Italian", "Chinese", "Dutch", "Vietnamese", "Polish", "Arabic", "Korean",
@@ -33,15 +35,23 @@ def clean_post_text(text: Column) -> Column:
 
 def clean_page_text(text: Column) -> Column:
     """Strip, normalise to NFKC, and keep one empty line where there were more."""
-    return F.regexp_replace(nfkc(strip_space(text)), r"(?<! ) *+\n[ \n]*\n *+", "\n\n")
+
+    def spaced(value: Column) -> Column:
+        lines = F.regexp_replace(value, r"\n[ \n]*\n *+", "\n\n")
+        # Blanks before the first line end; the look-behind starts a run only once.
+        lines = F.regexp_replace(lines, r" (?<!  ) *+\n\n", "\n\n")
+        return F.when(F.rlike(value, F.lit(r"\n *\n")), lines).otherwise(value)
+
+    return bind(nfkc(strip_space(text)), spaced)
 
 
 def term_count(text: Column, pattern: str = TERMS) -> Column:
     """Non-overlapping hits, ignoring case, with Unicode word boundaries and digits."""
-    unicode_hits = F.regexp_count(text, F.lit("(?imuU)" + pattern))
+    start = TERMS_START if pattern == TERMS else ""
     # The ASCII matcher gives the same count on ASCII text and is the cheaper one.
-    ascii_hits = F.regexp_count(text, F.lit("(?im)" + pattern))
-    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7F]")), unicode_hits).otherwise(ascii_hits)
+    unicode_hits = F.regexp_count(text, F.lit(f"(?imuU){start}(?:{pattern})"))
+    ascii_hits = F.regexp_count(text, F.lit(f"(?im){start}(?:{pattern})"))
+    return F.when(not_ascii(text), unicode_hits).otherwise(ascii_hits)
 
 
 def page_title(text: Column, mode: str) -> Column:
@@ -57,12 +67,27 @@ def page_title(text: Column, mode: str) -> Column:
 
 def languages(text: Column, tags: Column, names: list[str] | None = None) -> Column:
     """Language names found in the text (any case, inside words too), then among the tags."""
-    names = LANGUAGES if names is None else names
-    in_text = F.regexp_extract_all(
-        F.coalesce(text, F.lit("")), F.lit("(?iu)(" + "|".join(names) + ")"), F.lit(1)
-    )
+    names = list(dict.fromkeys(LANGUAGES if names is None else names))
+    nothing = F.array().cast("array<string>")
     known = F.array(*[F.lit(name) for name in names])
-    in_tags = F.coalesce(F.array_intersect(tags, known), F.array().cast("array<string>"))
+
+    def found(value: Column) -> Column:
+        # Plain searches tell which names can occur at all; the pattern holds only those.
+        # The long s folds to s for the pattern, but not for lower().
+        def possible(lowered: Column) -> Column:
+            unsure = F.contains(lowered, F.lit("\u017f"))
+            return F.filter(known, lambda name: unsure | F.contains(lowered, F.lower(name)))
+
+        def hits(present: Column) -> Column:
+            pattern = F.concat(F.lit("(?iu)("), F.array_join(present, "|"), F.lit(")"))
+            return F.when(
+                F.size(present) > 0, F.regexp_extract_all(value, pattern, F.lit(1))
+            ).otherwise(nothing)
+
+        return bind(bind(F.lower(value), possible), hits)
+
+    in_tags = F.coalesce(F.array_intersect(tags, known), nothing)
+    in_text = F.coalesce(bind(text, found), nothing)
     return F.array_distinct(F.transform(F.concat(in_text, in_tags), F.initcap))
 
 

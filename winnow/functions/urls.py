@@ -153,36 +153,53 @@ def image_fallback(url: Column, ok: Column) -> Column:
 
 def absolute_url(base: Column, link: Column) -> Column:
     """Resolve ``link`` against ``base`` by the RFC 3986 rules."""
-    return bind(
-        F.struct(
-            _prepared(base).alias("base"),
-            _prepared(strip_space(link)).alias("ref"),
-        ),
-        lambda pair: _resolve(pair["base"], pair["ref"]),
-    )
+    return bind(base_parts(base), lambda parts: resolve(parts, link))
+
+
+def base_parts(base: Column) -> Column:
+    """The parts of a page URL its links need, computed once per page."""
+
+    def parts(url: Column) -> Column:
+        scheme, path = F.regexp_extract(url, URL_PARTS, 1), F.regexp_extract(url, URL_PARTS, 3)
+        host = F.concat(F.lit("//"), F.regexp_extract(url, URL_PARTS, 2))
+        folder = F.regexp_replace(path, r"[^/]*\z", "")
+        return F.struct(
+            url.alias("url"),
+            scheme.alias("scheme"),
+            F.concat(
+                scheme, F.lit(":"), F.when(F.contains(url, F.lit("//")), host).otherwise("")
+            ).alias("root"),
+            path.alias("path"),
+            F.when(folder == "", "/").otherwise(folder).alias("folder"),
+            F.regexp_extract(url, r"(\?[^#]*)", 1).alias("query"),
+        )
+
+    return bind(_prepared(base), parts)
+
 
+def resolve(base: Column, link: Column) -> Column:
+    """Absolute form of a link on the page with these ``base_parts``."""
+    return bind(_prepared(strip_space(link)), lambda ref: _resolved(base, ref))
 
-def _resolve(base: Column, ref: Column) -> Column:
-    part = lambda url, group: F.regexp_extract(url, URL_PARTS, group)
-    host = F.when(F.contains(base, F.lit("//")), F.concat(F.lit("//"), part(base, 2))).otherwise("")
-    root = F.concat(part(base, 1), F.lit(":"), host)
-    base_path = part(base, 3)
-    base_query = F.regexp_extract(base, r"(\?[^#]*)", 1)
-    ref_path = part(ref, 3)
-    folder = F.regexp_replace(base_path, r"[^/]*\z", "")
-    folder = F.when(folder == "", "/").otherwise(folder)
+
+def _resolved(base: Column, ref: Column) -> Column:
+    root = base["root"]
+    ref_path = F.regexp_extract(ref, URL_PARTS, 3)
+    tail = F.substring(ref, F.length(ref_path) + 1, F.length(ref))
     path = F.when(F.startswith(ref, F.lit("/")), ref_path).otherwise(
-        F.regexp_replace(F.concat(folder, ref_path), "/{2,}", "/")
+        F.regexp_replace(F.concat(base["folder"], ref_path), "/{2,}", "/")
     )
-    folded = F.when(F.rlike(path, F.lit(r"(?:^|/)\.\.?(?:/|\z)")), _fold_dots(path)).otherwise(path)
-    tail = F.substring(ref, F.length(ref_path) + 1, F.length(ref))
+    dotted = F.rlike(path, F.lit(r"(?:^|/)\.\.?(?:/|\z)"))
     return (
-        F.when(ref == "", base)
-        .when(F.rlike(ref, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")) | (part(base, 1) == ""), ref)
-        .when(F.startswith(ref, F.lit("//")), F.concat(part(base, 1), F.lit(":"), ref))
-        .when(F.startswith(ref, F.lit("#")), F.concat(root, base_path, base_query, ref))
-        .when(F.startswith(ref, F.lit("?")), F.concat(root, base_path, ref))
-        .otherwise(F.concat(root, folded, tail))
+        F.when(ref == "", base["url"])
+        .when(
+            F.rlike(ref, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")) | (base["scheme"] == ""), ref
+        )
+        .when(F.startswith(ref, F.lit("//")), F.concat(base["scheme"], F.lit(":"), ref))
+        .when(F.startswith(ref, F.lit("#")), F.concat(root, base["path"], base["query"], ref))
+        .when(F.startswith(ref, F.lit("?")), F.concat(root, base["path"], ref))
+        .when(F.startswith(ref, F.lit("/")) & ~F.contains(ref, F.lit("/.")), F.concat(root, ref))
+        .otherwise(F.concat(root, F.when(dotted, _fold_dots(path)).otherwise(path), tail))
     )
 
 

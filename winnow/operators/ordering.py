@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows per numbering block: the upper bound of what one window group holds.
-BLOCK_ROWS = 1 << 16
+# A numbering block spans 2**BLOCK_BITS values of ``ord``: the most rows one window group holds.
+BLOCK_BITS = 16
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], ord_col: str = "ord") -> DataFrame:
@@ -43,14 +43,14 @@ def ordered_distinct(df: DataFrame, item: str, ord_col: str = "ord") -> DataFram
 
 
 def running_total(
-    df: DataFrame, ord_col: str, amount: str, out: str, block_rows: int = BLOCK_ROWS
+    df: DataFrame, ord_col: str, amount: str, out: str, block_bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Sum of ``amount`` over all rows with a smaller ``ord`` (a unique bigint).
 
     Rows are summed per block of ``ord`` values first; the single ordered window runs
     over one row per block and every other window over one block.
     """
-    block = F.floor(F.col(ord_col) / block_rows)
+    block = F.shiftright(ord_col, block_bits)
     blocked = df.withColumn("_block", block)
     starts = (
         blocked.groupBy("_block")
@@ -86,14 +86,14 @@ def number_in_group(
     keys: Sequence[str],
     ord_col: str,
     out: str,
-    block_rows: int = BLOCK_ROWS,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """0-based number of each row within its key, exact for keys of any size.
 
     A key is cut into blocks of ``ord`` values.  Rows are numbered inside their block and
     shifted by the rows of the key's earlier blocks, so no task holds a whole hot key.
     """
-    block = F.floor(F.col(ord_col) / block_rows)
+    block = F.shiftright(ord_col, block_bits)
     blocked = df.withColumn("_block", block)
     by_key = Window.partitionBy(*keys).orderBy("_block")
     starts = (

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions import html as hx
@@ -10,6 +12,7 @@ from winnow.functions import markup as mx
 from winnow.functions import urls as ux
 
 MODES = ("fast", "reduce", "markdown", "remove")
+OUTPUTS = ("images", "links", "text")
 
 
 def extract_pages(
@@ -19,30 +22,39 @@ def extract_pages(
     title_in_body: bool = True,
     html: str = "content",
     url: str = "url",
+    outputs: Sequence[str] = OUTPUTS,
 ) -> DataFrame:
     """Add ``images``, ``links`` (and ``link_texts`` in fast mode) and ``text``.
 
-    Nothing moves between rows, so the work stays in the scan stage; unused outputs are
-    pruned away.  An empty page yields empty outputs.
+    Nothing moves between rows, so the work stays in the scan stage.  An empty page yields
+    empty outputs.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode: {mode}")
     page = F.coalesce(F.col(html), F.lit(""))
-    out = {"images": hx.images(page, F.col(url))}
-    found = hx.anchors(page, F.col(url))
-    if mode == "fast":
-        firsts = hx.first_links(found)
-        out["links"] = F.transform(firsts, lambda row: row["link"])
-        out["link_texts"] = F.transform(firsts, lambda row: row["link_text"])
-        out["text"] = hx.fast_text(page, title_in_body)
-    else:
-        out["links"] = hx.described_links(found)
-        if mode == "remove":
-            out["text"] = hx.plain_text(page)
+    new = {}
+    if "images" in outputs:
+        new["images"] = hx.images(page, F.col(url))
+    if "links" in outputs:
+        found = hx.anchors(page, F.col(url))
+        if mode == "fast":
+            firsts = hx.first_links(found)
+            new["links"] = firsts["link"]
+            new["link_texts"] = firsts["link_text"]
         else:
-            convert = mx.markdown_udf if mode == "markdown" else mx.reduced_udf
-            out["text"] = convert(text_only, title_in_body)(page, F.col(url))
-    return pages.withColumns(out)
+            new["links"] = hx.described_links(found)
+    if "text" in outputs:
+        new["text"] = _text(page, F.col(url), mode, text_only, title_in_body)
+    return pages.withColumns(new)
+
+
+def _text(page: Column, url: Column, mode: str, text_only: bool, title_in_body: bool) -> Column:
+    if mode == "fast":
+        return hx.fast_text(page, title_in_body)
+    if mode == "remove":
+        return hx.plain_text(page)
+    convert = mx.markdown_udf if mode == "markdown" else mx.reduced_udf
+    return convert(text_only, title_in_body)(page, url)
 
 
 def page_links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from winnow.functions import html as hx
 from winnow.functions import text as tx
 from winnow.functions import urls as ux
 from winnow.operators.captures import under_status
-from winnow.operators.pages import extract_pages
+from winnow.operators.pages import OUTPUTS, extract_pages
 
 
 def text_extracts(
@@ -19,14 +21,16 @@ def text_extracts(
     max_status: int = 399,
     min_term_count: int = 0,
     terms: str = tx.TERMS,
+    outputs: Sequence[str] = OUTPUTS,
 ) -> DataFrame:
     """Clean text, title, term count and original URL of every good capture.
 
     The status test runs before the extraction: it reaches the scan, which no filter can
     do from behind a Python stage.  All steps work on one row, so there is no shuffle.
+    ``outputs`` may leave out links and images.
     """
     good = under_status(captures.withColumnRenamed("target_uri", "url"), max_status)
-    parsed = extract_pages(good, mode, text_only)
+    parsed = extract_pages(good, mode, text_only, outputs=outputs)
     counted = parsed.withColumn("text", tx.clean_page_text(F.col("text"))).withColumn(
         "term_count", tx.term_count(F.col("text"), terms)
     )
@@ -96,7 +100,7 @@ def master_corpus(extracts: DataFrame, posts: DataFrame, match: str = "exact") -
     """Deduplicated corpus: page columns and the columns of its first post.
 
     Page bodies are fetched for the survivors only, by one join on ``ord``.  Give a stored
-    ``extracts`` table for large inputs (the build job does); a lazy one is computed twice.
+    ``extracts`` table (the build job does); a lazy one is computed twice.
     """
     winners = corpus_keys(extracts, posts, match).join(posts, "post_no")
     return extracts.join(winners, "ord")

@@ -21,7 +21,7 @@ from winnow.queries import inputs as src
 from winnow.sinks import files as out
 from winnow.sources import files as rd
 from winnow.sources import warc
-from winnow.staging import new_path, stored
+from winnow.staging import new_path, spread, stored
 
 QUERIES = {}
 
@@ -35,6 +35,18 @@ def _joined(name: str):
     return F.array_join(name, "|").alias(name)
 
 
+def _pages(spark, sf_dir):
+    return spread(src.pages(spark, sf_dir), "ord")
+
+
+def _documents(spark, sf_dir):
+    return spread(src.table(spark, sf_dir, "documents"), "doc_id")
+
+
+def _pictures(spark, sf_dir):
+    return spread(src.page_pictures(spark, sf_dir), "ord")
+
+
 def _sha(name: str, alias: str):
     return F.sha2(F.col(name), 256).alias(alias)
 
@@ -128,21 +140,21 @@ def parse_post_date(spark, sf_dir):
 
 @query
 def clean_post_text(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     messy = F.concat(F.lit("\t  "), F.replace("text", F.lit(", "), F.lit(",   \n  ")), F.lit(" \n"))
     return docs.select("doc_id", tx.clean_post_text(messy).alias("text"))
 
 
 @query
 def clean_page_text(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     messy = F.concat(F.lit(" \n"), F.replace("text", F.lit("\n"), F.lit("  \n \n")))
     return docs.select("doc_id", tx.clean_page_text(messy).alias("text"))
 
 
 @query
 def term_count(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     return docs.select("doc_id", tx.term_count(F.col("text")).cast("bigint").alias("term_count"))
 
 
@@ -153,7 +165,7 @@ def min_terms(spark, sf_dir):
 
 @query
 def detect_languages(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     named = F.concat("text", F.lit(" Englishman. In "), F.col("source"), F.lit("FRENCH, french"))
     tag = (
         F.when(F.col("lang") == "en", "English")
@@ -168,12 +180,12 @@ def detect_languages(spark, sf_dir):
 @query
 def page_title(spark, sf_dir):
     text = tx.clean_page_text(hx.fast_text(F.col("html")))
-    return src.pages(spark, sf_dir).select("ord", tx.page_title(text, "fast").alias("title"))
+    return _pages(spark, sf_dir).select("ord", tx.page_title(text, "fast").alias("title"))
 
 
 @query
 def export_name(spark, sf_dir):
-    docs = src.table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     name = tx.export_name(tx.term_count(F.col("text")), F.col("n_chars"), F.col("text"), "md")
     return docs.select("doc_id", name.alias("name"))
 
@@ -240,18 +252,18 @@ def dated_links(spark, sf_dir):
 
 @query
 def page_text(spark, sf_dir):
-    return src.pages(spark, sf_dir).select("ord", hx.fast_text(F.col("html")).alias("text"))
+    return _pages(spark, sf_dir).select("ord", hx.fast_text(F.col("html")).alias("text"))
 
 
 @query
 def page_text_plain(spark, sf_dir):
-    return src.pages(spark, sf_dir).select("ord", hx.plain_text(F.col("html")).alias("text"))
+    return _pages(spark, sf_dir).select("ord", hx.plain_text(F.col("html")).alias("text"))
 
 
 @query
 def page_markdown(spark, sf_dir):
     convert = mx.markdown_udf(text_only=False)
-    return src.pages(spark, sf_dir).select(
+    return _pages(spark, sf_dir).select(
         "ord", tx.clean_page_text(convert("html", "url")).alias("text")
     )
 
@@ -259,7 +271,7 @@ def page_markdown(spark, sf_dir):
 @query
 def page_reduced(spark, sf_dir):
     convert = mx.reduced_udf(text_only=False)
-    return src.pages(spark, sf_dir).select(
+    return _pages(spark, sf_dir).select(
         "ord", tx.clean_page_text(convert("html", "url")).alias("text")
     )
 
@@ -280,7 +292,7 @@ def absolute_links(spark, sf_dir):
         F.lit(""),
     )
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    links = src.pages(spark, sf_dir).select("ord", "url", F.posexplode(hrefs).alias("pos", "href"))
+    links = _pages(spark, sf_dir).select("ord", "url", F.posexplode(hrefs).alias("pos", "href"))
     forms = links.select("ord", "pos", "url", F.posexplode(refs).alias("form", "ref"))
     return forms.select(
         "ord", "pos", "form", ux.absolute_url(F.col("url"), F.col("ref")).alias("link")
@@ -289,7 +301,7 @@ def absolute_links(spark, sf_dir):
 
 @query
 def page_images(spark, sf_dir):
-    rows = pg.page_images(src.page_pictures(spark, sf_dir))
+    rows = pg.page_images(_pictures(spark, sf_dir))
     attrs = F.col("attrs")
     return rows.select(
         "ord", "pos", attrs["src"].alias("src"), attrs["alt"].alias("alt"),
@@ -299,12 +311,12 @@ def page_images(spark, sf_dir):
 
 @query
 def page_links(spark, sf_dir):
-    return pg.page_links(src.pages(spark, sf_dir)).drop("url")
+    return pg.page_links(_pages(spark, sf_dir)).drop("url")
 
 
 @query
 def link_descriptions(spark, sf_dir):
-    doubled = src.pages(spark, sf_dir).withColumn(
+    doubled = _pages(spark, sf_dir).withColumn(
         "html", F.replace("html", F.lit("<article>"), F.lit("<a href='/to'>once <b>more</b></a>"))
     )
     return pg.link_descriptions(doubled).drop("url")
@@ -312,7 +324,7 @@ def link_descriptions(spark, sf_dir):
 
 @query
 def classify_links(spark, sf_dir):
-    mixed = src.page_pictures(spark, sf_dir).withColumn(
+    mixed = _pictures(spark, sf_dir).withColumn(
         "html",
         F.concat(
             "html",
@@ -325,9 +337,9 @@ def classify_links(spark, sf_dir):
 
 @query
 def text_images(spark, sf_dir):
-    shown = src.page_pictures(spark, sf_dir).select(
+    shown = _pictures(spark, sf_dir).select(
         "ord",
-        tx.post_id(F.floor(F.col("ord") / 3)).alias("ptid"),
+        tx.post_id(F.expr("ord div 3")).alias("ptid"),
         F.replace("html", F.lit("src='"), F.lit("src='//img.example.com")).alias("text"),
     )
     return pg.text_images(shown)
@@ -335,7 +347,7 @@ def text_images(spark, sf_dir):
 
 @query
 def main_content(spark, sf_dir):
-    return src.pages(spark, sf_dir).select("ord", hx.simplified_page(F.col("html")).alias("text"))
+    return _pages(spark, sf_dir).select("ord", hx.simplified_page(F.col("html")).alias("text"))
 
 
 @query
@@ -364,7 +376,7 @@ def _listing_html(spark, sf_dir):
     )
     return (
         turns.select(
-            (F.col("conv_id") * src.PAGE_SLOTS + F.floor(F.col("turn") / src.PAGE_POSTS)).alias(
+            (F.col("conv_id") * src.PAGE_SLOTS + F.expr(f"turn div {src.PAGE_POSTS}")).alias(
                 "page_idx"
             ),
             F.struct("turn", post.alias("post")).alias("row"),
@@ -544,20 +556,24 @@ def text_extracts(spark, sf_dir):
 
 @query
 def pages_posts_join(spark, sf_dir):
-    joined = cx.pages_with_posts(_extracts(spark, sf_dir), src.posts(spark, sf_dir))
+    extracts = _extracts(spark, sf_dir, outputs=["text"])
+    joined = cx.pages_with_posts(extracts, src.posts(spark, sf_dir))
     return joined.select("ord", "ptid", "text_links", "post_title", _sha("text", "sha"))
 
 
 @query
 def best_per_url(spark, sf_dir):
-    narrow = _extracts(spark, sf_dir).select("ord", "origurl", "term_count", "content_length")
+    narrow = _extracts(spark, sf_dir, outputs=["text"]).select("ord", "origurl", "term_count", "content_length")
     return cx.best_per_url(narrow).select(
         "origurl", "ord", F.col("term_count").cast("bigint").alias("term_count"), "content_length"
     )
 
 
-def _corpus(spark, sf_dir):
-    return cx.master_corpus(_extracts(spark, sf_dir), src.posts(spark, sf_dir))
+def _corpus(spark, sf_dir, content: bool = False):
+    """The corpus over a stored extracts table, as the build job runs it."""
+    columns = ["ord", "url", "origurl", "status", "title", "text", "term_count", "content_length"]
+    extracts = _extracts(spark, sf_dir, outputs=["text"]).select(*columns, *(["content"] if content else []))
+    return cx.master_corpus(stored(extracts, "extracts"), src.posts(spark, sf_dir))
 
 
 @query
@@ -578,14 +594,14 @@ def corpus_roundtrip(spark, sf_dir):
 
 @query
 def label_records(spark, sf_dir):
-    simple = cx.simplify_corpus(_corpus(spark, sf_dir))
+    simple = cx.simplify_corpus(_corpus(spark, sf_dir, content=True))
     return cx.label_records(simple).select(F.to_json("data").alias("data"))
 
 
 @query
 def label_scan(spark, sf_dir):
     path = new_path(spark, "labels")
-    out.write_json(cx.label_records(cx.simplify_corpus(_corpus(spark, sf_dir))), path)
+    out.write_json(cx.label_records(cx.simplify_corpus(_corpus(spark, sf_dir, content=True))), path)
     rows = rd.read_labels(spark, path)
     return rows.select(
         "ptid", "url", "post_title", "content_length", _sha("text", "sha"), _joined("languages")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from winnow.functions import urls as ux
 from winnow.operators.captures import status_code
 from winnow.operators.posts import build_posts
+from winnow.staging import spread
 
 PAGE_POSTS = 64
 PAGE_SLOTS = 1024
@@ -75,7 +76,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         one(2, F.concat(F.lit(archive + "20210101000000/"), url), F.lit("200 OK"), grown),
         one(3, F.concat(url, F.lit("-copy")), copy_status, html),
     )
-    return table(spark, sf_dir, "pages").select(F.inline(rows))
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(F.inline(rows))
 
 
 def typed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,12 +91,12 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     mentions = (
         table(spark, sf_dir, "pages")
-        .groupBy(F.floor(F.col("page_id") / 3).alias("conv_id"))
+        .groupBy(F.expr("page_id div 3").alias("conv_id"))
         .agg(F.sort_array(F.collect_list(F.struct("page_id", "url")))["url"].alias("urls"))
     )
     chunks = (
         table(spark, sf_dir, "conversations")
-        .groupBy("conv_id", F.floor(F.col("turn") / PAGE_POSTS).alias("chunk"))
+        .groupBy("conv_id", F.expr(f"turn div {PAGE_POSTS}").alias("chunk"))
         .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
         .join(mentions, "conv_id", "left")
     )
@@ -239,7 +240,7 @@ def picture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lang = F.regexp_extract("html", r'lang="([a-z]*)"', 1)
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("ord"),
-        F.format_string("%05d", F.floor(F.col("page_id") / 10)).alias("ptid"),
+        F.format_string("%05d", F.expr("page_id div 10")).alias("ptid"),
         F.concat(bare(F.col("url")), F.lit("/my+"), lang, F.lit("%20pic.jpg?v=1")).alias("imgurl"),
         F.when(~F.contains("url", F.lit("#")), F.encode("html", "UTF-8")).alias("content"),
     )

@@ -1,4 +1,4 @@
-"""Places for intermediate tables on the shared folder of the cluster."""
+"""Intermediate tables on the shared folder of the cluster, and spreading of small inputs."""
 
 from __future__ import annotations
 
@@ -27,3 +27,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give costly row work all cores when its input has fewer partitions than there are.
+
+    A large input has more splits than cores and passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
