@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import uses_params
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,8 +43,15 @@ def url_part(url: Column, group: int) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    """Path without the ``;params`` of its last segment."""
-    return F.regexp_replace(url_part(url, 3), r";[^/]*\z", "")
+    """Path without the ``;params`` of its last segment, where the scheme knows params."""
+
+    def path(clean: Column) -> Column:
+        inner = F.regexp_extract(clean, URL_PARTS, 3)
+        with_params = F.lower(F.regexp_extract(clean, URL_PARTS, 1)).isin(uses_params)
+        cut = F.contains(inner, F.lit(";")) & with_params
+        return F.when(cut, F.regexp_replace(inner, r";[^/]*\z", "")).otherwise(inner)
+
+    return path(_prepared(url))
 
 
 def url_host(url: Column) -> Column:

@@ -1,7 +1,8 @@
 """Web-archive scan as a Python data source: ``spark.read.format("warc").load(path)``.
 
 One input partition per archive file; a gzip archive above ``splitBytes`` is cut further at
-the gzip members that start a record.  Options: ``headerOnly`` (no body column),
+the gzip members that start a record.  A piece trusts a member only when the members behind it
+follow without a gap to the end of the piece.  Options: ``headerOnly`` (no body column),
 ``responsesOnly`` (default true), ``splitBytes``.
 """
 

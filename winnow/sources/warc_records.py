@@ -90,7 +90,7 @@ def first_member(handle, start: int, end: int | None) -> int | None:
             place = base + found
             if end is not None and place >= end:
                 return None
-            if _starts_record(handle, place):
+            if _starts_record(handle, place, end):
                 return place
             found = window.find(MEMBER_START, found + 1)
         at += len(chunk)
@@ -99,13 +99,28 @@ def first_member(handle, start: int, end: int | None) -> int | None:
     return None
 
 
-def _starts_record(handle, place: int) -> bool:
-    handle.seek(place)
+def _starts_record(handle, place: int, end: int | None) -> bool:
+    """True when gzip members that begin records follow each other from ``place`` on.
+
+    An archive stored inside a record has such members too, but behind its last one the
+    outer member goes on, so its chain breaks before the piece ends.
+    """
+    feed = ByteFeed(handle, place, packed=True)
     try:
-        head = zlib.decompressobj(zlib.MAX_WBITS | 16).decompress(handle.read(4096), 64)
+        while end is None or feed.raw_at < end:
+            while len(feed.buffer) < len(FIRST_LINE):
+                if not feed.fill():
+                    return feed.raw_at > place and not feed.buffer
+            if not feed.buffer.startswith(FIRST_LINE):
+                return False
+            while feed.inflater is not None:
+                feed.buffer.clear()
+                if not feed.fill():
+                    return False
+            feed.buffer.clear()
     except zlib.error:
         return False
-    return head.startswith(FIRST_LINE)
+    return True
 
 
 def records(path: str, start: int, end: int | None, header_only: bool) -> Iterator[dict]:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="winnow-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        given = tempfile.mkdtemp(prefix="winnow-")
-        spark.conf.set("spark.checkpoint.dir", given)
-    return given.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
