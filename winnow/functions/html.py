@@ -104,54 +104,56 @@ def attributes(tag: Column) -> Column:
     )
 
 
-def _page_base(html: Column, page_url: Column) -> Column:
+def page_base(html: Column, page_url: Column) -> Column:
     """What the links of a page are relative to: its URL, or its base element."""
-    given = F.when(F.contains(html, F.lit("<base")), F.regexp_extract(html, BASE_HREF, 1))
-    changed = F.coalesce(given, F.lit("")) != ""
-    return base_parts(F.when(changed, absolute_url(page_url, given)).otherwise(page_url))
 
+    def parts(given: Column) -> Column:
+        return F.when(given != "", absolute_url(page_url, given)).otherwise(page_url)
 
-def images(html: Column, page_url: Column | None = None) -> Column:
-    """One attribute map per ``<img>``; ``src`` made absolute when the page URL is given."""
-    maps = F.transform(F.regexp_extract_all(visible(html), F.lit(IMAGE), F.lit(0)), attributes)
-    if page_url is None:
+    href = F.when(F.contains(html, F.lit("<base")), F.regexp_extract(html, BASE_HREF, 1))
+    return base_parts(bind(F.coalesce(href, F.lit("")), parts))
+
+
+def images(seen: Column, base: Column | None = None) -> Column:
+    """One attribute map per ``<img>`` of a visible page; ``src`` made absolute given its base."""
+    maps = F.transform(F.regexp_extract_all(seen, F.lit(IMAGE), F.lit(0)), attributes)
+    if base is None:
         return maps
 
-    def resolved(base: Column) -> Column:
+    def resolved(parts: Column) -> Column:
         return F.transform(
             maps,
             lambda attrs: F.transform_values(
                 attrs,
-                lambda name, value: F.when(name == "src", resolve(base, value)).otherwise(value),
+                lambda name, value: F.when(name == "src", resolve(parts, value)).otherwise(value),
             ),
         )
 
-    return bind(_page_base(html, page_url), resolved)
+    return bind(base, resolved)
 
 
-def anchors(html: Column, page_url: Column) -> Column:
+def anchors(seen: Column, base: Column) -> Column:
     """``array<struct<link, pos, spaced, text>>`` of the anchors that carry an href.
 
     ``spaced`` joins the text nodes by blanks, ``text`` joins them directly.
     """
 
-    def parts(base: Column, element: Column, pos: Column) -> Column:
+    def read(parts: Column, element: Column, pos: Column) -> Column:
         inner = F.regexp_replace(element, r"(?is)^<a\s[^>]*>|</a\s*>\z", "")
         nodes = F.split(inner, TAG)
         return F.struct(
-            resolve(base, _unquoted(F.regexp_extract(element, HREF, 1))).alias("link"),
+            resolve(parts, _unquoted(F.regexp_extract(element, HREF, 1))).alias("link"),
             pos.alias("pos"),
             strip_space(unescape_entities(F.array_join(nodes, " "))).alias("spaced"),
             strip_space(unescape_entities(F.array_join(nodes, ""))).alias("text"),
         )
 
     found = F.filter(
-        F.regexp_extract_all(visible(html), F.lit(ANCHOR), F.lit(0)),
+        F.regexp_extract_all(seen, F.lit(ANCHOR), F.lit(0)),
         lambda element: F.rlike(F.regexp_extract(element, r"(?s)^<[^>]*>", 0), F.lit(HREF)),
     )
     return bind(
-        _page_base(html, page_url),
-        lambda base: F.transform(found, lambda element, pos: parts(base, element, pos)),
+        base, lambda parts: F.transform(found, lambda element, pos: read(parts, element, pos))
     )
 
 
@@ -232,22 +234,20 @@ def described_links(anchor_list: Column) -> Column:
     )
 
 
-def linked_elements(html: Column, page_url: Column) -> Column:
+def linked_elements(seen: Column, base: Column) -> Column:
     """``array<struct<tag, link>>`` of anchors and images in page order."""
     found = F.filter(
-        F.regexp_extract_all(visible(html), F.lit(LINKED), F.lit(0)),
+        F.regexp_extract_all(seen, F.lit(LINKED), F.lit(0)),
         lambda element: F.rlike(element, F.lit(LINK_VALUE)),
     )
-    return bind(
-        _page_base(html, page_url),
-        lambda base: F.transform(
-            found,
-            lambda element: F.struct(
-                F.lower(F.regexp_extract(element, r"^<([A-Za-z]+)", 1)).alias("tag"),
-                resolve(base, _unquoted(F.regexp_extract(element, LINK_VALUE, 1))).alias("link"),
-            ),
-        ),
-    )
+
+    def read(parts: Column, element: Column) -> Column:
+        return F.struct(
+            F.lower(F.regexp_extract(element, r"^<([A-Za-z]+)", 1)).alias("tag"),
+            resolve(parts, _unquoted(F.regexp_extract(element, LINK_VALUE, 1))).alias("link"),
+        )
+
+    return bind(base, lambda parts: F.transform(found, lambda element: read(parts, element)))
 
 
 def _words(markup: Column) -> Column:

@@ -23,7 +23,7 @@ def text_extracts(
     terms: str = tx.TERMS,
     outputs: Sequence[str] = OUTPUTS,
 ) -> DataFrame:
-    """Clean text, title, term count and original URL of every good capture.
+    """Clean text, title, term count, original URL and text hash of every good capture.
 
     The status test runs before the extraction: it reaches the scan, which no filter can
     do from behind a Python stage.  All steps work on one row, so there is no shuffle.
@@ -36,8 +36,12 @@ def text_extracts(
     )
     if min_term_count > 0:
         counted = counted.where(F.col("term_count") >= min_term_count)
-    return counted.withColumn("title", tx.page_title(F.col("text"), mode)).withColumn(
-        "origurl", ux.original_url(F.col("url"))
+    return counted.withColumns(
+        {
+            "title": tx.page_title(F.col("text"), mode),
+            "origurl": ux.original_url(F.col("url")),
+            "text_key": F.sha2("text", 256),
+        }
     )
 
 
@@ -90,10 +94,10 @@ def corpus_keys(extracts: DataFrame, posts: DataFrame, match: str = "exact") ->
     one to one on the post side and leaves both dedups to narrow, pre-aggregated rows.
     """
     narrow = extracts.select(
-        "ord", "origurl", F.sha2("text", 256).alias("text_key"), "term_count", "content_length"
+        "ord", "origurl", "text_key", "term_count", "content_length"
     ).withColumn("link", _match_key(F.col("origurl"), match))
     matched = narrow.join(first_mentions(posts, match), "link").drop("link")
-    return best_per_url(distinct_texts(matched)).select("ord", "post_no")
+    return best_per_url(distinct_texts(matched).drop("text_key")).select("ord", "post_no")
 
 
 def master_corpus(extracts: DataFrame, posts: DataFrame, match: str = "exact") -> DataFrame:
@@ -103,7 +107,7 @@ def master_corpus(extracts: DataFrame, posts: DataFrame, match: str = "exact") -
     ``extracts`` table (the build job does); a lazy one is computed twice.
     """
     winners = corpus_keys(extracts, posts, match).join(posts, "post_no")
-    return extracts.join(winners, "ord")
+    return extracts.drop("text_key").join(winners, "ord")
 
 
 def simplify_corpus(master: DataFrame) -> DataFrame:

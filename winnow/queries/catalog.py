@@ -516,7 +516,7 @@ def nearest_snapshot(spark, sf_dir):
 
 @query
 def fetch_frontier(spark, sf_dir):
-    links = po.dated_links(src.posts(spark, sf_dir))
+    links = stored(po.dated_links(src.posts(spark, sf_dir)), "links")
     return fx.fetch_frontier(links, src.page_index(spark, sf_dir))
 
 
@@ -525,7 +525,7 @@ def fetch_frontier(spark, sf_dir):
 
 @query
 def ordered_distinct(spark, sf_dir):
-    words = src.table(spark, sf_dir, "documents").select(
+    words = _documents(spark, sf_dir).select(
         "doc_id", F.posexplode(F.split("text", r"\s+")).alias("pos", "word")
     )
     placed = words.select(
@@ -571,9 +571,11 @@ def best_per_url(spark, sf_dir):
 
 def _corpus(spark, sf_dir, content: bool = False):
     """The corpus over a stored extracts table, as the build job runs it."""
-    columns = ["ord", "url", "origurl", "status", "title", "text", "term_count", "content_length"]
-    extracts = _extracts(spark, sf_dir, outputs=["text"]).select(*columns, *(["content"] if content else []))
-    return cx.master_corpus(stored(extracts, "extracts"), src.posts(spark, sf_dir))
+    extracts = _extracts(spark, sf_dir, outputs=["text"])
+    if not content:
+        extracts = extracts.drop("content")
+    posts_table = stored(src.posts(spark, sf_dir), "posts")
+    return cx.master_corpus(stored(extracts, "extracts"), posts_table)
 
 
 @query

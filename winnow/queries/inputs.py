@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from winnow.functions import urls as ux
 from winnow.operators.captures import status_code
 from winnow.operators.posts import build_posts
-from winnow.staging import spread
+from winnow.staging import spread, stored
 
 PAGE_POSTS = 64
 PAGE_SLOTS = 1024
@@ -177,7 +177,8 @@ def _post(conv_id: Column, turn: Column, urls: Column) -> Column:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_posts(listing_pages(spark, sf_dir))
+    pages = stored(listing_pages(spark, sf_dir), "listing")
+    return build_posts(spread(pages, "page_idx"))
 
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
