@@ -1,6 +1,6 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
-Every query runs once to warm up, then the median of three runs counts.  All result columns
+Every query runs once to warm up, then the median of two runs counts.  All result columns
 are computed (noop sink).
 """
 
@@ -20,7 +20,7 @@ HEADLINE = [
     "nearest_snapshot", "fetch_frontier", "merge_captures", "warc_scan", "dedup_text",
     "ordered_distinct",
 ]
-RUNS = 3
+RUNS = 2
 
 
 def main() -> None:

@@ -71,6 +71,19 @@ def test_bad_or_missing_stamps_keep_their_row(spark):
     assert rows == {1: None, 2: None, 3: "y"}  # a tie goes to the earlier snapshot
 
 
+def test_stamps_do_not_depend_on_the_session_zone(spark, evaluate):
+    from winnow.functions.urls import stamp_seconds
+
+    stamps = ["20200308023000", "19700101000001", "20201301000000", "2020", "x" * 14, None]
+    expected = [1583634600, 1, None, None, None, None]
+    assert evaluate(stamp_seconds, stamps) == expected
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert evaluate(stamp_seconds, stamps) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_plan_forms_no_pairs(spark, data):
     asks, known = data
     left = spark.createDataFrame(asks, "i int, url string, stamp string")

@@ -25,6 +25,11 @@ def captures(records: DataFrame) -> DataFrame:
     )
 
 
+def decoded(frame: DataFrame) -> DataFrame:
+    """Captures with the body as text; bytes that are no UTF-8 become replacement characters."""
+    return frame.withColumn("content", F.make_valid_utf8(F.col("content").cast("string")))
+
+
 def under_status(frame: DataFrame, max_status: int = 399) -> DataFrame:
     """Drop responses above the status ceiling; a ceiling of 0 keeps all."""
     return frame.where(F.col("status") <= max_status) if max_status > 0 else frame

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from winnow.operators.captures import captures, merge_captures
+from winnow.operators.captures import captures, decoded, merge_captures
 from winnow.operators.pages import MODES, text_images
 from winnow.operators.posts import build_posts, dated_links, post_images
 from winnow.plans import corpus as cx
@@ -58,7 +58,7 @@ def run_frontier(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_build(spark: SparkSession, args: argparse.Namespace) -> None:
     posts = stored(build_posts(read_listing_pages(spark, args.posts)), "posts")
     scanned = stored(captures(read_warc(spark, args.warc)), "captures")
-    frame = merge_captures(scanned).withColumn("content", F.make_valid_utf8(F.col("content").cast("string")))
+    frame = decoded(merge_captures(scanned))
     extracts = stored(
         cx.text_extracts(
             frame, args.tag_transform, args.text_only, args.max_status, args.min_term_count

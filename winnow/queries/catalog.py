@@ -447,6 +447,17 @@ def warc_metadata(spark, sf_dir):
     )
 
 
+@query
+def warc_headers(spark, sf_dir):
+    rows = warc.record_headers(spark, _archive_folder(spark, sf_dir))
+    stacked = cap.stack_headers(F.concat("rec_headers", "http_headers"))
+    headers = rows.select("ord", stacked.alias("h"))
+    names = ["WARC-Type", "WARC-Target-URI", "Content-Type"]
+    return headers.select(
+        *[F.array_join(F.col("h")[n], "|").alias(n.replace("-", "_").lower()) for n in names]
+    )
+
+
 @query
 def merge_captures(spark, sf_dir):
     first = src.captures(spark, sf_dir)

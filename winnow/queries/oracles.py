@@ -519,6 +519,8 @@ UNION ALL
 SELECT target_uri, 'response', statusline,
   strlen('HTTP/1.1 ' || statusline || 'xxContent-Type: text/htmlxxxx' || content)::VARCHAR,
   NULL FROM typed""",
+    "warc_headers": f"""WITH {CAPTURES} SELECT 'response' AS warc_type,
+  target_uri AS warc_target_uri, 'text/html' AS content_type FROM typed""",
     "merge_captures": f"""WITH {CAPTURES}
 SELECT target_uri, sha256(CASE WHEN ends_with(target_uri, '-copy')
   THEN content || '<!-- later -->' ELSE content END) AS sha FROM captures""",

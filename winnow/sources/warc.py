@@ -152,3 +152,8 @@ def archive_metadata(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         "archive", "statusline", "target_uri", "warc_type", "payload_digest", "block_digest",
         "content_length",
     )
+
+
+def record_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """HTTP and record headers of the responses, one ``array<struct<name,value>>`` each."""
+    return read_warc(spark, paths, header_only=True).select("ord", "http_headers", "rec_headers")
