@@ -144,16 +144,15 @@ def snapshot_stamp(day: Column) -> Column:
 
 def stamp_seconds(stamp: Column) -> Column:
     """14-digit UTC stamp as epoch seconds in any session zone, NULL when malformed."""
-    fields = [(1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2)]
-    made = F.try_make_timestamp_ntz(
-        *[F.substring(stamp, start, size).try_cast("int") for start, size in fields]
+    hours, minutes, seconds = (
+        F.substring(stamp, start, 2).try_cast("int") for start in (9, 11, 13)
+    )
+    days = F.unix_date(F.try_to_date(F.substring(stamp, 1, 8), "yyyyMMdd")).cast("bigint")
+    whole = F.rlike(stamp, F.lit(r"\A[0-9]{14}\z"))
+    return F.when(
+        whole & (hours < 24) & (minutes < 60) & (seconds < 60),
+        days * 86_400 + hours * 3_600 + minutes * 60 + seconds,
     )
-
-    def seconds(moment: Column) -> Column:
-        days = F.unix_date(moment.cast("date")).cast("bigint")
-        return days * 86_400 + F.hour(moment) * 3_600 + F.minute(moment) * 60 + F.second(moment)
-
-    return F.when(F.rlike(stamp, F.lit(r"\A[0-9]{14}\z")), bind(made, seconds))
 
 
 def post_day(text: Column) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from winnow.functions.urls import stamp_seconds
 
-DAY_SECONDS = 86_400
+# A time slice spans 2**SLICE_BITS seconds (18 hours).
+SLICE_BITS = 16
 
 
 def nearest_snapshot(requests: DataFrame, index: DataFrame) -> DataFrame:
@@ -18,87 +19,79 @@ def nearest_snapshot(requests: DataFrame, index: DataFrame) -> DataFrame:
     ``archive_url`` and ``timestamp`` are NULL and ``original`` is the URL itself.
 
     No pairs of requests and snapshots are formed.  Both sides are reduced to distinct
-    seconds and cut into days of a URL, so a window group holds at most two rows per second
-    of one day; the nearest snapshots outside the day come from a table with one row per
-    URL and day.  A URL that owns a third of all rows is therefore spread over its days.
+    seconds and cut into time slices of a URL, so a window group holds at most two rows per
+    second of one slice; the nearest snapshots outside it come from a table with one row per
+    URL and slice.  A URL that owns a third of all rows is therefore spread over its slices.
+    Only times travel through the windows; the addresses join at the end.
     """
-    asked = (
-        requests.select("url", "stamp")
-        .distinct()
-        .withColumn("at", stamp_seconds(F.col("stamp")))
-        .where(F.col("at").isNotNull() & F.col("url").isNotNull())
+    timed = requests.withColumn("_at", stamp_seconds(F.col("stamp")))
+    known = index.select(
+        F.col("original").alias("url"),
+        stamp_seconds(F.col("timestamp")).alias("at"),
+        "timestamp",
+        "archive_url",
+    ).where(F.col("at").isNotNull() & F.col("url").isNotNull())
+    asked = timed.select("url", F.col("_at").alias("at")).where(
+        F.col("at").isNotNull() & F.col("url").isNotNull()
     )
-    known = (
-        index.select(
-            F.col("original").alias("url"),
-            stamp_seconds(F.col("timestamp")).alias("at"),
-            "timestamp",
-            "archive_url",
-        )
-        .where(F.col("at").isNotNull() & F.col("url").isNotNull())
-        .groupBy("url", "at", "timestamp")
-        .agg(F.min("archive_url").alias("archive_url"))
+    moments = (
+        known.select("url", "at", F.lit(0).alias("asks"))
+        .unionByName(asked.select("url", "at", F.lit(1).alias("asks")))
+        .distinct()
     )
-    timeline = known.select(
+    timeline = moments.select(
         "url",
+        F.shiftright("at", SLICE_BITS).alias("slice"),
         "at",
-        F.lit(0).alias("asks"),
-        F.lit(None).cast("string").alias("stamp"),
-        F.struct("at", "timestamp", "archive_url").alias("hit"),
-    ).unionByName(
-        asked.select(
-            "url", "at", F.lit(1).alias("asks"), "stamp", F.lit(None).alias("hit")
-        ),
+        "asks",
+        F.when(F.col("asks") == 0, F.col("at")).alias("hit"),
     )
-    timeline = timeline.withColumn("day", F.floor(F.col("at") / DAY_SECONDS))
 
     so_far = Window.unboundedPreceding
-    in_day = Window.partitionBy("url", "day")
-    ahead = in_day.orderBy("at", "asks").rowsBetween(so_far, Window.currentRow)
-    back = in_day.orderBy(F.desc("at"), F.desc("asks")).rowsBetween(so_far, Window.currentRow)
-    same_day = (
+    inside = Window.partitionBy("url", "slice")
+    ahead = inside.orderBy("at", "asks").rowsBetween(so_far, Window.currentRow)
+    back = inside.orderBy(F.desc("at"), F.desc("asks")).rowsBetween(so_far, Window.currentRow)
+    near = (
         timeline.withColumn("before", F.last("hit", ignorenulls=True).over(ahead))
         .withColumn("after", F.last("hit", ignorenulls=True).over(back))
         .where(F.col("asks") == 1)
-        .select("url", "day", "at", "stamp", "before", "after")
+        .select("url", "slice", "at", "before", "after")
     )
 
-    by_day = Window.partitionBy("url")
-    days = (
-        timeline.groupBy("url", "day")
-        .agg(
-            F.min_by("hit", F.when(F.col("asks") == 0, F.col("at"))).alias("first_hit"),
-            F.max_by("hit", F.when(F.col("asks") == 0, F.col("at"))).alias("last_hit"),
-        )
+    by_url = Window.partitionBy("url")
+    slices = (
+        timeline.groupBy("url", "slice")
+        .agg(F.min("hit").alias("first_hit"), F.max("hit").alias("last_hit"))
         .select(
             "url",
-            "day",
+            "slice",
             F.last("last_hit", ignorenulls=True)
-            .over(by_day.orderBy("day").rowsBetween(so_far, -1))
+            .over(by_url.orderBy("slice").rowsBetween(so_far, -1))
             .alias("earlier"),
             F.last("first_hit", ignorenulls=True)
-            .over(by_day.orderBy(F.desc("day")).rowsBetween(so_far, -1))
+            .over(by_url.orderBy(F.desc("slice")).rowsBetween(so_far, -1))
             .alias("later"),
         )
     )
 
-    def distance(hit):
-        return F.struct(F.abs(F.col(f"{hit}.at") - F.col("at")).alias("gap"), F.col(hit).alias("hit"))
-
-    candidates = F.array(
-        *[
-            F.when(F.col(name).isNotNull(), distance(name))
-            for name in ("before", "after", "earlier", "later")
-        ]
-    )
     # Smallest gap first, then the earlier snapshot: the field order of the struct.
-    answers = same_day.join(days, ["url", "day"]).select(
-        "url", "stamp", F.array_min(F.filter(candidates, lambda c: c.isNotNull()))["hit"].alias("hit")
+    candidates = [
+        F.when(
+            F.col(name).isNotNull(), F.struct(F.abs(F.col(name) - F.col("at")), F.col(name).alias("t"))
+        )
+        for name in ("before", "after", "earlier", "later")
+    ]
+    named = known.groupBy("url", F.col("at").alias("hit_at")).agg(
+        F.min(F.struct("archive_url", "timestamp")).alias("hit")
+    )
+    answers = (
+        near.join(slices, ["url", "slice"])
+        .select("url", F.col("at").alias("_at"), F.least(*candidates)["t"].alias("hit_at"))
+        .join(named, ["url", "hit_at"])
+        .select("url", "_at", "hit.archive_url", "hit.timestamp")
     )
     return (
-        requests.join(answers, ["url", "stamp"], "left")
-        .withColumn("archive_url", F.col("hit.archive_url"))
-        .withColumn("timestamp", F.col("hit.timestamp"))
+        timed.join(answers, ["url", "_at"], "left")
         .withColumn("original", F.col("url"))
-        .drop("hit")
+        .select(*requests.columns, "archive_url", "timestamp", "original")
     )
