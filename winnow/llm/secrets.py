@@ -1,0 +1,243 @@
+"""Secret scans: assignment-aware lexing of names and literals.
+
+Two layers share one pass over each whole text:
+
+* the base patterns (``assign``, ``access``, ``hex``), leftmost and non-overlapping per kind;
+* a small lexer for source and configuration syntax.  At every ``=``, ``:``, ``:=`` and ``=>``
+  it reads the target name on the left and the value on the right: quoted literals, names,
+  ``+`` between them, or a bare configuration value.  Names bound to literals are constants; a
+  value that mentions one stands for its literals.  Every literal is scored by the words of its
+  target name and by its own shape, and reported as ``named`` from ``THRESHOLD`` on, unless it
+  lies inside a base span.
+
+Offsets are code points, ends exclusive.  NULL and empty texts have no spans.  Work is linear in
+the text and nothing is shared between rows.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from winnow.llm.common import map_texts
+
+KINDS = ("assign", "access", "hex", "named")
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    re.IGNORECASE | re.ASCII,
+)
+ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{24,}")
+
+# How strongly a word of a target name speaks for a secret value.
+SENSITIVE = {
+    "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.7, "secret": 1.0,
+    "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "bearer": 0.8, "auth": 0.6,
+    "private": 0.5, "access": 0.4, "signing": 0.4, "encryption": 0.5, "api": 0.4, "key": 0.5,
+}
+HARMLESS = {"public", "name", "path", "file", "url", "length", "size", "count", "type", "id", "field"}
+PLACEHOLDERS = re.compile(
+    r"(?i)^(none|null|true|false|nil|undefined|changeme|example|placeholder|your[_-].*|x{3,}|\*+|\.+|<.*>"
+    r"|\$\{.*\}|\$\(.*\)|%\(.*\).?|\{\{.*\}\})$"
+)
+THRESHOLD = 1.2
+
+_OPERATOR = re.compile(r"=>|:=|[=:]")
+_COMPARE = set("=!<>~+-*/%&|^")
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-")
+_QUOTED = re.compile(r'"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`((?:[^`\\\n]|\\.)*)`')
+_NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*(?:\.[A-Za-z_$][A-Za-z0-9_$]*)*(?![A-Za-z0-9+/=_-])")
+_BARE = re.compile(r"[A-Za-z0-9+/_.=~!@$%^&*-]+")
+_PLUS = re.compile(r"[ \t]*\+[ \t]*")
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+
+
+def name_score(name: str) -> float:
+    """Weight of the most telling words of a name; 0 if nothing in it is sensitive."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    if not parts:
+        return 0.0
+    words = parts + ["".join(pair) for pair in zip(parts, parts[1:])]
+    score = sum(sorted((SENSITIVE.get(w, 0.0) for w in set(words)), reverse=True)[:2])
+    return 0.0 if parts[-1] in HARMLESS else min(score, 1.2)
+
+
+def literal_score(value: str) -> float:
+    """0 for placeholders and short words, up to 1 for long values of many different characters."""
+    if len(value) < 6 or PLACEHOLDERS.match(value) or " " in value.strip():
+        return 0.0
+    counts = Counter(value)
+    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
+    kinds = sum(
+        bool(re.search(p, value)) for p in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]")
+    )
+    if kinds < 2 or not re.search(r"[0-9]", value):
+        return 0.2 if kinds < 2 else 0.4
+    return min(1.0, 0.2 + bits / 8 + min(len(value), 32) / 64)
+
+
+def _target(text: str, at: int) -> str | None:
+    """The name that ends before position ``at``: bare, quoted or followed by ``[...]``."""
+    end = at
+    while end and text[end - 1] in " \t":
+        end -= 1
+    if end and text[end - 1] == "]":
+        end -= 1
+    if end and text[end - 1] in "\"'`":
+        start = text.rfind(text[end - 1], text.rfind("\n", 0, end - 1) + 1, end - 1)
+        return text[start + 1 : end - 1] if start >= 0 else None
+    start = end
+    while start and text[start - 1] in _NAME_CHARS:
+        start -= 1
+    if start == end:
+        return None
+    before = start
+    while before and text[before - 1] in " \t":
+        before -= 1
+    if before and text[before - 1] == ":" and text[at] != ":":  # ``name: type = value``
+        return _target(text, before - 1) or text[start:end]
+    return text[start:end]
+
+
+def assignments(text: str) -> Iterator[tuple[str, list, bool]]:
+    """Name, parts and place of every assignment; a part is ``(kind, value, start, end)``."""
+    done = 0
+    for operator in _OPERATOR.finditer(text):
+        at, end = operator.span()
+        if at < done:
+            continue
+        if at and text[at - 1] in _COMPARE or text[end : end + 1] in ("=", ":", "/"):
+            continue
+        if at and text[at - 1] == ":":
+            continue
+        name = _target(text, at)
+        if not name:
+            continue
+        parts, place = [], end
+        while place < len(text) and text[place] in " \t":
+            place += 1
+        while True:
+            if found := _QUOTED.match(text, place):
+                group = found.lastindex or 1
+                parts.append(("literal", found[group], *found.span(group)))
+            elif found := _NAME.match(text, place):
+                parts.append(("name", found[0], *found.span()))
+            elif not parts and (found := _BARE.match(text, place)):
+                parts.append(("bare", found[0], *found.span()))
+            else:
+                break
+            plus = _PLUS.match(text, found.end())
+            if not plus:
+                break
+            place = plus.end()
+        if parts:
+            if parts[0][0] == "literal":
+                done = parts[-1][3]
+            yield name, parts
+
+
+def named_spans(text: str) -> list[tuple[int, int]]:
+    """Literals whose target names are sensitive, with constants followed to their literals."""
+    constants: dict[str, list] = {}
+    found: set[tuple[int, int]] = set()
+    for name, parts in assignments(text):
+        literals = []
+        for kind, value, start, end in parts:
+            if kind == "name":
+                literals += constants.get(value, [(value, start, end)] if len(parts) == 1 else [])
+            else:
+                literals.append((value, start, end))
+        constants[name] = literals[:16] if len(parts) == 1 else literals
+        weight = name_score(name)
+        if weight and literals:
+            whole = "".join(value for value, _, _ in literals)
+            if weight + literal_score(whole) >= THRESHOLD:
+                found |= {(start, end) for _, start, end in literals if end > start}
+    return sorted(found)
+
+
+def scan(text: str | None) -> list[tuple[int, int, str]]:
+    """All spans of a text by start, then by kind in the order of ``KINDS``."""
+    text = text or ""
+    spans = []
+    lowered = text.lower()
+    if any(word in lowered for word in ASSIGN_WORDS):
+        spans += [(*m.span(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    if "AKIA" in text:
+        spans += [(*m.span(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 20]
+    spans += [(*m.span(), "hex") for m in HEX.finditer(text)]
+    if "=" in text or ":" in text:
+        base = sorted((start, end) for start, end, _ in spans)
+        inside, at, reach = [], 0, 0
+        for start, end in named_spans(text):
+            while at < len(base) and base[at][0] <= start:
+                reach = max(reach, base[at][1])
+                at += 1
+            if end > reach:
+                inside.append((start, end, "named"))
+        spans += inside
+    return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+
+
+def redact(text: str | None, spans: list[tuple[int, int, str]], mark: str = "[secret]") -> str | None:
+    """The text with every maximal run of overlapping spans replaced by ``mark``."""
+    if not spans:
+        return text
+    out, place, reach = [], 0, -1
+    for start, end, _ in spans:
+        if start >= reach:
+            if reach >= 0:
+                place = reach
+            out += [text[place:start], mark]
+        reach = max(reach, end)
+    out.append(text[reach:])
+    return "".join(out)
+
+
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, ``found`` (array of start, end, kind) and ``redacted``."""
+
+    def setup():
+        def work(texts):
+            found = [scan(text) for text in texts]
+            rows = [
+                [{"start": s, "end": e, "kind": k} for s, e, k in spans] for spans in found
+            ]
+            return rows, [redact(t, s) for t, s in zip(texts, found, strict=True)]
+
+        return work
+
+    fields = "found array<struct<start: long, end: long, kind: string>>, redacted string"
+    return map_texts(docs, setup, fields, [id_col], text_col)
+
+
+def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Counts, digest of the base spans and all spans as one string."""
+
+    def joined(items):
+        return F.array_join(
+            F.transform(items, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("found", lambda s: s["kind"] != "named")
+    return found.select(
+        id_col, count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("found")).alias("spans"), count("named").alias("n_named"),
+    )
+
+
+def base_digest(spans: list[tuple[int, int, str]]) -> str:
+    """The same digest in plain Python, for tests."""
+    text = ",".join(f"{k}:{s}:{e}" for s, e, k in spans if k != "named")
+    return hashlib.sha256(text.encode()).hexdigest()
