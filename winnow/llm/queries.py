@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import compression_quality, language_id, quality_rules, secrets
+from winnow.llm import compression_quality, context_tree, language_id, quality_rules, secrets, simhash_dedup
 from winnow.llm.common import fold, table
 
 QUERIES = {}
@@ -44,3 +44,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = context_tree.score_texts(docs, fold("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score", "n_bytes", "bits_per_byte",
+    )
+
+
+@query
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
