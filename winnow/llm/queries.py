@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import compression_quality, context_tree, language_id, quality_rules, secrets, simhash_dedup
-from winnow.llm.common import fold, table
+from winnow.llm import (
+    chat_windows,
+    compression_quality,
+    context_tree,
+    language_id,
+    quality_rules,
+    secrets,
+    simhash_dedup,
+    token_file,
+)
+from winnow.llm.common import fold, store, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +69,26 @@ def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    segments = token_file.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_file.read_tokens(segments).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query
+def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    windows = chat_windows.format_windows(
+        given.unionByName(own), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return chat_windows.digest(store(windows, "windows"))
