@@ -12,7 +12,7 @@ from winnow.llm import (
     context_tree,
     language_id,
     quality_rules,
-    secrets,
+    secret_scan,
     simhash_dedup,
     token_file,
 )
@@ -53,7 +53,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+    return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
 @query
