@@ -10,6 +10,7 @@ from winnow.llm import (
     chat_windows,
     compression_quality,
     context_tree,
+    decontaminate,
     language_id,
     quality_rules,
     secret_scan,
@@ -92,3 +93,14 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         given.unionByName(own), public_tokenizers.path("word_bpe_49k.json")
     )
     return chat_windows.digest(store(windows, "windows"))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark passage in it; clean documents have none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", F.col("leak.item").alias("item_id"), "leak.similarity",
+        F.col("leak.start").alias("start_word"), "leak.n_words",
+    )
