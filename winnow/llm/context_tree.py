@@ -13,14 +13,13 @@ rows and held-out rows go through the same code.
 At scale:
 
 * Texts are packed into bundles of some megabytes.  A bundle sends its *distinct* byte windows and
-  words with counts to the shuffle, never its positions; results come back per bundle.
-* Counts of one context depend on its counts alone, so the tree is folded bottom-up in tasks
+  words with counts to the shuffle (see ``bundles``), never its positions.
+* Counts of one context depend on its counts alone, so the tree is folded bottom-up in shards
   dealt out by the last three context bytes.  The windows of one such context number at most
   ``256**3`` (``DEPTH`` is 5).  Depths 2 to 0 have at most ``256**2 * 255`` nodes and a 255th of
   that on top; they are the only thing that is broadcast.  In UTF-8 a byte can follow only some
   others, so real text stays far below: tens of thousands of nodes for a few languages.
-* A word that occurs everywhere has one row per bundle, so no key is hotter than the number of
-  bundles.
+* A word or window that occurs everywhere counts once per bundle, so no key is hot.
 
 NULL and empty texts consist of the end alone.  Repeated rows are scored each.
 """
@@ -29,24 +28,19 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-import zstandard
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import log_gamma, store
+from winnow.llm import bundles as bd
+from winnow.llm.bundles import END
+from winnow.llm.common import log_gamma, mixed, store
 
 DEPTH = 5
 ROOT_DEPTH = 3  # trees below this depth are folded inside one task
-END = b"\xff"
-BUNDLE_BYTES = 12 << 20
-BUNDLE_ROWS = 1 << 16
 _HALF = math.log(0.5)
 
 
@@ -55,55 +49,6 @@ def _tokens(text: str | None) -> bytes:
     return b" ".join((text or "").encode("utf-8", "replace").lower().split())
 
 
-def _bundles(docs: DataFrame, learn: Column, id_col: str, text_col: str) -> DataFrame:
-    source = docs.select(
-        F.col(id_col).alias("_id"), F.coalesce(learn, F.lit(False)).alias("_learn"),
-        F.col(text_col).cast("string").alias("_text"),
-    )
-    id_type = source.schema["_id"].dataType.simpleString()
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = TaskContext.get().partitionId() << 30
-        squeeze = zstandard.ZstdCompressor(level=1)
-        count, size, ids, learned, texts = 0, 0, [], [], []
-
-        def bundle(kind):
-            nonlocal count, size, ids, learned, texts
-            body = END.join(texts)
-            n_words = sum(
-                text.count(b" ") + 1 for text, own in zip(texts, learned, strict=True) if own and text
-            )
-            row = [[start + count], [ids], [learned], [squeeze.compress(body)], [n_words + sum(learned)]]
-            types = [pa.int64(), pa.list_(kind), pa.list_(pa.bool_()), pa.binary(), pa.int64()]
-            count, size, ids, learned, texts = count + 1, 0, [], [], []
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(row, types, strict=True)],
-                ["bundle", "ids", "learned", "body", "train_tokens"],
-            )
-
-        kind = pa.null()
-        for batch in batches:
-            kind = batch.schema.field(0).type
-            for i, own, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                ids.append(i)
-                learned.append(own)
-                texts.append(_tokens(text))
-                size += len(texts[-1])
-                if size >= BUNDLE_BYTES or len(ids) >= BUNDLE_ROWS:
-                    yield bundle(kind)
-        if ids:
-            yield bundle(kind)
-
-    return source.mapInArrow(
-        pack,
-        f"bundle long, ids array<{id_type}>, learned array<boolean>, body binary, train_tokens long",
-    )
-
-
-def _texts(body: bytes) -> list[bytes]:
-    return zstandard.ZstdDecompressor().decompress(body).split(END)
-
-
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Window code of every byte and end of the texts, in order, and where each text starts.
 
@@ -129,37 +74,31 @@ def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[edge], np.diff(np.r_[edge, len(values)])
 
 
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct windows of every bundle, with their counts in learning rows."""
-    for batch in batches:
-        for bundle, learned, body in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-            code, starts = windows(_texts(body))
-            own = np.repeat(np.array(learned, bool), np.diff(np.r_[starts, len(code)]))
-            seen, counts = _counted(code[own])
-            everything, _ = _counted(code)
-            n = np.zeros(len(everything), np.int64)
-            n[np.searchsorted(everything, seen)] = counts
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(everything), pa.array(np.full(len(n), bundle)), pa.array(n)],
-                ["code", "bundle", "n"],
-            )
+def _window_counts(texts: list[bytes], learned: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows of a bundle, with their counts in learning rows."""
+    code, starts = windows(texts)
+    own = np.repeat(np.array(learned, bool), np.diff(np.r_[starts, len(code)]))
+    seen, counts = _counted(code[own])
+    everything, _ = _counted(code)
+    n = np.zeros(len(everything), np.int64)
+    n[np.searchsorted(everything, seen)] = counts
+    return everything, n
 
 
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of every bundle, with their counts in learning rows."""
-    for batch in batches:
-        for bundle, learned, body in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-            counts: Counter = Counter()
-            others: set = set()
-            for text, own in zip(_texts(body), learned, strict=True):
-                (counts if own else others).update(text.split(b" ") if text else ())
-            rest = [word for word in others if word not in counts]
-            words = [*counts, *rest]
-            n = np.r_[np.fromiter(counts.values(), np.int64, len(counts)), np.zeros(len(rest), np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(np.full(len(words), bundle, np.int64)), pa.array(n)],
-                ["word", "bundle", "n"],
-            )
+def _word_counts(texts: list[bytes], learned: list[bool]) -> dict[bytes, int]:
+    """Distinct words of a bundle, with their counts in learning rows."""
+    counts: Counter = Counter()
+    others: set = set()
+    for text, own in zip(texts, learned, strict=True):
+        (counts if own else others).update(text.split(b" ") if text else ())
+    for word in others:
+        counts.setdefault(word, 0)
+    return counts
+
+
+def _shard_of(shards: int):
+    shift = 8 * (DEPTH - ROOT_DEPTH + 1)
+    return lambda code: (mixed(code >> shift) % np.uint64(shards)).astype(np.int64)
 
 
 def _estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -209,42 +148,50 @@ def fold_tree(code: np.ndarray, n: np.ndarray, top: int = ROOT_DEPTH):
     return chances, tuple(np.concatenate(part) for part in zip(*nodes, strict=True))
 
 
-def _fold_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows sorted by code within the task: fold whole groups of three context bytes at a time."""
-    shift = 8 * (DEPTH - ROOT_DEPTH + 1)
+def _fold_shard(packs: pa.Table) -> pa.Table:
+    """Sum the windows of one shard over all bundles and fold their trees.
 
-    def folded(code, n):
-        chances, (key, zeros, ones, weighted) = fold_tree(code, n)
-        blank = pa.nulls(len(key), pa.int64())
-        rows = [
-            pa.concat_arrays([pa.array(code), blank]),
-            pa.concat_arrays(
-                [
-                    pa.FixedSizeListArray.from_arrays(pa.array(chances.ravel()), 8).cast(pa.list_(pa.float64())),
-                    pa.nulls(len(key), pa.list_(pa.float64())),
-                ]
-            ),
-            pa.concat_arrays([pa.nulls(len(code), pa.int64()), pa.array(key)]),
-            *(
-                pa.concat_arrays([pa.nulls(len(code), pa.float64()), pa.array(v.astype(np.float64))])
-                for v in (zeros, ones, weighted)
-            ),
-        ]
-        return pa.RecordBatch.from_arrays(rows, ["code", "chances", "node", "zeros", "ones", "weighted"])
-
-    held_code, held_n, size = [], [], 0
-    for batch in batches:
-        held_code.append(batch.column(0).to_numpy(zero_copy_only=False))
-        held_n.append(batch.column(1).to_numpy(zero_copy_only=False))
-        size += len(held_code[-1])
-        if size >= 1 << 18:
-            code, n = np.concatenate(held_code), np.concatenate(held_n)
-            cut = int(np.searchsorted(code, (code[-1] >> shift) << shift))
-            if cut:
-                yield folded(code[:cut], n[:cut])
-            held_code, held_n, size = [code[cut:]], [n[cut:]], len(code) - cut
-    if size:
-        yield folded(np.concatenate(held_code), np.concatenate(held_n))
+    One row holds the windows with their chances; the others hold sums of the nodes one depth
+    further up, which several shards share.
+    """
+    codes = [bd.numbers_of(raw) for raw in packs.column("keys").to_pylist()]
+    counts = [bd.expand_numbers(raw, np.int64) for raw in packs.column("data").to_pylist()]
+    code, inverse = np.unique(np.concatenate(codes), return_inverse=True)
+    n = np.bincount(inverse, np.concatenate(counts), len(code))
+    chances, (key, *sums) = fold_tree(code, n)
+    key, up = np.unique(((key >> 16) << 8) | (key & 255), return_inverse=True)
+    sums = [np.bincount(up, values, len(key)) for values in sums]
+    blank = pa.nulls(1, pa.float64())
+    return pa.table(
+        {
+            "shard": pa.array([packs.column("shard")[0].as_py()] * (len(key) + 1), pa.int32()),
+            "codes": pa.array([bd.squeeze_numbers(np.diff(code, prepend=0)), *[None] * len(key)], pa.binary()),
+            "chances": pa.array([bd.squeeze_numbers(chances.astype(np.float32)), *[None] * len(key)], pa.binary()),
+            "node": pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(key)]),
+            "zeros": pa.concat_arrays([blank, pa.array(sums[0])]),
+            "ones": pa.concat_arrays([blank, pa.array(sums[1])]),
+            "weighted": pa.concat_arrays([blank, pa.array(sums[2])]),
+        }
+    )
+
+
+def _count_shard(packs: pa.Table) -> pa.Table:
+    """Total count of every word of one shard, back in the order of each pack."""
+    words = [bd.words_of(raw) for raw in packs.column("keys").to_pylist()]
+    total: dict[bytes, int] = {}
+    for own, raw in zip(words, packs.column("data").to_pylist(), strict=True):
+        for word, n in zip(own, bd.expand_numbers(raw, np.int64).tolist(), strict=True):
+            total[word] = total.get(word, 0) + n
+    known = sum(n > 0 for n in total.values())
+    data = [bd.squeeze_numbers(np.fromiter(map(total.__getitem__, own), np.int64, len(own))) for own in words]
+    return pa.table(
+        {
+            "shard": packs.column("shard"), "bundle": packs.column("bundle"), "keys": packs.column("keys"),
+            "data": pa.array(data, pa.binary()),
+            "known": pa.array([known, *[0] * (len(words) - 1)], pa.int64()),
+            "total": pa.array([sum(total.values()), *[0] * (len(words) - 1)], pa.int64()),
+        }
+    )
 
 
 def top_tables(nodes: pd.DataFrame) -> list[tuple[np.ndarray, ...]]:
@@ -290,76 +237,77 @@ def score_texts(
     counts the modelled bytes; ``bits_per_byte`` is the code length per byte.
     """
     spark = docs.sparkSession
-    bundles = store(_bundles(docs, learn, id_col, text_col), "bundles")
-    slim = bundles.select("bundle", "learned", "body")
+    bundles = bd.make_bundles(docs, _tokens, id_col, text_col, learn)
+    shards = bd.shard_count(bundles)
 
-    # Words: one shuffle gives every (bundle, word) row the count of its word.
-    by_word = Window.partitionBy("word")
     words = store(
-        slim.mapInArrow(_word_rows, "word binary, bundle long, n long")
-        .withColumn("count", F.sum("n").over(by_word))
-        .withColumn("first", F.min("bundle").over(by_word) == F.col("bundle"))
-        .filter("count > 0")
-        .select("word", "bundle", "count", "first"),
-        "words",
-    )
-    totals = bundles.agg(
-        F.coalesce(F.sum("train_tokens"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.size(F.filter("learned", lambda x: x))), F.lit(0)).alias("texts"),
-    ).first()
-    train_tokens, train_texts = totals["n"], totals["texts"]
-    vocabulary = words.filter("first").count() + (train_texts > 0)
-
-    # Windows: totals, tree, chances, and back to the bundles that hold them.
-    pairs = store(slim.mapInArrow(_window_rows, "code long, bundle long, n long"), "windows")
-    shift = 8 * (DEPTH - ROOT_DEPTH + 1)
-    folded = store(
-        pairs.groupBy("code").agg(F.sum("n").alias("n"))
-        .repartition(F.shiftright("code", shift)).sortWithinPartitions("code")
-        .mapInArrow(
-            _fold_rows,
-            "code long, chances array<double>, node long, zeros double, ones double, weighted double",
+        bd.word_packs(bundles, _word_counts, shards, "words").groupBy("shard").applyInArrow(
+            _count_shard, bd.PACK_FIELDS + ", known long, total long"
         ),
-        "tree",
+        "counts",
     )
+    totals = words.agg(F.sum("known"), F.sum("total")).first()
+    train_texts = bundles.agg(F.sum(F.size(F.filter("learned", lambda x: x)))).first()[0] or 0
+    # The end is a token like any other: its count is the number of learning rows.
+    train_tokens = (totals[1] or 0) + train_texts
+    vocabulary = (totals[0] or 0) + (train_texts > 0)
+
+    packs = bd.number_packs(bundles, _window_counts, _shard_of(shards), "windows")
+    tree = store(
+        packs.groupBy("shard").applyInArrow(
+            _fold_shard,
+            "shard int, codes binary, chances binary, node long, zeros double, ones double, weighted double",
+        ),
+        "tree",
+    )
     upper = (
-        folded.filter("node IS NOT NULL")
-        .groupBy(F.expr("(node >> 16 << 8) | (node & 255)").alias("node"))
+        tree.filter("node IS NOT NULL")
+        .groupBy("node")
         .agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")))
         .toPandas()  # at most 256**2 * 255 nodes
     )
     top = spark.sparkContext.broadcast(top_tables(upper))
 
-    def chance_rows(batches):
-        for batch in batches:
-            code = batch.column(0).to_numpy(zero_copy_only=False)
-            chances = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, 8)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_log_chance(code, chances, top.value))], ["code", "value"]
-            )
+    def answer(asked: pa.Table, folded: pa.Table) -> pa.Table:
+        code = bd.numbers_of(folded.column("codes")[0].as_py())
+        chances = bd.expand_numbers(folded.column("chances")[0].as_py(), np.float32).reshape(-1, 8)
+        logs = _log_chance(code, chances.astype(np.float64), top.value).astype(np.float32)
+        data = [
+            bd.squeeze_numbers(logs[np.searchsorted(code, bd.numbers_of(raw))])
+            for raw in asked.column("keys").to_pylist()
+        ]
+        return pa.table(
+            {
+                "shard": asked.column("shard"), "bundle": asked.column("bundle"),
+                "keys": pa.nulls(len(data), pa.binary()), "data": pa.array(data, pa.binary()),
+            }
+        )
 
-    chances = folded.filter("code IS NOT NULL").select("code", "chances").mapInArrow(
-        chance_rows, "code long, value double"
-    )
-    facts = pairs.select("code", "bundle").join(chances, "code").select(
-        "bundle", "code", F.lit(None).cast("binary").alias("word"), "value"
-    ).unionAll(
-        words.select("bundle", F.lit(None).cast("long"), "word", F.col("count").cast("double"))
+    answers = (
+        packs.select("shard", "bundle", "keys").groupBy("shard")
+        .cogroup(tree.filter("node IS NULL").select("shard", "codes", "chances").groupBy("shard"))
+        .applyInArrow(answer, bd.PACK_FIELDS)
     )
+    facts = answers.unionByName(words.select("shard", "bundle", "keys", "data"))
 
     denominator = train_tokens + vocabulary + 1
     id_type = bundles.schema["ids"].dataType.elementType.simpleString()
+    shard_of = _shard_of(shards)
 
     def scored(bundle: pa.Table, found: pa.Table) -> pa.Table:
-        row = bundle.to_pylist()[0]
-        texts = _texts(row["body"])
-        # The end is a token like any other: its count is the number of learning rows.
+        texts = bd.texts_of(bundle.column("body")[0].as_py())
         end = math.log10((train_texts + 1) / denominator)
         unknown = math.log10(1 / denominator)
-        is_word = found.column("word").is_valid()
-        known = found.filter(is_word)
-        value = np.log10((known.column("value").to_numpy() + 1) / denominator)
-        chance_of = dict(zip(known.column("word").to_pylist(), value.tolist(), strict=True))
+        chance_of: dict[bytes, float] = {}
+        logs_of: dict[int, bytes] = {}
+        for shard, keys, data in zip(*(found.column(c).to_pylist() for c in ("shard", "keys", "data")), strict=True):
+            if keys is None:
+                logs_of[shard] = data
+            else:
+                n = bd.expand_numbers(data, np.int64)
+                logs = np.log10((n + 1) / denominator)
+                own = bd.words_of(keys)
+                chance_of.update((own[i], float(logs[i])) for i in np.flatnonzero(n))
         n_tokens, n_known, base = [], [], []
         for text in texts:
             split = text.split(b" ") if text else []
@@ -367,11 +315,13 @@ def score_texts(
             n_tokens.append(len(split) + 1)
             n_known.append(len(hits) + (train_texts > 0))
             base.append(math.fsum(hits) + (len(split) - len(hits)) * unknown + end)
-        grams = found.filter(pc.invert(is_word))
         code, starts = windows(texts)
-        place = pc.index_in(pa.array(code), value_set=grams.column("code").combine_chunks())
-        logs = grams.column("value").to_numpy()[place.to_numpy(zero_copy_only=False)]
-        score = np.add.reduceat(logs, starts)
+        everything, _ = _counted(code)
+        value = np.empty(len(everything), np.float64)
+        for shard, at in bd.shards_in_order(shard_of(everything)).items():
+            value[at] = bd.expand_numbers(logs_of[shard], np.float32)
+        place = pd.Index(everything).get_indexer(code)
+        score = np.add.reduceat(value[place], starts)
         n_bytes = np.diff(np.r_[starts, len(code)])
         return pa.table(
             {
