@@ -14,6 +14,7 @@ from winnow.llm import (
     language_id,
     quality_rules,
     secret_scan,
+    sentencepiece_lattice,
     simhash_dedup,
     token_file,
 )
@@ -104,3 +105,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("leak.item").alias("item_id"), "leak.similarity",
         F.col("leak.start").alias("start_word"), "leak.n_words",
     )
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and a digest of the text decoded from them."""
+    pieces = sentencepiece_lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = sentencepiece_lattice.encode(table(spark, sf_dir, "documents"), pieces)
+    return sentencepiece_lattice.decode(encoded, pieces).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
