@@ -12,7 +12,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -210,8 +210,14 @@ def fit(
     return Model(languages, weights * idf[:, None], bias, fit_temperature(logits, kinds))
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: its id, ``lang_pred`` and calibrated ``score``."""
+def identify(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
+    keep: Sequence[str] | None = None, out: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """One row per row of ``docs``: its id (or the columns ``keep``), language and calibrated score.
+
+    ``out`` names the two new columns.
+    """
 
     def setup():
         predict = model.predictor()
@@ -222,4 +228,5 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
         return work
 
-    return map_texts(docs, setup, "lang_pred string, score double", [id_col], text_col)
+    fields = f"`{out[0]}` string, `{out[1]}` double"
+    return map_texts(docs, setup, fields, keep or [id_col], text_col)

@@ -110,8 +110,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and a digest of the text decoded from them."""
+    return spelled(table(spark, sf_dir, "documents"))
+
+
+def spelled(docs: DataFrame) -> DataFrame:
     pieces = sentencepiece_lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = sentencepiece_lattice.encode(table(spark, sf_dir, "documents"), pieces)
+    encoded = sentencepiece_lattice.encode(docs, pieces)
     return sentencepiece_lattice.decode(encoded, pieces).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("text", 256).alias("decoded_sha256"),

@@ -218,6 +218,17 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_texts(docs, setup, fields, [id_col], text_col)
 
 
+def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every found span of its texts replaced by a mark; other columns stay."""
+    rest = [name for name in docs.columns if name != text_col]
+
+    def setup():
+        return lambda texts: [[redact(text, scan(text)) for text in texts]]
+
+    made = map_texts(docs, setup, "_redacted string", rest, text_col)
+    return made.withColumnRenamed("_redacted", text_col).select(*docs.columns)
+
+
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts, digest of the base spans and all spans as one string."""
 

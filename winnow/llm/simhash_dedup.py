@@ -24,7 +24,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnow.llm.common import map_texts, store
@@ -237,3 +237,22 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return hashed.join(named, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row left of every component: the one whose id names it.
+
+    Of several rows with that id one stays, by a hash of its text.  Rows with a NULL id cannot be told
+    apart and all stay.
+    """
+    groups = near_groups(docs, id_col, text_col)
+    keep = groups.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    kept = docs.join(keep, id_col, "left_semi").select(*docs.columns)
+    repeated = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(id_col)
+    if not repeated.filter(F.col(id_col).isNotNull()).isEmpty():
+        place = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+        many = kept.join(repeated, id_col, "left_semi").withColumn("_place", F.row_number().over(place))
+        kept = kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(
+            many.filter("_place = 1").select(*docs.columns)
+        )
+    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
