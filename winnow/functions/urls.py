@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from winnow.functions.common import bind, strip_space
 
 # --- fixed values: patterns and word lists that decide results ---------------
-URL_PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+URL_PARTS = r"(?s)\A(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
 ARCHIVE_MARK = "archive.org"
 SNAPSHOT_HOST = "web.archive.org"
 PORT = r":\p{Nd}{1,5}/"

@@ -37,7 +37,7 @@ def url_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = ux.url_host(url)
     forms = F.array(
         url,
-        F.concat(F.lit("https://web.archive.org/web/20221210031853/"), with_port),
+        F.concat(F.lit("https://web.archive.org/web/20190704101112/"), with_port),
         F.concat(F.lit("https://archive.org/details"), ux.url_part(url, 3)),
         F.regexp_replace(url, "^[a-z]+:", ""),
         F.regexp_replace(url, "^[a-z]+", ""),

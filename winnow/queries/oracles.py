@@ -163,7 +163,7 @@ FORMS = rf"""forms AS (
   SELECT page_id, (generate_subscripts(f, 1) - 1)::INT AS form, unnest(f) AS url
   FROM (SELECT page_id, [
     url,
-    'https://web.archive.org/web/20221210031853/'
+    'https://web.archive.org/web/20190704101112/'
       || regexp_replace(url, '(example\.[a-z]+)/', '\1:8080/', 'g'),
     'https://archive.org/details' || {part('url', 3)},
     regexp_replace(url, '^[a-z]+:', ''),
