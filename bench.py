@@ -15,8 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 HEADLINE = [
-    "master_corpus", "text_extracts", "page_text", "page_links", "main_content", "page_reduced",
-    "page_markdown", "term_count", "detect_languages", "posts", "post_images",
+    "master_corpus", "text_extracts", "page_text", "page_links", "main_content", "term_count", "detect_languages", "posts", "post_images",
     "nearest_snapshot", "fetch_frontier", "merge_captures", "warc_scan", "dedup_text",
     "ordered_distinct",
 ]

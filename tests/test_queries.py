@@ -36,13 +36,6 @@ def test_query_equals_sql(spark, tables, name):
     assert _sorted(actual) == _sorted(expected)
 
 
-@pytest.mark.parametrize("name", ["page_markdown", "page_reduced"])
-def test_tree_queries_cover_every_page(spark, tables, name):
-    rows = entry.queries()[name](spark, SF).collect()
-    assert len(rows) == tables.execute("SELECT count(*) FROM pages").fetchone()[0]
-    assert all(row.text for row in rows)
-
-
 def test_oracles_belong_to_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

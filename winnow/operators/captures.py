@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions.urls import image_fallback
-from winnow.operators.ordering import keep_first_wide
+from winnow.operators.ordering import keep_first, keep_first_wide
 
 
 def status_code(statusline: Column) -> Column:
@@ -65,8 +65,12 @@ def fetch_tally(results: DataFrame) -> DataFrame:
 
 
 def results_with_dates(results: DataFrame, links: DataFrame) -> DataFrame:
-    """Each dated link with the result of its fetch (NULLs where the fetch is missing)."""
-    return links.join(results, "url", "left")
+    """Each dated link with the result of its fetch (NULLs where the fetch is missing).
+
+    A URL that was fetched more than once counts with its first result (smallest ``ord``), so a
+    link gives one row whatever the results hold.
+    """
+    return links.join(keep_first(results, ["url"]).drop("ord"), "url", "left")
 
 
 def images_to_retry(results: DataFrame) -> DataFrame:

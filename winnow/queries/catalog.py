@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.functions import html as hx
-from winnow.functions import markup as mx
 from winnow.functions import text as tx
 from winnow.functions import urls as ux
-from winnow.functions.harvest import harvest_posts as harvest
 from winnow.operators import captures as cap
 from winnow.operators import pages as pg
 from winnow.operators import posts as po
@@ -260,22 +258,6 @@ def page_text_plain(spark, sf_dir):
     return _pages(spark, sf_dir).select("ord", hx.plain_text(F.col("html")).alias("text"))
 
 
-@query
-def page_markdown(spark, sf_dir):
-    convert = mx.markdown_udf(text_only=False)
-    return _pages(spark, sf_dir).select(
-        "ord", tx.clean_page_text(convert("html", "url")).alias("text")
-    )
-
-
-@query
-def page_reduced(spark, sf_dir):
-    convert = mx.reduced_udf(text_only=False)
-    return _pages(spark, sf_dir).select(
-        "ord", tx.clean_page_text(convert("html", "url")).alias("text")
-    )
-
-
 @query
 def absolute_links(spark, sf_dir):
     href = F.col("href")
@@ -350,49 +332,6 @@ def main_content(spark, sf_dir):
     return _pages(spark, sf_dir).select("ord", hx.simplified_page(F.col("html")).alias("text"))
 
 
-@query
-def harvest_posts(spark, sf_dir):
-    listing = _listing_html(spark, sf_dir)
-    flat = po.flatten_posts(harvest(listing))
-    return flat.select(
-        "page_idx", "post_idx", "post_date", "post_title", "post_link", "raw_text",
-        _joined("raw_links"), _joined("raw_images"), _joined("tag_list"),
-        F.array_join(F.transform("body_extracts", lambda i: i["text_desc"]), "|").alias("texts"),
-    )
-
-
-def _listing_html(spark, sf_dir):
-    """Conversations as blog listing pages of at most 64 posts."""
-    turns = src.table(spark, sf_dir, "conversations")
-    place = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
-    post = F.concat(
-        F.lit("<h2 class='date-header'>May 5, 2021</h2><div class='post hentry'>"
-              "<h3 class='post-title entry-title'><a href='/p/"), place, F.lit("'>"), "role",
-        F.lit("</a></h3><div class='post-body'><div class='separator'><a href='/i/"), place,
-        F.lit("'><img src='/s320/"), place, F.lit(".jpg'></a></div>By <a href='/w/"), place,
-        F.lit("'>the "), "role", F.lit("</a> now<p>"), F.replace("text", F.lit("\n"), F.lit(" ")),
-        F.lit("</p></div><div class='post-footer'><span class='post-labels'><a href='/t'>"), "role",
-        F.lit("</a><a href='/u'>all</a></span></div></div>"),
-    )
-    return (
-        turns.select(
-            (F.col("conv_id") * src.PAGE_SLOTS + F.expr(f"turn div {src.PAGE_POSTS}")).alias(
-                "page_idx"
-            ),
-            F.struct("turn", post.alias("post")).alias("row"),
-        )
-        .groupBy("page_idx")
-        .agg(F.array_join(F.sort_array(F.collect_list("row"))["post"], "").alias("posts"))
-        .select(
-            "page_idx",
-            F.lit("https://blog.example.com/").alias("url"),
-            F.concat(
-                F.lit("<html><body><div class='blog-posts'>"), "posts", F.lit("</div></body></html>")
-            ).alias("html"),
-        )
-    )
-
-
 # --- captures and fetch tables -------------------------------------------------
 
 
@@ -494,9 +433,11 @@ def fetch_tally(spark, sf_dir):
 
 @query
 def fetch_results_dated(spark, sf_dir):
+    # Every address is fetched twice here; the first result counts.
     results = src.typed_captures(spark, sf_dir).select(
-        F.col("target_uri").alias("url"), "status", "content_length", _sha("content", "sha")
-    )
+        F.explode(F.array(F.col("ord"), F.col("ord") + (1 << 40))).alias("ord"),
+        F.col("target_uri").alias("url"), "status", "content_length", _sha("content", "sha"),
+    ).withColumn("sha", F.when(F.col("ord") < 1 << 40, F.col("sha")).otherwise("later"))
     links = po.dated_links(src.posts(spark, sf_dir)).select(
         "post_no", "pos", F.col("post_date").cast("string").alias("post_date"), "url"
     )
@@ -558,7 +499,7 @@ def _extracts(spark, sf_dir, **options):
 
 @query
 def text_extracts(spark, sf_dir):
-    return _extracts(spark, sf_dir, min_term_count=1).select(
+    return _extracts(spark, sf_dir).select(
         "ord", "status", "url", "origurl", "title", "content_length",
         F.col("term_count").cast("bigint").alias("term_count"), "text",
         F.size("images").cast("bigint").alias("n_images"), _joined("links"), _joined("link_texts"),
@@ -567,26 +508,31 @@ def text_extracts(spark, sf_dir):
 
 @query
 def pages_posts_join(spark, sf_dir):
-    extracts = _extracts(spark, sf_dir, outputs=["text"])
+    # The many-to-many rows carry the hash of a text, not the text.
+    extracts = _extracts(spark, sf_dir).drop("text", "content")
     joined = cx.pages_with_posts(extracts, src.posts(spark, sf_dir))
-    return joined.select("ord", "ptid", "text_links", "post_title", _sha("text", "sha"))
+    return joined.select("ord", "ptid", "text_links", "post_title", F.col("text_key").alias("sha"))
 
 
 @query
 def best_per_url(spark, sf_dir):
-    narrow = _extracts(spark, sf_dir, outputs=["text"]).select("ord", "origurl", "term_count", "content_length")
+    narrow = _extracts(spark, sf_dir).select("ord", "origurl", "term_count", "content_length")
     return cx.best_per_url(narrow).select(
         "origurl", "ord", F.col("term_count").cast("bigint").alias("term_count"), "content_length"
     )
 
 
-def _corpus(spark, sf_dir, content: bool = False):
-    """The corpus over a stored extracts table, as the build job runs it."""
-    extracts = _extracts(spark, sf_dir, outputs=["text"])
-    if not content:
-        extracts = extracts.drop("content")
+def _corpus(spark, sf_dir):
+    """The corpus over a stored extracts table, as the build job runs it, all columns included."""
     posts_table = stored(src.posts(spark, sf_dir), "posts")
-    return cx.master_corpus(stored(extracts, "extracts"), posts_table)
+    return cx.master_corpus(stored(_extracts(spark, sf_dir), "extracts"), posts_table)
+
+
+def _page_columns():
+    return [
+        F.size("images").cast("bigint").alias("n_images"), _joined("links"), _joined("link_texts"),
+        _sha("content", "content_sha"),
+    ]
 
 
 @query
@@ -594,7 +540,7 @@ def master_corpus(spark, sf_dir):
     return _corpus(spark, sf_dir).select(
         "ord", "origurl", "url", "status", "title", "ptid", "post_title", "content_length",
         F.col("term_count").cast("bigint").alias("term_count"), _sha("text", "sha"),
-        _joined("languages"),
+        _joined("languages"), *_page_columns(),
     )
 
 
@@ -602,19 +548,21 @@ def master_corpus(spark, sf_dir):
 def corpus_roundtrip(spark, sf_dir):
     path = new_path(spark, "corpus")
     out.write_corpus(_corpus(spark, sf_dir), path)
-    return rd.read_corpus(spark, path).select("ord", "ptid", "title", _sha("text", "sha"))
+    return rd.read_corpus(spark, path).select(
+        "ord", "ptid", "title", _sha("text", "sha"), *_page_columns()
+    )
 
 
 @query
 def label_records(spark, sf_dir):
-    simple = cx.simplify_corpus(_corpus(spark, sf_dir, content=True))
+    simple = cx.simplify_corpus(_corpus(spark, sf_dir))
     return cx.label_records(simple).select(F.to_json("data").alias("data"))
 
 
 @query
 def label_scan(spark, sf_dir):
     path = new_path(spark, "labels")
-    out.write_json(cx.label_records(cx.simplify_corpus(_corpus(spark, sf_dir, content=True))), path)
+    out.write_json(cx.label_records(cx.simplify_corpus(_corpus(spark, sf_dir))), path)
     rows = rd.read_labels(spark, path)
     return rows.select(
         "ptid", "url", "post_title", "content_length", _sha("text", "sha"), _joined("languages")

@@ -356,6 +356,14 @@ _STAMPS = """event_stamps AS (
   SELECT event_id, event_type, 'https://users.example.com/' || user_id AS url,
     strftime(ts, '%Y%m%d%H%M%S') AS stamp, date_trunc('second', ts) AS at FROM events)"""
 _SHA_CONTENT = "sha256(content) AS sha"
+_LISTED = """listed AS (
+  SELECT ord, string_agg(link, '|' ORDER BY pos) AS links,
+    string_agg(link_text, '|' ORDER BY pos) AS link_texts FROM first_links GROUP BY ord)"""
+_CORPUS_LINKS = (
+    f"{anchors('found', 'SELECT ord, url, content AS html FROM corpus')}, {first_links('found')}, {_LISTED}"
+)
+_PAGE_COLUMNS = """0 AS n_images, coalesce(links, '') AS links, coalesce(link_texts, '') AS link_texts,
+  sha256(content) AS content_sha"""
 _FRONT_TYPES = "SELECT page_id, form, url FROM forms"
 
 ORACLES = {
@@ -500,12 +508,6 @@ FROM rows WHERE {is_candidate('link')}""",
   FROM picture_parts)
 SELECT imgurl, printf('%05d', min(ord) // 3) AS ptid FROM shown GROUP BY imgurl""",
     "main_content": f"WITH {simplified('html', PAGE_ROWS)} SELECT ord, text FROM simple",
-    "harvest_posts": """SELECT conv_id * 1024 + turn // 64 AS page_idx, turn % 64 AS post_idx,
-  'May 5, 2021' AS post_date, role AS post_title, '/p/' || conv_id || '-' || turn AS post_link,
-  'By  the ' || role || '  now ' || replace(text, chr(10), ' ') AS raw_text,
-  '/i/' || conv_id || '-' || turn || '|/w/' || conv_id || '-' || turn AS raw_links,
-  '/s320/' || conv_id || '-' || turn || '.jpg' AS raw_images, role || '|all' AS tag_list,
-  'By the ' || role || ' now' AS texts FROM conversations""",
     "captures": f"""WITH {CAPTURES}
 SELECT ord, target_uri, status, content_length, {_SHA_CONTENT} FROM typed""",
     "status_filter": f"WITH {CAPTURES} SELECT ord, target_uri, status FROM typed WHERE status <= 399",
@@ -578,15 +580,18 @@ listed AS (
     string_agg(link_text, '|' ORDER BY pos) AS link_texts FROM first_links GROUP BY ord)
 SELECT ord, status, url, origurl, title, content_length, term_count, text, 0 AS n_images,
   coalesce(links, '') AS links, coalesce(link_texts, '') AS link_texts
-FROM extracts LEFT JOIN listed USING (ord) WHERE term_count >= 1""",
+FROM extracts LEFT JOIN listed USING (ord)""",
     "pages_posts_join": f"""WITH {CORPUS} SELECT j.ord, p.ptid, j.origurl AS text_links,
   p.post_title, sha256(j.text) AS sha FROM joined j JOIN posts p USING (post_no)""",
     "best_per_url": f"""WITH {EXTRACTS} SELECT origurl, ord, term_count, content_length FROM extracts
 QUALIFY row_number() OVER (
   PARTITION BY origurl ORDER BY term_count DESC, content_length DESC, ord) = 1""",
-    "master_corpus": f"""WITH {CORPUS} SELECT ord, origurl, url, status, title, ptid, post_title,
-  content_length, term_count, sha256(text) AS sha, {_joined('languages')} FROM corpus""",
-    "corpus_roundtrip": f"WITH {CORPUS} SELECT ord, ptid, title, sha256(text) AS sha FROM corpus",
+    "master_corpus": f"""WITH {CORPUS}, {_CORPUS_LINKS} SELECT ord, origurl, url, status, title, ptid,
+  post_title, content_length, term_count, sha256(text) AS sha, {_joined('languages')},
+  {_PAGE_COLUMNS} FROM corpus LEFT JOIN listed USING (ord)""",
+    "corpus_roundtrip": f"""WITH {CORPUS}, {_CORPUS_LINKS}
+SELECT ord, ptid, title, sha256(text) AS sha, {_PAGE_COLUMNS}
+FROM corpus LEFT JOIN listed USING (ord)""",
     "label_records": f"""WITH {CORPUS}, {_LABEL_SIMPLE}
 SELECT to_json({{'ptid': ptid, 'text': s.text, 'post_title': post_title, 'languages': languages,
   'term_count': term_count, 'content_length': content_length, 'url': url}})::VARCHAR AS data
