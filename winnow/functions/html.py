@@ -21,20 +21,24 @@ UNSEEN_OR_TITLE = rf"(?is)<(?:{UNSEEN_PARTS}|title\b.*?</title[^>]*>)"
 FIRST_TITLE = (
     rf"(?is)\A(?:[^<]++|<(?:{UNSEEN_PARTS})|<(?!title\b))*+(<title\b[^>]*>(.*?)</title[^>]*>)"
 )
-BEFORE_BODY = r"(?is)\A.*?<body\b[^>]*>"
-AFTER_BODY = r"(?is)</body\b.*\z"
+# The inside of a tag: ">" ends it unless it stands in a quoted value.  A tag begins with a letter,
+# "/", "!" or "?" behind "<"; any other "<" is text.
+INSIDE = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
+TAG = rf"<[A-Za-z/!?]{INSIDE}>"
+START_TAG = rf"(?s)^{TAG}"
+BEFORE_BODY = rf"(?is)\A.*?<body\b{INSIDE}>"
 BASE_HREF = r"(?is)<base\s[^>]*?href\s*=\s*[\"']?([^\s\"'>]+)"
-TAG = r"<[^>]*>"
-ANCHOR = r"(?is)<a\s[^>]*>.*?(?:</a\s*>|\z)"
-IMAGE = r"(?is)<img\s[^>]*>"
-LINKED = r"(?is)<(?:a|img)\s[^>]*>"
+ANCHOR = rf"(?is)<a\s{INSIDE}>.*?(?:</a\s*>|\z)"
+ANCHOR_ENDS = rf"(?is)^<a\s{INSIDE}>|</a\s*>\z"
+IMAGE = rf"(?is)<img\s{INSIDE}>"
+LINKED = rf"(?is)<(?:a|img)\s{INSIDE}>"
 HREF = r"(?is)[\s\"']href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 LINK_VALUE = r"(?is)[\s\"'](?:href|src)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 ATTRIBUTE = r"[^\s\"'<>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
 BLOCK_TAG = (
     r"(?i)<(?:/?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure"
     r"|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th"
-    r"|thead|tr|ul)(?:\s[^>]*)?/?>|br\s*/?>\s*<br\s*/?>)"
+    rf"|thead|tr|ul)(?:\s{INSIDE})?/?>|br\s*/?>\s*<br\s*/?>)"
 )
 # ------------------------------------------------------------------------------
 
@@ -50,11 +54,8 @@ def title_text(html: Column) -> Column:
 
 
 def page_body(html: Column) -> Column:
-    """Inside of the body element; the whole page when it has none."""
-    tail = F.when(
-        F.contains(html, F.lit("</body>")), F.substring_index(html, "</body>", 1)
-    ).otherwise(F.regexp_replace(html, AFTER_BODY, ""))
-    return F.regexp_replace(tail, BEFORE_BODY, "")
+    """What follows the start of the body element, late text included; else the whole page."""
+    return F.regexp_replace(html, BEFORE_BODY, "")
 
 
 def _joined_nodes(html: Column) -> Column:
@@ -139,8 +140,8 @@ def anchors(seen: Column, base: Column) -> Column:
     """
 
     def read(parts: Column, element: Column, pos: Column) -> Column:
-        inner = F.regexp_replace(element, r"(?is)^<a\s[^>]*>|</a\s*>\z", "")
-        nodes = F.split(inner, TAG)
+        # Nothing between two tags is no text node.
+        nodes = F.filter(F.split(F.regexp_replace(element, ANCHOR_ENDS, ""), TAG), lambda t: t != "")
         return F.struct(
             resolve(parts, _unquoted(F.regexp_extract(element, HREF, 1))).alias("link"),
             pos.alias("pos"),
@@ -150,7 +151,7 @@ def anchors(seen: Column, base: Column) -> Column:
 
     found = F.filter(
         F.regexp_extract_all(seen, F.lit(ANCHOR), F.lit(0)),
-        lambda element: F.rlike(F.regexp_extract(element, r"(?s)^<[^>]*>", 0), F.lit(HREF)),
+        lambda element: F.rlike(F.regexp_extract(element, START_TAG, 0), F.lit(HREF)),
     )
     return bind(
         base, lambda parts: F.transform(found, lambda element, pos: read(parts, element, pos))

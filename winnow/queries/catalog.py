@@ -34,7 +34,7 @@ def _joined(name: str):
 
 
 def _pages(spark, sf_dir):
-    return spread(src.pages(spark, sf_dir), "ord")
+    return spread(src.odd_pages(spark, sf_dir), "ord")
 
 
 def _documents(spark, sf_dir):

@@ -26,6 +26,16 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").withColumnRenamed("page_id", "ord")
 
 
+def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with quoted ``>``, bare ``<`` and ``>``, adjoining inline elements and late text."""
+    odd = (
+        "<article><p title='x > y'>shown</p>a < b and c > d "
+        "<a title='m > n' href='/quoted'><b>one</b><i>two</i></a>"
+    )
+    html = F.concat(F.replace("html", F.lit("<article>"), F.lit(odd)), F.lit("<p>late &amp; last</p>"))
+    return pages(spark, sf_dir).withColumn("html", html)
+
+
 def bare(url: Column) -> Column:
     return F.regexp_replace(url, r"[?#].*", "")
 

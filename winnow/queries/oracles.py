@@ -16,11 +16,13 @@ UNSEEN = (
     r"(?is)<script\b.*?(?:</script[^>]*>|\z)|<style\b.*?(?:</style[^>]*>|\z)|<!--.*?(?:-->|\z)"
 )
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title[^>]*>"
-ANCHOR = r"(?is)<a\s[^>]*>.*?(?:</a\s*>|\z)"
+QUOTED = r"""(?:[^>=]|=\s*(?:"[^"]*"|'[^']*')?)*"""
+MARK = rf"<[A-Za-z/!?]{QUOTED}>"
+ANCHOR = rf"(?is)<a\s{QUOTED}>.*?(?:</a\s*>|\z)"
 BLOCK = (
     r"(?i)</?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure"
     r"|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th"
-    r"|thead|tr|ul)(?:\s[^>]*)?/?>|<br\s*/?>\s*<br\s*/?>"
+    rf"|thead|tr|ul)(?:\s{QUOTED})?/?>|<br\s*/?>\s*<br\s*/?>"
 )
 
 
@@ -117,7 +119,7 @@ def clean_post(text: str) -> str:
 
 def nodes(html: str) -> str:
     spaced = sub(html, r"(?i)&(?:nbsp|#160|#xa0);", "\u00a0")
-    parts = f"list_transform(string_split_regex({spaced}, '<[^>]*>'), lambda t: {strip('t')})"
+    parts = f"list_transform(string_split_regex({spaced}, {q(MARK)}), lambda t: {strip('t')})"
     return decode(f"array_to_string(list_filter({parts}, lambda t: t <> ''), ' ')")
 
 
@@ -131,7 +133,7 @@ def title(html: str) -> str:
 
 def body(html: str) -> str:
     untitled = sub(visible(html), TITLE, "")
-    return sub(sub(untitled, r"(?is)^.*?<body\b[^>]*>", ""), r"(?is)</body\b.*\z", "")
+    return sub(untitled, r"(?is)^.*?<body\b[^>]*>", "")
 
 
 def fast_text(html: str) -> str:
@@ -254,8 +256,8 @@ corpus AS (
 def anchors(name: str, pages_sql: str, href: str = r"""[\s"']href\s*=\s*["']([^"']*)["']""") -> str:
     """CTE of anchors with absolute link; the links of the tables are host paths or whole URLs."""
     value = decode(pick("el", "(?is)" + href, 1))
-    inner = sub("el", r"(?is)^<a\s[^>]*>|</a\s*>\z", "")
-    texts = f"string_split_regex({inner}, '<[^>]*>')"
+    inner = sub("el", rf"(?is)^<a\s{QUOTED}>|</a\s*>\z", "")
+    texts = f"list_filter(string_split_regex({inner}, {q(MARK)}), lambda t: t <> '')"
     return f"""{name}_all AS (
   SELECT ord, url, generate_subscripts(a, 1) - 1 AS pos, unnest(a) AS el FROM (
     SELECT ord, url, regexp_extract_all({visible('html')}, {q(ANCHOR)}) AS a
@@ -279,7 +281,14 @@ first_links AS (
   FROM firsts)"""
 
 
-PAGE_ROWS = "SELECT page_id AS ord, url, html FROM pages"
+_ODD = (
+    "<article><p title=''x > y''>shown</p>a < b and c > d "
+    "<a title=''m > n'' href=''/quoted''><b>one</b><i>two</i></a>"
+)
+PAGE_ROWS = (
+    f"SELECT page_id AS ord, url, replace(html, '<article>', '{_ODD}') || '<p>late &amp; last</p>' AS html"
+    " FROM pages"
+)
 PICTURES = (
     "SELECT page_id AS ord, url, regexp_replace(html, '<a href=\"/([^\"]*)\">([^<]*)</a>',"
     " '<img width=320 src=''/s320/\\1.jpg'' alt=\"\\2\" />', 'g') AS html FROM pages"
@@ -303,7 +312,7 @@ def simplified(html: str, source: str) -> str:
     """CTE ``simple(ord, text)`` of title and content blocks; ``source`` yields ord, html."""
 
     def words(text: str) -> str:
-        return f"len(regexp_extract_all({sub(text, '<[^>]*>', ' ')}, '[^\\s]+'))"
+        return f"len(regexp_extract_all({sub(text, MARK, ' ')}, '[^\\s]+'))"
 
     linked = f"array_to_string(regexp_extract_all(markup, {q(ANCHOR)}), ' ')"
     return f"""pieces AS (
@@ -419,7 +428,7 @@ WHERE {terms('text')} >= 2""",
         " WHEN 'de' THEN 'German' ELSE 'spanish' END, 'Thai']",
     )
     + ", '|') AS languages FROM documents",
-    "page_title": f"SELECT page_id AS ord, {title('html')} AS title FROM pages",
+    "page_title": f"SELECT ord, {title('html')} AS title FROM ({PAGE_ROWS})",
     "export_name": f"SELECT doc_id, {export_name(terms('text'), 'n_chars', 'text', 'md')} AS name"
     " FROM documents",
     "flatten_posts": f"""WITH {POSTS} SELECT page_idx, post_idx, post_date, post_title, post_link,
@@ -450,8 +459,8 @@ SELECT page_idx, post_idx, printf('%05d', post_no) AS ptid FROM base""",
     SELECT post_no, unnest(raw_links) AS link FROM posts) WHERE {is_image('link')})
 SELECT imgurl, printf('%05d', min(post_no)) AS ptid FROM shown GROUP BY imgurl""",
     "dated_links": f"WITH {LINKS} SELECT DISTINCT post_date, url FROM links",
-    "page_text": f"SELECT page_id AS ord, {fast_text('html')} AS text FROM pages",
-    "page_text_plain": f"SELECT page_id AS ord, {nodes(visible('html'))} AS text FROM pages",
+    "page_text": f"SELECT ord, {fast_text('html')} AS text FROM ({PAGE_ROWS})",
+    "page_text_plain": f"SELECT ord, {nodes(visible('html'))} AS text FROM ({PAGE_ROWS})",
     "absolute_links": f"""WITH hrefs AS (
   SELECT ord, url, generate_subscripts(h, 1) - 1 AS pos, unnest(h) AS href FROM (
     SELECT page_id AS ord, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages)),
@@ -482,8 +491,8 @@ SELECT ord, pos, host || path AS src, alt, '320' AS width FROM picture_parts""",
     "link_descriptions": "WITH "
     + anchors(
         "found",
-        "SELECT page_id AS ord, url, replace(html, '<article>',"
-        " '<a href=''/to''>once <b>more</b></a>') AS html FROM pages",
+        "SELECT ord, url, replace(html, '<article>', '<a href=''/to''>once <b>more</b></a>') AS html"
+        f" FROM ({PAGE_ROWS})",
     )
     + """, texts AS (
   SELECT ord, link, spaced, min(pos) AS pos FROM found WHERE starts_with(link, 'http')
