@@ -90,28 +90,86 @@ def test_merge_keeps_the_first_capture_in_list_order(spark, folder):
     assert merged([two, one]) == b"second"
 
 
-@pytest.mark.parametrize("members", ["one each", "one for all"])
-@pytest.mark.parametrize("size", [700, 5000, 1 << 30])
-def test_splits_lose_and_repeat_nothing(spark, tmp_path, members, size):
+def _bodies():
     import random
 
     rng = random.Random(5)
     bodies = [rng.randbytes(rng.randint(0, 900)) for _ in range(60)]
     # an archive inside an archive: its members look like records
     bodies[30] = gzip.compress(response("http://inner/", b"x" * 50))
+    return bodies
+
+
+def _packed(bodies, per_member):
     records = [response(f"http://r/{i}", body) for i, body in enumerate(bodies)]
-    packed = (
-        b"".join(gzip.compress(r) for r in records)
-        if members == "one each"
-        else gzip.compress(b"".join(records))
+    return b"".join(
+        gzip.compress(b"".join(records[i : i + per_member])) for i in range(0, len(records), per_member)
     )
+
+
+@pytest.mark.parametrize("per_member", [1, 7, 60])
+def test_members_of_any_size(spark, tmp_path, per_member):
+    bodies = _bodies()
     path = tmp_path / "big.warc.gz"
-    path.write_bytes(packed)
-    rows = read_warc(spark, str(path), split_bytes=size).orderBy("ord").collect()
+    path.write_bytes(_packed(bodies, per_member))
+    rows = read_warc(spark, str(path)).orderBy("ord").collect()
     assert [(r.target_uri, bytes(r.content)) for r in rows] == [
         (f"http://r/{i}", body) for i, body in enumerate(bodies)
     ]
     assert len({r.ord for r in rows}) == len(rows)
+    assert merge_captures(read_warc(spark, [str(path), str(path)])).count() == len(rows)
+    assert read_warc(spark, str(path), header_only=True).count() == len(rows)
+
+
+@pytest.mark.parametrize("per_member", [1, 60])
+@pytest.mark.parametrize("damage", ["padding", "cut", "flip", "junk"])
+@pytest.mark.parametrize("header_only", [False, True])
+def test_damage_is_an_error(spark, tmp_path, per_member, damage, header_only):
+    raw = bytearray(_packed(_bodies(), per_member))
+    if damage == "padding":
+        raw += b"\0" * 100
+    elif damage == "cut":
+        del raw[-200:]
+    elif damage == "flip":
+        raw[len(raw) // 2 : len(raw) // 2 + 8] = b"\xff" * 8
+    else:
+        raw += gzip.compress(b"no record\r\n")
+    path = tmp_path / "bad.warc.gz"
+    path.write_bytes(raw)
+    with pytest.raises(Exception, match="bad.warc.gz"):
+        read_warc(spark, str(path), header_only=header_only).collect()
+
+
+def test_lengths_are_checked(spark, tmp_path):
+    whole = response("http://a/", b"body of a page")
+    for name, raw in {
+        "short.warc": whole[:-10],
+        "none.warc": whole.replace(b"Content-Length", b"Content-Size"),
+        "odd.warc": whole.replace(b"Content-Length: ", b"Content-Length: x"),
+    }.items():
+        (tmp_path / name).write_bytes(raw)
+        with pytest.raises(Exception, match=name):
+            read_warc(spark, str(tmp_path / name)).collect()
+
+
+def test_patterns_and_commas(spark, tmp_path):
+    folder = tmp_path / "a,b"
+    folder.mkdir()
+    for k in (2, 1, 3):
+        (folder / f"{k}.warc.gz").write_bytes(gzip.compress(response(f"http://{k}/", b"x")))
+    (folder / "other.txt.gz").write_bytes(gzip.compress(b"no archive"))
+    rows = read_warc(spark, str(folder / "[12].warc*")).orderBy("ord").collect()
+    assert [r.target_uri for r in rows] == ["http://1/", "http://2/"]
+    assert read_warc(spark, str(folder)).count() == 3
+    with pytest.raises(Exception, match="nothing"):
+        read_warc(spark, str(folder / "nothing*")).count()
+
+
+def test_bodies_of_several_members(spark, tmp_path):
+    body = gzip.compress(b"one ") + gzip.compress(b"two")
+    path = tmp_path / "m.warc"
+    path.write_bytes(response("http://m/", body, headers="Content-Encoding: gzip\r\n"))
+    assert bytes(read_warc(spark, str(path)).collect()[0].content) == b"one two"
 
 
 def test_missing_path_is_an_error(spark, tmp_path):

@@ -78,10 +78,11 @@ def distinct_texts(narrow: DataFrame) -> DataFrame:
 def best_per_url(narrow: DataFrame) -> DataFrame:
     """Per original URL the row with most terms, then longest content, then smallest ``ord``."""
     rest = [name for name in narrow.columns if name != "origurl"]
-    rank = F.struct("term_count", "content_length", -F.col("ord"))
+    # The least of negated counts: ``ord`` may be of any type that has an order.
+    rank = F.struct(-F.col("term_count"), -F.col("content_length"), "ord")
     return (
         narrow.groupBy("origurl")
-        .agg(F.max_by(F.struct(*rest), rank).alias("row"))
+        .agg(F.min_by(F.struct(*rest), rank).alias("row"))
         .select("origurl", "row.*")
     )
 

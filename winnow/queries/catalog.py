@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -364,11 +368,27 @@ def _archive_folder(spark, sf_dir) -> str:
             F.lit("\r\n"), body,
         )
 
+    both = src.captures(spark, sf_dir).select(
+        record("request", request).alias("request"), record("response", block).alias("response")
+    )
+
+    def archives(batches):
+        """Archives of up to 64 captures, with one, two or many records per gzip member."""
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                rows = [r + b"\r\n\r\n" for row in batch.slice(at, 64).to_pylist() for r in row.values()]
+                step = (1, 2, 7)[number % 3]
+                body = b"".join(gzip.compress(b"".join(rows[i : i + step])) for i in range(0, len(rows), step))
+                path = f"{part:05d}-{number:05d}.warc.gz"
+                number += 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path]), pa.array([body], pa.binary())], ["path", "body"]
+                )
+
     path = new_path(spark, "archives")
-    both = F.concat(record("request", request), F.lit("\r\n\r\n"), record("response", block))
-    src.captures(spark, sf_dir).select(both.alias("value")).write.option(
-        "lineSep", "\r\n\r\n"
-    ).option("compression", "gzip").text(path)
+    raw = both.select(*(F.col(name).cast("binary").alias(name) for name in both.columns))
+    out.write_files(raw.mapInArrow(archives, "path string, body binary"), path)
     return path
 
 
@@ -397,6 +417,14 @@ def warc_headers(spark, sf_dir):
     )
 
 
+@query
+def merge_scanned(spark, sf_dir):
+    """First capture per URI over real archives, listed twice: each URI stays once."""
+    folder = _archive_folder(spark, sf_dir)
+    rows = cap.merge_captures(cap.captures(warc.read_warc(spark, [folder, folder])))
+    return rows.select("target_uri", "status", _sha("content", "sha"))
+
+
 @query
 def merge_captures(spark, sf_dir):
     first = src.captures(spark, sf_dir)

@@ -355,8 +355,8 @@ def front_matter() -> str:
 
 def last_per_path(path_sql: str, body_sql: str) -> str:
     return f"""WITH {CORPUS}, files AS (
-  SELECT ord, {path_sql} AS path, {body_sql} AS body FROM corpus)
-SELECT path, body FROM files QUALIFY row_number() OVER (PARTITION BY path ORDER BY ord DESC) = 1"""
+  SELECT origurl, {path_sql} AS path, {body_sql} AS body FROM corpus)
+SELECT path, body FROM files QUALIFY row_number() OVER (PARTITION BY path ORDER BY origurl DESC) = 1"""
 
 
 _LABEL_SIMPLE = simplified("html", "SELECT ord, content AS html FROM corpus")
@@ -532,6 +532,7 @@ SELECT target_uri, 'response', statusline,
   NULL FROM typed""",
     "warc_headers": f"""WITH {CAPTURES} SELECT 'response' AS warc_type,
   target_uri AS warc_target_uri, 'text/html' AS content_type FROM typed""",
+    "merge_scanned": f"""WITH {CAPTURES} SELECT target_uri, status, {_SHA_CONTENT} FROM typed""",
     "merge_captures": f"""WITH {CAPTURES}
 SELECT target_uri, sha256(CASE WHEN ends_with(target_uri, '-copy')
   THEN content || '<!-- later -->' ELSE content END) AS sha FROM captures""",

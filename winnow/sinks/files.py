@@ -43,7 +43,7 @@ def html_files(corpus: DataFrame) -> DataFrame:
     name = tx.export_name(
         F.col("term_count"), F.col("content_length"), F.col("post_title"), "html"
     )
-    return _last_per_path(corpus.select("ord", name.alias("path"), F.col("text").alias("body")))
+    return _last_per_path(corpus.select("origurl", name.alias("path"), F.col("text").alias("body")))
 
 
 def front_matter(corpus: DataFrame) -> Column:
@@ -67,11 +67,16 @@ def markdown_files(corpus: DataFrame) -> DataFrame:
     name = tx.export_name(F.col("term_count"), F.col("content_length"), F.col("post_title"), "md")
     path = F.concat("ptid_slug", F.lit("/texts/"), name)
     body = F.concat(front_matter(corpus), "text")
-    return _last_per_path(corpus.select("ord", path.alias("path"), body.alias("body")))
+    return _last_per_path(corpus.select("origurl", path.alias("path"), body.alias("body")))
 
 
 def _last_per_path(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("path").agg(F.max_by("body", "ord").alias("body"))
+    """Last row per path in the order of the corpus, which is that of its unique ``origurl``.
+
+    The winners are found on narrow rows; bodies move once, for the join.
+    """
+    last = rows.groupBy("path").agg(F.max("origurl").alias("origurl"))
+    return rows.join(last, ["path", "origurl"], "left_semi").select("path", "body")
 
 
 def write_files(files: DataFrame, folder: str) -> None:
@@ -90,7 +95,7 @@ def write_files(files: DataFrame, folder: str) -> None:
                 system.create_dir(parent, recursive=True)
                 made.add(parent)
             data = row.body.encode() if isinstance(row.body, str) else bytes(row.body)
-            with system.open_output_stream(target) as out:
+            with system.open_output_stream(target, compression=None) as out:
                 out.write(data)
 
     files.select("path", "body").foreachPartition(write_part)

@@ -1,14 +1,18 @@
 """Web-archive scan as a Python data source: ``spark.read.format("warc").load(path)``.
 
-One input partition per archive file; a gzip archive above ``splitBytes`` is cut further at
-the gzip members that start a record.  A piece trusts a member only when the members behind it
-follow without a gap to the end of the piece.  Options: ``headerOnly`` (no body column),
-``responsesOnly`` (default true), ``splitBytes``.
+One input partition per archive file.  Archives are written in files of about a gigabyte, which is
+the unit of work here: where a record starts inside a gzip file is known only to whoever has read
+all before it, and a guess can lose records.  ``ord`` is ``struct<file, member, record>``: the place
+of the file in the list, of the gzip member in the file, and of the record in the member, so it is
+unique and sorts in reading order.  Damaged or truncated files raise an error.  Options:
+``headerOnly`` (no body column, bodies are passed over), ``responsesOnly`` (default true).
+Paths may hold ``*``, ``?`` and ``[]`` in their last part; several are separated by line breaks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fnmatch import fnmatch
 
 import pyarrow as pa
 from pyarrow import fs
@@ -17,13 +21,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from winnow.sources.warc_records import file_system, records
 
-# ``ord`` is file number times this plus the byte or record place inside the file.
-FILE_SPAN = 1 << 42
-SPLIT_BYTES = 1 << 30
 BATCH_BYTES = 16 << 20
 
 HEADER_FIELDS = (
-    "ord bigint, archive string, statusline string, target_uri string, warc_type string, "
+    "ord struct<file: bigint, member: bigint, record: bigint>, archive string, statusline string, target_uri string, warc_type string, "
     "payload_digest string, block_digest string, content_length string, "
     "http_headers array<struct<name: string, value: string>>, "
     "rec_headers array<struct<name: string, value: string>>"
@@ -32,8 +33,8 @@ SCHEMA = HEADER_FIELDS + ", content binary"
 
 
 class Piece(InputPartition):
-    def __init__(self, path: str, number: int, start: int, end: int | None):
-        self.path, self.number, self.start, self.end = path, number, start, end
+    def __init__(self, path: str, number: int):
+        self.path, self.number = path, number
 
 
 class WarcSource(DataSource):
@@ -52,26 +53,19 @@ class WarcReader(DataSourceReader):
     def __init__(self, schema, options):
         self.header_only = _flag(options, "headerOnly", False)
         self.responses_only = _flag(options, "responsesOnly", True)
-        self.split_bytes = int(_option(options, "splitBytes", SPLIT_BYTES))
-        self.paths = _option(options, "path", "").split(",")
+        self.paths = [path for path in _option(options, "path", "").split("\n") if path]
 
     def partitions(self):
-        pieces = []
-        for number, (path, size) in enumerate(_archives(self.paths)):
-            step = self.split_bytes if path.endswith(".gz") else size
-            starts = list(range(0, size, max(step, 1))) or [0]
-            for i, start in enumerate(starts):
-                end = starts[i + 1] if i + 1 < len(starts) else None
-                pieces.append(Piece(path, number, start, end))
-        return pieces
+        return [Piece(path, number) for number, path in enumerate(_archives(self.paths))]
 
     def read(self, piece) -> Iterator:
         schema = _arrow_schema(self.header_only)
         rows, held = [], 0
-        for row in records(piece.path, piece.start, piece.end, self.header_only):
+        for row in records(piece.path, self.header_only):
+            place = {"file": piece.number, "member": row.pop("member"), "record": row.pop("record")}
             if self.responses_only and row["warc_type"] != "response":
                 continue
-            row["ord"] = piece.number * FILE_SPAN + row.pop("place")
+            row["ord"] = place
             rows.append(row)
             held += len(row.get("content") or b"") + 1024
             if held >= BATCH_BYTES:
@@ -87,7 +81,8 @@ def _arrow_schema(header_only):
         "archive", "statusline", "target_uri", "warc_type", "payload_digest", "block_digest",
         "content_length",
     ]
-    fields = [("ord", pa.int64())] + [(name, pa.string()) for name in texts]
+    place = pa.struct([(name, pa.int64()) for name in ("file", "member", "record")])
+    fields = [("ord", place)] + [(name, pa.string()) for name in texts]
     fields += [("http_headers", pairs), ("rec_headers", pairs)]
     if not header_only:
         fields.append(("content", pa.binary()))
@@ -104,17 +99,25 @@ def _flag(options, name, default):
 
 
 def _archives(paths):
-    """``(path, size)`` of archive files in the order given; folders list theirs by name."""
+    """Paths of archive files in the order given; folders and patterns list theirs by name."""
     for given in paths:
         system, inner = file_system(given)
+        folder, _, last = inner.rstrip("/").rpartition("/")
+        if any(sign in last for sign in "*?["):
+            found = system.get_file_info(fs.FileSelector(folder or "/"))
+            names = sorted(f.path for f in found if f.is_file and fnmatch(f.path.rpartition("/")[2], last))
+            if not names:
+                raise FileNotFoundError(given)
+            yield from (given.rstrip("/")[: -len(last)] + name.rpartition("/")[2] for name in names)
+            continue
         info = system.get_file_info(inner)
         if info.type == fs.FileType.Directory:
             found = system.get_file_info(fs.FileSelector(inner))
             for item in sorted(found, key=lambda f: f.path):
-                if item.path.endswith((".warc.gz", ".warc", ".txt.gz")):
-                    yield _outer(given, inner, item.path), item.size
+                if item.path.endswith((".warc.gz", ".warc")):
+                    yield _outer(given, inner, item.path)
         elif info.type == fs.FileType.File:
-            yield given, info.size
+            yield given
         else:
             raise FileNotFoundError(given)
 
@@ -132,16 +135,14 @@ def read_warc(
     paths: str | list[str],
     header_only: bool = False,
     responses_only: bool = True,
-    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Archive records as rows; ``paths`` are files or folders on any file system."""
     register(spark)
-    joined = paths if isinstance(paths, str) else ",".join(paths)
+    joined = paths if isinstance(paths, str) else "\n".join(paths)
     return (
         spark.read.format("warc")
         .option("headerOnly", header_only)
         .option("responsesOnly", responses_only)
-        .option("splitBytes", split_bytes)
         .load(joined)
     )
 

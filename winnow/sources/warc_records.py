@@ -1,4 +1,4 @@
-"""Reading the records of one archive piece: gzip members, headers and HTTP bodies."""
+"""Reading the records of one archive file: gzip members, headers and HTTP bodies."""
 
 from __future__ import annotations
 
@@ -22,8 +22,7 @@ def file_system(path: str):
 class ByteFeed:
     """Byte stream of an archive from ``start`` on, gzip members unpacked one by one.
 
-    ``member_at`` is the file offset of the member the newest bytes came from; it does not
-    depend on how the file was cut into pieces.
+    ``member_at`` is the file offset of the member the newest bytes came from.
     """
 
     def __init__(self, handle, start: int, packed: bool):
@@ -33,14 +32,13 @@ class ByteFeed:
         self.inflater = None
         handle.seek(start)
 
-    def between_members(self) -> bool:
-        return self.packed and self.inflater is None and not self.buffer.strip()
-
     def fill(self) -> bool:
         """Add bytes to the buffer; False at the end of the file."""
         if not self.raw:
             self.raw = self.handle.read(CHUNK)
             if not self.raw:
+                if self.inflater is not None:
+                    raise ValueError("the file ends inside a gzip member")
                 return False
         if not self.packed:
             self.buffer += self.raw
@@ -65,6 +63,15 @@ class ByteFeed:
         del self.buffer[:count]
         return taken
 
+    def skip(self, count: int) -> None:
+        """Drop bytes without keeping them."""
+        while count > len(self.buffer):
+            count -= len(self.buffer)
+            self.buffer.clear()
+            if not self.fill():
+                raise ValueError("the record ends inside its block")
+        del self.buffer[:count]
+
     def line(self) -> bytes | None:
         """Next line with its line end; None at the end of the file."""
         at = seen = 0
@@ -75,83 +82,32 @@ class ByteFeed:
         return self.take(at + 1)
 
 
-def first_member(handle, start: int, end: int | None) -> int | None:
-    """Offset of the first gzip member at or behind ``start`` that begins a record."""
-    at, kept = start, b""
-    handle.seek(start)
-    while end is None or at < end:
-        chunk = handle.read(CHUNK)
-        if not chunk:
-            return None
-        window = kept + chunk
-        base = at - len(kept)
-        found = window.find(MEMBER_START)
-        while found >= 0:
-            place = base + found
-            if end is not None and place >= end:
-                return None
-            if _starts_record(handle, place, end):
-                return place
-            found = window.find(MEMBER_START, found + 1)
-        at += len(chunk)
-        kept = window[-2:]
-        handle.seek(at)
-    return None
-
-
-def _starts_record(handle, place: int, end: int | None) -> bool:
-    """True when gzip members that begin records follow each other from ``place`` on.
-
-    An archive stored inside a record has such members too, but behind its last one the
-    outer member goes on, so its chain breaks before the piece ends.
-    """
-    feed = ByteFeed(handle, place, packed=True)
-    try:
-        while end is None or feed.raw_at < end:
-            while len(feed.buffer) < len(FIRST_LINE):
-                if not feed.fill():
-                    return feed.raw_at > place and not feed.buffer
-            if not feed.buffer.startswith(FIRST_LINE):
-                return False
-            while feed.inflater is not None:
-                feed.buffer.clear()
-                if not feed.fill():
-                    return False
-            feed.buffer.clear()
-    except zlib.error:
-        return False
-    return True
-
-
-def records(path: str, start: int, end: int | None, header_only: bool) -> Iterator[dict]:
-    """Records that start inside ``[start, end)`` of the file."""
+def records(path: str, header_only: bool) -> Iterator[dict]:
+    """All records of one file.  Damage and missing bytes raise an error; nothing is skipped."""
     system, inner = file_system(path)
     archive = inner.rstrip("/").rsplit("/", 1)[-1]
     with system.open_input_file(inner) as handle:
-        packed = handle.read(2) == MEMBER_START[:2]
-        if packed and start > 0:
-            found = first_member(handle, start, end)
-            if found is None:
-                return
-            start = found
-        feed = ByteFeed(handle, start, packed)
+        feed = ByteFeed(handle, 0, handle.read(2) == MEMBER_START[:2])
         member, inside = None, 0
-        while _at_record(feed, end):
-            inside = inside + 1 if feed.member_at == member else 0
-            member = feed.member_at
-            yield _record(feed, archive, member + inside, header_only)
+        try:
+            while _at_record(feed):
+                inside = inside + 1 if feed.member_at == member else 0
+                member = feed.member_at
+                yield {"member": member, "record": inside, **_record(feed, archive, header_only)}
+        except (zlib.error, ValueError) as error:
+            raise ValueError(f"{archive}, behind byte {feed.member_at}: {error}") from error
 
 
-def _at_record(feed: ByteFeed, end: int | None) -> bool:
-    """Step behind the first line of the next record that starts before ``end``."""
-    while True:
-        if end is not None and feed.between_members() and feed.raw_at >= end:
-            return False
-        line = feed.line()
-        if line is None:
-            return False
+def _at_record(feed: ByteFeed) -> bool:
+    """Step behind the first line of the next record; blank lines may stand before it."""
+    while (line := feed.line()) is not None:
         if line.startswith(FIRST_LINE):
             return True
+        if line.strip():
+            raise ValueError("bytes between records")
+    if feed.buffer.strip():
+        raise ValueError("bytes behind the last record")
+    return False
 
 
 def _pairs(lines: list[bytes]) -> list[dict]:
@@ -170,24 +126,34 @@ def _value(pairs: list[dict], name: str) -> str | None:
     return next((p["value"] for p in pairs if p["name"].lower() == name.lower()), None)
 
 
-def _record(feed: ByteFeed, archive: str, place: int, header_only: bool) -> dict:
+def _record(feed: ByteFeed, archive: str, header_only: bool) -> dict:
     lines = []
     while (line := feed.line()) is not None and line.strip():
         lines.append(line)
+    if line is None:
+        raise ValueError("the record ends inside its header")
     rec = _pairs(lines)
     kind = _value(rec, "WARC-Type")
-    declared = _value(rec, "Content-Length") or "0"
-    block = feed.take(int(declared) if declared.isdigit() else 0)
-    statusline, http, body = None, None, block
-    if kind in ("response", "request", "revisit") and block:
-        head, gap, body = block.partition(b"\r\n\r\n")
-        if not gap:
-            head, gap, body = block.partition(b"\n\n")
-        first, *others = head.splitlines()
+    declared = _value(rec, "Content-Length") or ""
+    if not declared.isascii() or not declared.isdigit():
+        raise ValueError(f"record without a length: {declared!r}")
+    left = int(declared)
+    has_http = kind in ("response", "request", "revisit") and left > 0
+    head = _http_head(feed, left) if has_http else b""
+    left -= len(head)
+    if header_only:
+        body = b""
+        feed.skip(left)
+    else:
+        body = feed.take(left)
+        if len(body) < left:
+            raise ValueError("the record ends inside its block")
+    statusline, http = None, None
+    if has_http:
+        first, *others = head.splitlines() or [b""]
         statusline = first.decode("utf-8", "replace").partition(" ")[2].strip()
         http = _pairs(others)
     row = {
-        "place": place,
         "archive": archive,
         "statusline": statusline,
         "target_uri": _value(rec, "WARC-Target-URI"),
@@ -203,18 +169,48 @@ def _record(feed: ByteFeed, archive: str, place: int, header_only: bool) -> dict
     return row
 
 
+def _http_head(feed: ByteFeed, most: int) -> bytes:
+    """The block up to its first empty line, at most ``most`` bytes."""
+    seen = 0
+    while True:
+        ends = [
+            at + len(gap)
+            for gap in (b"\r\n\r\n", b"\n\n")
+            if 0 <= (at := feed.buffer.find(gap, max(0, seen - 3), most))
+        ]
+        if ends and min(ends) <= most:
+            return feed.take(min(ends))
+        seen = len(feed.buffer)
+        if seen >= most:
+            return feed.take(most)
+        if not feed.fill():
+            raise ValueError("the record ends inside its block")
+
+
 def _decoded(body: bytes, http: list[dict]) -> bytes:
     if (_value(http, "Transfer-Encoding") or "").lower() == "chunked":
         body = _unchunked(body)
     packing = (_value(http, "Content-Encoding") or "").lower()
     for bits in {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(packing, ()):
         try:
-            return zlib.decompressobj(bits).decompress(body)
+            return _inflated(body, bits)
         except zlib.error:
             continue
     return body
 
 
+def _inflated(body: bytes, bits: int) -> bytes:
+    """All members of a packed body; what follows the last one is no part of it."""
+    out = []
+    while body:
+        inflater = zlib.decompressobj(bits)
+        out.append(inflater.decompress(body) + inflater.flush())
+        body = inflater.unused_data
+        if not body.startswith(MEMBER_START):
+            break
+    return b"".join(out)
+
+
 def _unchunked(body: bytes) -> bytes:
     out, at = [], 0
     while True:
