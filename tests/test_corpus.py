@@ -2,12 +2,15 @@
 
 import gzip
 import json
+import os
 import random
 import re
+from types import SimpleNamespace
 
 import pytest
 
 from winnow.functions.text import TERMS
+from winnow.operators.captures import results_with_dates
 from winnow.plans import corpus as cx
 from winnow.plans import jobs
 from winnow.sinks import files as out
@@ -218,6 +221,29 @@ def test_frontier_job(spark, harvest):
     assert spark.read.json(str(harvest / "front" / "snapshot_hits")).count() == 46
 
 
+def test_shared_folder_is_required_and_stages_go(spark, tmp_path):
+    from winnow import staging
+
+    frame = spark.range(3)
+    staging.drop_stages(spark)
+    table = staging.stored(frame, "three")
+    assert table.count() == 3
+    place = staging._made[-1]
+    assert os.path.isdir(place)
+    staging.drop_stages(spark)
+    assert not os.path.exists(place)
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(ValueError, match="checkpoint"):
+        staging.new_path(unset, "three")
+
+
+def test_fetch_results_give_one_row_per_link(spark):
+    links = spark.createDataFrame([("d1", "u"), ("d2", "u"), ("d3", "v")], "post_date string, url string")
+    results = spark.createDataFrame([(2, "u", "late"), (0, "u", "first"), (1, "u", "mid")], "ord long, url string, r string")
+    rows = results_with_dates(results, links).collect()
+    assert sorted((r.post_date, r.url, r.r) for r in rows) == [("d1", "u", "first"), ("d2", "u", "first"), ("d3", "v", None)]
+
+
 def test_url_list_round_trip(spark, tmp_path):
     rng = random.Random(4)
     urls = [f" u{rng.randint(0, 300)} " for _ in range(2000)]
@@ -231,8 +257,8 @@ def test_url_list_round_trip(spark, tmp_path):
 
 
 def test_file_export_writes_each_path_once(spark, tmp_path):
-    rows = [(0, "a/x.md", "old"), (1, "b.md", "é"), (2, "a/x.md", "new")]
-    frame = spark.createDataFrame(rows, "ord long, path string, body string").repartition(3)
+    rows = [("http://a", "a/x.md", "old"), ("http://c", "b.md", "é"), ("http://b", "a/x.md", "new")]
+    frame = spark.createDataFrame(rows, "origurl string, path string, body string").repartition(3)
     out.write_files(out._last_per_path(frame), str(tmp_path / "out"))
     assert (tmp_path / "out/a/x.md").read_text() == "new"
     assert (tmp_path / "out/b.md").read_text() == "é"

@@ -1,4 +1,4 @@
-"""Command line jobs: ``python -m winnow.plans.jobs frontier|build|images ...``."""
+"""Command line jobs: ``python -m winnow.plans.jobs JOB ...``; ``--help`` lists them."""
 
 from __future__ import annotations
 
@@ -7,16 +7,16 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from winnow.operators.captures import captures, decoded, merge_captures
+from winnow.operators.captures import captures, decoded, merge_captures, results_with_dates
 from winnow.operators.pages import MODES, text_images
 from winnow.operators.posts import build_posts, dated_links, post_images
 from winnow.plans import corpus as cx
 from winnow.plans.frontier import fetch_lists
 from winnow.session import build_session
 from winnow.sinks import files as out
-from winnow.sources.files import read_labels, read_listing_pages
-from winnow.sources.warc import read_warc
-from winnow.staging import stored
+from winnow.sources.files import read_labels, read_listing_pages, with_row_number
+from winnow.sources.warc import archive_metadata, read_warc
+from winnow.staging import drop_stages, stored
 
 
 def flag(text: str) -> bool:
@@ -44,6 +44,19 @@ def parser() -> argparse.ArgumentParser:
     images.add_argument("--posts", required=True)
     images.add_argument("--labels", required=True)
     images.add_argument("--out", required=True)
+    merge = jobs.add_parser("merge", help="one capture per URI and record metadata")
+    merge.add_argument("--warc", required=True, nargs="+")
+    merge.add_argument("--out", required=True)
+    export = jobs.add_parser("export", help="one HTML and one Markdown file per corpus row")
+    export.add_argument("--corpus", required=True)
+    export.add_argument("--out", required=True)
+    dates = jobs.add_parser("dates", help="fetch results with the dates of their links")
+    dates.add_argument("--posts", required=True)
+    dates.add_argument("--results", required=True)
+    dates.add_argument("--out", required=True)
+    fetched = jobs.add_parser("fetched-images", help="image files from fetched bytes")
+    fetched.add_argument("--fetched", required=True, help="Parquet: ord, ptid, imgurl, content")
+    fetched.add_argument("--out", required=True)
     return top
 
 
@@ -77,10 +90,48 @@ def run_images(spark: SparkSession, args: argparse.Namespace) -> None:
     text_images(labels).write.mode("overwrite").parquet(f"{args.out}/text_images")
 
 
+def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
+    """First capture per URI, and the seven header columns of every record."""
+    merge_captures(captures(read_warc(spark, args.warc))).drop("ord").write.mode("overwrite").parquet(
+        f"{args.out}/captures"
+    )
+    archive_metadata(spark, args.warc).write.mode("overwrite").parquet(f"{args.out}/metadata")
+    counted = spark.read.parquet(f"{args.out}/captures").count()
+    print(f"{counted} records merged")
+
+
+def run_export(spark: SparkSession, args: argparse.Namespace) -> None:
+    corpus = spark.read.parquet(args.corpus)
+    out.write_files(out.html_files(corpus), f"{args.out}/html")
+    out.write_files(out.markdown_files(corpus), f"{args.out}/markdown")
+
+
+def run_dates(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fetch results (JSON lines, in order) with the dates of the links that asked for them."""
+    results = with_row_number(spark.read.json(args.results), "ord")
+    links = dated_links(build_posts(read_listing_pages(spark, args.posts))).select("post_date", "url")
+    out.write_json(results_with_dates(results, links), args.out)
+
+
+def run_fetched_images(spark: SparkSession, args: argparse.Namespace) -> None:
+    fetched = spark.read.parquet(args.fetched)
+    files = out.image_files(fetched).select("path", F.col("content").alias("body"))
+    out.write_files(files, args.out)
+
+
+JOBS = {
+    "frontier": run_frontier, "build": run_build, "images": run_images, "merge": run_merge,
+    "export": run_export, "dates": run_dates, "fetched-images": run_fetched_images,
+}
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"winnow-{args.job}")
-    {"frontier": run_frontier, "build": run_build, "images": run_images}[args.job](spark, args)
+    try:
+        JOBS[args.job](spark, args)
+    finally:
+        drop_stages(spark)
 
 
 if __name__ == "__main__":

@@ -23,7 +23,7 @@ from winnow.queries import inputs as src
 from winnow.sinks import files as out
 from winnow.sources import files as rd
 from winnow.sources import warc
-from winnow.staging import new_path, spread, stored
+from winnow.staging import new_path, stored
 
 QUERIES = {}
 
@@ -38,15 +38,15 @@ def _joined(name: str):
 
 
 def _pages(spark, sf_dir):
-    return spread(src.odd_pages(spark, sf_dir), "ord")
+    return src.odd_pages(spark, sf_dir)
 
 
 def _documents(spark, sf_dir):
-    return spread(src.table(spark, sf_dir, "documents"), "doc_id")
+    return src.table(spark, sf_dir, "documents")
 
 
 def _pictures(spark, sf_dir):
-    return spread(src.page_pictures(spark, sf_dir), "ord")
+    return src.page_pictures(spark, sf_dir)
 
 
 def _sha(name: str, alias: str):

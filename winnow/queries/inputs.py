@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from winnow.functions import urls as ux
 from winnow.operators.captures import status_code
 from winnow.operators.posts import build_posts
-from winnow.staging import spread, stored
+from winnow.staging import stored
 
 PAGE_POSTS = 64
 PAGE_SLOTS = 1024
@@ -86,7 +86,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         one(2, F.concat(F.lit(archive + "20210101000000/"), url), F.lit("200 OK"), grown),
         one(3, F.concat(url, F.lit("-copy")), copy_status, html),
     )
-    return spread(table(spark, sf_dir, "pages"), "page_id").select(F.inline(rows))
+    return table(spark, sf_dir, "pages").select(F.inline(rows))
 
 
 def typed_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,8 +187,7 @@ def _post(conv_id: Column, turn: Column, urls: Column) -> Column:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = stored(listing_pages(spark, sf_dir), "listing")
-    return build_posts(spread(pages, "page_idx"))
+    return build_posts(stored(listing_pages(spark, sf_dir), "listing"))
 
 
 def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

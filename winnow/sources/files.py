@@ -14,14 +14,14 @@ def read_listing_pages(
 ) -> DataFrame:
     """Nested post pages of JSON arrays or JSON lines, with ``page_idx`` in file order."""
     pages = spark.read.schema(LISTING_PAGE).json(path, multiLine=multi_line)
-    return _with_row_number(pages, "page_idx")
+    return with_row_number(pages, "page_idx")
 
 
 def read_url_list(
     spark: SparkSession, path: str | list[str], drop_duplicates: bool = False
 ) -> DataFrame:
     """Lines of URL lists with their place ``ord``; repeated lines keep the first place."""
-    lines = _with_row_number(spark.read.text(path), "ord").withColumnRenamed("value", "url")
+    lines = with_row_number(spark.read.text(path), "ord").withColumnRenamed("value", "url")
     return ordered_distinct(lines, "url") if drop_duplicates else lines
 
 
@@ -33,7 +33,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _with_row_number(rows: DataFrame, name: str) -> DataFrame:
+def with_row_number(rows: DataFrame, name: str) -> DataFrame:
     """Dense row number by file name and place in the file.
 
     A scan split is one ordered run of rows; splits are numbered by one row each.

@@ -1,26 +1,26 @@
-"""Intermediate tables on the shared folder of the cluster, and spreading of small inputs."""
+"""Intermediate tables on the shared folder of the cluster."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="winnow-")
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``, which all executors must share."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/winnow/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/winnow/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -31,10 +31,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give costly row work all cores when its input has fewer partitions than there are.
-
-    A large input has more splits than cores and passes unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage tables of this process, once its results are written."""
+    while _made:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
