@@ -15,8 +15,10 @@ def nearest_snapshot(requests: DataFrame, index: DataFrame) -> DataFrame:
     """Left outer as-of join: each ``(url, stamp)`` gets the snapshot nearest in time.
 
     ``requests`` holds ``url, stamp`` and any further columns, ``index`` the columns
-    ``original, timestamp, archive_url``.  Ties go to the earlier snapshot.  Without a hit
-    ``archive_url`` and ``timestamp`` are NULL and ``original`` is the URL itself.
+    ``original, timestamp, archive_url`` and any further ones, which the result carries too (those
+    that ``requests`` has keep the value of the request).  Ties go to the earlier snapshot.  Without
+    a hit the columns of the index are NULL and ``original`` is the URL itself.  ``available`` tells
+    hits, ``status`` repeats ``statuscode`` where the index has one.
 
     No pairs of requests and snapshots are formed.  Both sides are reduced to distinct
     seconds and cut into time slices of a URL, so a window group holds at most two rows per
@@ -24,12 +26,15 @@ def nearest_snapshot(requests: DataFrame, index: DataFrame) -> DataFrame:
     URL and slice.  A URL that owns a third of all rows is therefore spread over its slices.
     Only times travel through the windows; the addresses join at the end.
     """
+    told = {*requests.columns, "original", "archive_url", "timestamp", "available", "status"}
+    rest = [name for name in index.columns if name not in told]
     timed = requests.withColumn("_at", stamp_seconds(F.col("stamp")))
     known = index.select(
         F.col("original").alias("url"),
         stamp_seconds(F.col("timestamp")).alias("at"),
         "timestamp",
         "archive_url",
+        *rest,
     ).where(F.col("at").isNotNull() & F.col("url").isNotNull())
     asked = timed.select("url", F.col("_at").alias("at")).where(
         F.col("at").isNotNull() & F.col("url").isNotNull()
@@ -82,16 +87,26 @@ def nearest_snapshot(requests: DataFrame, index: DataFrame) -> DataFrame:
         for name in ("before", "after", "earlier", "later")
     ]
     named = known.groupBy("url", F.col("at").alias("hit_at")).agg(
-        F.min(F.struct("archive_url", "timestamp")).alias("hit")
+        F.min(F.struct("archive_url", "timestamp", *rest)).alias("hit")
     )
     answers = (
         near.join(slices, ["url", "slice"])
         .select("url", F.col("at").alias("_at"), F.least(*candidates)["t"].alias("hit_at"))
         .join(named, ["url", "hit_at"])
-        .select("url", "_at", "hit.archive_url", "hit.timestamp")
+        .select("url", "_at", "hit.*")
     )
+    status = F.col("statuscode") if "statuscode" in rest else F.lit(None).cast("string")
     return (
         timed.join(answers, ["url", "_at"], "left")
         .withColumn("original", F.col("url"))
-        .select(*requests.columns, "archive_url", "timestamp", "original")
+        .withColumn("available", F.col("archive_url").isNotNull())
+        .withColumn("status", status)
+        .select(
+            *requests.columns,
+            *(
+                name
+                for name in ("archive_url", "timestamp", "original", *rest, "available", "status")
+                if name not in requests.columns
+            ),
+        )
     )

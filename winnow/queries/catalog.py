@@ -20,6 +20,7 @@ from winnow.operators.snapshots import nearest_snapshot as nearest
 from winnow.plans import corpus as cx
 from winnow.plans import frontier as fx
 from winnow.queries import inputs as src
+from winnow.schemas import SNAPSHOT_FIELDS
 from winnow.sinks import files as out
 from winnow.sources import files as rd
 from winnow.sources import warc
@@ -494,6 +495,17 @@ def nearest_snapshot(spark, sf_dir):
     return hits.select("event_id", "stamp", "timestamp", "archive_url", "original")
 
 
+@query
+def snapshot_hits(spark, sf_dir):
+    """Whole index records of the hits, written as JSON lines and read back."""
+    path = new_path(spark, "hits")
+    hits = nearest(src.event_requests(spark, sf_dir), src.event_index(spark, sf_dir))
+    out.write_json(hits, path)
+    return spark.read.schema(hits.schema).json(path).select(
+        "event_id", "stamp", "available", "status", *SNAPSHOT_FIELDS
+    )
+
+
 @query
 def fetch_frontier(spark, sf_dir):
     links = stored(po.dated_links(src.posts(spark, sf_dir)), "links")

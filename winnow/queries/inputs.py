@@ -197,12 +197,16 @@ def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as a snapshot index."""
+    archive_url = F.concat(F.lit("https://web.archive.org/web/"), "stamp", F.lit("/"), "url")
     return _event_stamps(spark, sf_dir, "purchase").select(
         F.col("url").alias("original"),
         F.col("stamp").alias("timestamp"),
-        F.concat(F.lit("https://web.archive.org/web/"), "stamp", F.lit("/"), "url").alias(
-            "archive_url"
-        ),
+        archive_url.alias("archive_url"),
+        F.concat(F.lit("com,example,users)/"), F.substring_index("url", "/", -1)).alias("urlkey"),
+        F.lit("text/html").alias("mimetype"),
+        F.lit("200").alias("statuscode"),
+        F.md5(archive_url).alias("digest"),
+        F.length(archive_url).cast("string").alias("length"),
     )
 
 

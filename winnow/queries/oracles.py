@@ -561,6 +561,21 @@ WHERE NOT EXISTS (SELECT 1 FROM picture_rows r
 SELECT event_id, stamp, hit AS "timestamp",
   'https://web.archive.org/web/' || hit || '/' || url AS archive_url, url AS original
 FROM ranked WHERE rank = 1""",
+    "snapshot_hits": f"""WITH {_STAMPS}, ranked AS (
+  SELECT r.event_id, r.stamp, r.url, s.stamp AS hit, row_number() OVER (
+    PARTITION BY r.event_id ORDER BY abs(epoch(s.at) - epoch(r.at)), s.stamp) AS rank
+  FROM event_stamps r LEFT JOIN event_stamps s ON s.url = r.url AND s.event_type = 'purchase'
+  WHERE r.event_type = 'click'),
+hits AS (
+  SELECT *, 'https://web.archive.org/web/' || hit || '/' || url AS archive_url
+  FROM ranked WHERE rank = 1)
+SELECT event_id, stamp, hit IS NOT NULL AS available,
+  CASE WHEN hit IS NOT NULL THEN '200' END AS status,
+  CASE WHEN hit IS NOT NULL THEN 'com,example,users)/' || regexp_extract(url, '[^/]*$') END AS urlkey,
+  hit AS "timestamp", url AS original, CASE WHEN hit IS NOT NULL THEN 'text/html' END AS mimetype,
+  CASE WHEN hit IS NOT NULL THEN '200' END AS statuscode, md5(archive_url) AS digest,
+  length(archive_url)::VARCHAR AS length, archive_url
+FROM hits""",
     "fetch_frontier": f"""WITH {LINKS}, stamped AS (
   SELECT DISTINCT post_date::DATE AS day, {canonical('url')} AS url FROM links),
 snapshots AS (
