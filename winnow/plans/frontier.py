@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from winnow.functions import urls as ux
 from winnow.operators.ordering import ordered_distinct
 from winnow.operators.snapshots import nearest_snapshot
+from winnow.staging import stored
 
 
 def stamped_links(links: DataFrame) -> DataFrame:
@@ -21,8 +22,11 @@ def stamped_links(links: DataFrame) -> DataFrame:
 
 
 def fetch_lists(links: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(live urls, archive urls, snapshot hits)``; both lists keep first-seen order."""
-    stamped = stamped_links(links)
+    """``(live urls, archive urls, snapshot hits)``; both lists keep first-seen order.
+
+    The stamped links are stored once; all branches read that table.
+    """
+    stamped = stored(stamped_links(links), "stamped")
     archived = ux.is_snapshot(F.col("url"))
     live = stamped.where(~archived)
     hits = nearest_snapshot(live, index)

@@ -61,7 +61,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run_frontier(spark: SparkSession, args: argparse.Namespace) -> None:
-    links = stored(dated_links(build_posts(read_listing_pages(spark, args.posts))), "links")
+    links = dated_links(build_posts(read_listing_pages(spark, args.posts)))
     live, archive, hits = fetch_lists(links, spark.read.parquet(args.index))
     out.write_url_list(live, f"{args.out}/url_list")
     out.write_url_list(archive, f"{args.out}/archive_url_list")
