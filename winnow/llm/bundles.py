@@ -20,10 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import store
+from winnow.llm.common import rows_of, store, write
 
 END = b"\xff"  # never part of UTF-8
 BUNDLE_BYTES = 8 << 20
+NUMBERED_BYTES = 4 << 20  # of bundles that also hold a table of their words
 BUNDLE_ROWS = 1 << 16
 SHARD_BYTES = 16 << 20
 PACK_FIELDS = "shard int, bundle long, keys binary, data binary"
@@ -46,6 +47,17 @@ def expand_numbers(raw: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(expand(raw), kind)
 
 
+def squeeze_planes(values: np.ndarray) -> bytes:
+    """Small 32-bit numbers, byte plane by byte plane: the upper planes are nearly constant."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return squeeze(planes.tobytes(), 1)
+
+
+def expand_planes(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(expand(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def make_bundles(
     docs: DataFrame, prepare: Callable[[str | None], bytes], id_col: str, text_col: str,
     learn: Column | None = None, name: str = "bundles",
@@ -78,7 +90,7 @@ def make_bundles(
         kind = pa.null()
         for batch in batches:
             kind = batch.schema.field(0).type
-            for i, own, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            for i, own, text in rows_of(batch):
                 ids.append(i)
                 learned.append(own)
                 texts.append(prepare(text))
@@ -100,8 +112,9 @@ def texts_of(body: bytes) -> list[bytes]:
     return expand(body).split(END)
 
 
-def shard_count(bundles: DataFrame) -> int:
-    total = bundles.agg(F.sum("n_bytes")).first()[0] or 0
+def shard_count(table: DataFrame, size: str | Column = "n_bytes") -> int:
+    """Shards by the bytes of all texts; ``size`` gives those of a row."""
+    total = table.agg(F.sum(size)).first()[0] or 0
     return max(16, -(-total // SHARD_BYTES))
 
 
@@ -192,3 +205,94 @@ def number_packs(
 
 def numbers_of(keys: bytes) -> np.ndarray:
     return np.cumsum(expand_numbers(keys, np.int64))
+
+
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the ranges ``first .. first + size``, one after the other."""
+    after = np.cumsum(size)
+    return np.arange(after[-1] if len(after) else 0) + np.repeat(first - (after - size), size)
+
+
+class _Numbers(dict):
+    """Word to number, in order of first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def number_words(
+    docs: DataFrame, setup: Callable[[], tuple], shards: int, id_col: str, text_col: str, name: str
+) -> tuple[DataFrame, DataFrame, str, str]:
+    """Texts as sequences of word numbers, and packs of the words that they number.
+
+    Returns stored bundles (``bundle, ids, keys`` with the words per text, ``data`` with the numbers),
+    stored packs (``shard, bundle, keys, data`` with the steps between the numbers of the keys) and
+    their paths.  ``setup`` makes two functions, once per task: one splits a text into chunks, the
+    other cuts a list of distinct chunks into words and gives the number of words of each chunk.
+    """
+    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    id_type = source.schema["_id"].dataType.simpleString()
+    names = ["kind", "shard", "bundle", "ids", "keys", "data"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # of earlier tasks in this worker
+        split, cut = setup()
+        start = TaskContext.get().partitionId() << 30
+        count, size, ids, parts, chunks = 0, 0, [], [], _Numbers()
+
+        def bundle(kind):
+            nonlocal count, size, ids, parts, chunks
+            numbers = _Numbers()
+            cuts, per_chunk = cut(list(chunks))
+            words_of_chunk = np.fromiter(map(numbers.__getitem__, cuts), np.int32, len(cuts))
+            words = [word.encode() for word in numbers]
+            in_chunks = np.concatenate([np.zeros(0, np.int32), *parts])
+            many = per_chunk[in_chunks]
+            sequence = words_of_chunk[ranges((np.cumsum(per_chunk) - per_chunk)[in_chunks], many)]
+            ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            # Frequent words get small numbers, which pack well.
+            order = np.argsort(-np.bincount(sequence, minlength=len(words)), kind="stable")
+            place = np.empty(len(words), np.uint32)
+            place[order] = np.arange(len(words))
+            shard = word_shards(words, shards)[order]
+            sizes = np.diff(np.r_[0, np.cumsum(many)][np.r_[0, ends]]).astype(np.uint32)
+            rows = [("body", -1, ids, squeeze_numbers(sizes), squeeze_planes(place[sequence]))]
+            rows += [
+                (
+                    "pack", one, None, squeeze(END.join([words[i] for i in order[at]]), 3),
+                    squeeze_numbers(np.diff(at, prepend=0).astype(np.uint32)),
+                )
+                for one, at in _by_shard(shard)
+            ]
+            columns = list(zip(*rows, strict=True))
+            columns.insert(2, [start + count] * len(rows))
+            types = [pa.string(), pa.int32(), pa.int64(), pa.list_(kind), pa.binary(), pa.binary()]
+            count, size, ids, parts, chunks = count + 1, 0, [], [], _Numbers()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
+            )
+
+        kind = pa.null()
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for i, text in rows_of(batch):
+                found = split(text) if text else []
+                ids.append(i)
+                parts.append(np.fromiter(map(chunks.__getitem__, found), np.int32, len(found)))
+                size += len(text or "") + 1
+                if size >= NUMBERED_BYTES or len(ids) >= BUNDLE_ROWS:
+                    yield bundle(kind)
+        if ids:
+            yield bundle(kind)
+
+    fields = f"kind string, shard int, bundle long, ids array<{id_type}>, keys binary, data binary"
+    path = write(source.mapInArrow(pack, fields), name, by="kind")
+    # An empty table has no folders of kinds; the filters on the partition column serve both cases.
+    found = docs.sparkSession.read.schema(fields).parquet(path)
+    return (
+        found.filter("kind = 'body'").select("bundle", "ids", "keys", "data"),
+        found.filter("kind = 'pack'").select("shard", "bundle", "keys", "data"),
+        f"{path}/kind=body",
+        f"{path}/kind=pack",
+    )

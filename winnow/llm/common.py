@@ -36,18 +36,60 @@ def fold_of(value: object, folds: int) -> int:
     return zlib.crc32(("" if value is None else str(value)).encode()) % folds
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder named by ``spark.checkpoint.dir`` and read it back.
+# For the time of one write: its shuffle files go once the table is there, and batches to and from
+# Python stay small whatever the length of the texts.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
-    The table survives lost executors, and whatever follows does not compute ``df`` again.
-    """
+
+def write(df: DataFrame, name: str, by: str | None = None) -> str:
+    """Write ``df`` to the shared folder named by ``spark.checkpoint.dir``; returns the path."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = {key: spark.conf.get(key, None) for key in _WRITING}
+    for key, value in _WRITING.items():
+        spark.conf.set(key, value)
+    try:
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return path
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` and read it back.
+
+    The table survives lost executors, and whatever follows does not compute ``df`` again.
+    """
+    path = write(df, name)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables that nothing will read again."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def slices_of(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Views of a batch, so that only part of its texts are Python objects at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch as Python values."""
+    for part in slices_of(batch):
+        yield from zip(*(column.to_pylist() for column in part.columns), strict=True)
 
 
 def map_texts(
@@ -73,14 +115,16 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
+        pa.default_memory_pool().release_unused()  # of earlier tasks in this worker
         types = [to_arrow_type(field.dataType) for field in made]
         work = setup()
-        for batch in batches:
-            columns = work(batch.column(batch.num_columns - 1).to_pylist())
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)), *arrays], names
-            )
+        for whole in batches:
+            for batch in slices_of(whole):
+                columns = work(batch.column(batch.num_columns - 1).to_pylist())
+                arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i) for i in range(batch.num_columns - 1)), *arrays], names
+                )
 
     return source.mapInArrow(run, schema)
 

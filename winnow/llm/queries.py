@@ -115,8 +115,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spelled(docs: DataFrame) -> DataFrame:
     pieces = sentencepiece_lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = sentencepiece_lattice.encode(docs, pieces)
-    return sentencepiece_lattice.decode(encoded, pieces).select(
+    return sentencepiece_lattice.encode(docs, pieces, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("text", 256).alias("decoded_sha256"),
     )

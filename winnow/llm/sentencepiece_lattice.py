@@ -21,20 +21,22 @@ broadcast below ``BROADCAST_PIECES`` pieces, else by shuffle.  NULL and empty te
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.llm import bundles as bd
-from winnow.llm.common import map_texts, store
+from winnow.llm.common import forget, map_texts, store
 
 BLANK = "▁"
 LATTICE_CHARS = 60  # cuts of a word fit a 64-bit mask
 BROADCAST_PIECES = 1_000_000
+_CHUNK = re.compile(" +[^ ]*")
 BYTE_PIECE, UNKNOWN = "<0x{:02X}>", 0
 
 
@@ -88,6 +90,7 @@ class Cutter:
     """Cuts texts where no piece holds the two characters side by side."""
 
     def __init__(self, pieces: Pieces):
+        self.pieces = pieces.ids
         pairs = {pair for piece in pieces.ids for pair in zip(piece, piece[1:])}
         letters = sorted({c for pair in pairs for c in pair})
         self.number = np.zeros(0x110000, np.uint16)
@@ -96,6 +99,37 @@ class Cutter:
         for a, b in pairs:
             self.joined[self.number[ord(a)], self.number[ord(b)]] = True
 
+    def in_two_steps(self):
+        """Split texts at blanks first, then cut the distinct chunks: most chunks recur."""
+        if any(a != BLANK and b == BLANK for piece in self.pieces for a, b in zip(piece, piece[1:])):
+            return (lambda text: [text]), self._cut_each
+
+        def split(text: str) -> list[str]:
+            if "  " not in text and text[0] != " ":
+                return text.split(" ")
+            # A run of blanks belongs to the characters behind it; its first blank is implied.
+            return [chunk[1:] for chunk in _CHUNK.findall(" " + text)]
+
+        return split, self._cut_chunks
+
+    def _cut_each(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        cut = [self.words(chunk) if chunk else [BLANK] for chunk in chunks]
+        return [w for words in cut for w in words], np.fromiter(map(len, cut), np.int64, len(cut))
+
+    def _cut_chunks(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        plain = np.fromiter((bool(c) and c[0] not in (" ", BLANK) for c in chunks), bool, len(chunks))
+        odd, sizes = self._cut_each([c for c, p in zip(chunks, plain) if not p])
+        words = self.words(" ".join([c for c, p in zip(chunks, plain) if p])) if plain.any() else []
+        # Every chunk begins with the blank before it, and no other word does.
+        first = np.fromiter((w[0] == BLANK for w in words), bool, len(words))
+        starts = np.flatnonzero(first)
+        counts = np.empty(len(chunks), np.int64)
+        counts[plain], counts[~plain] = np.diff(np.r_[starts, len(words)]), sizes
+        place = np.empty(len(chunks), np.int64)
+        place[plain], place[~plain] = starts, len(words) + np.cumsum(sizes) - sizes
+        words += odd
+        return [words[i] for i in bd.ranges(place, counts)], counts
+
     def words(self, text: str) -> list[str]:
         if not text:
             return []
@@ -185,118 +219,123 @@ def encode_word(word: str, pieces: Pieces) -> list[int]:
 
 
 def _piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    # In BPE a better score is a smaller rank; rank ties go to the leftmost edge.
-    rows = [(piece, i, float(pieces.scores[piece])) for piece, i in pieces.ids.items()]
-    table = spark.createDataFrame(rows, "piece string, id int, score double")
+    costs = sorted({-score for score in pieces.scores.values()})
+    rank = {cost: k for k, cost in enumerate(costs)}
+    rows = [(piece, i, float(s), rank[-s]) for piece, i in pieces.ids.items() for s in (pieces.scores[piece],)]
+    # The empty piece matches every word once, so a word without any piece keeps its row.
+    table = spark.createDataFrame([*rows, ("", -1, 0.0, 0)], "piece string, id int, score double, rank long")
     return F.broadcast(table) if len(rows) <= BROADCAST_PIECES else table
 
 
-def _single_ids(char: Column, pieces: Pieces) -> Column:
-    """Ids of a character without a piece."""
-    if not pieces.bytes_at:
-        return F.array(F.lit(pieces.unknown))
-    table = F.array(*(F.lit(i) for i in pieces.bytes_at))
-    raw = F.hex(F.encode(char, "UTF-8"))
-    places = F.sequence(F.lit(1), F.length(raw), F.lit(2))
-    return F.transform(
-        places, lambda at: F.element_at(table, F.conv(F.substring(raw, at, F.lit(2)), 16, 10).cast("int") + 1)
-    )
-
-
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word`` and ``edges``: all pieces inside each word, as (score, s, e, id), best score first."""
+    """``word`` and ``edges`` from ``number, word``: the pieces in a word, least cost first, then by start.
+
+    An edge is a struct of cost, s, e and id; for BPE models one number, with the rank of the cost
+    above 6 bits each of s and e and 21 bits of the id, which is grouped and sorted faster.
+    """
     spark = words.sparkSession
+    start = F.when(F.col("s") == 0, 0).otherwise(F.col("s") + 1)
     substrings = (
-        words.select("word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
+        words.select("number", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("s"))
         .select(
-            "word", "s",
+            "number", "word", "s",
             F.explode(
-                F.sequence(F.col("s") + 1, F.least(F.col("s") + pieces.longest, F.length("word")))
+                F.sequence(start, F.least(F.col("s") + pieces.longest, F.length("word")))
             ).alias("e"),
         )
         .withColumn("piece", F.substring("word", F.col("s") + 1, F.col("e") - F.col("s")))
     )
-    edges = substrings.join(_piece_table(spark, pieces), "piece").select(
-        "word", F.struct((-F.col("score")).alias("cost"), "s", "e", "id").alias("edge")
+    if pieces.kind == "bpe":
+        edge = F.when(
+            F.col("id") >= 0,
+            F.expr("shiftleft(rank, 33) | shiftleft(CAST(s AS BIGINT), 27) | shiftleft(CAST(e AS BIGINT), 21) | id"),
+        )
+    else:
+        edge = F.when(F.col("id") >= 0, F.struct((-F.col("score")).alias("cost"), "s", "e", "id"))
+    return (
+        substrings.join(_piece_table(spark, pieces), "piece")
+        .groupBy("number")
+        .agg(F.first("word").alias("word"), F.sort_array(F.collect_list(edge)).alias("edges"))
+        .drop("number")
     )
-    return edges.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
-# Folds, in SQL, where lambdas read best.  ``edges`` is sorted by cost, then start.
+# Folds, in SQL, where lambdas read best.  ``edges`` is sorted by cost, then start.  A value that a
+# lambda needs more than once is bound by ``transform(array(value), name -> ...)[0]``: a column would
+# be copied into the lambda and computed for every element.
 # Merges: an edge is ready when both ends are cuts and exactly one cut lies between them.  An end that
 # is gone never comes back, and an edge without a cut inside is never needed again, so the open
 # edges shrink with every step.
 _MERGES = """
-aggregate(
+transform(array(aggregate(
   sequence(1, n),
   named_struct(
     'mask', shiftleft(1L, n + 1) - 1L,
-    'open', transform(filter(edges, x -> x.e - x.s > 1),
-      x -> named_struct('ends', shiftleft(1L, x.s) | shiftleft(1L, x.e),
-                        'span', shiftleft(1L, x.e + 1) - shiftleft(1L, x.s)))),
+    'open', transform(filter(edges, x -> (shiftright(x, 21) & 63) - (shiftright(x, 27) & 63) > 1),
+      x -> named_struct(
+        'ends', shiftleft(1L, CAST(shiftright(x, 27) & 63 AS INT)) | shiftleft(1L, CAST(shiftright(x, 21) & 63 AS INT)),
+        'span', shiftleft(2L, CAST(shiftright(x, 21) & 63 AS INT)) - shiftleft(1L, CAST(shiftright(x, 27) & 63 AS INT))))),
   (state, step) -> if(size(state.open) = 0, state, transform(transform(
       array(filter(state.open, x -> bit_count(state.mask & x.span) = 3)),
       ready -> if(size(ready) = 0, -1L, state.mask & ~ready[0].span | ready[0].ends)),
-    joined -> named_struct(
-      'mask', if(joined = -1L, state.mask, joined),
-      'open', filter(state.open,
-        x -> joined & x.ends = x.ends AND bit_count(joined & x.span) > if(joined = -1L, 99, 2))))[0]),
-  state -> state.mask)
+    joined -> if(joined = -1L,
+      named_struct('mask', state.mask, 'open', slice(state.open, 1, 0)),
+      named_struct('mask', joined, 'open', filter(state.open,
+        x -> joined & x.ends = x.ends AND bit_count(joined & x.span) > 2))))[0]),
+  state -> state.mask)),
+mask -> filter(sequence(0, n), i -> shiftrightunsigned(mask, i) & 1L = 1L))[0]
 """
-_CUTS = "filter(sequence(0, n), i -> shiftrightunsigned(mask, i) & 1L = 1L)"
 _VITERBI = """
-aggregate(
+transform(array(aggregate(
   sequence(1, n),
   array(named_struct('score', 0D, 'start', 0)),
   (best, i) -> concat(best, array(array_max(concat(
     transform(filter(edges, x -> x.e = i), x -> named_struct('score', best[x.s].score - x.cost, 'start', x.s)),
     if(exists(edges, x -> x.e = i AND x.s = i - 1), array(),
-       array(named_struct('score', best[i - 1].score + {worst}, 'start', i - 1))))))))
-"""
-_PATH = """
-aggregate(
+       array(named_struct('score', best[i - 1].score + {worst}, 'start', i - 1))))))))),
+best -> aggregate(
   sequence(1, n), array(n),
-  (cuts, i) -> if(cuts[0] = 0, cuts, concat(array(best[cuts[0]].start), cuts)))
+  (cuts, i) -> if(cuts[0] = 0, cuts, concat(array(best[cuts[0]].start), cuts))))[0]
+"""
+_IDS = """
+transform(array({cuts}), cuts -> flatten(transform(
+  sequence(1, size(cuts) - 1),
+  i -> coalesce(
+    {found},
+    {single}))))[0]
+"""
+_FOUND = "get(transform(filter(edges, x -> x.s = cuts[i - 1] AND x.e = cuts[i]), x -> array(x.id)), 0)"
+_FOUND_PACKED = """
+get(transform(filter(edges, x -> shiftright(x, 21) & 4095 = cuts[i - 1] * 64 + cuts[i]),
+              x -> array(CAST(x & 2097151 AS INT))), 0)
+"""
+_BYTES = """
+transform(
+  array(hex(encode(substring(word, cuts[i - 1] + 1, 1), 'UTF-8'))),
+  raw -> transform(sequence(1, length(raw), 2),
+    at -> element_at({table}, cast(conv(substring(raw, at, 2), 16, 10) AS int) + 1)))[0]
 """
 
 
-def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word`` and ``ids`` for each distinct word of column ``word``."""
+def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None) -> DataFrame:
+    """``word`` and ``ids`` for each distinct, non-empty word of column ``word``."""
     short = words.filter(F.length("word") <= LATTICE_CHARS)
-    # The left join keeps words of which no part is a piece.  All steps share the partitioning by
-    # word, so the words are shuffled once.
-    dealt = short.repartition("word")
-    edges = lattice(dealt, pieces)
-    empty = F.array().cast("array<struct<cost: double, s: int, e: int, id: int>>")
-    with_edges = dealt.join(edges, "word", "left").select(
-        "word", F.coalesce("edges", empty).alias("edges"), F.length("word").alias("n")
-    )
+    # A word's edges are grouped by its number.  All steps share that partitioning, so the words are
+    # shuffled once; small partitions keep what the grouping sorts small.
+    numbered = short.withColumn("number", F.monotonically_increasing_id())
+    dealt = numbered.repartition(partitions, "number") if partitions else numbered.repartition("number")
+    with_edges = lattice(dealt, pieces).withColumn("n", F.length("word"))
     if pieces.kind == "bpe":
-        cut = with_edges.withColumn("mask", F.expr(_MERGES)).withColumn("cuts", F.expr(_CUTS))
+        cuts, found = _MERGES, _FOUND_PACKED
     else:
-        worst = repr(min(pieces.scores.values(), default=0.0) - 10.0)
-        best = with_edges.withColumn("best", F.expr(_VITERBI.format(worst=worst + "D")))
-        cut = best.withColumn("cuts", F.expr(_PATH))
-    spans = F.transform(
-        F.sequence(F.lit(1), F.size("cuts") - 1),
-        lambda i: F.struct(F.get("cuts", i - 1).alias("s"), F.get("cuts", i).alias("e")),
+        found = _FOUND
+        cuts = _VITERBI.format(worst=f"{min(pieces.scores.values(), default=0.0) - 10.0!r}D")
+    single = (
+        _BYTES.format(table=f"array({', '.join(map(str, pieces.bytes_at))})")
+        if pieces.bytes_at
+        else f"array({pieces.unknown})"
     )
-    ids = F.flatten(
-        F.transform(
-            spans,
-            lambda span: F.coalesce(
-                F.get(
-                    F.transform(
-                        F.filter("edges", lambda x: (x["s"] == span["s"]) & (x["e"] == span["e"])),
-                        lambda x: F.array(x["id"]),
-                    ),
-                    F.lit(0),
-                ),
-                _single_ids(F.substring(F.col("word"), span["s"] + 1, span["e"] - span["s"]), pieces),
-            ),
-        )
-    )
-    folded = cut.select("word", ids.alias("ids"))
+    folded = with_edges.select("word", F.expr(_IDS.format(cuts=cuts, found=found, single=single)).alias("ids"))
 
     def setup():
         return lambda batch: [[encode_word(word, pieces) for word in batch]]
@@ -308,33 +347,30 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
 # --- texts ----------------------------------------------------------------------------
 
 
-def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: its id and ``ids`` (array of int)."""
-    bundles = bd.make_bundles(docs, lambda text: (text or "").encode("utf-8", "replace"), id_col, text_col)
-    shards = bd.shard_count(bundles)
-    made: list[Cutter] = []  # one per worker
-
-    def cutter() -> Cutter:
-        if not made:
-            made.append(Cutter(pieces))
-        return made[0]
-
-    def distinct(texts, _):
-        cut, seen = cutter(), set()
-        for text in texts:
-            seen.update(cut.words(text.decode()))
-        return {word.encode(): 1 for word in seen}
+def encode(
+    docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: its id and ``ids`` (array of int).
 
-    packs = bd.word_packs(bundles, distinct, shards, "words")
+    With ``decoded`` also ``text``, decoded from the ids in the same task.
+    """
+    spark = docs.sparkSession
+    shards = bd.shard_count(docs, F.octet_length(F.col(text_col).cast("string")))
+    bundles, packs, _, packs_at = bd.number_words(
+        docs, lambda: Cutter(pieces).in_two_steps(), shards, id_col, text_col, "words"
+    )
 
     def merged(rows: pa.Table) -> pa.Table:
         words: set[bytes] = set()
         for raw in rows.column("keys").to_pylist():
             words.update(bd.words_of(raw))
+        words.discard(b"")
         return pa.table({"word": pa.array(sorted(words), pa.binary()).cast(pa.string())})
 
-    words = store(packs.groupBy("shard").applyInArrow(merged, "word string"), "distinct")
-    known = store(encode_words(words, pieces), "encoded").withColumn("shard", bd.word_shard(F.col("word"), shards))
+    words = store(
+        packs.select("shard", "keys").groupBy("shard").applyInArrow(merged, "word string"), "distinct"
+    )
+    encoded = store(encode_words(words, pieces, 5 * shards), "encoded")
 
     def answer(asked: pa.Table, found: pa.Table) -> pa.Table:
         place = {w.encode(): k for k, w in enumerate(found.column("word").to_pylist())}
@@ -344,55 +380,55 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         data = []
         for raw in asked.column("keys").to_pylist():
             at = np.fromiter(map(place.__getitem__, bd.words_of(raw)), np.int64)
-            data.append(
-                bd.squeeze(size[at].astype(np.int32).tobytes() + flat[_ranges(first[at], size[at])].astype(np.int32).tobytes())
-            )
-        return asked.select(["shard", "bundle", "keys"]).append_column("data", pa.array(data, pa.binary()))
+            numbers = [[len(at)], size[at], flat[bd.ranges(first[at], size[at])]]
+            data.append(bd.squeeze_planes(np.concatenate(numbers)))
+        answered = asked.select(["shard", "bundle"]).append_column("keys", asked.column("data"))
+        return answered.append_column("data", pa.array(data, pa.binary()))
 
-    answers = (
+    answers = store(
         packs.groupBy("shard")
-        .cogroup(known.select("shard", "word", "ids").groupBy("shard"))
-        .applyInArrow(answer, bd.PACK_FIELDS)
+        .cogroup(
+            encoded.select(bd.word_shard(F.col("word"), shards).alias("shard"), "word", "ids").groupBy("shard")
+        )
+        .applyInArrow(answer, "shard int, bundle long, keys binary, data binary"),
+        "answers",
     )
+    forget(spark, packs_at, words.stored_at, encoded.stored_at)
     id_type = bundles.schema["ids"].dataType.elementType.simpleString()
 
     def spelled(bundle: pa.Table, found: pa.Table) -> pa.Table:
-        place: dict[str, int] = {}
-        sizes, flats = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        none = np.zeros(0, np.int64)
+        places, sizes, flats = [none], [none], [np.zeros(0, np.int32)]
         for keys, data in zip(*(found.column(c).to_pylist() for c in ("keys", "data")), strict=True):
-            for word in bd.words_of(keys):
-                place[word.decode()] = len(place)
-            numbers = bd.expand_numbers(data, np.int32)
-            count = len(place) - sum(map(len, sizes))
-            sizes.append(numbers[:count].astype(np.int64))
-            flats.append(numbers[count:])
-        size, flat = np.concatenate(sizes), np.concatenate(flats)
-        first = np.cumsum(size) - size
-        cut, out, lengths = cutter(), [np.zeros(0, np.int32)], []
-        for text in bd.texts_of(bundle.column("body")[0].as_py()):
-            at = np.fromiter(map(place.__getitem__, cut.words(text.decode())), np.int64)
-            out.append(flat[_ranges(first[at], size[at])])
-            lengths.append(len(out[-1]))
-        offsets = pa.array(np.r_[0, np.cumsum(lengths)], pa.int32())
-        ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out), pa.int32()))
-        return pa.table({"id": bundle.column("ids").combine_chunks().flatten(), "ids": ids})
+            numbers = bd.expand_planes(data).astype(np.int64)
+            places.append(np.cumsum(bd.expand_numbers(keys, np.uint32), dtype=np.int64))
+            sizes.append(numbers[1 : numbers[0] + 1])
+            flats.append(numbers[numbers[0] + 1 :].astype(np.int32))
+        place, sizes, flat = (np.concatenate(x) for x in (places, sizes, flats))
+        size, first = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+        size[place], first[place] = sizes, np.cumsum(sizes) - sizes
+        counts = bd.expand_numbers(bundle.column("keys")[0].as_py(), np.uint32).astype(np.int64)
+        at = bd.expand_planes(bundle.column("data")[0].as_py()).astype(np.int64)
+        ids = flat[bd.ranges(first[at], size[at])]
+        ends = np.r_[0, np.cumsum(size[at])][np.r_[0, np.cumsum(counts)]]
+        columns = {
+            "id": bundle.column("ids").combine_chunks().flatten(),
+            "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
+        }
+        if decoded:
+            spell = speller(pieces)
+            columns["text"] = pa.array((spell(ids[a:b]) for a, b in zip(ends, ends[1:])), pa.string())
+        return pa.table(columns)
 
     result = (
-        bundles.select("bundle", "ids", "body").groupBy("bundle")
-        .cogroup(answers.groupBy("bundle"))
-        .applyInArrow(spelled, f"id {id_type}, ids array<int>")
+        bundles.groupBy("bundle").cogroup(answers.groupBy("bundle"))
+        .applyInArrow(spelled, f"id {id_type}, ids array<int>" + ", text string" * decoded)
     )
     return result.withColumnRenamed("id", id_col)
 
 
-def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """All places of the ranges ``first .. first + size``, one after the other."""
-    after = np.cumsum(size)
-    return np.arange(after[-1] if len(after) else 0) + np.repeat(first - (after - size), size)
-
-
-def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "text") -> DataFrame:
-    """All columns of ``encoded`` and ``out``, the text that its ids spell.
+def speller(pieces: Pieces):
+    """A function from an array of ids to the text they spell.
 
     Byte pieces are joined and read as UTF-8, control pieces vanish, and the blank in front goes.
     """
@@ -402,18 +438,20 @@ def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str =
     raw[pieces.unknown] = " \u2047 ".encode()
     for byte, i in enumerate(pieces.bytes_at):
         raw[i] = bytes([byte])
+    return lambda ids: b"".join(map(raw.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
+
+
+def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "text") -> DataFrame:
+    """All columns of ``encoded`` and ``out``, the text that its ids spell; NULL ids spell nothing."""
     kept = [name for name in encoded.columns if name != out]
     schema = encoded.select(*kept).schema.add(out, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = raw.__getitem__
+        spell = speller(pieces)
         for batch in batches:
             column = batch.column(kept.index(ids_col))
-            texts = []
-            for k in range(batch.num_rows):
-                ids = column[k].values
-                spelled = b"" if ids is None else b"".join(map(spell, ids.to_numpy().tolist()))
-                texts.append(spelled.decode("utf-8", "replace").removeprefix(" "))
+            found = (column[k].values for k in range(batch.num_rows))
+            texts = ["" if ids is None else spell(ids.to_numpy()) for ids in found]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*kept, out])
 
     return encoded.select(*kept).mapInArrow(run, schema)
