@@ -196,7 +196,7 @@ class _Vocabulary(dict):
         return number
 
 
-def _searcher(index: Index, threshold: float, most_words: int = 500_000):
+def _searcher(index: Index, threshold: float, most_words: int = 150_000):
     vocabulary = _Vocabulary()
     table = np.zeros(0, np.uint64)
 

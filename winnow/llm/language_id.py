@@ -26,7 +26,7 @@ BUCKETS = 1 << 16
 SCALE = 30.0  # texts sum to about this weight, whatever their length
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
-_SLICE = 1 << 20  # code points handled at once
+_SLICE = 1 << 18  # code points handled at once
 
 
 def _letters() -> np.ndarray:
