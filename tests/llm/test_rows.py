@@ -123,6 +123,30 @@ def test_named_literals(text, found):
     assert [text[s:e] for s, e, _ in spans] == found
 
 
+def test_constants_of_many_literals_and_doubled_constants():
+    pieces = [f"aB{k}xY" for k in range(40)]
+    many = "b = " + " + ".join(f'"{p}"' for p in pieces) + "\nc = b\nd = c\nsigning_credential = d\n"
+    assert [many[s:e] for s, e, _ in secret_scan.scan(many)] == pieces
+    doubled = "x = 'qW3r8u'\n" + "x = x + x\n" * 3000 + "passphrase = x\n"
+    assert [doubled[s:e] for s, e, _ in secret_scan.scan(doubled)] == ["qW3r8u"]
+    short = "x = 'a1b'\ncredential = x + x + x\n"
+    assert [short[s:e] for s, e, _ in secret_scan.scan(short)] == ["a1b"]
+    grown = "private_key = 'aB1'\n" + "private_key = private_key + 'x9Yz'\n" * 20_000
+    assert len(secret_scan.scan(grown)) == 20_001
+
+
+def test_sums_score_like_the_text(monkeypatch):
+    values = ["x9Qm2Kp4Lz7", " lead", "trail ", "  ", "xxx", "XXXX", "***", "your_", "<a", "b>", "${", "}", "é1", "in side"]
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(secret_scan, "_LONG", 0)
+    for _ in range(500):
+        parts = [values[k] for k in rng.integers(0, len(values), rng.integers(2, 6))]
+        whole = secret_scan._together([secret_scan._Value([False, 0, 1], p) for p in parts])
+        if len("".join(parts)) >= 18:
+            assert whole.text is None
+            assert whole.score == pytest.approx(secret_scan.literal_score("".join(parts)))
+
+
 def test_redaction():
     text = 'a password = "hunter2hunter2" b AKIA' + "A" * 16 + " c"
     assert secret_scan.redact(text, secret_scan.scan(text)) == 'a [secret]" b [secret] c'

@@ -10,8 +10,9 @@ Two layers share one pass over each whole text:
   target name and by its own shape, and reported as ``named`` from ``THRESHOLD`` on, unless it
   lies inside a base span.
 
-Offsets are code points, ends exclusive.  NULL and empty texts have no spans.  Work is linear in
-the text and nothing is shared between rows.
+Offsets are code points, ends exclusive.  NULL and empty texts have no spans.  Nothing is shared
+between rows.  A concatenation costs its parts and the different characters in them, never the length
+or the number of literals of the constants in it; every literal is reported once.
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ PLACEHOLDERS = re.compile(
     r"|\$\{.*\}|\$\(.*\)|%\(.*\).?|\{\{.*\}\})$"
 )
 THRESHOLD = 1.2
+_LONG = 1 << 10  # characters up to which a concatenation is kept as text
 
 _OPERATOR = re.compile(r"=>|:=|[=:]")
 _COMPARE = set("=!<>~+-*/%&|^")
@@ -69,18 +71,102 @@ def name_score(name: str) -> float:
     return 0.0 if parts[-1] in HARMLESS else min(score, 1.2)
 
 
+def _shape(length: float, counts: dict[str, float]) -> float:
+    """The score of a value that is no placeholder, from its length and the counts of its characters."""
+    total = sum(counts.values())
+    bits = -sum(n / total * math.log2(n / total) for n in counts.values() if n / total)
+    characters = "".join(counts)
+    kinds = sum(
+        bool(re.search(p, characters)) for p in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]")
+    )
+    if kinds < 2 or not re.search(r"[0-9]", characters):
+        return 0.2 if kinds < 2 else 0.4
+    return min(1.0, 0.2 + bits / 8 + min(length, 32) / 64)
+
+
 def literal_score(value: str) -> float:
     """0 for placeholders and short words, up to 1 for long values of many different characters."""
     if len(value) < 6 or PLACEHOLDERS.match(value) or " " in value.strip():
         return 0.0
-    counts = Counter(value)
-    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
-    kinds = sum(
-        bool(re.search(p, value)) for p in (r"[a-z]", r"[A-Z]", r"[0-9]", r"[^A-Za-z0-9]")
-    )
-    if kinds < 2 or not re.search(r"[0-9]", value):
-        return 0.2 if kinds < 2 else 0.4
-    return min(1.0, 0.2 + bits / 8 + min(len(value), 32) / 64)
+    return _shape(len(value), Counter(value))
+
+
+class _Long:
+    """A value by what its score needs, as sums over its parts; counts are in units of 2**scale."""
+
+    __slots__ = ("counts", "scale", "head", "tail", "blank", "lead", "inside", "trail")
+
+    def __init__(self, value: str = ""):
+        core = value.strip()
+        self.counts, self.scale = Counter(value), 0
+        self.head, self.tail = value[:8], value[-8:]
+        self.blank = not core  # nothing but white space
+        self.inside = " " in core
+        self.lead = " " in value[: len(value) - len(value.lstrip())]
+        self.trail = " " in value[len(value.rstrip()) :]
+
+    def __add__(self, other: _Long) -> _Long:
+        both = _Long()
+        both.scale = max(self.scale, other.scale)
+        for one in (self, other):
+            down = one.scale - both.scale
+            for c, n in one.counts.items():
+                both.counts[c] += math.ldexp(n, down) if down else n
+        if max(both.counts.values(), default=0) > 2.0**500:
+            both.counts = Counter({c: math.ldexp(n, -400) for c, n in both.counts.items()})
+            both.scale += 400
+        both.head, both.tail = (self.head + other.head)[:8], (self.tail + other.tail)[-8:]
+        both.blank = self.blank and other.blank
+        both.inside = self.inside or other.inside or (
+            not self.blank and not other.blank and (self.trail or other.lead)
+        )
+        both.lead = self.lead or self.blank and other.lead
+        both.trail = other.trail or other.blank and self.trail
+        return both
+
+    def score(self) -> float:
+        # Between head and tail, one of each character decides every placeholder pattern.
+        if self.inside or PLACEHOLDERS.match(self.head + "".join(self.counts) + self.tail):
+            return 0.0
+        return _shape(sum(self.counts.values()) if not self.scale else math.inf, self.counts)
+
+
+class _Value:
+    """What a name stands for.
+
+    ``spans`` is a tree that shares the trees of the constants it is made of: ``[seen, start, end]``
+    or ``[seen, trees]``.  The text itself is kept up to ``_LONG`` characters or for one
+    literal; what is put together beyond that is kept as sums, so no value outgrows the text.
+    """
+
+    __slots__ = ("spans", "text", "sums", "_score")
+
+    def __init__(self, spans: list, text: str | None, sums: _Long | None = None):
+        self.spans, self.text, self.sums, self._score = spans, text, sums, None
+
+    def long(self) -> _Long:
+        if self.sums is None:
+            self.sums = _Long(self.text)
+        return self.sums
+
+    @property
+    def score(self) -> float:
+        if self._score is None:
+            self._score = self.long().score() if self.text is None else literal_score(self.text)
+        return self._score
+
+
+def _together(values: list[_Value]) -> _Value:
+    """The values one after the other."""
+    if len(values) == 1:
+        return values[0]
+    spans = [False, [value.spans for value in values]]
+    if all(value.text is not None for value in values) and sum(len(v.text) for v in values) <= _LONG:
+        return _Value(spans, "".join(value.text for value in values))
+    sums = values[0].long()
+    for value in values[1:]:
+        sums = sums + value.long()
+    return _Value(spans, None, sums)
 
 
 def _target(text: str, at: int) -> str | None:
@@ -145,21 +231,30 @@ def assignments(text: str) -> Iterator[tuple[str, list, bool]]:
 
 def named_spans(text: str) -> list[tuple[int, int]]:
     """Literals whose target names are sensitive, with constants followed to their literals."""
-    constants: dict[str, list] = {}
+    constants: dict[str, _Value | None] = {}
     found: set[tuple[int, int]] = set()
     for name, parts in assignments(text):
-        literals = []
+        values = []
         for kind, value, start, end in parts:
-            if kind == "name":
-                literals += constants.get(value, [(value, start, end)] if len(parts) == 1 else [])
+            if kind == "name" and (value in constants or len(parts) > 1):
+                values.append(constants.get(value))
             else:
-                literals.append((value, start, end))
-        constants[name] = literals[:16] if len(parts) == 1 else literals
+                values.append(_Value([False, start, end], value))
+        values = [value for value in values if value]
+        constants[name] = whole = _together(values) if values else None
         weight = name_score(name)
-        if weight and literals:
-            whole = "".join(value for value, _, _ in literals)
-            if weight + literal_score(whole) >= THRESHOLD:
-                found |= {(start, end) for _, start, end in literals if end > start}
+        if weight and whole and weight + whole.score >= THRESHOLD:
+            # A tree that was reported once is not walked again.
+            trees = [whole.spans]
+            while trees:
+                tree = trees.pop()
+                if tree[0]:
+                    continue
+                tree[0] = True
+                if len(tree) == 2:
+                    trees += tree[1]
+                elif tree[2] > tree[1]:
+                    found.add((tree[1], tree[2]))
     return sorted(found)
 
 
