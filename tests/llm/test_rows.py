@@ -116,6 +116,11 @@ def test_secret_query_on_table(spark):
         ("if passphrase == 'x9Qm2Kp4Lz7': pass", []),
         ("credential = ${VAULT_VALUE_9}", []),
         ("monkey = 'x9Qm2Kp4Lz7'", []),
+        ("access_token = None", []),
+        ("auth_token = get_x", []),
+        ("api_key: none", []),
+        ("auth_credential = '${VAULT_VALUE_9}'", []),
+        ("auth_credential = 'nine blue horses run'", ["nine blue horses run"]),
     ],
 )
 def test_named_literals(text, found):
@@ -141,7 +146,7 @@ def test_sums_score_like_the_text(monkeypatch):
     monkeypatch.setattr(secret_scan, "_LONG", 0)
     for _ in range(500):
         parts = [values[k] for k in rng.integers(0, len(values), rng.integers(2, 6))]
-        whole = secret_scan._together([secret_scan._Value([False, 0, 1], p) for p in parts])
+        whole = secret_scan._together([secret_scan._Value([False, 0, 1], p, True) for p in parts])
         if len("".join(parts)) >= 18:
             assert whole.text is None
             assert whole.score == pytest.approx(secret_scan.literal_score("".join(parts)))

@@ -8,7 +8,8 @@ Two layers share one pass over each whole text:
   ``+`` between them, or a bare configuration value.  Names bound to literals are constants; a
   value that mentions one stands for its literals.  Every literal is scored by the words of its
   target name and by its own shape, and reported as ``named`` from ``THRESHOLD`` on, unless it
-  lies inside a base span.
+  lies inside a base span.  Placeholders, short words and unquoted values without a score are no
+  secrets under any name.
 
 Offsets are code points, ends exclusive.  NULL and empty texts have no spans.  Nothing is shared
 between rows.  A concatenation costs its parts and the different characters in them, never the length
@@ -124,9 +125,12 @@ class _Long:
         both.trail = other.trail or other.blank and self.trail
         return both
 
-    def score(self) -> float:
+    def placeholder(self) -> bool:
         # Between head and tail, one of each character decides every placeholder pattern.
-        if self.inside or PLACEHOLDERS.match(self.head + "".join(self.counts) + self.tail):
+        return bool(PLACEHOLDERS.match(self.head + "".join(self.counts) + self.tail))
+
+    def score(self) -> float:
+        if self.inside or self.placeholder():
             return 0.0
         return _shape(sum(self.counts.values()) if not self.scale else math.inf, self.counts)
 
@@ -139,10 +143,10 @@ class _Value:
     literal; what is put together beyond that is kept as sums, so no value outgrows the text.
     """
 
-    __slots__ = ("spans", "text", "sums", "_score")
+    __slots__ = ("spans", "text", "sums", "quoted", "_score")
 
-    def __init__(self, spans: list, text: str | None, sums: _Long | None = None):
-        self.spans, self.text, self.sums, self._score = spans, text, sums, None
+    def __init__(self, spans: list, text: str | None, quoted: bool, sums: _Long | None = None):
+        self.spans, self.text, self.quoted, self.sums, self._score = spans, text, quoted, sums, None
 
     def long(self) -> _Long:
         if self.sums is None:
@@ -155,18 +159,32 @@ class _Value:
             self._score = self.long().score() if self.text is None else literal_score(self.text)
         return self._score
 
+    @property
+    def telling(self) -> bool:
+        """Whether the value may be a secret at all: not a short word, placeholder or bare prose.
+
+        A quoted value with blanks has no score but may be a passphrase.
+        """
+        if self.score:
+            return True
+        if not self.quoted:
+            return False
+        if self.text is None:
+            return not self.sums.placeholder()
+        return len(self.text.strip()) >= 6 and not PLACEHOLDERS.match(self.text.strip())
+
 
 def _together(values: list[_Value]) -> _Value:
     """The values one after the other."""
     if len(values) == 1:
         return values[0]
-    spans = [False, [value.spans for value in values]]
+    spans, quoted = [False, [value.spans for value in values]], any(value.quoted for value in values)
     if all(value.text is not None for value in values) and sum(len(v.text) for v in values) <= _LONG:
-        return _Value(spans, "".join(value.text for value in values))
+        return _Value(spans, "".join(value.text for value in values), quoted)
     sums = values[0].long()
     for value in values[1:]:
         sums = sums + value.long()
-    return _Value(spans, None, sums)
+    return _Value(spans, None, quoted, sums)
 
 
 def _target(text: str, at: int) -> str | None:
@@ -239,11 +257,11 @@ def named_spans(text: str) -> list[tuple[int, int]]:
             if kind == "name" and (value in constants or len(parts) > 1):
                 values.append(constants.get(value))
             else:
-                values.append(_Value([False, start, end], value))
+                values.append(_Value([False, start, end], value, kind == "literal"))
         values = [value for value in values if value]
         constants[name] = whole = _together(values) if values else None
         weight = name_score(name)
-        if weight and whole and weight + whole.score >= THRESHOLD:
+        if weight and whole and whole.telling and weight + whole.score >= THRESHOLD:
             # A tree that was reported once is not walked again.
             trees = [whole.spans]
             while trees:
