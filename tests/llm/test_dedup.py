@@ -132,6 +132,15 @@ def test_every_position_edits_and_ends():
     assert search([" ".join(item).upper(), " ".join(item[:30]), " ".join(item[30:])])[1:] == [[], []]
 
 
+@pytest.mark.parametrize("space", ["\u00a0", "\u202f", "\u2009", "\u3000", "\u2028", "\u0085", "\x1c"])
+def test_items_and_documents_have_the_same_words(space):
+    words = [f"mot{k}" for k in range(20)]
+    item = f"{' '.join(words[:8])}{space}: {' '.join(words[8:14])}{space}{' '.join(words[14:])}"
+    search = decontaminate._searcher(decontaminate.Index([(1, item)]), 0.8)
+    leaks = search([f"before it {item} after it", item, item.replace(space, " ")])
+    assert [[(x["similarity"], x["start"]) for x in one] for one in leaks] == [[(1.0, 2)], [(1.0, 0)], [(1.0, 0)]]
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(6)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

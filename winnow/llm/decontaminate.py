@@ -1,6 +1,6 @@
 """Benchmark decontamination: SimHash windows of item size, multi-index Hamming blocks, exact check.
 
-* Words are lower-cased and stripped of outer punctuation.  A window's fingerprint is the 64-bit
+* Words are cut at Unicode white space, in items and documents alike, lower-cased and stripped of outer punctuation.  A window's fingerprint is the 64-bit
   majority vote of its words' XXH64 hashes, from running counts per bit.
 * Windows have the sizes of the items, rounded down to a geometric series, and start at every
   ``STRIDE``-th word.  Every item is indexed at its first ``STRIDE`` offsets, so one of them lines
@@ -38,6 +38,11 @@ _CHUNK = 1 << 16  # words at once
 _EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…-–—*_`|/\\#$%&"
 
 
+def words_of(text: str | None) -> list[str]:
+    """The raw words of an item or a document: whatever Unicode white space keeps apart."""
+    return (text or "").split()
+
+
 def normal(word: str) -> str:
     return word.casefold().strip(_EDGES)
 
@@ -136,7 +141,7 @@ class Index:
     def __init__(self, items: list[tuple[object, str]]):
         self.ids, self.words = [], []
         for item, text in items:
-            words = [normal(word) for word in (text or "").split()]
+            words = [normal(word) for word in words_of(text)]
             if len(words) >= SHINGLE:
                 self.ids.append(item)
                 self.words.append(words)
@@ -189,9 +194,9 @@ class _Vocabulary(dict):
         super().__init__()
         self.normal, self.hashes = [], []
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         self[word] = number = len(self)
-        self.normal.append(normal(word.decode("utf-8", "replace")))
+        self.normal.append(normal(word))
         self.hashes.append(_hash(self.normal[-1]))
         return number
 
@@ -210,7 +215,7 @@ def _searcher(index: Index, threshold: float, most_words: int = 150_000):
         numbers, ends = [], []
         look = vocabulary.__getitem__
         for text in texts:
-            numbers.extend(map(look, (text or "").encode("utf-8", "replace").split()))
+            numbers.extend(map(look, words_of(text)))
             ends.append(len(numbers))
         found: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
         if numbers and index.classes:
