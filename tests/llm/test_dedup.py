@@ -92,6 +92,24 @@ def test_odd_rows(spark):
     assert simhash_dedup.drop_near_copies(empty_docs(spark)).count() == 0
 
 
+def test_one_row_of_every_component_with_repeated_ids(spark):
+    near = " ".join(f"w{k}" for k in range(400))  # three texts of one component
+    copies = [near, near + " ", near.upper()]
+    other = "a clean text that shares its id with a row of another source"
+    rows = [
+        (5, other, "a"), (5, copies[0], "b"), (7, copies[1], "c"),  # both rows of id 5 stand for a component
+        (3, "first of a pair", "d"), (9, "First of a pair", "e"), (9, "nobody's copy at all", "f"),
+        (2, "loaded twice", "g"), (2, "loaded twice", "h"), (4, copies[2], "i"), (4, other + " too, not a copy", "j"),
+        (None, other, "k"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 4):
+        kept = simhash_dedup.drop_near_copies(frame.repartition(parts))
+        found = sorted(r.source for r in kept.collect())
+        assert kept.columns == frame.columns and [s for s in found if s not in "gh"] == list("adfijk")
+        assert len(found) == 7
+
+
 def plain_leaks(text, items):
     words = [decontaminate.normal(w) for w in (text or "").encode().split() and (text or "").split()]
     found = set()

@@ -24,7 +24,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.llm.common import map_texts, store
@@ -212,12 +212,8 @@ def links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits) and ``component_id``.
-
-    ``component_id`` is the smallest id reachable over links of at most 3 bits.  Rows with a NULL
-    id take part in links but never name a component.
-    """
+def _hashed(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    """Columns ``keep`` and the fingerprint ``fp`` of every row, stored."""
 
     def setup():
         def work(texts):
@@ -226,12 +222,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         return work
 
-    hashed = store(map_texts(docs, setup, "fp long", [id_col], text_col), "fingerprints")
+    return store(map_texts(docs, setup, "fp long", keep, text_col), "fingerprints")
+
+
+def _rooted(prints: DataFrame) -> DataFrame:
+    """``prints`` (one row per ``fp``) with ``root``, the fingerprint that stands for the component."""
+    roots = connected(links(prints.select("fp"))).withColumnRenamed("node", "fp")
+    return prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits) and ``component_id``.
+
+    ``component_id`` is the smallest id reachable over links of at most 3 bits.  Rows with a NULL
+    id take part in links but never name a component.
+    """
+    hashed = _hashed(docs, [id_col], text_col)
     prints = store(hashed.groupBy("fp").agg(F.min(id_col).alias("least")), "prints")
-    roots = connected(links(prints.select("fp")))
-    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(prints)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(names, "root").select("fp", "component_id")
     return hashed.join(named, "fp").select(
@@ -240,19 +248,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row left of every component: the one whose id names it.
+    """``docs`` with one row left of every component: smallest id, then smallest hash of the text.
 
-    Of several rows with that id one stays, by a hash of its text.  Rows with a NULL id cannot be told
-    apart and all stay.
+    Ids need not be unique: components are told apart by fingerprints, rows by id and text.  Of rows
+    equal in both one stays.  Rows with a NULL id cannot be told apart and all stay.
     """
-    groups = near_groups(docs, id_col, text_col)
-    keep = groups.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(keep, id_col, "left_semi").select(*docs.columns)
-    repeated = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(id_col)
-    if not repeated.filter(F.col(id_col).isNotNull()).isEmpty():
-        place = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-        many = kept.join(repeated, id_col, "left_semi").withColumn("_place", F.row_number().over(place))
-        kept = kept.join(repeated, id_col, "left_anti").select(*docs.columns).unionByName(
-            many.filter("_place = 1").select(*docs.columns)
+    marked = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    hashed = _hashed(marked, [id_col, "_text_hash"], text_col)
+    named = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), "_text_hash"))
+    prints = store(hashed.groupBy("fp").agg(F.min(named).alias("least")), "prints")
+    first = _rooted(prints).groupBy("root").agg(F.min("least").alias("least")).filter("least IS NOT NULL")
+    first = store(first.select(F.col("least.id").alias(id_col), F.col("least._text_hash").alias("_text_hash")), "first")
+    keys = [id_col, "_text_hash"]
+    kept = marked.join(first, keys, "left_semi").select(*marked.columns)
+    repeated = hashed.join(first, keys, "left_semi").groupBy(*keys).count().filter("count > 1").select(*keys)
+    if not repeated.isEmpty():
+        # Combined on the map side: a row that was loaded very often is no single task.
+        order = F.xxhash64(*(name for name, kind in docs.dtypes if "map<" not in kind))
+        many = kept.join(repeated, keys, "left_semi").groupBy(*keys).agg(
+            F.min_by(F.struct(*docs.columns), order).alias("_row")
         )
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+        kept = kept.join(repeated, keys, "left_anti").select(*docs.columns).unionByName(many.select("_row.*"))
+    return kept.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
