@@ -112,6 +112,12 @@ def test_canonical_match_joins_urls_with_query(spark):
         cx.master_corpus(extracts, frame, match="fuzzy")
 
 
+def test_missing_counts_lose_their_url(spark):
+    rows = [("u", 1, 5, None), ("u", 2, 5, 0), ("v", 3, None, 9), ("v", 4, 0, 1), ("w", 5, None, None)]
+    narrow = spark.createDataFrame(rows, "origurl string, ord int, term_count long, content_length long")
+    assert sorted(r.ord for r in cx.best_per_url(narrow).collect()) == [2, 4, 5]
+
+
 def test_status_filter_reaches_the_scan(spark, data, tmp_path):
     captures, _ = data
     spark.createDataFrame(captures, CAPTURE).write.parquet(str(tmp_path / "c"))

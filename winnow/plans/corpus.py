@@ -78,8 +78,9 @@ def distinct_texts(narrow: DataFrame) -> DataFrame:
 def best_per_url(narrow: DataFrame) -> DataFrame:
     """Per original URL the row with most terms, then longest content, then smallest ``ord``."""
     rest = [name for name in narrow.columns if name != "origurl"]
-    # The least of negated counts: ``ord`` may be of any type that has an order.
-    rank = F.struct(-F.col("term_count"), -F.col("content_length"), "ord")
+    # The least of negated counts: ``ord`` may be of any type that has an order.  NULL counts come last.
+    counts = [key for name in ("term_count", "content_length") for key in (F.isnull(name), -F.col(name))]
+    rank = F.struct(*(key.alias(f"k{n}") for n, key in enumerate(counts)), "ord")
     return (
         narrow.groupBy("origurl")
         .agg(F.min_by(F.struct(*rest), rank).alias("row"))
