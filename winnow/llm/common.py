@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The six bytes between words: blank and U+0009 to U+000D.
@@ -80,6 +80,27 @@ def forget(spark: SparkSession, *paths: str) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def prefix_sums(rows: DataFrame, key: str, value: str, out: str, block: int = 4096) -> DataFrame:
+    """``rows``, one per whole number ``key``, with ``out``: the sum of ``value`` over smaller keys.
+
+    Sums run inside blocks of keys; only the block totals, one row per ``block`` keys, are ordered as a
+    whole.
+    """
+    blocked = rows.withColumn("_block", F.floor(F.col(key) / block))
+    earlier = (Window.unboundedPreceding, -1)
+    shifts = blocked.groupBy("_block").agg(F.sum(value).alias("_total")).select(
+        F.col("_block").alias("_b"),
+        F.coalesce(F.sum("_total").over(Window.orderBy("_block").rowsBetween(*earlier)), F.lit(0)).alias("_shift"),
+    )
+    inside = F.sum(value).over(Window.partitionBy("_block").orderBy(key).rowsBetween(*earlier))
+    return (
+        blocked.withColumn(out, F.coalesce(inside, F.lit(0)))
+        .join(shifts, F.col("_block") == F.col("_b"))
+        .withColumn(out, F.col(out) + F.col("_shift"))
+        .drop("_block", "_b", "_shift")
+    )
+
+
 def slices_of(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Views of a batch, so that only part of its texts are Python objects at a time."""
     for at in range(0, batch.num_rows, rows):

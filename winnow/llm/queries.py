@@ -11,11 +11,14 @@ from winnow.llm import (
     compression_quality,
     context_tree,
     decontaminate,
+    divergence,
     language_id,
+    packing,
     quality_rules,
     secret_scan,
     sentencepiece_lattice,
     simhash_dedup,
+    token_alignment,
     token_file,
 )
 from winnow.llm.common import fold, store, table
@@ -113,6 +116,34 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelled(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), digest=True,
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op12_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packed.select("sequence_id", "ids", F.inline("pieces"))
+    own = F.expr("substring(ids, CAST(4 * offset + 1 AS INT), CAST(4 * length AS INT))")
+    return pieces.select(
+        F.col("doc").alias("doc_id"), "start", "length", F.crc32(own).alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = divergence.ORACLE_SQL
+
+
 def spelled(docs: DataFrame) -> DataFrame:
     pieces = sentencepiece_lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
     return sentencepiece_lattice.encode(docs, pieces, decoded=True).select(
