@@ -34,7 +34,7 @@ def aligned(rows):
     tokenizer = Tokenizer.from_file(BYTES)
     tokenizer.encode_special_tokens = True
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    byte_of = ta.byte_level_alphabet()
+    byte_of = chunk_tokens.byte_level_alphabet()
     found, links, corpus = [], [], Counter()
     for i, text in rows:
         a = tokenizer.encode(" " + text, add_special_tokens=False).ids if text else []
@@ -95,12 +95,13 @@ def test_chunks_keep_the_text_and_the_ids():
 
 def test_chunk_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(chunk_tokens, "MOST_CHUNKS", 10)
-    cache = chunk_tokens.ChunkCache([lambda new: [[len(c)] for c in new]])
+    cache = chunk_tokens.ChunkCache([lambda new: chunk_tokens.in_a_row([[len(c)] for c in new])])
     for k in range(50):
-        (ids,), (size,), _ = cache.encode([f"a{k} b{k} c{k}", ""])
-        assert size.tolist() == [3, 0]
-        assert len(cache.places) <= 13
-        assert ids.tolist() == [len(f"a{k}"), *[len(f" a{k}")] * 2]
+        (ids,), (size,), _ = cache.encode([f"a{k} b{k} c{k} often often", ""])
+        assert size.tolist() == [5, 0]
+        assert len(cache.places) <= 15
+        assert ids.tolist() == [len(f"a{k}"), *[len(f" a{k}")] * 2, 6, 6]
+    assert " often" in cache.places
 
 
 @pytest.mark.parametrize("lanes", [1, 3, 4096])

@@ -6,8 +6,9 @@ pre-token where white space follows other text, and no piece of the SentencePiec
 place (``load_pieces`` checks that).  Texts with other white space, whose cutting rules depend on
 more context, count as one chunk.  So the ids equal those of the whole text.
 
-The cache stays in the Python worker between tasks and is emptied when it holds ``MOST_CHUNKS``
-chunks or ``MOST_CHARS`` characters, so its size does not depend on the data.
+The cache stays in the Python worker between tasks.  When it holds ``MOST_CHUNKS`` chunks or
+``MOST_CHARS`` characters it keeps the chunks that it met most often, at most half of that, so its size
+does not depend on the data.
 """
 
 from __future__ import annotations
@@ -15,26 +16,39 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 
 from winnow.llm.bundles import ranges
 
-MOST_CHUNKS = 600_000
-MOST_CHARS = 24_000_000
+MOST_CHUNKS = 500_000
+MOST_CHARS = 16_000_000
 _RUNS = re.compile(r"[ \t\n]*[^ \t\n]+|[ \t\n]+")
-# Other white space by any definition; NUL marks the cuts of the fast path.
-_ODD = re.compile(
-    "[\x00\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
-)
-_SLOW = re.compile(r"[ \t\n][ \t\n]|\t")
+# Other white space by any definition, up to U+00FF and above; NUL marks the cuts of the fast path.
+_ODD = "\x00\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+_WIDE = re.compile("[\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+_SLOW = ("\t", "  ", "\n\n", " \n", "\n ")
+
+
+def _narrow(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _odd(text: str) -> bool:
+    """Does the text hold white space other than blank, tab and line feed?"""
+    return any(c in text for c in _ODD) or not (text.isascii() or _narrow(text)) and bool(_WIDE.search(text))
 
 
 def chunks(text: str) -> list[str]:
     """The chunks of a text; joined they are the text."""
-    if _ODD.search(text):
+    if _odd(text):
         return [text]
-    if _SLOW.search(text):
+    if any(run in text for run in _SLOW):
         return _RUNS.findall(text)
     return text.replace(" ", "\0 ").replace("\n", "\0\n").lstrip("\0").split("\0") if text else []
 
@@ -53,49 +67,68 @@ class _Places(dict):
 
 
 class ChunkCache:
-    """Ids of texts from one or more encoders, each a function from chunks to lists of ids.
+    """Ids of texts from one or more encoders, each a function from chunks to their ids in a row and
+    the number of ids of each.
 
     ``exact`` tells for a chunk and its ids per encoder whether the tokens spell the chunk.
     """
 
-    def __init__(self, encoders: Sequence[Callable], exact: Callable | None = None):
-        self.encoders, self.exact = encoders, exact
-        self._reset()
-
-    def _reset(self) -> None:
+    def __init__(
+        self, encoders: Sequence[Callable], exact: Callable | None = None, cut: Callable[[str], list] = chunks
+    ):
+        self.encoders, self.exact, self.cut = encoders, exact, cut
         self.places = _Places()
         self.chars = 0
-        self.flat = [np.zeros(0, np.uint32) for _ in self.encoders]
-        self.sizes = [np.zeros(0, np.int64) for _ in self.encoders]
+        self.flat = [np.zeros(0, np.uint32) for _ in encoders]
+        self.sizes = [np.zeros(0, np.int64) for _ in encoders]
         self.right = np.zeros(0, bool)
+        self.hits = np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Keep the chunks that were met at least twice, or more often if these are too many."""
+        names, least = list(self.places), 2
+        length = np.fromiter(map(len, names), np.int64, len(names))
+        while True:
+            kept = np.flatnonzero(self.hits >= least)
+            if 2 * len(kept) <= MOST_CHUNKS and 2 * length[kept].sum() <= MOST_CHARS:
+                break
+            least *= 2
+        self.places = _Places()
+        for k in kept.tolist():
+            self.places[names[k]] = len(self.places)
+        for side, (flat, sizes) in enumerate(zip(self.flat, self.sizes, strict=True)):
+            self.flat[side] = flat[ranges((np.cumsum(sizes) - sizes)[kept], sizes[kept])]
+            self.sizes[side] = sizes[kept]
+        self.right = self.right[kept] if self.exact else self.right
+        self.hits = self.hits[kept] // 2
+        self.chars = int(length[kept].sum())
 
     def _learn(self) -> None:
         new = self.places.new
         if not new:
             return
         found = [encode(new) for encode in self.encoders]
-        for k, ids in enumerate(found):
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for one in ids for i in one), np.uint32, int(size.sum()))
-            self.flat[k] = np.concatenate([self.flat[k], flat])
+        for k, (flat, size) in enumerate(found):
+            self.flat[k] = np.concatenate([self.flat[k], flat.astype(np.uint32)])
             self.sizes[k] = np.concatenate([self.sizes[k], size])
         if self.exact:
-            right = np.fromiter(map(self.exact, new, *found), bool, len(new))
-            self.right = np.concatenate([self.right, right])
+            self.right = np.concatenate([self.right, self.exact(new, *found)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
         self.chars += sum(map(len, new))
         new.clear()
 
     def encode(self, texts: Sequence[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
         """Per encoder the ids of all texts in a row and their number per text; whether all spell it."""
         if len(self.places) > MOST_CHUNKS or self.chars > MOST_CHARS:
-            self._reset()
+            self._shrink()
         look, places, counts = self.places.__getitem__, [], []
         for text in texts:
-            cut = chunks(text)
+            cut = self.cut(text)
             counts.append(len(cut))
             places.extend(map(look, cut))
         self._learn()
         place = np.array(places, np.int64)
+        self.hits += np.bincount(place, minlength=len(self.hits))
         ends = np.r_[0, np.cumsum(np.array(counts, np.int64))]
         all_ids, per_text = [], []
         for flat, sizes in zip(self.flat, self.sizes, strict=True):
@@ -120,16 +153,63 @@ def held(key: tuple, make: Callable):
     return _HELD[key]
 
 
-def byte_level_encoder(path: str, special: bool) -> Callable:
-    """Chunks to ids by the tokenizers library; without ``special`` control strings are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = not special
-    return lambda new: [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+def in_a_row(lists: Sequence[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array, and the length of each."""
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum())), size
+
+
+def byte_level_alphabet() -> dict[str, int]:
+    """The printable stand-ins that byte-level BPE uses for bytes: printable bytes stand for themselves,
+    the others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
+
+
+class ByteLevel:
+    """A byte-level BPE file of the tokenizers library; without ``special`` control strings are plain text."""
+
+    def __init__(self, path: str, special: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special
+        byte_of = byte_level_alphabet()
+        added = {i: token.content for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.tokens = [b""] * (max(vocabulary.values()) + 1)
+        for piece, i in vocabulary.items():
+            self.tokens[i] = added[i].encode() if i in added else bytes(byte_of[c] for c in piece)
+        self.lengths = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks.  Those that white space sets apart are encoded as one text, which costs less, and
+        cut at the bytes where they end."""
+        joint = [c[0] in " \n\t" and c[-1] not in " \n\t" for c in new]
+        if _odd("".join(new)):
+            joint = [j and not _odd(c) for c, j in zip(new, joint, strict=True)]
+        together = [c for c, j in zip(new, joint, strict=True) if j]
+        ends = np.cumsum(np.fromiter((len(c.encode("utf-8", "replace")) for c in together), np.int64, len(together)))
+        ids = np.array(self._ids(["".join(together)])[0], np.uint32)
+        after = np.cumsum(self.lengths[ids])
+        at = np.searchsorted(after, ends) + 1
+        if len(ends) and (at[-1] != len(ids) or not np.array_equal(after[at - 1], ends)):
+            return in_a_row(self._ids(new))  # some token spells something else
+        alone, alone_size = in_a_row(self._ids([c for c, j in zip(new, joint, strict=True) if not j]))
+        size = np.empty(len(new), np.int64)
+        which = np.array(joint, bool)
+        size[which], size[~which] = np.diff(np.r_[0, at]), alone_size
+        out = np.empty(len(ids) + len(alone), np.uint32)
+        mine = np.repeat(which, size)
+        out[mine], out[~mine] = ids, alone
+        return out, size
 
 
 def byte_cache(path: str) -> ChunkCache:
     """The cache of a byte-level tokenizer that reads control strings as such."""
-    return held(("bytes", path), lambda: ChunkCache([byte_level_encoder(path, True)]))
+    return held(("bytes", path), lambda: ChunkCache([ByteLevel(path, True)]))

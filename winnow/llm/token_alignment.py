@@ -19,7 +19,7 @@ rows of their own.  An empty table gives an empty result.  Other columns are not
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,41 +40,23 @@ LANES = 4096
 PAIR_BITS = 32
 
 
-class Speller:
-    """Ids to bytes for one tokenizer."""
+class Pieces:
+    """A SentencePiece model as an encoder of chunks; raises if chunks could not be encoded alone."""
 
-    def __init__(self, tokens: list[bytes]):
-        self.tokens = tokens
-        self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    def __init__(self, path: str):
+        import sentencepiece
 
-    def text(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-
-def byte_level_alphabet() -> dict[str, int]:
-    """The printable stand-ins that byte-level BPE uses for bytes: printable bytes stand for themselves,
-    the others follow from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
-
-
-def load_bytes(path: str) -> tuple[Callable, Speller]:
-    from tokenizers import Tokenizer
-
-    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
-    byte_of = byte_level_alphabet()
-    tokens = [b""] * (max(vocabulary.values()) + 1)
-    for piece, i in vocabulary.items():
-        tokens[i] = bytes(byte_of[c] for c in piece)
-    return chunk_tokens.byte_level_encoder(path, special=False), Speller(tokens)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.tokens = _piece_bytes(self.model)
+        self.lengths = np.fromiter(map(len, self.tokens), np.int64, len(self.tokens))
 
+    def __call__(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # Behind a line feed, which joins nothing, the chunk has no blank put in front.
+        found = self.model.encode(["\n" + chunk for chunk in new], num_threads=1)
+        return chunk_tokens.in_a_row([ids[2:] for ids in found])
 
-def load_pieces(path: str) -> tuple[Callable, Speller]:
-    """Encoder and speller of a SentencePiece model; raises if chunks could not be encoded alone."""
-    import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+def _piece_bytes(model) -> list[bytes]:
     tokens = []
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
@@ -88,27 +70,32 @@ def load_pieces(path: str) -> tuple[Callable, Speller]:
     head = model.encode("\n")
     if len(head) != 2 or model.id_to_piece(head[0]) != BLANK or not model.is_byte(head[1]):
         raise ValueError("the model does not put a blank in front, or has no bytes")
-
-    def encode(new: list[str]) -> list[list[int]]:
-        # Behind a line feed, which joins nothing, the chunk has no blank put in front.
-        return [ids[2:] for ids in model.encode(["\n" + chunk for chunk in new], num_threads=1)]
-
-    return encode, Speller(tokens)
+    return tokens
 
 
 class Aligner:
     """The two tokenizers with a cache of chunks and the spelled ids."""
 
     def __init__(self, bytes_path: str, pieces_path: str):
-        (encode_a, self.a), (encode_b, self.b) = load_bytes(bytes_path), load_pieces(pieces_path)
-
-        def exact(chunk: str, ids_a: list[int], ids_b: list[int]) -> bool:
-            raw = chunk.encode("utf-8", "replace")
-            return self.a.text(ids_a) == raw and self.b.text(ids_b) == raw
-
-        self.cache = chunk_tokens.ChunkCache([encode_a, encode_b], exact)
+        self.a, self.b = chunk_tokens.ByteLevel(bytes_path, special=False), Pieces(pieces_path)
+        self.cache = chunk_tokens.ChunkCache([self.a, self.b], self.spelled)
         self.names = [_spelled_ids(self.a, (b",", b"|")), _spelled_ids(self.b, (b",", b";"))]
 
+    def spelled(self, new: list[str], *found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Which chunks the tokens of both sides spell."""
+        right = np.ones(len(new), bool)
+        raw = [chunk.encode("utf-8", "replace") for chunk in new]
+        length, whole = np.fromiter(map(len, raw), np.int64, len(raw)), b"".join(raw)
+        for side, (ids, size) in zip((self.a, self.b), found, strict=True):
+            tokens, at = [side.tokens[i] for i in ids.tolist()], 0
+            after = np.r_[0, np.cumsum(side.lengths[ids])][np.r_[0, np.cumsum(size)]]
+            if np.array_equal(np.diff(after), length) and b"".join(tokens) == whole:
+                continue
+            for k, n in enumerate(size.tolist()):
+                right[k] &= b"".join(tokens[at : at + n]) == raw[k]
+                at += n
+        return right
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides and their number per text; a text without tokens counts zero."""
         ids, counts, right = self.cache.encode([" " + t if t else "" for t in texts])
@@ -118,7 +105,7 @@ class Aligner:
         return ids, counts
 
 
-def _spelled_ids(speller: Speller, marks: tuple[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _spelled_ids(speller, marks: tuple[bytes, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Decimal ids with either mark behind them at ``2 * id`` and ``2 * id + 1``, and their lengths."""
     names = [b"%d%s" % (i, mark) for i in range(len(speller.tokens)) for mark in marks]
     return np.array(names), np.fromiter(map(len, names), np.int64, len(names))
