@@ -1,12 +1,14 @@
 """Archive scan on hand-written bytes: members, bodies, odd records, splits, merge."""
 
 import gzip
+import json
 import zlib
 
 import pytest
 
 from winnow.operators.captures import captures, merge_captures, stack_headers
-from winnow.sources.warc import archive_metadata, read_warc
+from winnow.sources.warc import archive_index, archive_metadata, read_cdx, read_warc
+from winnow.sources.warc_records import decoded_body, records
 
 
 def record(kind, uri, block, extra=""):
@@ -175,3 +177,180 @@ def test_bodies_of_several_members(spark, tmp_path):
 def test_missing_path_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="nowhere"):
         read_warc(spark, str(tmp_path / "nowhere.warc.gz")).count()
+
+
+def _same_rows(spark, paths, split_bytes, **options):
+    index = archive_index(spark, paths)
+    whole = read_warc(spark, paths, **options)
+    split = read_warc(spark, paths, index=index, split_bytes=split_bytes, **options)
+    assert split.columns == whole.columns
+    rows = sorted(map(repr, whole.collect()))
+    assert sorted(map(repr, split.collect())) == rows
+    return rows, split.rdd.getNumPartitions()
+
+
+@pytest.mark.parametrize("split_bytes", [1, 3000, 1 << 30])
+@pytest.mark.parametrize("per_member", [0, 1, 7])
+@pytest.mark.parametrize("header_only", [False, True])
+def test_ranges_give_the_rows_of_the_whole_scan(spark, tmp_path, split_bytes, per_member, header_only):
+    bodies = _bodies()
+    raw = _packed(bodies, per_member) if per_member else b"".join(
+        response(f"http://r/{i}", body) for i, body in enumerate(bodies)
+    )
+    path = tmp_path / ("big.warc.gz" if per_member else "big.warc")
+    path.write_bytes(raw)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in ONE))
+    paths = [str(path), str(tmp_path / "a.warc.gz"), str(path)]
+    rows, parts = _same_rows(spark, paths, split_bytes, header_only=header_only, responses_only=False)
+    assert len(rows) == 2 * len(bodies) + len(ONE)
+    assert parts > 20 if split_bytes == 1 else parts == 3 if split_bytes == 1 << 30 else parts > 3
+
+
+def test_no_range_begins_inside_a_record(spark, tmp_path):
+    """A stream cut into members anywhere: only members that begin with a record are indexed."""
+    stream = b"".join(response(f"http://r/{i}", b"x" * (37 * i)) for i in range(40))
+    cuts = [0, 500, 501, 2000, 5000, 5000 + stream[5000:].index(b"WARC/1.0"), 20_000, len(stream)]
+    raw = b"".join(gzip.compress(stream[a:b]) for a, b in zip(cuts, cuts[1:], strict=False))
+    (tmp_path / "s.warc.gz").write_bytes(raw)
+    rows, parts = _same_rows(spark, str(tmp_path), 1)
+    assert len(rows) == 40 and parts == archive_index(spark, str(tmp_path)).count() == 2
+
+
+def test_an_index_that_does_not_fit_is_an_error(spark, tmp_path):
+    path = tmp_path / "r.warc.gz"
+    path.write_bytes(_packed(_bodies(), 1))
+    index = archive_index(spark, str(path))
+    wrong = index.withColumn("offset", index["offset"] + 3)
+    with pytest.raises(Exception, match="r.warc.gz"):
+        read_warc(spark, str(path), index=wrong, split_bytes=4000).collect()
+    other = index.selectExpr("concat(path, 'x') AS path", "offset", "record")  # an index of other files: one range per file
+    assert read_warc(spark, str(path), index=other, split_bytes=10).count() == len(_bodies())
+
+
+def test_index_lists_offsets_and_lengths(spark, folder):
+    path = str(folder / "1.warc.gz")
+    rows = archive_index(spark, path).orderBy("offset").collect()
+    assert [r.offset for r in rows] == [sum(len(gzip.compress(x)) for x in ONE[:k]) for k in range(len(ONE))]
+    assert [r.length for r in rows] == [len(gzip.compress(x)) for x in ONE]
+    plain = archive_index(spark, str(folder / "2.warc")).orderBy("offset").collect()
+    assert [(r.offset, r.length, r.record, r.target_uri) for r in plain] == [
+        (0, len(TWO[0]), 0, "http://a/"), (len(TWO[0]), len(TWO[1]), 1, "http://n/"),
+    ]
+    assert archive_index(spark, []).count() == 0
+
+
+def test_cdx_lines_are_an_index(spark, tmp_path):
+    path = tmp_path / "r.warc.gz"
+    path.write_bytes(_packed(_bodies(), 1))
+    rows = archive_index(spark, str(path)).collect()
+    lines = [" CDX N b a m s k r M S V g"]
+    lines += [f"k 2020 {r.target_uri} text/html 200 A - - {r.length} {r.offset} some/r.warc.gz" for r in rows[::2]]
+    lines += [f"k 2020 {r.target_uri} text/html 200 A - {r.offset} r.warc.gz" for r in rows[1:9:2]]
+    lines += [
+        "k 2020 " + json.dumps({"url": r.target_uri, "filename": "x/r.warc.gz", "offset": str(r.offset), "length": "9"})
+        for r in rows[9::2]
+    ]
+    lines += ["", "k 2020 u t 200 A - 0 other.warc.gz"]
+    (tmp_path / "index.cdx").write_text("\n".join(lines))
+    index = read_cdx(spark, str(tmp_path / "index.cdx"), str(path))
+    assert {(r.offset, r.target_uri) for r in index.collect()} == {(r.offset, r.target_uri) for r in rows}
+    split = read_warc(spark, str(path), index=index, split_bytes=1)
+    assert split.rdd.getNumPartitions() == len(rows)
+    assert sorted(split.collect()) == sorted(read_warc(spark, str(path)).collect())
+
+
+@pytest.mark.parametrize("split_bytes", [None, 1, 4000])
+@pytest.mark.parametrize("per_member", [0, 1, 7])
+def test_damage_becomes_rows(spark, tmp_path, per_member, split_bytes):
+    bodies = _bodies()
+    records_ = [response(f"http://r/{i}", body) for i, body in enumerate(bodies)]
+    if per_member:
+        members = [gzip.compress(b"".join(records_[i : i + per_member])) for i in range(0, 60, per_member)]
+    else:
+        members = list(records_)
+    whole = b"".join(members)
+    path = tmp_path / ("d.warc.gz" if per_member else "d.warc")
+    path.write_bytes(whole)
+    index = archive_index(spark, str(path)).collect() if split_bytes else None
+    bad = {3, 4, 8}
+    for k in bad:
+        if per_member:
+            members[k] = members[k][:-12] + b"\xff" * 6 + members[k][-6:]
+        else:
+            members[k] = members[k].replace(b"Content-Length: ", b"Content-Length? ")
+    path.write_bytes(b"".join(members) + (b"" if split_bytes else b"\0" * 40))
+    options = {}
+    if split_bytes:
+        frame = spark.createDataFrame(index, "path string, offset long, length long, record long, target_uri string")
+        options = {"index": frame, "split_bytes": split_bytes}
+    rows = read_warc(spark, str(path), errors="quarantine", **options).collect()
+    good = {r.target_uri: bytes(r.content) for r in rows if r._error is None}
+    step = per_member or 1
+    lost = {i for k in bad for i in range(k * step, min(60, (k + 1) * step))}
+    # Records of a damaged member that were whole before the damage may be kept, all others must be.
+    assert {f"http://r/{i}" for i in range(60) if i not in lost} <= set(good)
+    assert all(good[u] == bodies[int(u[9:])] for u in good)
+    assert len(rows) - len(good) == len(bad) + (not split_bytes)
+    assert all(r.archive == path.name and "passed over" in r._error for r in rows if r._error)
+    assert len({r.ord for r in rows}) == len(rows)
+    with pytest.raises(Exception, match="d.warc"):
+        read_warc(spark, str(path), **options).collect()
+
+
+def test_quarantine_of_a_sound_archive_changes_nothing(spark, folder):
+    rows = read_warc(spark, str(folder), errors="quarantine").drop("_error").collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, read_warc(spark, str(folder)).collect()))
+    with pytest.raises(Exception, match="unknown treatment"):
+        read_warc(spark, str(folder), errors="skip").count()
+
+
+def test_damage_anywhere_ends(tmp_path):
+    """Whatever bytes are changed, reading ends and gives only rows of the archive or errors."""
+    import random
+
+    rng = random.Random(9)
+    raw = _packed(_bodies(), 3)
+    for k in range(60):
+        broken = bytearray(raw)
+        for _ in range(rng.randint(1, 6)):
+            at = rng.randrange(len(broken))
+            broken[at : at + rng.randint(0, 40)] = rng.randbytes(rng.randint(0, 40))
+        path = tmp_path / f"{k}.warc.gz"
+        path.write_bytes(broken)
+        rows = list(records(str(path), False, quarantine=True))
+        assert all(r.get("_error") or r["warc_type"] for r in rows)
+        assert len(rows) > 10
+
+
+def test_bodies_say_what_is_wrong():
+    gz, long = gzip.compress(b"text" * 500), b"x" * 300
+    as_ = lambda name, value: [{"name": name, "value": value}]
+    packed, sliced = "Content-Encoding", as_("Transfer-Encoding", "chunked")
+    assert decoded_body(gz, as_(packed, "gzip")) == (b"text" * 500, None)
+    assert decoded_body(gz[:-2], as_(packed, "gzip")) == (b"text" * 500, "cut gzip")
+    assert decoded_body(b"plain", as_(packed, "gzip")) == (b"plain", "not gzip")
+    assert decoded_body(b"", as_(packed, "gzip")) == (b"", None)
+    assert decoded_body(b"\x0b", as_(packed, "br")) == (b"\x0b", "unknown encoding: br")
+    assert decoded_body(zlib.compress(long)[:-5], as_(packed, "Deflate"))[1] == "cut deflate"
+    assert decoded_body(b"x", as_(packed, "identity")) == (b"x", None)
+    assert decoded_body(CHUNKED, sliced) == (b"Wikipedia", None)
+    assert decoded_body(CHUNKED[:-5], sliced) == (b"Wikipedia", "cut chunks")
+    assert decoded_body(CHUNKED[:7], sliced) == (b"Wiki", "cut chunks")
+    assert decoded_body(b"12c\r\n" + long[:100], sliced) == (long[:100], "cut chunks")
+    assert decoded_body(b"no chunks", sliced) == (b"no chunks", "not chunked")
+
+
+def test_truncated_records_are_marked(spark, tmp_path):
+    (tmp_path / "t.warc").write_bytes(response("http://t/", b"half", extra="WARC-Truncated: length\r\n"))
+    row = read_warc(spark, str(tmp_path)).first()
+    assert (bytes(row.content), row.body_error) == (b"half", "truncated: length")
+
+
+def test_patterns_in_any_part(spark, tmp_path):
+    for day in ("d1", "d2", "e1"):
+        (tmp_path / day / "warc").mkdir(parents=True)
+        (tmp_path / day / "warc" / "x.warc.gz").write_bytes(gzip.compress(response(f"http://{day}/", b"x")))
+    rows = read_warc(spark, str(tmp_path / "d*" / "warc" / "*.gz")).orderBy("ord").collect()
+    assert [r.target_uri for r in rows] == ["http://d1/", "http://d2/"]
+    with pytest.raises(Exception, match="f\\*"):
+        read_warc(spark, str(tmp_path / "f*" / "warc" / "*.gz")).count()

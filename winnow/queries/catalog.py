@@ -24,6 +24,7 @@ from winnow.schemas import SNAPSHOT_FIELDS
 from winnow.sinks import files as out
 from winnow.sources import files as rd
 from winnow.sources import warc
+from winnow.sources.warc_records import decoded_body
 from winnow.staging import new_path, stored
 
 QUERIES = {}
@@ -352,8 +353,12 @@ def status_filter(spark, sf_dir):
     return rows.select("ord", "target_uri", "status")
 
 
-def _archive_folder(spark, sf_dir) -> str:
-    """Request and response records of the captures as gzip archives on the shared folder."""
+def _archive_folder(spark, sf_dir, per_file: int = 64, packed: bool = True, damaged: bool = False) -> str:
+    """Request and response records of the captures as archives on the shared folder.
+
+    With ``damaged``, every record is a gzip member, and the response of every seventh capture of an
+    archive has bytes changed.
+    """
     line = lambda *parts: F.concat(*parts, F.lit("\r\n"))
     target = line(F.lit("WARC-Target-URI: "), F.col("target_uri"))
     block = F.concat(
@@ -370,35 +375,118 @@ def _archive_folder(spark, sf_dir) -> str:
         )
 
     both = src.captures(spark, sf_dir).select(
-        record("request", request).alias("request"), record("response", block).alias("response")
+        record("request", request).cast("binary").alias("request"),
+        record("response", block).cast("binary").alias("response"),
+        (F.col("ord") % 7 == 3).alias("broken"),
     )
 
     def archives(batches):
-        """Archives of up to 64 captures, with one, two or many records per gzip member."""
+        """Archives of up to ``per_file`` captures, with one, two or many records per gzip member."""
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                rows = [r + b"\r\n\r\n" for row in batch.slice(at, 64).to_pylist() for r in row.values()]
-                step = (1, 2, 7)[number % 3]
-                body = b"".join(gzip.compress(b"".join(rows[i : i + step])) for i in range(0, len(rows), step))
-                path = f"{part:05d}-{number:05d}.warc.gz"
+            for at in range(0, batch.num_rows, per_file):
+                some = batch.slice(at, per_file).to_pylist()
+                rows = [r + b"\r\n\r\n" for row in some for r in (row["request"], row["response"])]
+                step = 1 if damaged else (1, 2, 7)[number % 3]
+                members = [b"".join(rows[i : i + step]) for i in range(0, len(rows), step)]
+                if packed:
+                    members = [gzip.compress(member) for member in members]
+                if damaged:
+                    for k, row in enumerate(some):
+                        if row["broken"]:
+                            members[2 * k + 1] = _changed(members[2 * k + 1])
+                body = b"".join(members)
+                path = f"{part:05d}-{number:05d}.warc" + ".gz" * packed
                 number += 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path]), pa.array([body], pa.binary())], ["path", "body"]
                 )
 
     path = new_path(spark, "archives")
-    raw = both.select(*(F.col(name).cast("binary").alias(name) for name in both.columns))
-    out.write_files(raw.mapInArrow(archives, "path string, body binary"), path)
+    out.write_files(both.mapInArrow(archives, "path string, body binary"), path)
     return path
 
 
+def _changed(member: bytes) -> bytes:
+    """A gzip member with its last packed bytes and its check sum inverted."""
+    return member[:-16] + bytes(255 - b for b in member[-16:-4]) + member[-4:]
+
+
 @query
 def warc_scan(spark, sf_dir):
     rows = cap.captures(warc.read_warc(spark, _archive_folder(spark, sf_dir)))
     return rows.select("target_uri", "status", "content_length", _sha("content", "sha"))
 
 
+@query
+def warc_split_scan(spark, sf_dir):
+    """Larger archives, packed and plain, read in ranges from an index of offsets."""
+    found = []
+    for packed in (True, False):
+        folder = _archive_folder(spark, sf_dir, 2048, packed)
+        index = stored(warc.archive_index(spark, folder), "index")
+        rows = warc.read_warc(spark, folder, index=index, split_bytes=1 << 18)
+        found.append(cap.captures(rows).withColumn("packed", F.lit(packed)))
+    rows = found[0].unionByName(found[1])
+    return rows.select("packed", "target_uri", "status", "content_length", _sha("content", "sha"))
+
+
+@query
+def warc_index(spark, sf_dir):
+    """Offsets of plain archives: every record, request or response, with its length in bytes."""
+    found = warc.archive_index(spark, _archive_folder(spark, sf_dir, 2048, packed=False))
+    return found.select("target_uri", "length")
+
+
+@query
+def warc_quarantine(spark, sf_dir):
+    """Damaged archives: good responses, and a row for each stretch that cannot be read."""
+    folder = _archive_folder(spark, sf_dir, 512, damaged=True)
+    rows = warc.read_warc(spark, folder, errors="quarantine")
+    return rows.select("target_uri", _sha("content", "sha"), F.isnotnull("_error").alias("broken"))
+
+
+@query
+def warc_cdx_scan(spark, sf_dir):
+    """The same archives, split by an index in CDX lines."""
+    folder = _archive_folder(spark, sf_dir, 2048)
+    index = warc.archive_index(spark, folder)
+    name = F.regexp_extract("path", "[^/]*$", 0)
+    lines = index.select(
+        F.concat_ws(" ", F.lit("key 20200101000000"), "target_uri", F.lit("text/html 200 AA - -"), "length", "offset", name)
+    )
+    path = new_path(spark, "cdx")
+    lines.write.text(path)
+    rows = warc.read_warc(spark, folder, index=warc.read_cdx(spark, path, folder), split_bytes=1 << 18)
+    return cap.captures(rows).select("target_uri", "status", "content_length", _sha("content", "sha"))
+
+
+@query
+def body_states(spark, sf_dir):
+    """Bodies of captures under encodings that are whole, cut, wrong or unknown."""
+    names = ("whole chunks", "cut chunks", "whole gzip", "cut gzip", "not gzip", "br")
+
+    def states(batches):
+        for batch in batches:
+            rows = []
+            for page, html in zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True):
+                raw = (html or "").encode()
+                chunked = b"%x\r\n%s\r\n" % (len(raw), raw) if raw else b""
+                zipped = gzip.compress(raw)
+                bodies = [chunked + b"0\r\n\r\n", chunked, zipped, zipped[: len(zipped) // 2], b"<" + raw, raw]
+                for name, body in zip(names, bodies, strict=True):
+                    kind = "Transfer-Encoding" if "chunks" in name else "Content-Encoding"
+                    value = "chunked" if "chunks" in name else name.rpartition(" ")[2]
+                    content, state = decoded_body(body, [{"name": kind, "value": value}])
+                    rows.append((page, name, state, content == raw))
+            columns = [pa.array(c) for c in zip(*rows, strict=True)] if rows else []
+            if columns:
+                yield pa.RecordBatch.from_arrays(columns, ["ord", "kind", "state", "whole"])
+
+    pages = _pages(spark, sf_dir).select("ord", "html")
+    return pages.mapInArrow(states, "ord long, kind string, state string, whole boolean")
+
+
 @query
 def warc_metadata(spark, sf_dir):
     rows = warc.archive_metadata(spark, _archive_folder(spark, sf_dir))

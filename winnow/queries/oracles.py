@@ -523,6 +523,27 @@ SELECT ord, target_uri, status, content_length, {_SHA_CONTENT} FROM typed""",
     "warc_scan": f"""WITH {CAPTURES} SELECT target_uri, status,
   strlen('HTTP/1.1 ' || statusline || 'xxContent-Type: text/htmlxxxx' || content) AS content_length,
   {_SHA_CONTENT} FROM typed""",
+    "warc_split_scan": f"""WITH {CAPTURES} SELECT packed, target_uri, status,
+  strlen('HTTP/1.1 ' || statusline || 'xxContent-Type: text/htmlxxxx' || content) AS content_length,
+  {_SHA_CONTENT} FROM typed, (SELECT unnest([true, false]) AS packed)""",
+    "warc_cdx_scan": f"""WITH {CAPTURES} SELECT target_uri, status,
+  strlen('HTTP/1.1 ' || statusline || 'xxContent-Type: text/htmlxxxx' || content) AS content_length,
+  {_SHA_CONTENT} FROM typed""",
+    "warc_index": f"""WITH {CAPTURES}, blocks AS (
+  SELECT target_uri, 'request' AS kind, 18 AS n FROM typed
+  UNION ALL
+  SELECT target_uri, 'response',
+    strlen('HTTP/1.1 ' || statusline || 'xxContent-Type: text/htmlxxxx' || content) FROM typed)
+SELECT target_uri, strlen('WARC/1.0xxWARC-Type: ' || kind || 'xxWARC-Target-URI: ' || target_uri
+  || 'xxContent-Length: ' || n || 'xxxx') + n + 4 AS length FROM blocks""",
+    "warc_quarantine": f"""WITH {CAPTURES}
+SELECT CASE WHEN ord % 7 <> 3 THEN target_uri END AS target_uri,
+  CASE WHEN ord % 7 <> 3 THEN sha256(content) END AS sha, ord % 7 = 3 AS broken FROM typed""",
+    "body_states": """WITH kinds AS (
+  SELECT * FROM (VALUES ('whole chunks', NULL), ('cut chunks', 'cut chunks'), ('whole gzip', NULL),
+    ('cut gzip', 'cut gzip'), ('not gzip', 'not gzip'), ('br', 'unknown encoding: br')) AS k(kind, state))
+SELECT page_id AS ord, kind, state,
+  kind IN ('whole chunks', 'cut chunks', 'whole gzip', 'br') AS whole FROM pages, kinds""",
     "warc_metadata": f"""WITH {CAPTURES}
 SELECT target_uri, 'request' AS warc_type, '/ HTTP/1.1' AS statusline, '18' AS content_length,
   NULL::VARCHAR AS payload_digest FROM typed
