@@ -184,3 +184,50 @@ def test_classified_links(spark):
         (False, True, True, "http://h.org/a"),
         (True, False, True, "http://o.org/b.png"),
     ]
+
+
+def _links(spark, html, url="http://h.org/d/p"):
+    frame = spark.createDataFrame([(0, url, html)], "ord long, url string, html string")
+    return [(r.link, r.link_text) for r in pg.page_links(frame).orderBy("pos").collect()]
+
+
+@pytest.mark.parametrize(
+    ("html", "wanted"),
+    [
+        ('<a title="see href=/bad" href="/good">t</a>', [("/good", "t")]),
+        ("<a title='x' data-href='/no'>t</a>", []),
+        ('<a href="/u">open <p>x</p> .. <a href=/v>v</a>', [("/u", "open x ..", ), ("/v", "v")]),
+        ("<a href=/x>one <a href=/y>two</a> three</a>", [("/x", "one"), ("/y", "two")]),
+        ("<a href=/x>one <abbr>two</abbr> <b title='</a>'>three</b></a> four", [("/x", "one two three")]),
+        ("<a href=/x>one<a>two</a>", [("/x", "one")]),
+        ("<a href=/x>one", [("/x", "one")]),
+        ("<a href=/x", []),
+        ("<a href>none</a><a href=>none</a><a href=''>own</a>", [("", "own")]),
+        ("<A HREF = '/x' href='/y'>t</A\n>", [("/x", "t")]),
+        ("<a\nhref=/a/b/>t</a foo>", [("/a/b/", "t")]),
+        ("<a href=/x>a < b</a> <a href=/y", [("/x", "a < b")]),
+        ("<a class=c/href=/x>t</a>", []),
+        ("<a class='c'href=/x>t</a>", [("/x", "t")]),
+    ],
+)
+def test_anchors_are_read_like_a_page_reader_does(spark, html, wanted):
+    found = _links(spark, f"<body>{html}", "http://h.org/d/p")
+    assert found == [("http://h.org" + link if link else "http://h.org/d/p", text) for link, text in wanted]
+
+
+def test_base_is_the_first_href_of_the_base_element(spark):
+    html = "<base title='href=/no' href=\" http://b.org/k/ \"><a href=z>t</a>"
+    assert _links(spark, html) == [("http://b.org/k/z", "t")]
+
+
+def test_hostile_anchors_are_read_in_linear_time(spark):
+    long = 200_000
+    pages = [
+        "<a href=/x>" * (long // 11), "<a href=/x>" + "<" * long, "<a " + "b=c " * (long // 4) + "href=/x>t</a>",
+        "<a href='" + "x" * long, "<a " + "href " * (long // 5) + ">t</a>", "<a href=/x>" + "<b " * (long // 3),
+        "<a" + " a='" * (long // 4) + ">", "<a href=/x>" + "</a" * (long // 3), "<base " + "x" * long,
+    ]
+    frame = spark.createDataFrame([(i, "http://h.org/", p) for i, p in enumerate(pages)], "ord long, url string, html string")
+    found = {(r.ord, r.link) for r in pg.page_links(frame).collect()}
+    assert {(0, "http://h.org/x"), (1, "http://h.org/x"), (2, "http://h.org/x")} <= found
+    assert pg.classify_links(frame).count() >= 3

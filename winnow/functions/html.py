@@ -24,22 +24,41 @@ FIRST_TITLE = (
 # The inside of a tag: ">" ends it unless it stands in a quoted value.  A tag begins with a letter,
 # "/", "!" or "?" behind "<"; any other "<" is text.
 INSIDE = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
-TAG = rf"<[A-Za-z/!?]{INSIDE}>"
-START_TAG = rf"(?s)^{TAG}"
+# A tag that is never closed takes the rest of the page, so that nothing is read twice.
+CLOSE = r"(?:>|\z)"
+TAG = rf"<[A-Za-z/!?]{INSIDE}{CLOSE}"
 BEFORE_BODY = rf"(?is)\A.*?<body\b{INSIDE}>"
-BASE_HREF = r"(?is)<base\s[^>]*?href\s*=\s*[\"']?([^\s\"'>]+)"
-ANCHOR = rf"(?is)<a\s{INSIDE}>.*?(?:</a\s*>|\z)"
-ANCHOR_ENDS = rf"(?is)^<a\s{INSIDE}>|</a\s*>\z"
-IMAGE = rf"(?is)<img\s{INSIDE}>"
-LINKED = rf"(?is)<(?:a|img)\s{INSIDE}>"
-HREF = r"(?is)[\s\"']href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-LINK_VALUE = r"(?is)[\s\"'](?:href|src)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+BASE = rf"(?is)<base(?=[\s/>]){INSIDE}{CLOSE}"
+# A link ends where it is closed, where the next one begins, or with the page; tags inside it are read whole,
+# so that neither mark counts in their attribute values.
+ANCHOR_START = rf"<a(?=[\s/>]){INSIDE}{CLOSE}"
+ANCHOR_END = rf"</a(?=[\s/>])[^>]*+{CLOSE}"
+ANCHOR = (
+    rf"(?is){ANCHOR_START}(?:[^<]++|<(?!/?a[\s/>])(?:[A-Za-z/!?]{INSIDE}{CLOSE})?+)*+(?:{ANCHOR_END})?+"
+)
+ANCHOR_ENDS = rf"(?is)^{ANCHOR_START}|{ANCHOR_END}\z"
+IMAGE = rf"(?is)<img\s{INSIDE}{CLOSE}"
+LINKED = rf"(?is)<(?:a|img)\s{INSIDE}{CLOSE}"
+VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)"
 ATTRIBUTE = r"[^\s\"'<>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
 BLOCK_TAG = (
     r"(?i)<(?:/?(?:address|article|aside|blockquote|body|dd|div|dl|dt|fieldset|figcaption|figure"
     r"|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th"
     rf"|thead|tr|ul)(?:\s{INSIDE})?/?>|br\s*/?>\s*<br\s*/?>)"
 )
+
+
+def attribute_pattern(names: str) -> str:
+    """The value of the first attribute of a closed start tag with one of ``names``, quotes included, as group 1.
+
+    Attributes are read from the left, so a name inside another one's value is no attribute.
+    """
+    others = rf"(?!(?:{names})[\s/>=])[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE}?+)?+"
+    return rf"(?is)^<[a-z][^\s/>]*+(?:[\s/]++|{others})*+(?:{names})\s*+=\s*+({VALUE})(?={INSIDE}>)"
+
+
+HREF = attribute_pattern("href")
+LINK_VALUE = attribute_pattern("href|src")
 # ------------------------------------------------------------------------------
 
 
@@ -111,13 +130,15 @@ def page_base(html: Column, page_url: Column) -> Column:
     def parts(given: Column) -> Column:
         return F.when(given != "", absolute_url(page_url, given)).otherwise(page_url)
 
-    href = F.when(F.contains(html, F.lit("<base")), F.regexp_extract(html, BASE_HREF, 1))
+    tag = F.regexp_extract(html, BASE, 0)
+    href = F.when(F.contains(F.lower(html), F.lit("<base")), strip_space(_unquoted(F.regexp_extract(tag, HREF, 1))))
     return base_parts(bind(F.coalesce(href, F.lit("")), parts))
 
 
 def images(seen: Column, base: Column | None = None) -> Column:
     """One attribute map per ``<img>`` of a visible page; ``src`` made absolute given its base."""
-    maps = F.transform(F.regexp_extract_all(seen, F.lit(IMAGE), F.lit(0)), attributes)
+    tags = F.filter(F.regexp_extract_all(seen, F.lit(IMAGE), F.lit(0)), lambda tag: F.endswith(tag, F.lit(">")))
+    maps = F.transform(tags, attributes)
     if base is None:
         return maps
 
@@ -151,7 +172,7 @@ def anchors(seen: Column, base: Column) -> Column:
 
     found = F.filter(
         F.regexp_extract_all(seen, F.lit(ANCHOR), F.lit(0)),
-        lambda element: F.rlike(F.regexp_extract(element, START_TAG, 0), F.lit(HREF)),
+        lambda element: F.rlike(element, F.lit(HREF)),
     )
     return bind(
         base, lambda parts: F.transform(found, lambda element, pos: read(parts, element, pos))

@@ -323,6 +323,30 @@ def classify_links(spark, sf_dir):
     return pg.classify_links(mixed).drop("url")
 
 
+@query
+def odd_anchor_links(spark, sf_dir):
+    return pg.page_links(src.anchor_pages(spark, sf_dir)).drop("url")
+
+
+@query
+def odd_anchor_texts(spark, sf_dir):
+    return pg.link_descriptions(src.anchor_pages(spark, sf_dir)).drop("url")
+
+
+@query
+def odd_anchor_classes(spark, sf_dir):
+    rows = pg.classify_links(src.anchor_pages(spark, sf_dir))
+    return rows.select("ord", "image", "internal", "link")
+
+
+@query
+def odd_anchor_extracts(spark, sf_dir):
+    """The extraction of the corpus build over the same pages."""
+    rows = pg.extract_pages(src.anchor_pages(spark, sf_dir), html="html", outputs=("links",))
+    both = [F.array_join(name, "|").alias(name) for name in ("links", "link_texts")]
+    return rows.select("ord", *both)
+
+
 @query
 def text_images(spark, sf_dir):
     shown = _pictures(spark, sf_dir).select(

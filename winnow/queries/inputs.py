@@ -36,6 +36,22 @@ def odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).withColumn("html", html)
 
 
+# Links that are not closed, stand in each other, or hold "href=" and "<a" in attribute values.
+ODD_ANCHORS = (
+    "<a title=\"see href=/bad\" href=\"/good\">titled</a>"
+    "<a href=\"/open\">open <p>par</p> and <a href=/next/>next</a> tail"
+    "<a href='/outer'>one <a name=x>anchor</a> two</a>"
+    "<a href=\"/alt\">see <img alt='<a href=/no>' title=\"src=/no\" src=\"/p.jpg\"> it</a>"
+    "<a data-href=\"/data\" HREF = /upper>up</A ><abbr href=/abbr>no link</abbr>"
+    "<a href=\"/last\">rest <i>of it"
+)
+
+
+def anchor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that end in odd anchors."""
+    return pages(spark, sf_dir).withColumn("html", F.concat("html", F.lit(ODD_ANCHORS)))
+
+
 def bare(url: Column) -> Column:
     return F.regexp_replace(url, r"[?#].*", "")
 

@@ -289,6 +289,17 @@ PAGE_ROWS = (
     f"SELECT page_id AS ord, url, replace(html, '<article>', '{_ODD}') || '<p>late &amp; last</p>' AS html"
     " FROM pages"
 )
+# What a reader of the odd anchors finds: path, text nodes joined by blanks, and joined directly.
+ODD_LINKS = """odd AS (SELECT * FROM (VALUES
+  (0, '/good', 'titled', 'titled'), (1, '/open', 'open  par  and', 'open par and'), (2, '/next/', 'next', 'next'),
+  (3, '/outer', 'one', 'one'), (4, '/alt', 'see   it', 'see  it'), (5, '/upper', 'up', 'up'),
+  (6, '/last', 'rest  of it', 'rest of it')) AS v(k, path, spaced, link_text))"""
+ODD_FOUND = f"""{ODD_LINKS}, {anchors('own', "SELECT page_id AS ord, url, html FROM pages")},
+found AS (
+  SELECT ord, pos, link, spaced, link_text FROM own
+  UNION ALL
+  SELECT page_id, 100000 + k, {pick('url', '^([a-z]+://[^/?#]*)', 1)} || path, spaced, link_text
+  FROM pages, odd)"""
 PICTURES = (
     "SELECT page_id AS ord, url, regexp_replace(html, '<a href=\"/([^\"]*)\">([^<]*)</a>',"
     " '<img width=320 src=''/s320/\\1.jpg'' alt=\"\\2\" />', 'g') AS html FROM pages"
@@ -488,6 +499,25 @@ SELECT ord, pos, generate_subscripts(links, 1) - 1 AS form, unnest(links) AS lin
 SELECT ord, pos, host || path AS src, alt, '320' AS width FROM picture_parts""",
     "page_links": f"WITH {anchors('found', PAGE_ROWS)}, {first_links('found')}"
     " SELECT ord, pos, link, link_text FROM first_links",
+    "odd_anchor_links": f"WITH {ODD_FOUND}, {first_links('found')}"
+    " SELECT ord, pos, link, link_text FROM first_links",
+    "odd_anchor_extracts": f"""WITH {ODD_FOUND}, {first_links('found')}
+SELECT ord, string_agg(link, '|' ORDER BY pos) AS links, string_agg(link_text, '|' ORDER BY pos) AS link_texts
+FROM first_links GROUP BY ord""",
+    "odd_anchor_texts": f"""WITH {ODD_FOUND}, texts AS (
+  SELECT ord, link, spaced, min(pos) AS pos FROM found WHERE starts_with(link, 'http')
+  GROUP BY ord, link, spaced),
+grouped AS (
+  SELECT ord, link, min(pos) AS pos,
+    coalesce(string_agg(spaced, '|' ORDER BY pos) FILTER (spaced <> ''), '') AS "desc"
+  FROM texts GROUP BY ord, link)
+SELECT ord, row_number() OVER (PARTITION BY ord ORDER BY pos) - 1 AS pos, link, "desc" FROM grouped""",
+    "odd_anchor_classes": f"""WITH {ODD_FOUND}, linked AS (
+  SELECT ord, false AS image, link FROM found
+  UNION ALL
+  SELECT page_id, true, {pick('url', '^([a-z]+://[^/?#]*)', 1)} || '/p.jpg' FROM pages)
+SELECT ord, image, contains(link, {part('p.url', 2)}) AS internal, link
+FROM linked JOIN pages p ON p.page_id = ord WHERE {is_candidate('link')}""",
     "link_descriptions": "WITH "
     + anchors(
         "found",
