@@ -33,7 +33,7 @@ from winnow.llm.bundles import expand_planes, ranges, squeeze_planes
 from winnow.llm.common import rows_of, store, write
 
 BLANK = "▁"
-BUNDLE_CHARS = 8 << 20
+BUNDLE_CHARS = 4 << 20
 SLICE_CHARS = 1 << 20  # aligned at a time
 LANES = 4096
 # One number for a pair: the id of the second tokenizer is above that of the first.
