@@ -11,11 +11,15 @@ one byte string that stands on its own:
 Ids are cut into blocks of ``BLOCK``.  Every block resets all its statistics, carries the crc32 of
 its ids (as little-endian u32) and can be decoded alone.
 
-Coding of one id mixes three predictions.  Order 2 and order 1 each propose the id that last
-followed the same two ids, or the same id, in this block; their probabilities adapt, and differ by
-whether the two agree.  What they leave goes to order 0: an adaptive distribution over the magnitude
-classes of the id's frequency rank, uniform inside a class.  The three shares of the interval drive a
-64-bit range coder that puts out 16 bits at a time.
+Coding of one id takes up to two binary decisions and then a magnitude class.  The first asks for the id that
+last followed the same two ids in this block.  Three predictions answer it: the hit rate of order 2, that of
+order 1 (which proposes the id that last followed the same one id), and the share that order 0, an adaptive
+distribution over the magnitude classes of frequency ranks, gives to that rank.  They are mixed with
+weights that adapt after every id to the chance each prediction gave to what came (Bayes' rule with a fixed
+share handed back to all).  The second decision asks for the id proposed by order 1, if it is another one,
+and mixes orders 1 and 0 in the same way.  What is left goes to order 0 alone: the class, then evenly inside
+it.  The shares of the interval drive a 64-bit range coder that puts out 16 bits at a time.  All
+statistics are whole numbers, so both directions agree on any machine.
 
 All blocks of a segment advance together, one id per step, as numpy arrays; the work per id is a
 fixed number of array operations in either direction.
@@ -31,14 +35,15 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import store
+from winnow.llm.chunk_tokens import ChunkCache, held, in_a_row
+from winnow.llm.common import prefix_sums, store
 
 MAGIC = b"WTOK\x01"
 BLOCK = 2048
-SEGMENT_IDS = BLOCK * 4096
+SEGMENT_IDS = BLOCK * 1024
 CLASSES = 18  # ranks up to 2**18
 END_ID = 2
 _S1, _S2 = 11, 12  # bits of the order-1 and order-2 tables of one block
@@ -52,6 +57,19 @@ _TARGETS = np.array(
 ).T.copy()
 
 
+_LEAST, _MOST = 32, 64512  # chances in 65536ths
+
+
+def _classes(ranks: np.ndarray) -> np.ndarray:
+    return np.frexp((ranks.astype(np.int64) + 1).astype(np.float64))[1] - 1
+
+
+def _posterior(weight: np.ndarray, chance: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    """Bayes' rule for one prediction, in 65536ths, without what the fixed share takes."""
+    after = (weight * chance) // mixed
+    return after - (after >> 6)
+
+
 class _Mixer:
     """Statistics of all blocks of a segment, one column per block."""
 
@@ -63,29 +81,62 @@ class _Mixer:
         self.base2 = np.arange(lanes, dtype=np.int64) << _S2
         self.hit2 = np.full((2, lanes), 16384, np.int64).ravel()
         self.hit1 = np.full((2, lanes), 8192, np.int64).ravel()
+        # Weights of orders 2 and 1 in the first decision and of order 1 in the second; order 0 has the rest.
+        self.first2 = np.full(lanes, 32768, np.int64)
+        self.first1 = np.full(lanes, 16384, np.int64)
+        self.second1 = np.full(lanes, 49152, np.int64)
         self.lane = np.arange(lanes, dtype=np.int64)
         self.lanes = lanes
+        self.kind_of = _classes(np.arange(max(1, symbols)))
         self.cdf = np.repeat(
             (np.arange(CLASSES + 1, dtype=np.int32) * _ONE // CLASSES)[:, None], lanes, axis=1
         )
         self.last1 = np.zeros(lanes, np.int64)
         self.last2 = np.zeros(lanes, np.int64)
 
+    def _order0(self, rank: np.ndarray, n: int) -> np.ndarray:
+        """The share of one rank, in 65536ths."""
+        kind, lane = self.kind_of[rank], self.lane[:n]
+        return ((self.cdf[kind + 1, lane] - self.cdf[kind, lane]).astype(np.int64) << 1) >> kind
+
     def predict(self, n: int):
-        """Candidates of orders 2 and 1 and the chances they get, for the first ``n`` blocks."""
+        """Ids proposed by orders 2 and 1 and their mixed chances, for the first ``n`` blocks."""
         one, two = self.last1[:n], self.last2[:n]
         self.at1 = self.base1[:n] + (((one * 40503) >> 4) & ((1 << _S1) - 1))
         self.at2 = self.base2[:n] + (((one * 40503 + two * 30011) >> 4) & ((1 << _S2) - 1))
-        c1, c2 = self.follow1[self.at1], self.follow2[self.at2]
-        self.state = self.lane[:n] + np.where(c1 == c2, self.lanes, 0)
-        return c2, c1, self.hit2[self.state], self.hit1[self.state]
-
-    def update(self, n: int, rank, is2, is1, p2, p1, miss, kind) -> None:
+        c2, c1 = self.follow2[self.at2], self.follow1[self.at1]
+        self.same = c1 == c2
+        self.state = self.lane[:n] + np.where(self.same, self.lanes, 0)
+        self.p2, self.p1 = self.hit2[self.state], self.hit1[self.state]
+        self.c1 = c1
+        share2, self.share1 = self._order0(c2, n), self._order0(c1, n)
+        self.by1 = np.where(self.same, self.p1, ((65536 - self.p1) * share2) >> 16)
+        self.by0 = share2
+        w2, w1 = self.first2[:n], self.first1[:n]
+        self.mix2 = np.clip((w2 * self.p2 + w1 * self.by1 + (65536 - w2 - w1) * share2) >> 16, _LEAST, _MOST)
+        v = self.second1[:n]
+        self.mix1 = np.clip((v * self.p1 + (65536 - v) * self.share1) >> 16, _LEAST, _MOST)
+        self.mix1[self.same] = 0  # asked already
+        return c2, c1, self.mix2, self.mix1
+
+    def update(self, n: int, rank, is2, is1, miss, kind) -> None:
         """Learn the coded rank; ``kind`` holds the classes of the missed blocks ``miss``."""
-        self.hit2[self.state] = np.clip(p2 + ((np.where(is2, 65536, 0) - p2) >> 5), 1024, 64512)
-        self.hit1[self.state] = np.where(
-            is2, p1, np.clip(p1 + ((np.where(is1, 65536, 0) - p1) >> 5), 1024, 64512)
-        )
+
+        def came(chance, hit):
+            return np.where(hit, chance, 65536 - chance)
+
+        w2, w1 = self.first2[:n], self.first1[:n]
+        chances = came(self.p2, is2), came(self.by1, is2), came(self.by0, is2)
+        mixed = np.maximum((w2 * chances[0] + w1 * chances[1] + (65536 - w2 - w1) * chances[2]) >> 16, 1)
+        self.first2[:n] = np.minimum(_posterior(w2, chances[0], mixed), 64000) + 341
+        self.first1[:n] = np.minimum(_posterior(w1, chances[1], mixed) + 341, 65536 - self.first2[:n])
+        v = self.second1[:n]
+        chances = came(self.p1, is1), came(self.share1, is1)
+        mixed = np.maximum((v * chances[0] + (65536 - v) * chances[1]) >> 16, 1)
+        after = np.minimum(_posterior(v, chances[0], mixed), 64512) + 512
+        self.second1[:n] = np.where(is2 | self.same, v, after)
+        self.hit2[self.state] = np.clip(self.p2 + ((np.where(is2, 65536, 0) - self.p2) >> 5), 1024, 64512)
+        self.hit1[self.state] = np.clip(self.p1 + ((np.where(rank == self.c1, 65536, 0) - self.p1) >> 5), 1024, 64512)
         self.follow1[self.at1] = rank
         self.follow2[self.at2] = rank
         self.last2[:n] = self.last1[:n]
@@ -115,13 +166,13 @@ def encode_blocks(ranks: np.ndarray, symbols: int) -> list[bytes]:
     if not lanes:
         return []
     sizes = np.minimum(BLOCK, len(ranks) - np.arange(lanes) * BLOCK)
-    plus = ranks.astype(np.int64) + 1
-    kinds = np.frexp(plus.astype(np.float64))[1].astype(np.int64) - 1
-    grid, classes = _grid(ranks.astype(np.uint32), lanes), _grid(kinds, lanes)
-    offsets = _grid((plus - (1 << kinds)).astype(np.uint64), lanes)
+    kinds = _classes(ranks)
+    grid, classes = _grid(ranks.astype(np.uint32), lanes), _grid(kinds.astype(np.uint8), lanes)
+    offsets = _grid((ranks.astype(np.int64) + 1 - (1 << kinds.astype(np.int64))).astype(np.uint32), lanes)
+    del kinds
     mixer = _Mixer(lanes, symbols)
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
-    out = np.zeros((lanes, 2 * BLOCK + 8), np.uint16)  # at most 36 bits per id
+    out = np.zeros((lanes, 3 * BLOCK + 8), np.uint16)  # at most 41 bits per id
     used = np.zeros(lanes, np.int64)
     for step in range(int(sizes.max())):
         n = _active(sizes, step)
@@ -136,17 +187,17 @@ def encode_blocks(ranks: np.ndarray, symbols: int) -> list[bytes]:
         start = np.where(is1, a, _U(0))
         size = np.where(is2, a, b)
         miss = np.flatnonzero(~(is2 | is1))
-        kind = classes[step, miss]
+        kind = classes[step, miss].astype(np.int64)
         if len(miss):
             unit = (rest[miss] - b[miss]) >> _U(15)
             lower = mixer.cdf[kind, miss].astype(_U)
             part = unit * (mixer.cdf[kind + 1, miss].astype(_U) - lower)
             part >>= kind.astype(_U)
-            start[miss] = a[miss] + b[miss] + unit * lower + part * offsets[step, miss]
+            start[miss] = a[miss] + b[miss] + unit * lower + part * offsets[step, miss].astype(_U)
             size[miss] = part
         low[:n] += start
         span[:n] = size
-        mixer.update(n, rank, is2, is1, p2, p1, miss, kind)
+        mixer.update(n, rank, is2, is1, miss, kind)
         short = np.flatnonzero(span < _BOTTOM)
         while len(short):
             at, reach = low[short], span[short]
@@ -211,7 +262,7 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int) -> np.ndarray:
         low[:n] += start
         span[:n] = size
         grid[step, :n] = rank
-        mixer.update(n, rank, is2, is1, p2, p1, miss, kind)
+        mixer.update(n, rank, is2, is1, miss, kind)
         short = np.flatnonzero(span < _BOTTOM)
         while len(short):
             at, reach = low[short], span[short]
@@ -273,17 +324,8 @@ def read_segment(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ids, lengths
 
 
-class _Words(dict):
-    """Word to place; unknown words get the next place and wait in ``new``."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self)
-        self.new.append(word)
-        return place
+def _cut_words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "replace").split()
 
 
 class WordTokenizer:
@@ -293,47 +335,24 @@ class WordTokenizer:
     white space and treats the pieces between it on their own.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
-        self.encoder = Tokenizer.from_file(path)
-        self.most = most_words
-        self._reset()
+        tokenizer = Tokenizer.from_file(path)
+
+        def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            words = [word.decode("utf-8", "replace") for word in new]
+            return in_a_row([e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
 
-    def _reset(self) -> None:
-        self.words = _Words()
-        self.flat: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.cache = ChunkCache([encode], cut=_cut_words)
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``end_id``, and ids per text."""
-        if len(self.words) > self.most:
-            self._reset()
-        look = self.words.__getitem__
-        places, counts = [], []
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            counts.append(len(words))
-            places.extend(map(look, words))
-        if self.words.new:
-            found = self.encoder.encode_batch_fast(
-                [word.decode("utf-8", "replace") for word in self.words.new], add_special_tokens=False
-            )
-            ids = [item.ids for item in found]
-            self.sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            self.flat.append(np.array([i for item in ids for i in item], np.uint32))
-            self.words.new.clear()
-            self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
-        flat, sizes = self.flat[0], self.sizes[0]
-        first = np.cumsum(sizes) - sizes
-        place = np.array(places, np.int64)
-        size = sizes[place]
-        after = np.cumsum(size)
-        picked = np.arange(after[-1] if len(after) else 0) + np.repeat(first[place] - (after - size), size)
-        words_after = np.cumsum(counts)
-        ids_after = np.r_[0, after][words_after]
-        ids = np.insert(flat[picked], ids_after, np.uint32(end_id))
-        return ids, np.diff(np.r_[0, ids_after]) + 1
+        (ids,), (sizes,), _ = self.cache.encode([text or "" for text in texts])
+        return np.insert(ids, np.cumsum(sizes), np.uint32(end_id)), sizes + 1
 
 
 def write_tokens(
@@ -343,7 +362,8 @@ def write_tokens(
     """Write the segments of all texts in ascending id order; returns the stored table.
 
     NULL texts are empty.  Rows that share an id stay in the order of a hash of their text, and a
-    NULL id comes first.  Columns: ``part``, ``seq``, ``ids`` (the row ids) and ``segment``.
+    NULL id comes first.  Columns: ``part``, ``seq``, ``inside`` (ids of earlier segments of the part), ``ids``
+    (the row ids), ``n`` (tokens) and ``segment``.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     ordered = (
@@ -354,25 +374,23 @@ def write_tokens(
     )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = held(("words", tokenizer_path), lambda: WordTokenizer(tokenizer_path))
         part, seq = TaskContext.get().partitionId(), 0
-        keys, ids, lengths, size = [], [], [], 0
+        keys, ids, lengths, size, inside = [], [], [], 0, 0
 
         def segment():
-            nonlocal keys, ids, lengths, size, seq
+            nonlocal keys, ids, lengths, size, seq, inside
             body = write_segment(np.concatenate(ids), np.concatenate(lengths))
             row = pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int64()), pa.array([seq], pa.int64()),
+                    pa.array([inside], pa.int64()),
                     pa.array([[k for chunk in keys for k in chunk.to_pylist()]], pa.list_(keys[0].type)),
                     pa.array([size], pa.int64()), pa.array([body], pa.binary()),
                 ],
-                ["part", "seq", "ids", "n", "segment"],
+                ["part", "seq", "inside", "ids", "n", "segment"],
             )
-            keys, ids, lengths, size, seq = [], [], [], 0, seq + 1
+            keys, ids, lengths, size, seq, inside = [], [], [], 0, seq + 1, inside + size
             return row
 
         for batch in batches:
@@ -390,7 +408,7 @@ def write_tokens(
 
     return store(
         ordered.mapInArrow(
-            segments, f"part long, seq long, ids array<{id_type}>, n long, segment binary"
+            segments, f"part long, seq long, inside long, ids array<{id_type}>, n long, segment binary"
         ),
         name,
     )
@@ -399,21 +417,9 @@ def write_tokens(
 def read_tokens(segments: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, ``start``, ``n_tokens`` and ``ids`` (binary, little-endian u32)."""
     id_type = segments.schema["ids"].dataType.elementType.simpleString()
-    # One row per segment (millions of ids each): parts are summed first, then put in order.
-    parts = segments.groupBy("part").agg(F.sum("n").alias("n"))
-    before = parts.withColumn(
-        "before",
-        F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
-    inside = F.sum("n").over(
-        Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        segments.select("part", "seq", "n")
-        .withColumn("inside", F.coalesce(inside, F.lit(0)))
-        .join(before.select("part", "before"), "part")
-        .select("part", "seq", (F.col("before") + F.col("inside")).alias("base"))
-    )
+    # A segment knows its place in its part, so one short row per part is all that is summed and joined.
+    totals = segments.groupBy("part").agg(F.sum("n").alias("total"))
+    bases = store(prefix_sums(totals, "part", "total", "before"), "bases")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -436,7 +442,7 @@ def read_tokens(segments: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     )
 
     return (
-        segments.join(starts, ["part", "seq"])
-        .select("ids", "segment", "base")
+        segments.join(bases.select("part", "before"), "part")
+        .select("ids", "segment", (F.col("before") + F.col("inside")).alias("base"))
         .mapInArrow(documents, f"`{id_col}` {id_type}, start long, n_tokens long, ids binary")
     )
