@@ -10,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
-from cases import ODD, documents, empty_docs, odd_docs
+from tests.llm.cases import ODD, documents, empty_docs, odd_docs
 from tokenizers import Tokenizer
 
 from winnow.llm import chunk_tokens, divergence, packing

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from tests.llm.cases import ODD, SF, documents, empty_docs, odd_docs
 from winnow.llm import chat_windows, token_file
@@ -254,3 +255,15 @@ def test_model_kind_and_cuts(pieces):
     cut = lattice.Cutter(pieces)
     assert cut.words("") == [] and cut.words("the cat\nsat") == ["▁the", "▁cat", "\n", "sat"]
     assert all("".join(cut.words(t or "")) in ("", "▁" + (t or "").replace(" ", "▁")) for _, t in ODD)
+
+
+def test_windows_keep_their_budget_in_tokens(spark):
+    """Token counts are those of the finished windows; one above the budget is a single turn, and marked."""
+    windows = chat_windows.format_windows(
+        spark.read.parquet(f"{SF}/conversations.parquet"), WORDS, budget=256, history=64
+    ).collect()
+    encoder = Tokenizer.from_file(WORDS)
+    counts = [len(e.ids) for e in encoder.encode_batch([w.text for w in windows], add_special_tokens=False)]
+    assert [w.n_tokens for w in windows] == counts
+    assert [w.over_budget for w in windows] == [n > 256 for n in counts]
+    assert len(windows) > 20

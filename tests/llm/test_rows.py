@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -36,7 +37,7 @@ def plain_measures(text):
 @given(st.lists(st.sampled_from(["a", "b", "c", "#x", "\n", " ", "\t"]), max_size=60).map(" ".join))
 def test_quality_measures(text):
     found = quality_rules.measure(text)
-    assert (*found[:5], found[7]) == plain_measures(text)
+    assert (*found[:5], found[8]) == plain_measures(text)
 
 
 def test_quality_query_on_table(spark):
@@ -58,9 +59,77 @@ def test_quality_coverage_without_hash_luck(monkeypatch):
 
 
 def test_quality_long_repeats_fail():
-    assert not quality_rules.measure("one two three four five six\n" * 30)[8]
-    assert quality_rules.measure(" ".join(f"w{i}" for i in range(50)))[8]
-    assert not quality_rules.measure(" ".join(f"w{i}##" for i in range(50)))[8]
+    assert not quality_rules.measure("one two three four five six\n" * 30)[9]
+    assert quality_rules.measure(" ".join(f"w{i}" for i in range(50)))[9]
+    assert not quality_rules.measure(" ".join(f"w{i}##" for i in range(50)))[9]
+
+
+def plain_verdict(text):
+    """Rules that fail beyond the base rule, counted window by window."""
+    words, failed = re.findall(WORD, text), set()
+    chars = sum(map(len, words))
+    for n, limit in {**quality_rules.TOP_LIMITS, **quality_rules.COVERAGE_LIMITS}.items():
+        windows = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+        count = Counter(windows)
+        chosen = {w for w, k in count.items() if k > 1}
+        if n < 5:  # dictionaries keep the order of first appearance, and so does max
+            chosen &= {max(count, key=count.get)} if count else set()
+        inside = {i + k for i, w in enumerate(windows) if w in chosen for k in range(n)}
+        if inside and sum(len(words[i]) for i in inside) / chars > limit:
+            failed.add(f"top_{n}" if n < 5 else f"repeat_{n}")
+    return failed
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bb", "ccc", "d", "e", "f", "g"]), max_size=80).map(" ".join))
+def test_quality_verdict(text):
+    found = set(quality_rules.measure(text)[10].split(",")) - {"", "lines", "symbols"}
+    assert found == plain_verdict(text)
+
+
+def test_quality_limits_bind():
+    """Texts that pass the base rule and have few symbols, but repeat too much."""
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.1/documents.parquet'").fetchall()
+    alone = 0
+    for (text,) in texts:
+        row = quality_rules.measure(text)
+        if not row[8] and row[10] and "symbols" not in row[10]:
+            assert not row[9] and set(row[10].split(",")) - {"lines"} == plain_verdict(text)
+            alone += 1
+    assert alone > 20
+
+
+@pytest.mark.parametrize("text", ["\u00b2\u00bd\u2460\u2167", "12 _ !", "\U0001f642", "", None])
+def test_texts_without_a_letter_have_no_language(text):
+    assert not language_id.has_letter(text)
+    assert language_id.has_letter((text or "") + "\u00b2x") and language_id.has_letter("\U00010400")
+
+
+def test_long_texts_are_scored_like_short_ones(monkeypatch):
+    weights = np.random.default_rng(3).normal(size=(language_id.BUCKETS, 3))
+    model = language_id.Model(("a", "b", "c"), weights, np.zeros(3), 1.0)
+    text = "some words \u00e9\u00e8, and more  of them " * 40
+    whole = model.predictor()(text)
+    monkeypatch.setattr(language_id, "_SLICE", 50)
+    lang, score = model.predictor()(text)
+    assert lang == whole[0] and abs(score - whole[1]) < 1e-9
+
+
+def test_code_is_no_secret():
+    for text in ('SECRET_KEY = os.environ["X"] or 1', "secret_key = load(1)", "password = config.db.password"):
+        assert secret_scan.named_spans(text) == []
+    assert secret_scan.named_spans('x = "hunter2hunter2"\nadmin_passphrase = x')
+
+
+def test_one_line_of_json_is_read_in_linear_time():
+    def seconds(n):
+        text = "{" + ", ".join(f'"key{i}": {i}, "db_password": "pw{i}{i}xQz9"' for i in range(n)) + "}"
+        start = time.process_time()
+        assert len(secret_scan.named_spans(text)) >= n - 1
+        return time.process_time() - start
+
+    seconds(2000)
+    assert seconds(40_000) < 12 * max(0.05, seconds(10_000))
 
 
 def plain_base_spans(text):
