@@ -36,7 +36,6 @@ from winnow.llm.common import map_texts
 START, END = "<|im_start|>", "<|im_end|>"
 CHUNK = 2048
 TURN_BLOCK = 4096  # turn values per numbering block
-TURN_OVERHEAD = 4  # tokens of the marks around a turn
 _ESCAPE, _UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 
 
@@ -56,6 +55,11 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role), flags=re.DOTALL)
 
 
+def format_turn(role: str, text: str) -> tuple[str, str, str]:
+    """What stands before the escaped text of a turn, the escaped text, and what stands behind it."""
+    return f"{START}{escape_role(role)}\n", escape(text), f"{END}\n"
+
+
 def parse(window: str) -> list[tuple[str, str, int, int]]:
     """Role, text and the place of the escaped text of every turn of a window."""
     turns, at = [], 0
@@ -153,10 +157,17 @@ def format_windows(
 
     def setup():
         count = token_counter(tokenizer_path)
-        return lambda texts: [[n + TURN_OVERHEAD for n in count(texts)]]
 
+        def work(turns):
+            # A turn ends in a line break, which no token spans: those of a window are those of its turns.
+            cut = [turn.partition(":") for turn in turns]
+            return [count(["".join(format_turn(rest[: int(n)], rest[int(n) :])) for n, _, rest in cut])]
+
+        return work
+
+    both = F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")
     counted = map_texts(
-        dealt.withColumn("_counted", F.concat_ws(" ", "role", "text")), setup, "tokens long",
+        dealt.withColumn("_counted", both), setup, "tokens long",
         ["conv_id", "chunk", "pos", "role", "text"], "_counted",
     )
 
@@ -190,12 +201,12 @@ def format_windows(
                 new = [*system, *turns[start:end]] if new_system else turns[start:end]
                 parts, loss, at = [], [], 0
                 for k, (_, _, _, role, text, _) in enumerate([*repeated, *new]):
-                    head, body = f"{START}{escape_role(role)}\n", escape(text)
-                    parts += [head, body, END, "\n"]
+                    head, body, foot = format_turn(role, text)
+                    parts += [head, body, foot]
                     at += len(head)
                     if role == "assistant" and k >= len(repeated):
                         loss.append({"start": at, "end": at + len(body)})
-                    at += len(body) + len(END) + 1
+                    at += len(body) + len(foot)
                 yield (conv, new[0][2], len(new), len(repeated), "".join(parts), loss, size, size > budget)
 
         names = ["conv_id", "start", "n_turns", "n_repeated", "text", "loss", "n_tokens", "over_budget"]
