@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,28 +26,40 @@ from winnow.llm.common import map_texts, runs
 BUCKETS = 1 << 16
 SCALE = 30.0  # texts sum to about this weight, whatever their length
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
-_SLICE = 1 << 18  # code points handled at once
+_LETTER = re.compile(r"[^\W\d_]+")  # with numerals such as U+00BD, which are no letters
+_SLICE = 1 << 18  # n-grams of a kind handled at once
 
 
+def has_letter(text: str | None) -> bool:
+    return any(any(map(str.isalpha, found[0])) for found in _LETTER.finditer(text or ""))
+
+
+@cache
 def _letters() -> np.ndarray:
-    """For every code point of the basic plane: itself if a letter, else a blank."""
-    points = np.arange(1 << 16, dtype=np.uint32)
-    keep = np.fromiter((chr(c).isalpha() for c in range(1 << 16)), bool, 1 << 16)
+    """For every code point: itself if a letter, else a blank."""
+    points = np.arange(0x110000, dtype=np.uint32)
+    keep = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     return np.where(keep, points, 32).astype(np.uint32)
 
 
-def buckets(text: str, table: np.ndarray) -> np.ndarray:
-    """Hashed n-grams of a text, in order, repeats included."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    x = np.where(points < 1 << 16, table[np.minimum(points, (1 << 16) - 1)], points)
+def letters(text: str, table: np.ndarray) -> np.ndarray:
+    """Letters of a text as code points, with one blank for all between them and at both ends."""
+    x = table[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)]
     keep = np.ones(len(x), bool)
     keep[1:] = (x[1:] != 32) | (x[:-1] != 32)
-    x = x[keep]
+    return x[keep]
+
+
+def grams(x: np.ndarray, most: int | None = None) -> np.ndarray:
+    """Hashed n-grams that begin at the first ``most`` places, repeats included."""
     two = x[:-1] * np.uint32(0x9E3779B1) + x[1:] * np.uint32(0x85EBCA77)
     three = (two[:-1] ^ (two[:-1] >> np.uint32(15))) * np.uint32(0xC2B2AE3D) + x[2:] * np.uint32(0x27D4EB2F)
     shift = np.uint32(16)
-    return np.concatenate([two >> shift, three >> shift]).astype(np.int64)
+    return np.concatenate([two[:most] >> shift, three[:most] >> shift]).astype(np.int64)
+
+
+def buckets(text: str, table: np.ndarray) -> np.ndarray:
+    return grams(letters(text, table))
 
 
 @dataclass(frozen=True)
@@ -62,15 +75,15 @@ class Model:
 
         def logits(text: str) -> np.ndarray:
             total, count = np.zeros(weights.shape[1]), 0
-            for at in range(0, len(text), _SLICE):
-                # Slices share two code points, so no n-gram between them is lost.
-                found = buckets(text[max(0, at - 2) : at + _SLICE], table)
+            x = letters(text, table)
+            for at in range(0, len(x) - 1, _SLICE):  # n-grams of long texts in turn
+                found = grams(x[at : at + _SLICE + 2], _SLICE)
                 total += weights[found].sum(axis=0, dtype=np.float64)
                 count += len(found)
             return total * (SCALE / max(1, count)) + self.bias
 
         def predict(text: str | None) -> tuple[str, float]:
-            if not text or not _LETTER.search(text) or not self.languages:
+            if not text or not self.languages or not has_letter(text):
                 return UNDETERMINED, 0.0
             z = logits(text) / self.temperature
             p = np.exp(z - z.max())
@@ -164,9 +177,13 @@ def fit(
     total, df = document_frequencies(rows, text_col)
     idf = np.log((1.0 + total) / (1.0 + df)) + 0.1
 
-    place = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
+    # The ids of smallest hash.  A threshold from the counts lets about twice as many rows of a language
+    # reach its window, however many it has.
+    keys = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")).withColumn("_hash", F.xxhash64("_id"))
+    limits = keys.groupBy("_lang").agg((F.lit(2.0**65 * sample_rows) / F.count(F.lit(1)) - 2.0**63).alias("_limit"))
+    place = Window.partitionBy("_lang").orderBy("_hash", "_id")
     picked = (
-        rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
+        keys.join(limits, "_lang").filter(F.col("_hash") <= F.col("_limit"))
         .withColumn("_place", F.row_number().over(place))
         .filter(F.col("_place") <= sample_rows)  # pushed before the shuffle as a group limit
         .select("_id", "_lang")
