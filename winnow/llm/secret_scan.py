@@ -187,15 +187,18 @@ def _together(values: list[_Value]) -> _Value:
     return _Value(spans, None, quoted, sums)
 
 
-def _target(text: str, at: int) -> str | None:
-    """The name that ends before position ``at``: bare, quoted or followed by ``[...]``."""
+def _target(text: str, at: int, line: int) -> str | None:
+    """The name that ends before position ``at``: bare, quoted or followed by ``[...]``.
+
+    ``line`` is where the line of ``at`` begins.
+    """
     end = at
     while end and text[end - 1] in " \t":
         end -= 1
     if end and text[end - 1] == "]":
         end -= 1
     if end and text[end - 1] in "\"'`":
-        start = text.rfind(text[end - 1], text.rfind("\n", 0, end - 1) + 1, end - 1)
+        start = text.rfind(text[end - 1], line, end - 1)
         return text[start + 1 : end - 1] if start >= 0 else None
     start = end
     while start and text[start - 1] in _NAME_CHARS:
@@ -206,13 +209,13 @@ def _target(text: str, at: int) -> str | None:
     while before and text[before - 1] in " \t":
         before -= 1
     if before and text[before - 1] == ":" and text[at] != ":":  # ``name: type = value``
-        return _target(text, before - 1) or text[start:end]
+        return _target(text, before - 1, line) or text[start:end]
     return text[start:end]
 
 
 def assignments(text: str) -> Iterator[tuple[str, list, bool]]:
     """Name, parts and place of every assignment; a part is ``(kind, value, start, end)``."""
-    done = 0
+    done, line, line_end = 0, 0, text.find("\n")
     for operator in _OPERATOR.finditer(text):
         at, end = operator.span()
         if at < done:
@@ -221,7 +224,9 @@ def assignments(text: str) -> Iterator[tuple[str, list, bool]]:
             continue
         if at and text[at - 1] == ":":
             continue
-        name = _target(text, at)
+        while 0 <= line_end < at:
+            line, line_end = line_end + 1, text.find("\n", line_end + 1)
+        name = _target(text, at, line)
         if not name:
             continue
         parts, place = [], end
@@ -256,6 +261,8 @@ def named_spans(text: str) -> list[tuple[int, int]]:
         for kind, value, start, end in parts:
             if kind == "name" and (value in constants or len(parts) > 1):
                 values.append(constants.get(value))
+            elif kind == "name" and ("." in value or text[end : end + 1] in ("(", "[")):
+                continue  # code, not a literal
             else:
                 values.append(_Value([False, start, end], value, kind == "literal"))
         values = [value for value in values if value]
