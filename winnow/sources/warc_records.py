@@ -146,9 +146,11 @@ def records(
                 start = _next_start(handle, begun + 1, stop, packed)
                 there = stop if start is None else start
                 passed = f"bytes from {begun} to {'the end' if there is None else there} passed over"
-                inside = 0 if packed and begun != member else inside + 1
-                member = begun if packed else 0
-                yield {"member": member, "record": inside, "archive": archive, "_error": f"{said}; {passed}"}
+                if packed:
+                    inside = 0 if begun != member else inside + 1
+                    member = begun
+                # In plain files, where rows have member 0, such a row has the offset of the damage there.
+                yield {"member": begun, "record": inside, "archive": archive, "_error": f"{said}; {passed}"}
 
 
 def _next_start(handle, after: int, stop: int | None, packed: bool) -> int | None:
