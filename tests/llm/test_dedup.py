@@ -159,6 +159,44 @@ def test_items_and_documents_have_the_same_words(space):
     assert [[(x["similarity"], x["start"]) for x in one] for one in leaks] == [[(1.0, 2)], [(1.0, 0)], [(1.0, 0)]]
 
 
+def clipped_best(words, own):
+    """Best similarity of an item to a passage of its size, or to one cut by the ends of the text."""
+    size, n = len(own), min(5, len(own))
+    grams = decontaminate.shingles(own, n)
+    passages = (words[max(0, at) : max(0, at + size)] for at in range(-size, len(words)))
+    return max((decontaminate.similarity(decontaminate.shingles(p, n), grams) for p in passages), default=0.0)
+
+
+def test_leaks_do_not_depend_on_neighbours_or_partitions(spark):
+    """Edited and cut passages: no false one, nearly all true ones, alike under any partitioning."""
+    rng = np.random.default_rng(8)
+    sizes = [1, 2, 3, 4, 5, 8, 9, 11, 12, 16, 24, 31, 44, 57, 90]
+    own = [[f"item{k}x{j}" for j in range(n)] for k, n in enumerate(sizes)]
+    rows = []
+    for i in range(600):
+        words = list(own[i % len(own)])
+        for _ in range(rng.integers(0, 3)):
+            at = int(rng.integers(0, len(words)))
+            words[at : at + int(rng.integers(0, 2))] = ["other"] * int(rng.integers(0, 2))
+            words = words or ["other"]
+        words = words[int(rng.integers(0, 1 + len(words) // 6)) :]
+        filler = [f"f{k}" for k in rng.integers(0, 500, 40)]
+        cut = int(rng.integers(0, 40)) if i % 4 else 0
+        rows.append((i, " ".join([*filler[:cut], *words, *filler[cut : None if i % 4 else 0]])))
+    items = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(own)], "item_id int, text string")
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    results = []
+    for parts in (1, 7, 40):
+        found = decontaminate.find_leaks(docs.repartition(parts), items).collect()
+        results.append({r.doc_id: sorted((x["item"], x["similarity"], x["start"]) for x in r.leaks) for r in found})
+    assert results[0] == results[1] == results[2]
+    expected = {(i, k) for i, text in rows for k, w in enumerate(own) if clipped_best(text.split(), w) >= 0.8}
+    given = {(i, k) for i, leaks in results[0].items() for k, *_ in leaks}
+    assert given <= expected and len(given) >= 0.98 * len(expected)
+    short = {(i, k) for i, k in expected if sizes[k] < 9}
+    assert short and short <= given
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(6)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

@@ -2,19 +2,22 @@
 
 * Words are cut at Unicode white space, in items and documents alike, lower-cased and stripped of outer punctuation.  A window's fingerprint is the 64-bit
   majority vote of its words' XXH64 hashes, from running counts per bit.
-* Windows have the sizes of the items, rounded down to a geometric series, and start at every
-  ``STRIDE``-th word.  Every item is indexed at its first ``STRIDE`` offsets, so one of them lines
-  up with a window wherever a passage starts.
+* Windows have four fifths of the sizes of the items, rounded down to a geometric series, and start at
+  every ``STRIDE``-th word of a text.  Every item is indexed at all offsets, so that a passage meets
+  two aligned windows or more wherever it starts, a cut one too.  A window lies in one text:
+  what is found in a text depends on it alone, not on its neighbours or the partitioning.
 * Multi-index: of the four 16-bit blocks of two fingerprints within ``RADIUS`` (7) bits, one differs in
   at most one bit.  Each block table lists every fingerprint under its value and the 16
   neighbours of it, so a look-up finds *all* fingerprints within the radius.
 * Every candidate is checked on the words: weighted Jaccard similarity (multiplicities as weights) of
-  five-word shingles between the item and the passage, best of a few shifts, at least 0.8.
+  five-word shingles between the item and the passage, best of a few shifts, at least 0.8.  The
+  passage has as many words as the item, fewer where the text begins or ends inside it.
 
 The benchmark is measured first and cut into slices of bounded size; each slice is broadcast in
 turn, so the index never outgrows a task.  Work is row-local: a passage that many documents share
-costs each of them the same.  NULL and empty texts hold nothing; items shorter than five words have
-no shingle and are never found; repeated items are reported under each of their ids.
+costs each of them the same.  NULL and empty texts hold nothing, and NULL and empty items are in no
+text; an item shorter than five words is one shingle, found where its words stand in a row; repeated
+items are reported under each of their ids.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ RADIUS = 7
 STRIDE = 4
 SHINGLE = 5
 SIMILARITY = 0.8
-SLICE_ITEMS, SLICE_CHARS = 20_000, 32 << 20
+SLICE_ITEMS, SLICE_CHARS = 20_000, 4 << 20
 _CHUNK = 1 << 16  # words at once
 _EDGES = ".,;:!?\"'()[]{}<>«»“”‘’…-–—*_`|/\\#$%&"
 
@@ -67,9 +70,14 @@ def _stride(n: int) -> int:
 
 
 def _window(n: int) -> int:
-    """Window size for items of ``n`` words: the next lower value of a geometric series."""
-    room, size = n - (_stride(n) - 1), 1
-    while (up := max(size + 1, size * 5 // 4)) <= room:
+    """Window size for items of ``n`` words: the next lower value of a geometric series.
+
+    An item of less than nine words must be met whole; a longer one leaves room for two aligned windows.
+    """
+    if n < 9:
+        return n
+    room, size = min(n - 2 * _stride(n) + 1, n * 4 // 5), 1
+    while (up := max(size + 1, size * 4 // 3)) <= room:
         size = up
     return size
 
@@ -112,7 +120,7 @@ class _Blocks:
             key = (blocks[:, k, None] ^ near).ravel()
             order = np.argsort(key, kind="stable")
             bounds = np.searchsorted(key[order], np.arange(65537))
-            self.tables.append((np.diff(bounds) > 0, bounds, order // len(near)))
+            self.tables.append((np.diff(bounds) > 0, bounds, (order // len(near)).astype(np.int32)))
 
     def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs (query, entry) within the radius."""
@@ -142,15 +150,15 @@ class Index:
         self.ids, self.words = [], []
         for item, text in items:
             words = [normal(word) for word in words_of(text)]
-            if len(words) >= SHINGLE:
+            if words:
                 self.ids.append(item)
                 self.words.append(words)
-        self.grams = [shingles(words) for words in self.words]
+        self.grams = [shingles(words, min(SHINGLE, len(words))) for words in self.words]
         entries: dict[tuple[int, int], list] = {}
         for k, words in enumerate(self.words):
             size, stride = _window(len(words)), _stride(len(words))
             hashes = np.array([_hash(word) for word in words], np.uint64)
-            prints = _prints(_running(hashes, len(hashes) + 1), size, 1)[:stride]
+            prints = _prints(_running(hashes, len(hashes) + 1), size, 1)
             entries.setdefault((size, stride), []).extend((p, k, offset) for offset, p in enumerate(prints))
         self.classes = []
         for (size, stride), rows in sorted(entries.items()):
@@ -160,25 +168,33 @@ class Index:
             )
         self.longest = max((size for size, *_ in self.classes), default=0)
 
-    def candidates(self, hashes: np.ndarray) -> set[tuple[int, int]]:
-        """Pairs (start of the passage, item) over a run of words."""
-        found: set[tuple[int, int]] = set()
+    def candidates(self, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> set[tuple[int, int, int]]:
+        """Triples (text, start of the passage, item) over a run of words.
+
+        ``begins`` and ``ends`` are those of the texts; all begin at multiples of ``STRIDE``.
+        """
+        found: set[tuple[int, int, int]] = set()
         for at in range(0, len(hashes), _CHUNK):
             # A chunk overlaps the next one by the longest window.
             chunk = np.ascontiguousarray(hashes[at : at + _CHUNK + self.longest])
             running = _running(chunk, self.longest + 1)
             for size, stride, blocks, items, offsets in self.classes:
                 query, entry = blocks.search(_prints(running, size, stride))
-                start = query * stride + at - offsets[entry]
-                found.update(zip(start.tolist(), items[entry].tolist(), strict=True))
+                window = query * stride + at
+                text = np.searchsorted(begins, window, side="right") - 1
+                inside = window + size <= ends[text]
+                text, start, item = text[inside], (window - offsets[entry])[inside], items[entry[inside]]
+                found.update(zip(text.tolist(), start.tolist(), item.tolist(), strict=True))
         return found
 
     def check(self, words: Sequence[str], start: int, item: int) -> tuple[float, int]:
         """Best similarity of the item to the passage near ``start``, and where it starts."""
         best = (0.0, start)
+        size = len(self.words[item])
         for shift in (0, 1, -1, 2, -2):
             at = max(0, start + shift)
-            found = similarity(shingles(words[at : at + len(self.words[item])]), self.grams[item])
+            passage = words[at : max(0, start + shift + size)]
+            found = similarity(shingles(passage, min(SHINGLE, size)), self.grams[item])
             if found > best[0]:
                 best = (found, at)
             # A passage that fits at another shift shares shingles at this one.
@@ -212,26 +228,22 @@ def _searcher(index: Index, threshold: float, most_words: int = 150_000):
             vocabulary.clear()
             vocabulary.normal.clear()
             vocabulary.hashes.clear()
-        numbers, ends = [], []
+        numbers, begins, ends = [], [], []
         look = vocabulary.__getitem__
         for text in texts:
+            begins.append(len(numbers))
             numbers.extend(map(look, words_of(text)))
             ends.append(len(numbers))
+            # Texts are kept apart by words that no window sees.
+            numbers.extend([look("")] * (STRIDE - len(numbers) % STRIDE))
         found: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
         if numbers and index.classes:
             numbers = np.array(numbers, np.int64)
-            bounds = np.array(ends)
             table = np.r_[table, np.array(vocabulary.hashes[len(table) :], np.uint64)]
-            hashes = table[numbers]
-            for start, item in index.candidates(hashes):
-                # Windows may run over the end of a text; a passage belongs to the text it fills.
-                size = len(index.words[item])
-                row = int(np.searchsorted(bounds, max(start, 0) + size // 2, side="right"))
-                if row == len(texts):
-                    continue
-                first = int(bounds[row - 1]) if row else 0
+            for row, start, item in sorted(index.candidates(table[numbers], np.array(begins), np.array(ends))):
+                first = begins[row]
                 low = max(first, start - 2)
-                words = [vocabulary.normal[n] for n in numbers[low : min(bounds[row], start + size + 2)]]
+                words = [vocabulary.normal[n] for n in numbers[low : min(ends[row], start + len(index.words[item]) + 2)]]
                 score, at = index.check(words, start - low, item)
                 if score >= threshold and score > found[row].get(item, (0.0, 0))[0]:
                     found[row][item] = (score, at + low - first)
