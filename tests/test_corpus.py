@@ -8,11 +8,15 @@ import re
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnow.functions.text import TERMS
 from winnow.operators.captures import results_with_dates
+from winnow.operators.pages import extract_pages
 from winnow.plans import corpus as cx
 from winnow.plans import jobs
+from winnow.schemas import LISTING_PAGE
 from winnow.sinks import files as out
 from winnow.sources import files as rd
 
@@ -282,6 +286,80 @@ def test_image_paths_and_files(spark):
     assert [(r.path, bytes(r.content)) for r in kept] == [("00001/a_b.jpg", b"\x03")]
 
 
+def plain_names(names):
+    """Number of earlier names with the same end before a repeated name; zeros where a row is called so."""
+    stored = []
+    for i, name in enumerate(names):
+        if name not in names[:i]:
+            stored.append(name)
+            continue
+        counts = [sum(n.endswith(name) for n in names[:k]) for k, n in enumerate(names) if n == name]
+        number = sum(n.endswith(name) for n in names[:i])
+        heads = [n[: -len(name) - 1] for n in names if n.endswith("_" + name)]
+        digits = [len(h) for h in heads if h.isdigit()]
+        if str(number) in heads:
+            number = str(number).zfill(max([len(str(max(counts))), *digits]) + 1)
+        stored.append(f"{number}_{name}")
+    return stored
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_image_names_are_unique(spark, parts):
+    rng = random.Random(5)
+    posts = {f"p{k}": [] for k in range(12)}
+    some = ["pic.jpg", "1_pic.jpg", "01_pic.jpg", "2_pic.jpg", "mypic.jpg", "1_1_pic.jpg", "007_pic.jpg", "g", "gg", "x.png"]
+    for k, names in enumerate(posts.values()):
+        names.extend(rng.choice(some[: 2 + k % len(some)]) for _ in range(60 if k == 0 else 14))
+    posts["p12"] = ["pic.jpg", "1_pic.jpg", "pic.jpg"]
+    rows = [(p, i, n) for p, names in posts.items() for i, n in enumerate(names)]
+    rows = [(o, p, i, n) for o, (p, i, n) in enumerate(rows)]
+    frame = spark.createDataFrame(
+        [(o, p, f"http://h/{o}/{n}") for o, p, _, n in rng.sample(rows, len(rows))], "ord long, ptid string, imgurl string"
+    )
+    found = out.image_paths(frame.repartition(parts), force_unique=True).orderBy("ord").collect()
+    assert len(found) == len(rows) and len({r.path for r in found}) == len(rows)
+    expected = [f"{p}/{n}" for p, names in posts.items() for n in plain_names(names)]
+    assert [r.path for r in found] == expected
+    assert expected[-3:] == ["p12/pic.jpg", "p12/1_pic.jpg", "p12/2_pic.jpg"]
+
+
+def test_failed_export_leaves_whole_files_only(spark, tmp_path):
+    """A task that dies inside a file leaves neither a torn file nor its attempt; a second run completes."""
+    good = [(f"d{i % 3}/{i}.txt", f"body {i}") for i in range(30)]
+    rows = spark.createDataFrame([*good, ("d0/bad.txt", None)], "path string, body string").coalesce(1)
+    folder = tmp_path / "files"
+    with pytest.raises(Exception, match="NoneType"):
+        out.write_files(rows, str(folder))
+    written = {str(p.relative_to(folder)): p.read_text() for p in folder.rglob("*") if p.is_file()}
+    assert written.items() <= dict(good).items()
+    out.write_files(rows.where("body IS NOT NULL"), str(folder))
+    written = {str(p.relative_to(folder)): p.read_text() for p in folder.rglob("*") if p.is_file()}
+    assert written == dict(good) and not list(folder.glob("_attempts*"))
+
+
+def test_post_pages_with_damaged_lines(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", [], i, None) for i in range(5)], T.StructType(
+        [T.StructField("page_idx", T.LongType()), *LISTING_PAGE]
+    ))
+    out.write_listing_pages(pages.repartition(3), str(tmp_path / "pages"))
+    back = rd.read_listing_pages(spark, str(tmp_path / "pages"), multi_line=False, errors="raise")
+    assert sorted(back.collect()) == sorted(pages.collect())
+    with pytest.raises(ValueError, match="num_posts"):
+        out.write_listing_pages(pages.withColumn("num_posts", F.lit("x")), str(tmp_path / "no"))
+    assert not (tmp_path / "no").exists()
+    (tmp_path / "bad.json").write_text('{"url": "a", "num_posts": 1}\n{"url": "b", "num\n{"url": "c", "num_posts": "x"}\n')
+    read = lambda errors: rd.read_listing_pages(spark, str(tmp_path / "bad.json"), False, errors).orderBy("page_idx")
+    assert [(r.url, r._error is None) for r in read("quarantine").collect()] == [("a", True), (None, False), ("c", False)]
+    assert [r.num_posts for r in read("null").collect()] == [1, None, None]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read("raise").collect()
+
+
+def test_unknown_mode_stops():
+    with pytest.raises(ValueError, match="unknown mode"):
+        extract_pages(None, "slow")
+
+
 def test_front_matter_is_readable_yaml(spark):
     yaml = pytest.importorskip("yaml")
     row = {

@@ -74,3 +74,32 @@ def test_hot_key_leaves_map_tasks_as_one_row(spark, rows):
     """The aggregate before the shuffle: no plan sends all rows of a key to one task."""
     plan = od.keep_first(frame(spark, rows, 4), ["key"])._jdf.queryExecution().toString()
     assert "partial_min_by" in plan
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_sparse_ords_number_through_all_levels(spark, parts):
+    """One row per block, negative and far ``ord`` values: each level of blocks has rows of its own."""
+    rng = random.Random(11)
+    ords = sorted({rng.randrange(-(1 << 63), 1 << 63) >> rng.choice([0, 12, 30, 44]) for _ in range(500)})
+    rows = [(o, rng.choice(["hot", "hot", f"k{i % 9}"]), "", rng.randint(0, 9)) for i, o in enumerate(ords)]
+    df = frame(spark, rows, parts)
+    total, seen, totals, numbers = 0, {}, [], []
+    for o, key, _, n in rows:
+        totals.append((o, total))
+        numbers.append((o, seen.get(key, 0)))
+        total += n
+        seen[key] = seen.get(key, 0) + 1
+    assert sorted((r.ord, r.t) for r in od.running_total(df, "ord", "n", "t").collect()) == totals
+    assert sorted((r.ord, r.i) for r in od.number_in_group(df, ["key"], "ord", "i").collect()) == numbers
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_numbered(spark, parts):
+    rng = random.Random(12)
+    names = [f"é{rng.randint(0, 400)}" for _ in range(900)] + ["hot"] * 400
+    found = od.numbered(frame(spark, [(i, k, "", 0) for i, k in enumerate(names)], parts), "key", "row_no").collect()
+    found.sort(key=lambda r: r.row_no)
+    assert [r.row_no for r in found] == list(range(len(names)))
+    assert [r.key for r in found] == sorted(names, key=str.encode)
+    assert sorted(r.ord for r in found) == list(range(len(names)))
+    assert od.numbered(frame(spark, [], 1), "key", "row_no").count() == 0

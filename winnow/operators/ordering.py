@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from winnow.staging import stored
+
 # A numbering block spans 2**BLOCK_BITS values of ``ord``: the most rows one window group holds.
 BLOCK_BITS = 16
 
@@ -42,37 +44,48 @@ def ordered_distinct(df: DataFrame, item: str, ord_col: str = "ord") -> DataFram
     return df.groupBy(item).agg(F.min(ord_col).alias(ord_col))
 
 
-def running_total(
-    df: DataFrame, ord_col: str, amount: str, out: str, block_bits: int = BLOCK_BITS
-) -> DataFrame:
-    """Sum of ``amount`` over all rows with a smaller ``ord`` (a unique bigint).
+def _block(ord_col: str, bits: int) -> Column:
+    return F.shiftright(F.col(ord_col).cast("bigint"), bits)
+
 
-    Rows are summed per block of ``ord`` values first; the single ordered window runs
-    over one row per block and every other window over one block.
+def _block_starts(rows: DataFrame, keys: Sequence[str], ord_col: str, amount: Column, bits: int) -> DataFrame:
+    """Per key and block of ``ord`` values the sum over the key's earlier blocks, as ``_start``.
+
+    Totals are added up in levels of ``BLOCK_BITS`` bits each: a block is shifted by the earlier ones
+    under the same parent, a parent by the parents before it.  As a bigint has 64 bits, no window
+    sees more than ``2**BLOCK_BITS`` rows, the last one included, however sparse ``ord`` is.
     """
-    block = F.shiftright(ord_col, block_bits)
-    blocked = df.withColumn("_block", block)
-    starts = (
-        blocked.groupBy("_block")
-        .agg(F.sum(amount).alias("_sum"))
-        .select(
-            "_block",
-            F.coalesce(
-                F.sum("_sum").over(
-                    Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_start"),
-        )
-    )
-    inside = F.coalesce(
-        F.sum(amount).over(
-            Window.partitionBy("_block")
-            .orderBy(ord_col)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
+    totals = rows.groupBy(*keys, _block(ord_col, bits).alias("_block")).agg(F.sum(amount).alias("_sum"))
+    return _scanned(totals, keys, 64 - bits)
+
+
+def _scanned(totals: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    if width <= BLOCK_BITS:
+        group = [*keys] or [F.lit(0)]
+        return totals.select(*keys, "_block", _before("_sum", Window.partitionBy(*group).orderBy("_block")).alias("_start"))
+    raised = totals.withColumn("_parent", F.shiftright("_block", BLOCK_BITS))
+    parents = raised.groupBy(*keys, F.col("_parent").alias("_block")).agg(F.sum("_sum").alias("_sum"))
+    upper = _scanned(parents, keys, width - BLOCK_BITS).withColumnsRenamed({"_block": "_parent", "_start": "_upper"})
+    inside = _before("_sum", Window.partitionBy(*keys, "_parent").orderBy("_block"))
+    return (
+        raised.withColumn("_inside", inside)
+        .join(upper, [*keys, "_parent"])
+        .select(*keys, "_block", (F.col("_upper") + F.col("_inside")).alias("_start"))
     )
+
+
+def _before(amount: str, window) -> Column:
+    earlier = F.sum(amount).over(window.rowsBetween(Window.unboundedPreceding, -1))
+    return F.coalesce(earlier, F.lit(0))
+
+
+def running_total(
+    df: DataFrame, ord_col: str, amount: str, out: str, block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Sum of ``amount`` over all rows with a smaller ``ord`` (a unique whole number)."""
+    blocked = df.withColumn("_block", _block(ord_col, block_bits))
+    starts = _block_starts(df, [], ord_col, F.col(amount), block_bits)
+    inside = _before(amount, Window.partitionBy("_block").orderBy(ord_col))
     return (
         blocked.withColumn("_inside", inside)
         .join(starts, "_block")
@@ -93,20 +106,8 @@ def number_in_group(
     A key is cut into blocks of ``ord`` values.  Rows are numbered inside their block and
     shifted by the rows of the key's earlier blocks, so no task holds a whole hot key.
     """
-    block = F.shiftright(ord_col, block_bits)
-    blocked = df.withColumn("_block", block)
-    by_key = Window.partitionBy(*keys).orderBy("_block")
-    starts = (
-        blocked.groupBy(*keys, "_block")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("_n").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ),
-        )
-        .drop("_n")
-    )
+    blocked = df.withColumn("_block", _block(ord_col, block_bits))
+    starts = _block_starts(df, keys, ord_col, F.lit(1), block_bits)
     inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(ord_col)) - 1
     return (
         blocked.withColumn("_inside", inside)
@@ -114,3 +115,17 @@ def number_in_group(
         .withColumn(out, (F.col("_start") + F.col("_inside")).cast("bigint"))
         .select(*df.columns, out)
     )
+
+
+def numbered(df: DataFrame, key: str, out: str) -> DataFrame:
+    """``df`` with the 0-based place of each row in the order of ``key``, of any type that has an order.
+
+    Rows are range-partitioned, sorted and stored with their task and place in it; tasks are shifted by a
+    scan over one row per task.  Equal keys get consecutive numbers.  Give narrow rows.
+    """
+    placed = stored(df.orderBy(key).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    # The upper bits of a monotonic id name the task, the lower 33 the row in it.
+    marked = placed.withColumns({"_task": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = marked.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_task", _before("_n", Window.orderBy("_task")).alias("_start"))
+    return marked.join(starts, "_task").select(*df.columns, (F.col("_start") + F.col("_row")).alias(out))

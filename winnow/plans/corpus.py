@@ -11,6 +11,7 @@ from winnow.functions import html as hx
 from winnow.functions import text as tx
 from winnow.functions import urls as ux
 from winnow.operators.captures import under_status
+from winnow.operators.ordering import numbered
 from winnow.operators.pages import OUTPUTS, extract_pages
 
 
@@ -89,7 +90,7 @@ def best_per_url(narrow: DataFrame) -> DataFrame:
 
 
 def corpus_keys(extracts: DataFrame, posts: DataFrame, match: str = "exact") -> DataFrame:
-    """The surviving ``(ord, post_no)`` pairs of the corpus.
+    """The surviving ``(ord, post_no)`` pairs of the corpus, with their unique ``origurl``.
 
     All rows of a page share its text, so of a page's posts only the first can survive the
     text dedup: each link is cut to its first post before the join.  That makes the join
@@ -99,16 +100,24 @@ def corpus_keys(extracts: DataFrame, posts: DataFrame, match: str = "exact") ->
         "ord", "origurl", "text_key", "term_count", "content_length"
     ).withColumn("link", _match_key(F.col("origurl"), match))
     matched = narrow.join(first_mentions(posts, match), "link").drop("link")
-    return best_per_url(distinct_texts(matched).drop("text_key")).select("ord", "post_no")
+    return best_per_url(distinct_texts(matched).drop("text_key")).select("ord", "post_no", "origurl")
 
 
-def master_corpus(extracts: DataFrame, posts: DataFrame, match: str = "exact") -> DataFrame:
+def master_corpus(
+    extracts: DataFrame, posts: DataFrame, match: str = "exact", row_no: str | None = None
+) -> DataFrame:
     """Deduplicated corpus: page columns and the columns of its first post.
 
+    ``row_no`` names a column for the place of a row in the order of ``origurl``; places are
+    found on the keys, before any body moves.
+
     Page bodies are fetched for the survivors only, by one join on ``ord``.  Give a stored
     ``extracts`` table (the build job does); a lazy one is computed twice.
     """
-    winners = corpus_keys(extracts, posts, match).join(posts, "post_no")
+    keys = corpus_keys(extracts, posts, match)
+    if row_no:
+        keys = numbered(keys, "origurl", row_no)
+    winners = keys.drop("origurl").join(posts, "post_no")
     return extracts.drop("text_key").join(winners, "ord")
 
 
@@ -118,10 +127,13 @@ def simplify_corpus(master: DataFrame) -> DataFrame:
 
 
 def label_records(corpus: DataFrame) -> DataFrame:
-    """Seven corpus columns wrapped as one ``data`` record."""
+    """Seven corpus columns wrapped as one ``data`` record; a numbered corpus gives them in its order."""
     fields = [
         "ptid", "text", "post_title", "languages", "term_count", "content_length", "url",
     ]
+    if "row_no" in corpus.columns:
+        # Only what the records hold is sorted.
+        corpus = corpus.select(*fields, "row_no").orderBy("row_no")
     return corpus.select(F.struct(*fields).alias("data"))
 
 

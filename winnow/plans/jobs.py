@@ -78,7 +78,7 @@ def run_build(spark: SparkSession, args: argparse.Namespace) -> None:
         ),
         "extracts",
     )
-    out.write_corpus(cx.master_corpus(extracts, posts, args.match), args.corpus_out)
+    out.write_corpus(cx.master_corpus(extracts, posts, args.match, "row_no"), args.corpus_out)
     simplified = cx.simplify_corpus(spark.read.parquet(args.corpus_out))
     out.write_json(cx.label_records(simplified), args.labels_out)
 
@@ -86,7 +86,7 @@ def run_build(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_images(spark: SparkSession, args: argparse.Namespace) -> None:
     posts = build_posts(read_listing_pages(spark, args.posts))
     post_images(posts).write.mode("overwrite").parquet(f"{args.out}/post_images")
-    labels = read_labels(spark, args.labels).withColumn("ord", F.struct("ptid", "url"))
+    labels = read_labels(spark, args.labels, "ord")
     text_images(labels).write.mode("overwrite").parquet(f"{args.out}/text_images")
 
 

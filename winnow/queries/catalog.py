@@ -120,6 +120,13 @@ def image_path(spark, sf_dir):
     return out.image_paths(rows, "/images", force_unique=True).select("ord", "ptid", "path")
 
 
+@query
+def image_path_clash(spark, sf_dir):
+    """Names that end in each other, and names that are called like a numbered one."""
+    rows = src.clashing_pictures(spark, sf_dir)
+    return out.image_paths(rows, "/images", force_unique=True).select("ord", "ptid", "path")
+
+
 @query
 def snapshot_stamp(spark, sf_dir):
     orders = src.table(spark, sf_dir, "orders")
@@ -199,7 +206,11 @@ def export_name(spark, sf_dir):
 
 @query
 def flatten_posts(spark, sf_dir):
-    flat = po.flatten_posts(src.listing_pages(spark, sf_dir))
+    return _flat_posts(src.listing_pages(spark, sf_dir))
+
+
+def _flat_posts(pages):
+    flat = po.flatten_posts(pages)
     return flat.select(
         "page_idx", "post_idx", "post_date", "post_title", "post_link", "raw_text",
         F.array_join(F.transform("body_extracts", lambda i: i["text_link"]), "|").alias("links"),
@@ -207,6 +218,14 @@ def flatten_posts(spark, sf_dir):
     )
 
 
+@query
+def post_pages_roundtrip(spark, sf_dir):
+    """Nested post pages written as JSON lines, read back and flattened."""
+    path = new_path(spark, "post_pages")
+    out.write_listing_pages(src.listing_pages(spark, sf_dir), path)
+    return _flat_posts(rd.read_listing_pages(spark, path, multi_line=False, errors="raise"))
+
+
 @query
 def posts_per_page(spark, sf_dir):
     return po.posts_per_page(src.listing_pages(spark, sf_dir))
@@ -264,6 +283,17 @@ def page_text_plain(spark, sf_dir):
     return _pages(spark, sf_dir).select("ord", hx.plain_text(F.col("html")).alias("text"))
 
 
+@query
+def extract_modes(spark, sf_dir):
+    """Texts of the two modes that need no element tree, chosen by name."""
+
+    def texts(mode):
+        found = pg.extract_pages(_pages(spark, sf_dir), mode, html="html", outputs=("text",))
+        return found.select("ord", F.lit(mode).alias("mode"), "text")
+
+    return texts("fast").unionAll(texts("remove"))
+
+
 @query
 def absolute_links(spark, sf_dir):
     href = F.col("href")
@@ -674,10 +704,10 @@ def best_per_url(spark, sf_dir):
     )
 
 
-def _corpus(spark, sf_dir):
+def _corpus(spark, sf_dir, **options):
     """The corpus over a stored extracts table, as the build job runs it, all columns included."""
     posts_table = stored(src.posts(spark, sf_dir), "posts")
-    return cx.master_corpus(stored(_extracts(spark, sf_dir), "extracts"), posts_table)
+    return cx.master_corpus(stored(_extracts(spark, sf_dir), "extracts"), posts_table, **options)
 
 
 def _page_columns():
@@ -696,6 +726,14 @@ def master_corpus(spark, sf_dir):
     )
 
 
+@query
+def corpus_order(spark, sf_dir):
+    """The stored row number of the corpus, and the place of the row in its files."""
+    path = new_path(spark, "corpus")
+    out.write_corpus(_corpus(spark, sf_dir, row_no="row_no"), path)
+    return rd.with_row_number(rd.read_corpus(spark, path), "place").select("origurl", "row_no", "place")
+
+
 @query
 def corpus_roundtrip(spark, sf_dir):
     path = new_path(spark, "corpus")

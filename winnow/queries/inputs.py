@@ -276,6 +276,19 @@ def picture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clashing_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image rows whose names end in each other or look numbered: ``ord, ptid, imgurl``."""
+    name = F.element_at(
+        F.array(*map(F.lit, ["pic.jpg", "pic.jpg", "mypic.jpg", "1_pic.jpg", "pic.jpg"])),
+        F.expr("CAST(page_id % 5 AS INT) + 1"),
+    )
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("ord"),
+        F.format_string("%05d", F.expr("page_id div 10")).alias("ptid"),
+        F.concat(bare(F.col("url")), F.lit("/"), name, F.lit("?v=1")).alias("imgurl"),
+    )
+
+
 def header_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header-like ``(name, value)`` lists: first letter and target of every page link."""
     hrefs = F.regexp_extract_all("html", F.lit('<a href="/([^"]*)"'), F.lit(1))

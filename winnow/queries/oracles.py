@@ -416,6 +416,24 @@ FROM forms WHERE NOT contains(url, '#') AND contains(url, 'archive.org')""",
   FROM picture_rows)
 SELECT ord, ptid, '/images/' || ptid || '/' || CASE WHEN same > 0 THEN same || '_' ELSE '' END
   || fname AS path FROM numbered""",
+    "image_path_clash": """WITH names AS (
+  SELECT page_id AS ord, printf('%05d', page_id // 10) AS ptid,
+    CASE page_id % 5 WHEN 2 THEN 'mypic.jpg' WHEN 3 THEN '1_pic.jpg' ELSE 'pic.jpg' END AS fname
+  FROM pages),
+counted AS (
+  SELECT a.ord, a.ptid, a.fname,
+    count(*) FILTER (b.ord < a.ord) AS number,
+    count(*) FILTER (b.ord < a.ord AND b.fname = a.fname) AS same,
+    max(CASE WHEN regexp_matches(b.fname, '^[0-9]+_') AND substr(b.fname, strpos(b.fname, '_') + 1) = a.fname
+      THEN strpos(b.fname, '_') - 1 ELSE 0 END) AS wide
+  FROM names a JOIN names b ON a.ptid = b.ptid AND suffix(b.fname, a.fname) GROUP BY ALL),
+sized AS (
+  SELECT *, greatest(wide, length(max(number) OVER (PARTITION BY ptid, fname)::VARCHAR)) + 1 AS width,
+    EXISTS (SELECT 1 FROM names n WHERE n.ptid = c.ptid AND n.fname = c.number || '_' || c.fname) AS clash
+  FROM counted c)
+SELECT ord, ptid, '/images/' || ptid || '/' || CASE WHEN same = 0 THEN ''
+  WHEN clash THEN lpad(number::VARCHAR, width::INT, '0') || '_' ELSE number || '_' END || fname AS path
+FROM sized""",
     "snapshot_stamp": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') || '000000' AS stamp FROM orders",
     "parse_post_date": """SELECT o_orderkey,
   CASE WHEN o_orderstatus <> 'P' THEN o_orderdate::DATE::VARCHAR END AS day FROM orders""",
@@ -665,6 +683,8 @@ QUALIFY row_number() OVER (
     "master_corpus": f"""WITH {CORPUS}, {_CORPUS_LINKS} SELECT ord, origurl, url, status, title, ptid,
   post_title, content_length, term_count, sha256(text) AS sha, {_joined('languages')},
   {_PAGE_COLUMNS} FROM corpus LEFT JOIN listed USING (ord)""",
+    "corpus_order": f"""WITH {CORPUS} SELECT origurl, row_number() OVER (ORDER BY origurl) - 1 AS row_no,
+  row_number() OVER (ORDER BY origurl) - 1 AS place FROM corpus""",
     "corpus_roundtrip": f"""WITH {CORPUS}, {_CORPUS_LINKS}
 SELECT ord, ptid, title, sha256(text) AS sha, {_PAGE_COLUMNS}
 FROM corpus LEFT JOIN listed USING (ord)""",
@@ -686,3 +706,11 @@ QUALIFY row_number() OVER (PARTITION BY url ORDER BY post_no, pos) = 1""",
   SELECT {canonical('url')} AS url, row_number() OVER (ORDER BY post_no, pos) - 1 AS ord FROM links)
 SELECT url, min(ord) AS ord FROM numbered GROUP BY url""",
 }
+ORACLES["post_pages_roundtrip"] = (
+    "SELECT dense_rank() OVER (ORDER BY page_idx) - 1 AS page_idx, * EXCLUDE (page_idx)"
+    f" FROM ({ORACLES['flatten_posts']})"
+)
+ORACLES["extract_modes"] = (
+    f"SELECT ord, 'fast' AS mode, text FROM ({ORACLES['page_text']})"
+    f" UNION ALL SELECT ord, 'remove', text FROM ({ORACLES['page_text_plain']})"
+)

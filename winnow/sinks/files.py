@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from winnow.functions import text as tx
 from winnow.functions import urls as ux
 from winnow.functions.common import strip_space
 from winnow.operators.ordering import number_in_group, ordered_distinct
+from winnow.schemas import LISTING_PAGE
 from winnow.sources.warc_records import file_system
 
 FRONT_MATTER = [
@@ -18,6 +22,9 @@ FRONT_MATTER = [
 
 
 def write_corpus(corpus: DataFrame, path: str) -> None:
+    """Parquet; a corpus with ``row_no`` is range-partitioned, so its files follow that order."""
+    if "row_no" in corpus.columns:
+        corpus = corpus.orderBy("row_no")
     corpus.write.mode("overwrite").parquet(path)
 
 
@@ -26,6 +33,20 @@ def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def write_listing_pages(pages: DataFrame, path: str) -> None:
+    """Nested post pages as JSON lines in ``page_idx`` order; ``read_listing_pages`` reads them back.
+
+    Columns are checked by name and type before anything is written; NULL fields are kept.
+    """
+    given = {field.name: field.dataType.simpleString() for field in pages.schema}
+    wanted = {field.name: field.dataType.simpleString() for field in LISTING_PAGE}
+    wrong = [f"{name}: {given.get(name)}, not {kind}" for name, kind in wanted.items() if given.get(name) != kind]
+    if wrong:
+        raise ValueError("no post pages: " + "; ".join(wrong))
+    rows = pages.orderBy("page_idx").select(*wanted)
+    rows.write.mode("overwrite").json(path, ignoreNullFields=False)
+
+
 def url_list_rows(urls: DataFrame, drop_duplicates: bool = False) -> DataFrame:
     """Rows ``(ord, url)`` of a URL list: distinct before the lines are stripped."""
     rows = ordered_distinct(urls.select("ord", "url"), "url") if drop_duplicates else urls
@@ -82,11 +103,16 @@ def _last_per_path(rows: DataFrame) -> DataFrame:
 def write_files(files: DataFrame, folder: str) -> None:
     """One file per row of ``(path, body)``, text or binary.
 
-    Paths are unique, so a task that runs again writes the same bytes to the same place.
+    Paths are unique.  A file is written under a name of its attempt and then renamed, so a task that
+    dies or runs twice leaves whole files only; the attempts are deleted when the job ends or fails.
     """
+    attempts = f"{folder.rstrip('/')}/_attempts-{uuid.uuid4().hex}"
 
     def write_part(rows):
+        _, scratch = file_system(attempts)
+        scratch = f"{scratch}/{uuid.uuid4().hex}"
         system, inner = file_system(folder)
+        system.create_dir(scratch, recursive=True)
         made = set()
         for row in rows:
             target = f"{inner.rstrip('/')}/{row.path}"
@@ -95,23 +121,75 @@ def write_files(files: DataFrame, folder: str) -> None:
                 system.create_dir(parent, recursive=True)
                 made.add(parent)
             data = row.body.encode() if isinstance(row.body, str) else bytes(row.body)
-            with system.open_output_stream(target, compression=None) as out:
+            part = f"{scratch}/part"
+            with system.open_output_stream(part, compression=None) as out:
                 out.write(data)
+            _publish(system, part, target)
+
+    try:
+        files.select("path", "body").foreachPartition(write_part)
+    finally:
+        system, inner = file_system(attempts)
+        if system.get_file_info(inner).type == FileType.Directory:
+            system.delete_dir(inner)
+
 
-    files.select("path", "body").foreachPartition(write_part)
+def _publish(system, part: str, target: str) -> None:
+    try:
+        system.move(part, target)
+    except OSError:
+        # Some file systems do not rename over a file that is there.
+        if system.get_file_info(target).type == FileType.NotFound:
+            raise
+        system.delete_file(target)
+        system.move(part, target)
 
 
 def image_paths(images: DataFrame, base: str = "", force_unique: bool = False) -> DataFrame:
-    """Add ``fname`` and ``path``; with ``force_unique`` a repeated name gets its number first."""
+    """Add ``fname`` and ``path``; with ``force_unique`` no two rows of a post share a path."""
     named = images.withColumn("fname", ux.file_name(F.col("imgurl")))
-    stored = F.col("fname")
-    if force_unique:
-        named = number_in_group(named, ["ptid", "fname"], "ord", "_same")
-        stored = F.when(
-            F.col("_same") > 0, F.concat(F.col("_same").cast("string"), F.lit("_"), "fname")
-        ).otherwise(F.col("fname"))
     prefix = [F.lit(base.rstrip("/"))] if base else []
-    return named.withColumn("path", F.concat_ws("/", *prefix, "ptid", stored)).drop("_same")
+    if not force_unique:
+        return named.withColumn("path", F.concat_ws("/", *prefix, "ptid", "fname"))
+    names = unique_names(named.select("ptid", "fname", "ord"))
+    path = F.concat_ws("/", *prefix, "ptid", F.coalesce("_name", "fname"))
+    return named.join(names, ["ptid", "fname", "ord"], "left").withColumn("path", path).drop("_name")
+
+
+def unique_names(names: DataFrame) -> DataFrame:
+    """Stored names ``_name`` of the rows ``(ptid, fname, ord)`` whose name an earlier row of the post has.
+
+    The first row of a name keeps it.  A later one is numbered: before its name stands how many
+    earlier rows of the post have a name that ends in it.  Where another row is called so, zeros
+    make the number longer than that of any name in question.  ``ord`` is a unique whole number.
+    """
+    repeated = names.groupBy("ptid", "fname").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    ends = repeated.select("ptid", F.col("fname").alias("_end"))
+    # Every name is cut into its ends once, in the posts that repeat a name.
+    near = names.join(ends.select("ptid").distinct(), "ptid", "left_semi").select("ptid", "fname").distinct()
+    tail = F.explode(F.transform(F.sequence(F.lit(1), F.length("fname")), lambda at: F.substring("fname", at, F.length("fname"))))
+    family = near.where(F.length("fname") > 0).select("ptid", "fname", tail.alias("_end")).join(ends, ["ptid", "_end"])
+    counted = number_in_group(names.join(family, ["ptid", "fname"]), ["ptid", "_end"], "ord", "_no")
+    own = counted.where(F.col("fname") == F.col("_end"))
+    first = own.groupBy("ptid", "fname").agg(F.min("ord").alias("_first"), F.max("_no").alias("_most"))
+    # Names that are a number, "_" and the end.
+    number = F.regexp_extract("fname", r"\A([0-9]+)_", 1)
+    rivals = family.withColumn("_taken", number).where(
+        (F.length("_taken") > 0) & (F.col("fname") == F.concat("_taken", F.lit("_"), "_end"))
+    )
+    widest = rivals.groupBy("ptid", F.col("_end").alias("fname")).agg(F.max(F.length("_taken")).alias("_wide"))
+    taken = rivals.select("ptid", F.col("_end").alias("fname"), "_taken", F.lit(True).alias("_clash"))
+    later = (
+        own.join(first, ["ptid", "fname"])
+        .where(F.col("ord") > F.col("_first"))
+        .withColumn("_taken", F.col("_no").cast("string"))
+        .join(taken, ["ptid", "fname", "_taken"], "left")
+        .join(widest, ["ptid", "fname"], "left")
+    )
+    width = F.greatest(F.coalesce("_wide", F.lit(0)), F.length(F.col("_most").cast("string"))) + 1
+    padded = F.concat(F.repeat(F.lit("0"), width - F.length("_taken")), "_taken")
+    stored = F.concat(F.when(F.col("_clash"), padded).otherwise(F.col("_taken")), F.lit("_"), "fname")
+    return later.select("ptid", "fname", "ord", stored.alias("_name"))
 
 
 def image_files(fetched: DataFrame) -> DataFrame:

@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from winnow.operators.ordering import ordered_distinct
 from winnow.schemas import LABEL, LISTING_PAGE
 
+ERRORS = ("null", "raise", "quarantine")
+
 
 def read_listing_pages(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, errors: str = "null"
 ) -> DataFrame:
-    """Nested post pages of JSON arrays or JSON lines, with ``page_idx`` in file order."""
-    pages = spark.read.schema(LISTING_PAGE).json(path, multiLine=multi_line)
+    """Nested post pages of JSON arrays or JSON lines, with ``page_idx`` in file order.
+
+    A record that is no post page, or one only in part, becomes NULL fields (``null``), stops the job
+    (``raise``), or stands with its text in a further column ``_error`` (``quarantine``).  A multi-line
+    file is one record or one array, so its damage is that of the whole file.
+    """
+    if errors not in ERRORS:
+        raise ValueError(f"unknown errors: {errors}")
+    schema, options = LISTING_PAGE, {"mode": "FAILFAST" if errors == "raise" else "PERMISSIVE"}
+    if errors == "quarantine":
+        schema = T.StructType([*LISTING_PAGE, T.StructField("_error", T.StringType())])
+        options["columnNameOfCorruptRecord"] = "_error"
+    pages = spark.read.options(**options).schema(schema).json(path, multiLine=multi_line)
     return with_row_number(pages, "page_idx")
 
 
@@ -25,8 +39,12 @@ def read_url_list(
     return ordered_distinct(lines, "url") if drop_duplicates else lines
 
 
-def read_labels(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(LABEL).json(path).select("data.*")
+def read_labels(spark: SparkSession, path: str | list[str], ord_col: str | None = None) -> DataFrame:
+    """Label records; ``ord_col`` names a column for their place in the files."""
+    labels = spark.read.schema(LABEL).json(path)
+    if ord_col is None:
+        return labels.select("data.*")
+    return with_row_number(labels, ord_col).select(ord_col, "data.*")
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
