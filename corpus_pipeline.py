@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.llm import decontaminate, language_id, secret_scan, simhash_dedup
-from winnow.llm.common import fold, store, table
+from winnow.llm.common import fold, store, table, unused
 from winnow.llm.queries import spelled
 
 # A language is rejected only where the calibrated model has no preference to speak of.
@@ -22,9 +22,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.fit(docs, fold("doc_id", 4) != 2)
     if not model.languages:  # nothing to learn from: only texts without a letter go
         return docs.filter(F.regexp_like("text", F.lit(r"\p{L}")))
-    found = language_id.identify(docs, model, keep=docs.columns, out=("_lang", "_score"))
-    kept = found.filter((F.col("_lang") != language_id.UNDETERMINED) & (F.col("_score") >= MIN_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "_lang")).select(*docs.columns)
+    out = unused("_lang", docs.columns), unused("_score", docs.columns)
+    found = language_id.identify(docs, model, keep=docs.columns, out=out)
+    lang, score = map(F.col, out)
+    kept = found.filter((lang != language_id.UNDETERMINED) & (score >= MIN_LANGUAGE_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", lang)).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a passage of the benchmark."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), out="_leaks")
-    return found.filter(F.size("_leaks") == 0).select(*docs.columns)
+    out = unused("_leaks", docs.columns)
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), out=out)
+    return found.filter(F.size(out) == 0).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tests.llm.cases import SF, documents
+from tests.llm.cases import SF, documents, odd_docs
 from tests.llm.test_dedup import plain_components, plain_leaks, plain_print
 from winnow.llm import secret_scan
 from winnow.llm.common import store
@@ -78,3 +78,28 @@ def test_without_languages(spark):
     ).withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("s"), "n_chars": F.lit(1)})
     kept = pipeline.identify_language(spark, docs, SF)
     assert [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_odd_rows_and_names_of_temporary_columns(spark):
+    """Every stage keeps the columns it is given, those called like its own temporary ones too."""
+    names = ["_text", "_lang", "_score", "_leaks", "_leaks_0", "_redacted", "_text_hash", "_ROW"]
+    docs = odd_docs(spark).withColumns(
+        {"lang": F.lit("en"), "source": F.lit(None).cast("string"), "n_chars": F.length("text")}
+        | {name: F.concat(F.lit(name), F.coalesce("doc_id", F.lit(-1))) for name in names}
+    )
+    for name, stage in pipeline.STAGES:
+        given = docs.columns
+        docs = store(stage(spark, docs, SF), name)
+        rows = docs.collect()
+        if name == "sentencepiece":
+            break
+        assert docs.columns == given
+        assert all(r[n] == f"{n}{-1 if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+        ids = sorted(r.doc_id or 0 for r in rows)
+        if name == "language_id":
+            assert not {4, 5, 6, 9} & set(ids) and {1, 2, 3, 7, 10, 16} <= set(ids)
+        if name == "simhash_dedup":
+            assert ids.count(1) == 1 and not {2, 3} & set(ids)
+        if name == "secret_scan":
+            assert next(r.text for r in rows if r.doc_id == 15) != odd_docs(spark).filter("doc_id = 15").first().text
+    assert rows

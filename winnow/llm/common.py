@@ -113,6 +113,14 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
         yield from zip(*(column.to_pylist() for column in part.columns), strict=True)
 
 
+def unused(name: str, columns: Sequence[str]) -> str:
+    """``name``, lengthened until no column is called so (Spark ignores case)."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_texts(
     df: DataFrame,
     setup: Callable[[], Callable[[list], Sequence]],
@@ -126,9 +134,10 @@ def map_texts(
     ``None``) to one list or array per field.
     """
     spark = df.sparkSession
-    source = df.select(*keep, F.col(text).cast("string").alias("_text"))
+    read = unused("_text", keep)
+    source = df.select(*keep, F.col(text).cast("string").alias(read))
     made = spark.createDataFrame([], fields).schema
-    schema = source.drop("_text").schema
+    schema = source.drop(read).schema
     for field in made:
         schema = schema.add(field)
     names = [field.name for field in schema]

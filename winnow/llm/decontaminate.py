@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import map_texts
+from winnow.llm.common import map_texts, unused
 
 RADIUS = 7
 STRIDE = 4
@@ -272,7 +272,7 @@ def find_leaks(
     slices = max(1, -(-rows // SLICE_ITEMS), -(-(chars or 0) // SLICE_CHARS))
     id_type = items.schema["item"].dataType.simpleString()
     kept = [name for name in docs.columns if name != out]
-    fields = f"_leaks array<struct<item: {id_type}, similarity: double, start: long, n_words: long>>"
+    kind = f"array<struct<item: {id_type}, similarity: double, start: long, n_words: long>>"
     spark = docs.sparkSession
     result, parts = docs.select(*kept), []
     for k in range(slices):
@@ -284,7 +284,6 @@ def find_leaks(
             search = _searcher(Index(held.value), threshold)
             return lambda texts: [[x for at in range(0, len(texts), 256) for x in search(texts[at : at + 256])]]
 
-        found = map_texts(result, setup, fields, result.columns, text_col)
-        parts.append(f"_leaks_{k}")
-        result = found.withColumnRenamed("_leaks", parts[-1])
+        parts.append(unused(f"_leaks_{k}", result.columns))
+        result = map_texts(result, setup, f"`{parts[-1]}` {kind}", result.columns, text_col)
     return result.select(*kept, F.concat(*parts).alias(out))

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import map_texts
+from winnow.llm.common import map_texts, unused
 
 KINDS = ("assign", "access", "hex", "named")
 ASSIGN = re.compile(
@@ -345,8 +345,9 @@ def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def setup():
         return lambda texts: [[redact(text, scan(text)) for text in texts]]
 
-    made = map_texts(docs, setup, "_redacted string", rest, text_col)
-    return made.withColumnRenamed("_redacted", text_col).select(*docs.columns)
+    made_text = unused("_redacted", docs.columns)
+    made = map_texts(docs, setup, f"`{made_text}` string", rest, text_col)
+    return made.withColumnRenamed(made_text, text_col).select(*docs.columns)
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

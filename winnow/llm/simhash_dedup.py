@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.common import map_texts, store
+from winnow.llm.common import map_texts, store, unused
 from winnow.llm.graph import connected, find_roots, unite
 
 RADIUS = 3
@@ -253,13 +253,14 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Ids need not be unique: components are told apart by fingerprints, rows by id and text.  Of rows
     equal in both one stays.  Rows with a NULL id cannot be told apart and all stay.
     """
-    marked = docs.withColumn("_text_hash", F.xxhash64(text_col))
-    hashed = _hashed(marked, [id_col, "_text_hash"], text_col)
-    named = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), "_text_hash"))
+    text_hash = unused("_text_hash", docs.columns)
+    marked = docs.withColumn(text_hash, F.xxhash64(text_col))
+    hashed = _hashed(marked, [id_col, text_hash], text_col)
+    named = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.col(text_hash).alias("hash")))
     prints = store(hashed.groupBy("fp").agg(F.min(named).alias("least")), "prints")
     first = _rooted(prints).groupBy("root").agg(F.min("least").alias("least")).filter("least IS NOT NULL")
-    first = store(first.select(F.col("least.id").alias(id_col), F.col("least._text_hash").alias("_text_hash")), "first")
-    keys = [id_col, "_text_hash"]
+    first = store(first.select(F.col("least.id").alias(id_col), F.col("least.hash").alias(text_hash)), "first")
+    keys = [id_col, text_hash]
     kept = marked.join(first, keys, "left_semi").select(*marked.columns)
     repeated = hashed.join(first, keys, "left_semi").groupBy(*keys).count().filter("count > 1").select(*keys)
     if not repeated.isEmpty():
