@@ -5,11 +5,14 @@ Two layers share one pass over each whole text:
 * the base patterns (``assign``, ``access``, ``hex``), leftmost and non-overlapping per kind;
 * a small lexer for source and configuration syntax.  At every ``=``, ``:``, ``:=`` and ``=>``
   it reads the target name on the left and the value on the right: quoted literals, names,
-  ``+`` between them, or a bare configuration value.  Names bound to literals are constants; a
-  value that mentions one stands for its literals.  Every literal is scored by the words of its
-  target name and by its own shape, and reported as ``named`` from ``THRESHOLD`` on, unless it
-  lies inside a base span.  Placeholders, short words and unquoted values without a score are no
-  secrets under any name.
+  ``+`` or nothing but blanks between them, or a bare configuration value.  ``#define``, setters
+  (``setPassword("v")``, ``set("password", "v")``) and tags (``name="password" value="v"``,
+  ``<password>v</password>``) give pairs of a name and a value, too.  Names bound to literals are
+  constants; a value that mentions one stands for the literals it was last bound to, or, where it
+  was not bound before, for those it is bound to first thereafter (not of the name itself, and no name
+  within its own value).  Every literal is scored by the words of its target name and by its own
+  shape, and reported as ``named`` from ``THRESHOLD`` on, unless it lies inside a base span.
+  Placeholders, short words and unquoted values without a score are no secrets under any name.
 
 Offsets are code points, ends exclusive.  NULL and empty texts have no spans.  Nothing is shared
 between rows.  A concatenation costs its parts and the different characters in them, never the length
@@ -59,6 +62,18 @@ _QUOTED = re.compile(r'"((?:[^"\\\n]|\\.)*)"|\'((?:[^\'\\\n]|\\.)*)\'|`((?:[^`\\
 _NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*(?:\.[A-Za-z_$][A-Za-z0-9_$]*)*(?![A-Za-z0-9+/=_-])")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=~!@$%^&*-]+")
 _PLUS = re.compile(r"[ \t]*\+[ \t]*")
+# Blanks before an adjoining literal: on this line, behind a backslash, or on an indented next line.
+_ADJOINING = re.compile(r"[ \t]*(?:\\?\n[ \t]+)?(?=[\"'])")
+_KEYED = re.compile(r"[ \t]*[:=]")
+_DEFINE = re.compile(r"^[ \t]*#[ \t]*define[ \t]+([A-Za-z_][A-Za-z0-9_]*)[ \t]+", re.MULTILINE)
+_SETTER = re.compile(r"""\b[sS]et_?([A-Za-z][A-Za-z0-9_]*)\([ \t]*(?=["'])""")
+_PUT = re.compile(
+    r"""\b(?:set|put|setProperty|setenv|putenv|setdefault|setItem|define|append)\([ \t]*"""
+    r"""(?:"([^"\\\n]*)"|'([^'\\\n]*)')[ \t]*,[ \t]*(?=["'])"""
+)
+_TAG = re.compile(r"<([A-Za-z_][A-Za-z0-9_.-]*)([^<>]*)>")
+_TAG_NAME = re.compile(r"""(?<![A-Za-z0-9_.:-])(?:name|key|id)[ \t]*=[ \t]*(?:"([^"]*)"|'([^']*)')""")
+_TAG_VALUE = re.compile(r"""(?<![A-Za-z0-9_.:-])value[ \t]*=[ \t]*(?:"([^"]*)"|'([^']*)')""")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -69,7 +84,7 @@ def name_score(name: str) -> float:
         return 0.0
     words = parts + ["".join(pair) for pair in zip(parts, parts[1:])]
     score = sum(sorted((SENSITIVE.get(w, 0.0) for w in set(words)), reverse=True)[:2])
-    return 0.0 if parts[-1] in HARMLESS else min(score, 1.2)
+    return 0.0 if parts[-1] in HARMLESS or "public" in parts else min(score, 1.2)
 
 
 def _shape(length: float, counts: dict[str, float]) -> float:
@@ -213,8 +228,33 @@ def _target(text: str, at: int, line: int) -> str | None:
     return text[start:end]
 
 
-def assignments(text: str) -> Iterator[tuple[str, list, bool]]:
-    """Name, parts and place of every assignment; a part is ``(kind, value, start, end)``."""
+def _parts(text: str, place: int) -> list[tuple]:
+    """The parts of the value at ``place``: ``(kind, value, start, end)`` each."""
+    parts = []
+    while True:
+        if found := _QUOTED.match(text, place):
+            group = found.lastindex or 1
+            parts.append(("literal", found[group], *found.span(group)))
+        elif found := _NAME.match(text, place):
+            parts.append(("name", found[0], *found.span()))
+        elif not parts and (found := _BARE.match(text, place)):
+            parts.append(("bare", found[0], *found.span()))
+        else:
+            return parts
+        place = found.end()
+        if plus := _PLUS.match(text, place):
+            place = plus.end()
+            continue
+        near = parts[-1][0] == "literal" and _ADJOINING.match(text, place)
+        follower = near and _QUOTED.match(text, near.end())
+        # What a colon or an equals sign follows is a name, not a piece of the value.
+        if not follower or _KEYED.match(text, follower.end()):
+            return parts
+        place = near.end()
+
+
+def assignments(text: str) -> Iterator[tuple[int, str, list]]:
+    """Place, name and parts of every assignment."""
     done, line, line_end = 0, 0, text.find("\n")
     for operator in _OPERATOR.finditer(text):
         at, end = operator.span()
@@ -229,44 +269,113 @@ def assignments(text: str) -> Iterator[tuple[str, list, bool]]:
         name = _target(text, at, line)
         if not name:
             continue
-        parts, place = [], end
+        place = end
         while place < len(text) and text[place] in " \t":
             place += 1
-        while True:
-            if found := _QUOTED.match(text, place):
-                group = found.lastindex or 1
-                parts.append(("literal", found[group], *found.span(group)))
-            elif found := _NAME.match(text, place):
-                parts.append(("name", found[0], *found.span()))
-            elif not parts and (found := _BARE.match(text, place)):
-                parts.append(("bare", found[0], *found.span()))
-            else:
-                break
-            plus = _PLUS.match(text, found.end())
-            if not plus:
-                break
-            place = plus.end()
-        if parts:
+        if parts := _parts(text, place):
             if parts[0][0] == "literal":
                 done = parts[-1][3]
-            yield name, parts
+            yield at, name, parts
+
+
+def definitions(text: str) -> Iterator[tuple[int, str, list]]:
+    """Place, name and parts of every ``#define``."""
+    if "define" in text:
+        for found in _DEFINE.finditer(text):
+            if parts := _parts(text, found.end()):
+                yield found.start(), found[1], parts
+
+
+def handed_over(text: str) -> Iterator[tuple[int, str, list]]:
+    """Place, name and parts of what setters and tags give to a sensitive name; they bind no constant."""
+    if "(" in text:
+        for pattern in (_SETTER, _PUT):
+            for found in pattern.finditer(text):
+                name = found[found.lastindex] if found.lastindex else ""
+                if name_score(name) and (parts := _parts(text, found.end())):
+                    yield found.start(), name, parts
+    if "<" not in text:
+        return
+    for tag in _TAG.finditer(text):
+        whole = tag[2]
+        name, value = _TAG_NAME.search(whole), _TAG_VALUE.search(whole)
+        key = name[name.lastindex] if name else tag[1]
+        if not name_score(key):
+            continue
+        kind = "literal" if value else "bare"
+        if value:
+            start, end = (tag.start(2) + place for place in value.span(value.lastindex))
+        elif whole.endswith("/"):
+            continue
+        else:  # what stands up to the next tag
+            start = tag.end()
+            end = text.find("<", start)
+            if end < 0 or not text.startswith(f"</{tag[1]}", end):
+                continue
+            core = text[start:end].strip()
+            start = text.find(core, start, end) if core else start
+            end = start + len(core)
+        if end > start:
+            yield tag.start(), key, [(kind, text[start:end], start, end)]
+
+
+def _values(bound: list[tuple[int, str, list, bool]], text: str) -> list[_Value | None]:
+    """What each of the pairs in text order stands for; names refer as the module says."""
+    first: dict[str, int] = {}
+    for n, (_, name, _, binds) in enumerate(bound):
+        if binds:
+            first.setdefault(name, n)
+    last: dict[str, int] = {}
+    refers: list[list[int | None]] = []  # per part the pair it refers to
+    for n, (_, name, parts, binds) in enumerate(bound):
+        to = []
+        for kind, value, _, _ in parts:
+            k = None
+            if kind == "name":
+                k = last.get(value)
+                if k is None and value != name:
+                    k = first.get(value)
+            to.append(k)
+        refers.append(to)
+        if binds:
+            last[name] = n
+
+    values: list[_Value | None] = [None] * len(bound)
+    state = bytearray(len(bound))  # 1: begun, 2: known
+    for root in range(len(bound)):
+        path = [] if state[root] else [root]
+        while path:
+            n = path[-1]
+            if not state[n]:
+                state[n] = 1
+                path += [k for k in refers[n] if k is not None and not state[k]]
+                continue
+            path.pop()
+            if state[n] == 2:
+                continue
+            pieces = []
+            for (kind, value, start, end), k in zip(bound[n][2], refers[n], strict=True):
+                if k is not None:
+                    pieces.append(values[k] if state[k] == 2 else None)
+                elif kind == "name" and (
+                    len(bound[n][2]) > 1 or "." in value or text[end : end + 1] in ("(", "[")
+                ):
+                    continue  # code, not a literal
+                else:
+                    pieces.append(_Value([False, start, end], value, kind == "literal"))
+            pieces = [piece for piece in pieces if piece]
+            values[n] = _together(pieces) if pieces else None
+            state[n] = 2
+    return values
 
 
 def named_spans(text: str) -> list[tuple[int, int]]:
     """Literals whose target names are sensitive, with constants followed to their literals."""
-    constants: dict[str, _Value | None] = {}
+    pairs = [(*pair, True) for find in (assignments, definitions) for pair in find(text)]
+    pairs += [(*pair, False) for pair in handed_over(text)]
+    pairs.sort(key=lambda pair: pair[0])
     found: set[tuple[int, int]] = set()
-    for name, parts in assignments(text):
-        values = []
-        for kind, value, start, end in parts:
-            if kind == "name" and (value in constants or len(parts) > 1):
-                values.append(constants.get(value))
-            elif kind == "name" and ("." in value or text[end : end + 1] in ("(", "[")):
-                continue  # code, not a literal
-            else:
-                values.append(_Value([False, start, end], value, kind == "literal"))
-        values = [value for value in values if value]
-        constants[name] = whole = _together(values) if values else None
+    for (_, name, _, _), whole in zip(pairs, _values(pairs, text), strict=True):
         weight = name_score(name)
         if weight and whole and whole.telling and weight + whole.score >= THRESHOLD:
             # A tree that was reported once is not walked again.
@@ -293,7 +402,7 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         spans += [(*m.span(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     spans += [(*m.span(), "hex") for m in HEX.finditer(text)]
-    if "=" in text or ":" in text:
+    if any(sign in text for sign in "=:(<") or "#" in text and "define" in text:
         base = sorted((start, end) for start, end, _ in spans)
         inside, at, reach = [], 0, 0
         for start, end in named_spans(text):
