@@ -1,6 +1,7 @@
 """The pipeline: every stage on its own input against plain Python."""
 
 import hashlib
+import os
 import re
 
 import duckdb
@@ -12,7 +13,7 @@ import corpus_pipeline as pipeline
 from tests.llm.cases import SF, documents, odd_docs
 from tests.llm.test_dedup import plain_components, plain_leaks, plain_print
 from winnow.llm import secret_scan
-from winnow.llm.common import store
+from winnow.llm.common import store, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -61,8 +62,15 @@ def test_stages(spark):
 
 
 def test_run(spark):
-    rows = pipeline.run(spark, SF).collect()
+    with written() as made:
+        rows = pipeline.run(spark, SF).collect()
     assert rows and len({r.doc_id for r in rows}) == len(rows)
+    # Of the stages but the last, only what the last one reads is still there.
+    names = {name for name, _ in pipeline.STAGES[:-1]}
+    stages = [path for path in made if os.path.basename(path).rpartition("-")[0] in names]
+    assert len(stages) == 4 and [os.path.exists(path) for path in stages] == [False] * 3 + [True]
+    own = made[: made.index(stages[-1])]
+    assert len(own) > 3 and not any(os.path.exists(path) for path in own)
 
 
 def test_empty_table(spark):

@@ -1,6 +1,7 @@
 """Quality rules, secrets and the two classifiers: row by row, on odd rows, and held-out accuracy."""
 
 import hashlib
+import math
 import re
 import time
 from collections import Counter
@@ -8,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -375,3 +377,98 @@ def test_quality_classifier(spark):
     assert {r.score for r in compression_quality.score(docs, none).collect()} == {0.5}
     one = compression_quality.fit(docs, table.filter("quality = 1"), fold("doc_id", 4) != 2)
     assert min(r.score for r in compression_quality.score(docs, one).collect()) > 0.9
+
+
+def plain_language(text, model):
+    """Language and score from n-grams counted one by one, with 32-bit products in Python integers."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    line = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+    x, mask = [ord(c) for c in line], 0xFFFFFFFF
+    found = []
+    for i in range(len(x) - 1):
+        two = (x[i] * 0x9E3779B1 + x[i + 1] * 0x85EBCA77) & mask
+        found.append(two >> 16)
+        if i + 2 < len(x):
+            three = ((two ^ (two >> 15)) * 0xC2B2AE3D + x[i + 2] * 0x27D4EB2F) & mask
+            found.append(three >> 16)
+    z = []
+    for k in range(len(model.languages)):
+        total = sum(float(model.weights[bucket, k]) for bucket in found)
+        z.append((total * language_id.SCALE / len(found) + model.bias[k]) / model.temperature)
+    p = [math.exp(v - max(z)) for v in z]
+    best = p.index(max(p))
+    return model.languages[best], p[best] / sum(p)
+
+
+def test_language_scores_equal_plain_logits(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.fit(docs, fold("doc_id", 4) != 2)
+    texts = {r.doc_id: r.text for r in docs.unionByName(odd_docs(spark), True).collect() if r.doc_id is not None}
+    few = [i for i in sorted(texts) if len(texts[i] or "") < 4000][:60]
+    given_rows = spark.createDataFrame([(i, texts[i]) for i in few], "doc_id long, text string")
+    rows = language_id.identify(given_rows, model).collect()
+    assert len(rows) == len(few)
+    for r in rows:
+        lang, score = plain_language(texts[r.doc_id], model)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-4)
+
+
+def test_models_of_repeated_ids_and_other_partitions(spark):
+    """Rows that come twice change neither sample nor model; so does no other order of rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    learn = fold("doc_id", 4) != 2
+    mixed = docs.unionAll(docs).repartition(7)
+    one = compression_quality.fit(docs, labels, learn)
+    two = compression_quality.fit(mixed, labels.unionAll(labels).repartition(3), learn)
+    assert (one.good, one.bad) == (two.good, two.bad) and one.weights == pytest.approx(two.weights)
+    first = language_id.fit(docs, learn, sample_rows=10)
+    again = language_id.fit(docs.repartition(5), learn, sample_rows=10)
+    assert first.languages == again.languages and np.allclose(first.weights, again.weights)
+    # Every id twice: the inverse document frequencies differ a little, the sample has half its ids or all.
+    repeated = language_id.fit(mixed, learn)
+    assert repeated.languages == language_id.fit(docs, learn).languages
+
+
+def plain_difference(text, model):
+    raw, total = (text or "").encode(), 0
+    for at in range(0, len(raw), model.window):
+        sizes = []
+        for dictionary in (model.bad, model.good):
+            packer = zstandard.ZstdCompressor(
+                level=model.level, dict_data=zstandard.ZstdCompressionDict(dictionary),
+                write_content_size=False, write_dict_id=False,
+            )
+            sizes.append(len(packer.compress(raw[at : at + model.window])))
+        total += sizes[0] - sizes[1]
+    return total / (len(raw) + 1)
+
+
+def test_quality_scores_equal_plain_sizes(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = compression_quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), fold("doc_id", 4) != 2)
+    texts = {i: t for i, t, _ in documents()}
+    a, b = model.weights
+    for r in compression_quality.score(docs, model).collect():
+        difference = plain_difference(texts[r.doc_id], model)
+        assert r.difference == pytest.approx(difference, abs=0.002)
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(a * r.difference + b))))
+        assert r.predicted == (r.score >= 0.7)
+
+
+def test_quality_fit_on_all_windows_agrees(spark):
+    """The bound on windows per sampled text moves few verdicts."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    learn = fold("doc_id", 4) != 2
+    verdicts = [
+        {r.doc_id: r.predicted for r in compression_quality.score(docs, model).select("doc_id", "predicted").collect()}
+        for model in (
+            compression_quality.fit(docs, labels, learn),
+            compression_quality.fit(docs, labels, learn, windows_per_text=1 << 30),
+        )
+    ]
+    same = sum(verdicts[0][i] == verdicts[1][i] for i in verdicts[0])
+    print("equal verdicts", same, "of", len(verdicts[0]))
+    assert same >= 0.95 * len(verdicts[0])

@@ -12,6 +12,7 @@ import math
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,19 @@ _WRITING = {
 }
 
 
+_lists: list[list[str]] = []
+
+
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The paths of all tables that ``write`` makes meanwhile."""
+    _lists.append([])
+    try:
+        yield _lists[-1]
+    finally:
+        _lists.pop()
+
+
 def write(df: DataFrame, name: str, by: str | None = None) -> str:
     """Write ``df`` to the shared folder named by ``spark.checkpoint.dir``; returns the path."""
     spark = df.sparkSession
@@ -51,6 +65,8 @@ def write(df: DataFrame, name: str, by: str | None = None) -> str:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    for paths in _lists:
+        paths.append(path)
     before = {key: spark.conf.get(key, None) for key in _WRITING}
     for key, value in _WRITING.items():
         spark.conf.set(key, value)

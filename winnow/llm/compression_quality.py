@@ -97,6 +97,8 @@ def fit(
     """Train on the rows of ``labels`` that satisfy ``learn``, a condition on the id column.
 
     Without labelled rows of both classes every text scores 0.5 or the share of the one class.
+    Where ids repeat, the least text of an id stands for it.  The model depends on the sampled
+    texts, not on the order of rows.
     """
     known = labels.filter(learn & F.col(quality_col).isin(0, 1)).select(
         F.col(id_col).alias("_id"), F.col(quality_col).cast("int").alias("_quality")
@@ -108,9 +110,11 @@ def fit(
         sample = _sample(known, ["_id"], 1, sample_rows, half).unionAll(
             _sample(known, ["_id"], 0, sample_rows, half)
         )
-        return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
-            F.broadcast(sample), "_id"  # at most ``sample_rows`` rows of an id and a label
+        found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
+            F.broadcast(sample.distinct()), "_id"  # at most ``sample_rows`` rows of an id and a label
         )
+        # Combined before the shuffle: at most one text for each sampled row goes on.
+        return found.groupBy("_id", "_quality").agg(F.min("_text").alias("_text"))
 
     pieces = (
         texts(first).select("_quality", "_text")
@@ -118,7 +122,7 @@ def fit(
         .toPandas()
     )
     parts = [
-        _dictionary([bytes(p) for p in pieces.piece[pieces.quality == kind]], dictionary_bytes)
+        _dictionary(sorted(bytes(p) for p in pieces.piece[pieces.quality == kind]), dictionary_bytes)
         for kind in (1, 0)
     ]
     model = Model(*parts, weights=(1.0, 0.0), window=window, level=level)
@@ -128,6 +132,7 @@ def fit(
         return lambda batch: [[differ(text) for text in batch]]
 
     held = map_texts(texts(~first), setup, "difference double", ["_quality"], "_text").toPandas()
+    held = held.sort_values(["_quality", "difference"])
     y = held["_quality"].to_numpy(float)
     if len(set(y)) < 2:
         share = (y.sum() + 1) / (len(y) + 2)

@@ -102,8 +102,9 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[int, np.ndarra
             for text in batch.column(0).to_pylist():
                 rows += 1
                 mark = np.zeros(BUCKETS, bool)
-                for at in range(0, len(text or ""), _SLICE):
-                    mark[buckets(text[max(0, at - 2) : at + _SLICE], table)] = True
+                x = letters(text or "", table)
+                for at in range(0, len(x) - 1, _SLICE):
+                    mark[grams(x[at : at + _SLICE + 2], _SLICE)] = True
                 seen += mark
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
@@ -172,7 +173,10 @@ def fit(
     docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
     lang_col: str = "lang", sample_rows: int = 1000,
 ) -> Model:
-    """Train on rows with a language and a text that satisfy ``learn`` (a condition on the id)."""
+    """Train on rows with a language and a text that satisfy ``learn`` (a condition on the id).
+
+    Where ids repeat, the least text of an id and language stands for it.
+    """
     rows = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     total, df = document_frequencies(rows, text_col)
     idf = np.log((1.0 + total) / (1.0 + df)) + 0.1
@@ -192,6 +196,7 @@ def fit(
     sample = rows.select(
         F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")
     ).join(F.broadcast(picked), ["_id", "_lang"])  # bounded: sample_rows per language
+    sample = sample.groupBy("_id", "_lang").agg(F.min("_text").alias("_text"))  # combined before the shuffle
 
     def setup():
         table = _letters()
