@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnow.llm import decontaminate, language_id, secret_scan, simhash_dedup
-from winnow.llm.common import fold, store, table, unused
+from winnow.llm.common import fold, forget, store, table, unused, written
 from winnow.llm.queries import spelled
 
 # A language is rejected only where the calibrated model has no preference to speak of.
@@ -71,8 +71,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to ``documents``; each but the last is stored and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply all stages to ``documents``; each but the last is stored and read again.
+
+    What a stage stored on its way, and what it read, goes once its result is stored.
+    """
+    docs, read = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with written() as made:
+            docs = store(stage(spark, docs, sf_dir), name)
+        forget(spark, *read, *(path for path in made if path != docs.stored_at))
+        read = [docs.stored_at]
     return STAGES[-1][1](spark, docs, sf_dir)
