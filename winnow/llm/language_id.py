@@ -182,12 +182,13 @@ def fit(
     idf = np.log((1.0 + total) / (1.0 + df)) + 0.1
 
     # The ids of smallest hash.  A threshold from the counts lets about twice as many rows of a language
-    # reach its window, however many it has.
+    # reach its window, however many it has.  The table of thresholds has a row per language, as many as the
+    # model has columns of BUCKETS weights; sent to the keys, it drops rows before they move.
     keys = rows.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang")).withColumn("_hash", F.xxhash64("_id"))
     limits = keys.groupBy("_lang").agg((F.lit(2.0**65 * sample_rows) / F.count(F.lit(1)) - 2.0**63).alias("_limit"))
     place = Window.partitionBy("_lang").orderBy("_hash", "_id")
     picked = (
-        keys.join(limits, "_lang").filter(F.col("_hash") <= F.col("_limit"))
+        keys.join(F.broadcast(limits), "_lang").filter(F.col("_hash") <= F.col("_limit"))
         .withColumn("_place", F.row_number().over(place))
         .filter(F.col("_place") <= sample_rows)  # pushed before the shuffle as a group limit
         .select("_id", "_lang")
