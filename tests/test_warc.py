@@ -7,7 +7,8 @@ import zlib
 import pytest
 
 from winnow.operators.captures import captures, merge_captures, stack_headers
-from winnow.sources.warc import archive_index, archive_metadata, read_cdx, read_warc
+from winnow.sinks.files import write_files
+from winnow.sources.warc import LEAST_TASKS, archive_index, archive_metadata, read_cdx, read_warc
 from winnow.sources.warc_records import decoded_body, records
 
 
@@ -356,3 +357,29 @@ def test_patterns_in_any_part(spark, tmp_path):
     assert [r.target_uri for r in rows] == ["http://d1/", "http://d2/"]
     with pytest.raises(Exception, match="f\\*"):
         read_warc(spark, str(tmp_path / "f*" / "warc" / "*.gz")).count()
+
+
+def test_many_small_files_share_tasks(spark, tmp_path):
+    """The number of tasks follows the bytes, not the files or ranges; every file keeps its number."""
+    for i in range(600):
+        (tmp_path / f"{i:03d}.warc").write_bytes(response(f"http://s/{i}", b"x" * (i % 7)))
+    scan = read_warc(spark, str(tmp_path))
+    index = archive_index(spark, str(tmp_path))
+    split = read_warc(spark, str(tmp_path), index=index, split_bytes=1)
+    assert LEAST_TASKS <= scan.rdd.getNumPartitions() < 400
+    assert index.rdd.getNumPartitions() == split.rdd.getNumPartitions() == LEAST_TASKS
+    for rows in (scan, split):
+        found = rows.select("ord.file", "target_uri", "content").collect()
+        assert sorted((r.file, r.target_uri, len(r.content)) for r in found) == [
+            (i, f"http://s/{i}", i % 7) for i in range(600)
+        ]
+
+
+def test_files_are_written_where_they_are_made(spark, tmp_path):
+    def make(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield f"{row['id']}.bin", b"%d" % row["id"]
+
+    write_files(spark.range(9), str(tmp_path / "made"), make)
+    assert {p.name: p.read_bytes() for p in (tmp_path / "made").iterdir()} == {f"{i}.bin": b"%d" % i for i in range(9)}

@@ -449,15 +449,11 @@ def _archive_folder(spark, sf_dir, per_file: int = 64, packed: bool = True, dama
                     for k, row in enumerate(some):
                         if row["broken"]:
                             members[2 * k + 1] = _changed(members[2 * k + 1])
-                body = b"".join(members)
-                path = f"{part:05d}-{number:05d}.warc" + ".gz" * packed
+                yield f"{part:05d}-{number:05d}.warc" + ".gz" * packed, b"".join(members)
                 number += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path]), pa.array([body], pa.binary())], ["path", "body"]
-                )
 
     path = new_path(spark, "archives")
-    out.write_files(both.mapInArrow(archives, "path string, body binary"), path)
+    out.write_files(both, path, archives)
     return path
 
 

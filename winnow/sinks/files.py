@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame
@@ -100,34 +101,44 @@ def _last_per_path(rows: DataFrame) -> DataFrame:
     return rows.join(last, ["path", "origurl"], "left_semi").select("path", "body")
 
 
-def write_files(files: DataFrame, folder: str) -> None:
+def write_files(files: DataFrame, folder: str, make: Callable | None = None) -> None:
     """One file per row of ``(path, body)``, text or binary.
 
+    ``make`` turns the Arrow batches of a task into such pairs, so that bodies are written where they
+    are made and no second process holds them.
+
     Paths are unique.  A file is written under a name of its attempt and then renamed, so a task that
     dies or runs twice leaves whole files only; the attempts are deleted when the job ends or fails.
     """
     attempts = f"{folder.rstrip('/')}/_attempts-{uuid.uuid4().hex}"
 
-    def write_part(rows):
+    def write_pairs(pairs):
         _, scratch = file_system(attempts)
         scratch = f"{scratch}/{uuid.uuid4().hex}"
         system, inner = file_system(folder)
         system.create_dir(scratch, recursive=True)
         made = set()
-        for row in rows:
-            target = f"{inner.rstrip('/')}/{row.path}"
+        for path, body in pairs:
+            target = f"{inner.rstrip('/')}/{path}"
             parent = target.rsplit("/", 1)[0]
             if parent not in made:
                 system.create_dir(parent, recursive=True)
                 made.add(parent)
-            data = row.body.encode() if isinstance(row.body, str) else bytes(row.body)
+            data = body.encode() if isinstance(body, str) else bytes(body)
             part = f"{scratch}/part"
             with system.open_output_stream(part, compression=None) as out:
                 out.write(data)
             _publish(system, part, target)
 
+    def write_made(batches):
+        write_pairs(make(batches))
+        return iter(())
+
     try:
-        files.select("path", "body").foreachPartition(write_part)
+        if make is None:
+            files.select("path", "body").foreachPartition(write_pairs)
+        else:
+            files.mapInArrow(write_made, "path string").write.format("noop").mode("overwrite").save()
     finally:
         system, inner = file_system(attempts)
         if system.get_file_info(inner).type == FileType.Directory:

@@ -1,10 +1,11 @@
 """Web-archive scan: ``read_warc``, or ``spark.read.format("warc").load(path)``.
 
-Without an index there is one task per archive file, as where a record starts inside a gzip file is
+Without an index one task reads an archive file, as where a record starts inside a gzip file is
 known only to whoever has read all before it.  With an index, a table of offsets at which records start
 (``archive_index`` makes it in one header pass, ``read_cdx`` takes it from CDX files), a file is read in
 ranges of about ``split_bytes``, one task each.  The ranges cover every byte of a file whatever the index
 lists, so an index that does not fit is an error and loses nothing.  Rows are the same either way.
+Above ``LEAST_TASKS`` files or ranges, a task reads several small ones, up to about ``TASK_BYTES``.
 
 ``ord`` is ``struct<file, member, record>``: the place of the file in the list, of the gzip member in the
 file, and of the record in the member, so it is unique and sorts in reading order.
@@ -32,7 +33,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from winnow.sources.warc_records import file_system, records
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+# Files and ranges share tasks where there are more of them than so many, up to so many bytes a task.
+LEAST_TASKS, TASK_BYTES = 256, 16 << 20
 
 HEADER_FIELDS = (
     "ord struct<file: bigint, member: bigint, record: bigint>, archive string, statusline string, target_uri string, warc_type string, "
@@ -53,8 +56,8 @@ def fields(header_only: bool, errors: str) -> str:
 
 
 class Piece(InputPartition):
-    def __init__(self, path: str, number: int):
-        self.path, self.number = path, number
+    def __init__(self, files: list[tuple[str, int]]):
+        self.files = files  # paths and their numbers
 
 
 class WarcSource(DataSource):
@@ -77,12 +80,32 @@ class WarcReader(DataSourceReader):
         self.paths = [path for path in _option(options, "path", "").split("\n") if path]
 
     def partitions(self):
-        return [Piece(path, number) for number, path in enumerate(_archives(self.paths))]
+        return [Piece(files) for files in _shared_tasks(list(_archives(self.paths)))]
 
     def read(self, piece) -> Iterator:
         schema = _arrow_schema(self.header_only, self.errors)
-        found = records(piece.path, self.header_only, quarantine=self.errors == "quarantine")
-        yield from _batches(found, piece.number, self.responses_only, schema)
+        for path, number in piece.files:
+            found = records(path, self.header_only, quarantine=self.errors == "quarantine")
+            yield from _batches(found, number, self.responses_only, schema)
+
+
+def _shared_tasks(archives: list[tuple[str, int]]) -> Iterator[list[tuple[str, int]]]:
+    """Numbered paths of the files each task reads: one file, or several small ones that follow each other."""
+    share = min(TASK_BYTES, sum(size for _, size in archives) // LEAST_TASKS)
+    files, held = [], 0
+    for number, (path, size) in enumerate(archives):
+        if files and (held + size > share or len(archives) <= LEAST_TASKS):
+            yield files
+            files, held = [], 0
+        files.append((path, number))
+        held += size
+    if files:
+        yield files
+
+
+def _task_number(pieces: int, total: int) -> int:
+    """Number of tasks that read so many files or ranges of so many bytes in all."""
+    return max(1, min(pieces, max(LEAST_TASKS, total // TASK_BYTES)))
 
 
 def _batches(found: Iterator[dict], number: int, responses_only: bool, schema: pa.Schema) -> Iterator:
@@ -127,7 +150,7 @@ def _flag(options, name, default):
 
 
 def _archives(paths):
-    """Paths of archive files in the order given; folders and patterns list theirs by name."""
+    """Paths and sizes of archive files in the order given; folders and patterns list theirs by name."""
     for given in paths:
         system, inner = file_system(given)
         given, inner = given.rstrip("/"), inner.rstrip("/")
@@ -135,22 +158,22 @@ def _archives(paths):
             found = sorted(_matching(system, inner))
             if not found:
                 raise FileNotFoundError(given)
-            yield from (given.removesuffix(inner) + path for path in found)
+            yield from ((given.removesuffix(inner) + path, size) for path, size in found)
             continue
         info = system.get_file_info(inner or "/")
         if info.type == fs.FileType.Directory:
             found = system.get_file_info(fs.FileSelector(inner))
             for item in sorted(found, key=lambda f: f.path):
                 if item.path.endswith((".warc.gz", ".warc")):
-                    yield given + item.path[len(inner) :]
+                    yield given + item.path[len(inner) :], item.size
         elif info.type == fs.FileType.File:
-            yield given
+            yield given, info.size
         else:
             raise FileNotFoundError(given)
 
 
 def _matching(system, pattern):
-    """Files whose path matches a pattern part by part."""
+    """Paths and sizes of the files whose path matches a pattern part by part."""
     parts = pattern.split("/")
     fixed = next(k for k, part in enumerate(parts) if any(sign in part for sign in "*?["))
     folders = ["/".join(parts[:fixed])]
@@ -161,7 +184,7 @@ def _matching(system, pattern):
             if fnmatchcase(f.path.rpartition("/")[2], part)
         ]
         if depth == len(parts) - 1:
-            return [f.path for f in found if f.is_file]
+            return [(f.path, f.size) for f in found if f.is_file]
         folders = [f.path for f in found if f.type == fs.FileType.Directory]
 
 
@@ -195,19 +218,23 @@ def read_warc(
 def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``path, file, size`` of all archives, in the order in which a scan numbers them."""
     given = paths.split("\n") if isinstance(paths, str) else paths
-    listed = []
-    for number, path in enumerate(_archives([p for p in given if p])):
-        system, inner = file_system(path)
-        listed.append((path, number, system.get_file_info(inner).size))
+    found = enumerate(_archives([p for p in given if p]))
+    listed = [(path, number, size) for number, (path, size) in found]
     return spark.createDataFrame(listed, "path string, file bigint, size bigint")
 
 
+def _spread(pieces: DataFrame, size) -> DataFrame:
+    """Files or ranges dealt to the tasks that read them."""
+    number, total = pieces.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return pieces.repartition(_task_number(number, total))
+
+
 def archive_index(spark: SparkSession, paths: str | list[str], errors: str = "raise") -> DataFrame:
     """``path, offset, length, record, target_uri`` of every place where a scan may begin.
 
     One row per gzip member that begins with a record, or per record of a plain file; ``record`` is the
-    number of that record in its member or plain file, ``target_uri`` its own.  One task reads a file, once:
-    write the result to a table.  With ``errors="quarantine"`` damaged stretches have no row.
+    number of that record in its member or plain file, ``target_uri`` its own.  A file is read once, by one
+    task: write the result to a table.  With ``errors="quarantine"`` damaged stretches have no row.
     """
     files = _files(spark, paths).select("path", "size").distinct()
     schema = pa.schema(
@@ -233,7 +260,7 @@ def archive_index(spark: SparkSession, paths: str | list[str], errors: str = "ra
                     columns = [pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), schema, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return files.repartition(max(1, files.count())).mapInArrow(run, INDEX_FIELDS)
+    return _spread(files, F.col("size")).mapInArrow(run, INDEX_FIELDS)
 
 
 def read_cdx(spark: SparkSession, cdx: str | list[str], archives: str | list[str]) -> DataFrame:
@@ -299,8 +326,8 @@ def _read_ranges(spark, paths, header_only, responses_only, errors, index, split
                 )
                 yield from _batches(found, r["file"], responses_only, schema)
 
-    # As many tasks as ranges; the ranges are a table of offsets, a row per ``split_bytes``.
-    return ranges.repartition(max(1, ranges.count())).mapInArrow(run, fields(header_only, errors))
+    # The ranges are a table of offsets, a row per ``split_bytes``.
+    return _spread(ranges, F.col("stop") - F.col("start")).mapInArrow(run, fields(header_only, errors))
 
 
 def archive_metadata(spark: SparkSession, paths: str | list[str]) -> DataFrame:
