@@ -82,6 +82,48 @@ def test_master_corpus_equals_brute_force(spark, data, parts):
     assert found == brute_force(captures, posts, count_terms)
 
 
+def odd_captures(captures):
+    """With bodies repeated under other URLs, repeated and NULL ``ord``, and NULL bodies."""
+    again = [(n + 500, "http://hot.org/", 200, length, html) for n, _, _, length, html in captures[:60]]
+    nulls = [(None, *row[1:]) for row in captures[:40]] + [(n + 700, *captures[n][1:4], None) for n in range(20)]
+    return captures + again + nulls + captures[100:130]
+
+
+@pytest.mark.parametrize("mode, match", [("fast", "exact"), ("remove", "canonical"), ("reduce", "exact")])
+def test_corpus_of_captures_equals_that_of_all_extracts(spark, data, mode, match):
+    captures, posts = data
+    frame = spark.createDataFrame(odd_captures(captures), CAPTURE).repartition(3)
+    mentions = spark.createDataFrame(posts, POSTS)
+    whole = cx.master_corpus(cx.text_extracts(frame, mode), mentions, match, "row_no")
+    found = cx.corpus_of_captures(frame, mentions, mode, match=match, row_no="row_no")
+    assert found.columns == whole.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_one_extraction_per_content(spark, data):
+    """Of captures of equal content that a post mentions, the first stays; the rest is never extracted."""
+    captures, posts = data
+    linked = {link for *_, links in posts for link in links}
+    firsts = {}
+    for ord_, url, status, _, html in captures:
+        if status is not None and status <= 399 and original(url) in linked:
+            firsts.setdefault(html, ord_)
+    frame = spark.createDataFrame(captures, CAPTURE)
+    found = cx.first_captures(frame, spark.createDataFrame(posts, POSTS)).collect()
+    assert sorted(r.ord for r in found) == sorted(firsts.values()) and len(found) < 40
+
+
+def test_posts_are_cleaned_before_the_join(spark):
+    """Cleaning stands below the join that brings the numbers, so that the scan's tasks share it."""
+    from winnow.operators.posts import build_posts
+
+    pages = spark.createDataFrame([], T.StructType([T.StructField("page_idx", T.LongType()), *LISTING_PAGE]))
+    plan = build_posts(pages)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert "AS languages" not in "".join(lines[:join]) and "AS languages" in "".join(lines[join:])
+
+
 def test_lazy_and_stored_extracts_agree(spark, data, tmp_path):
     captures, posts = data
     frame = spark.createDataFrame(posts, POSTS)

@@ -75,22 +75,34 @@ def fix_post_links(posts: DataFrame) -> DataFrame:
     )
 
 
-def finish_posts(posts: DataFrame, language_names: list[str] | None = None) -> DataFrame:
-    """Clean text, repaired links, languages and text links of numbered posts."""
+def clean_posts(posts: DataFrame, language_names: list[str] | None = None) -> DataFrame:
+    """Clean text, repaired links, languages and text links of posts."""
     fixed = fix_post_links(posts).withColumn("raw_text", tx.clean_post_text(F.col("raw_text")))
     return fixed.withColumns(
         {
             "languages": tx.languages(F.col("raw_text"), F.col("tag_list"), language_names),
             "text_links": F.transform("body_extracts", lambda item: item["text_link"]),
-            "ptid_slug": F.concat_ws("_", "ptid", ux.path_slug(F.col("post_link"))),
         }
     )
 
 
+def finish_posts(posts: DataFrame, language_names: list[str] | None = None) -> DataFrame:
+    """Clean text, repaired links, languages, text links and slugs of numbered posts."""
+    return _slugged(clean_posts(posts, language_names))
+
+
+def _slugged(posts: DataFrame) -> DataFrame:
+    return posts.withColumn("ptid_slug", F.concat_ws("_", "ptid", ux.path_slug(F.col("post_link"))))
+
+
 def build_posts(pages: DataFrame, language_names: list[str] | None = None) -> DataFrame:
     """Posts table from nested listing pages that carry ``page_idx``."""
-    numbered = number_posts(flatten_posts(pages), page_offsets(pages))
-    return finish_posts(numbered, language_names).drop("page_idx", "post_idx")
+    posts = flatten_posts(pages)
+    # Cleaned before the join, whose tasks follow the bytes of its rows and can be as few as one.
+    cleaned = clean_posts(posts, language_names)
+    numbered = _slugged(number_posts(cleaned, page_offsets(pages)))
+    columns = [name for name in posts.columns if name not in ("page_idx", "post_idx")]
+    return numbered.select(*columns, "post_no", "ptid", "languages", "text_links", "ptid_slug")
 
 
 def post_images(posts: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from winnow.functions import urls as ux
 from winnow.operators.captures import under_status
 from winnow.operators.ordering import numbered
 from winnow.operators.pages import OUTPUTS, extract_pages
+from winnow.staging import stored
 
 
 def text_extracts(
@@ -121,6 +122,51 @@ def master_corpus(
     return extracts.drop("text_key").join(winners, "ord")
 
 
+def first_captures(
+    captures: DataFrame, posts: DataFrame, mode: str = "fast", max_status: int = 399, match: str = "exact"
+) -> DataFrame:
+    """The good captures that can survive the text dedup, found before any text is extracted.
+
+    Captures of equal content have equal texts, so of those that a post mentions only the one with the
+    smallest ``ord`` can survive.  In the modes that write links into the text their URL counts as content.
+    """
+    good = under_status(captures, max_status)
+    same = ["_content"] if mode in ("fast", "remove") else ["_content", "target_uri"]
+    mentioned = good.select(
+        "ord",
+        "target_uri",
+        F.sha2(F.coalesce("content", F.lit("")), 256).alias("_content"),
+        _match_key(ux.original_url(F.col("target_uri")), match).alias("link"),
+    ).join(first_mentions(posts, match), "link", "left_semi")
+    firsts = mentioned.groupBy(*same).agg(F.min("ord").alias("_ord")).select("_ord")
+    return good.join(firsts, F.col("ord").eqNullSafe(F.col("_ord")), "left_semi")
+
+
+def corpus_of_captures(
+    captures: DataFrame,
+    posts: DataFrame,
+    mode: str = "fast",
+    text_only: bool = True,
+    max_status: int = 399,
+    min_term_count: int = 0,
+    match: str = "exact",
+    row_no: str | None = None,
+) -> DataFrame:
+    """``master_corpus`` of the extracts of all captures, with no more extraction than it needs.
+
+    Texts are those of ``first_captures``; links and images are read from the rows of the corpus only.
+    """
+    firsts = first_captures(captures, posts, mode, max_status, match)
+    texts = text_extracts(firsts, mode, text_only, max_status, min_term_count, outputs=("text",))
+    master = master_corpus(stored(texts, "extracts"), posts, match, row_no)
+    linked = extract_pages(master, mode, outputs=("images", "links"))
+    new = [name for name in linked.columns if name not in master.columns]
+    at = master.columns.index("text")
+    corpus = linked.select(*master.columns[:at], *new, *master.columns[at:])
+    # A numbered corpus is sorted, which reads it twice.
+    return stored(corpus, "corpus") if row_no else corpus
+
+
 def simplify_corpus(master: DataFrame) -> DataFrame:
     """Corpus with the text replaced by title and main content; term counts stay as they were."""
     return master.withColumn("text", hx.simplified_page(F.col("content")))

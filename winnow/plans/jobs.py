@@ -72,13 +72,11 @@ def run_build(spark: SparkSession, args: argparse.Namespace) -> None:
     posts = stored(build_posts(read_listing_pages(spark, args.posts)), "posts")
     scanned = stored(captures(read_warc(spark, args.warc)), "captures")
     frame = decoded(merge_captures(scanned))
-    extracts = stored(
-        cx.text_extracts(
-            frame, args.tag_transform, args.text_only, args.max_status, args.min_term_count
-        ),
-        "extracts",
-    )
-    out.write_corpus(cx.master_corpus(extracts, posts, args.match, "row_no"), args.corpus_out)
+    corpus = cx.corpus_of_captures(
+        frame, posts, args.tag_transform, args.text_only, args.max_status, args.min_term_count,
+        args.match, "row_no",
+    )
+    out.write_corpus(corpus, args.corpus_out)
     simplified = cx.simplify_corpus(spark.read.parquet(args.corpus_out))
     out.write_json(cx.label_records(simplified), args.labels_out)
 

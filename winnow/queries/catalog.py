@@ -701,9 +701,9 @@ def best_per_url(spark, sf_dir):
 
 
 def _corpus(spark, sf_dir, **options):
-    """The corpus over a stored extracts table, as the build job runs it, all columns included."""
+    """The corpus over a stored posts table, as the build job runs it, all columns included."""
     posts_table = stored(src.posts(spark, sf_dir), "posts")
-    return cx.master_corpus(stored(_extracts(spark, sf_dir), "extracts"), posts_table, **options)
+    return cx.corpus_of_captures(src.typed_captures(spark, sf_dir), posts_table, **options)
 
 
 def _page_columns():
