@@ -6,7 +6,7 @@ pre-token where white space follows other text, and no piece of the SentencePiec
 place (``load_pieces`` checks that).  Texts with other white space, whose cutting rules depend on
 more context, count as one chunk.  So the ids equal those of the whole text.
 
-The cache stays in the Python worker between tasks.  When it holds ``MOST_CHUNKS`` chunks or
+The cache stays in the Python worker between tasks.  When it holds ``most`` chunks (``MOST_CHUNKS``) or
 ``MOST_CHARS`` characters it keeps the chunks that it met most often, at most half of that, so its size
 does not depend on the data.
 """
@@ -74,9 +74,10 @@ class ChunkCache:
     """
 
     def __init__(
-        self, encoders: Sequence[Callable], exact: Callable | None = None, cut: Callable[[str], list] = chunks
-    ):
-        self.encoders, self.exact, self.cut = encoders, exact, cut
+        self, encoders: Sequence[Callable], exact: Callable | None = None, cut: Callable[[str], list] = chunks,
+        most: int | None = None,
+    ):
+        self.encoders, self.exact, self.cut, self.most = encoders, exact, cut, most
         self.places = _Places()
         self.chars = 0
         self.flat = [np.zeros(0, np.uint32) for _ in encoders]
@@ -86,11 +87,11 @@ class ChunkCache:
 
     def _shrink(self) -> None:
         """Keep the chunks that were met at least twice, or more often if these are too many."""
-        names, least = list(self.places), 2
+        names, least, most = list(self.places), 2, self.most or MOST_CHUNKS
         length = np.fromiter(map(len, names), np.int64, len(names))
         while True:
             kept = np.flatnonzero(self.hits >= least)
-            if 2 * len(kept) <= MOST_CHUNKS and 2 * length[kept].sum() <= MOST_CHARS:
+            if 2 * len(kept) <= most and 2 * length[kept].sum() <= MOST_CHARS:
                 break
             least *= 2
         self.places = _Places()
@@ -119,15 +120,26 @@ class ChunkCache:
 
     def encode(self, texts: Sequence[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
         """Per encoder the ids of all texts in a row and their number per text; whether all spell it."""
-        if len(self.places) > MOST_CHUNKS or self.chars > MOST_CHARS:
-            self._shrink()
+        self._make_room()
         look, places, counts = self.places.__getitem__, [], []
         for text in texts:
             cut = self.cut(text)
             counts.append(len(cut))
             places.extend(map(look, cut))
+        return self._spelled(np.array(places, np.int64), counts)
+
+    def encode_numbered(self, distinct: Sequence, numbers: np.ndarray, counts: np.ndarray):
+        """The same for texts that are cut already: ``numbers`` point to the distinct chunks, ``counts`` per text."""
+        self._make_room()
+        place = np.fromiter(map(self.places.__getitem__, distinct), np.int64, len(distinct))
+        return self._spelled(place[numbers], counts)
+
+    def _make_room(self) -> None:
+        if len(self.places) > (self.most or MOST_CHUNKS) or self.chars > MOST_CHARS:
+            self._shrink()
+
+    def _spelled(self, place: np.ndarray, counts: Sequence[int]):
         self._learn()
-        place = np.array(places, np.int64)
         self.hits += np.bincount(place, minlength=len(self.hits))
         ends = np.r_[0, np.cumsum(np.array(counts, np.int64))]
         all_ids, per_text = [], []

@@ -33,120 +33,108 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.chunk_tokens import ChunkCache, held, in_a_row
+from winnow.llm.chunk_tokens import ChunkCache, byte_level_alphabet, held, in_a_row
 from winnow.llm.common import prefix_sums, store
 
-MAGIC = b"WTOK\x01"
+MAGIC = b"WTOK\x02"
 BLOCK = 2048
-SEGMENT_IDS = BLOCK * 1024
-CLASSES = 18  # ranks up to 2**18
+SEGMENT_IDS = BLOCK * 2048
+MOST_SYMBOLS = (1 << 18) - 1  # of a segment
 END_ID = 2
+MARK, JOINED_WORDS = "^", 20_000
+MOST_WORDS = 1_500_000  # in the cache of a worker, some 180 bytes each
 _S1, _S2 = 11, 12  # bits of the order-1 and order-2 tables of one block
 _U = np.uint64
-_BOTTOM = _U(1 << 48)
-_LOW48 = _U((1 << 48) - 1)
-_ONE = 32768
-_TARGETS = np.array(
-    [[16 * j if j <= s else _ONE - 16 * (CLASSES - j) for j in range(CLASSES + 1)] for s in range(CLASSES)],
-    np.int32,
-).T.copy()
+_LOW32 = _U((1 << 32) - 1)
+_ONE = 1 << 16  # the whole of a chance
+_LEAST = 32  # what order 0 has of the interval at least
 
 
-_LEAST, _MOST = 32, 64512  # chances in 65536ths
+def _total_bits(symbols: int) -> int:
+    return 18 if symbols <= 1 << 16 else 20
 
 
-def _classes(ranks: np.ndarray) -> np.ndarray:
-    return np.frexp((ranks.astype(np.int64) + 1).astype(np.float64))[1] - 1
-
-
-def _posterior(weight: np.ndarray, chance: np.ndarray, mixed: np.ndarray) -> np.ndarray:
-    """Bayes' rule for one prediction, in 65536ths, without what the fixed share takes."""
-    after = (weight * chance) // mixed
-    return after - (after >> 6)
+def shares_of(counts: np.ndarray) -> np.ndarray:
+    """Shares of the symbols in order 0, by their counts: at least 1 each, a power of two in all."""
+    counts = counts.astype(np.int64)
+    total = 1 << _total_bits(len(counts))
+    shares = 1 + counts * (total - len(counts)) // counts.sum()
+    shares[0] += total - shares.sum()
+    return shares
 
 
 class _Mixer:
-    """Statistics of all blocks of a segment, one column per block."""
+    """Statistics of all blocks of a segment, one column per block.
+
+    ``shares`` gives the shares of the symbols in order 0, or a number of symbols of equal shares.
+    """
 
-    def __init__(self, lanes: int, symbols: int):
-        kind = np.uint16 if symbols <= 1 << 16 else np.uint32
+    def __init__(self, lanes: int, shares: int | np.ndarray):
+        if isinstance(shares, int):
+            shares = shares_of(np.ones(max(1, shares), np.int64))
+        self.bits = _U(_total_bits(len(shares)))
+        kind = np.uint16 if len(shares) <= 1 << 16 else np.uint32
+        self.share = shares.astype(_U)
+        self.lower = np.cumsum(self.share) - self.share
+        self.chance = (self.share << _U(16)) >> self.bits
         self.follow1 = np.zeros(lanes << _S1, kind)
         self.follow2 = np.zeros(lanes << _S2, kind)
         self.base1 = np.arange(lanes, dtype=np.int64) << _S1
         self.base2 = np.arange(lanes, dtype=np.int64) << _S2
-        self.hit2 = np.full((2, lanes), 16384, np.int64).ravel()
-        self.hit1 = np.full((2, lanes), 8192, np.int64).ravel()
-        # Weights of orders 2 and 1 in the first decision and of order 1 in the second; order 0 has the rest.
-        self.first2 = np.full(lanes, 32768, np.int64)
-        self.first1 = np.full(lanes, 16384, np.int64)
-        self.second1 = np.full(lanes, 49152, np.int64)
+        # Weights of orders 2 and 1, 16 bits each, where they differ and where they agree; order 0 has the rest.
+        self.weights = np.full(2 * lanes, 4096 << 16 | 4096, _U)
+        self.weights[lanes:] = 16384 << 16 | 16384
         self.lane = np.arange(lanes, dtype=np.int64)
         self.lanes = lanes
-        self.kind_of = _classes(np.arange(max(1, symbols)))
-        self.cdf = np.repeat(
-            (np.arange(CLASSES + 1, dtype=np.int32) * _ONE // CLASSES)[:, None], lanes, axis=1
-        )
-        self.last1 = np.zeros(lanes, np.int64)
-        self.last2 = np.zeros(lanes, np.int64)
-
-    def _order0(self, rank: np.ndarray, n: int) -> np.ndarray:
-        """The share of one rank, in 65536ths."""
-        kind, lane = self.kind_of[rank], self.lane[:n]
-        return ((self.cdf[kind + 1, lane] - self.cdf[kind, lane]).astype(np.int64) << 1) >> kind
+        self.hash1 = np.zeros(lanes, np.int64)
+        self.hash2 = np.zeros(lanes, np.int64)
 
     def predict(self, n: int):
-        """Ids proposed by orders 2 and 1 and their mixed chances, for the first ``n`` blocks."""
-        one, two = self.last1[:n], self.last2[:n]
-        self.at1 = self.base1[:n] + (((one * 40503) >> 4) & ((1 << _S1) - 1))
-        self.at2 = self.base2[:n] + (((one * 40503 + two * 30011) >> 4) & ((1 << _S2) - 1))
-        c2, c1 = self.follow2[self.at2], self.follow1[self.at1]
-        self.same = c1 == c2
-        self.state = self.lane[:n] + np.where(self.same, self.lanes, 0)
-        self.p2, self.p1 = self.hit2[self.state], self.hit1[self.state]
-        self.c1 = c1
-        share2, self.share1 = self._order0(c2, n), self._order0(c1, n)
-        self.by1 = np.where(self.same, self.p1, ((65536 - self.p1) * share2) >> 16)
-        self.by0 = share2
-        w2, w1 = self.first2[:n], self.first1[:n]
-        self.mix2 = np.clip((w2 * self.p2 + w1 * self.by1 + (65536 - w2 - w1) * share2) >> 16, _LEAST, _MOST)
-        v = self.second1[:n]
-        self.mix1 = np.clip((v * self.p1 + (65536 - v) * self.share1) >> 16, _LEAST, _MOST)
-        self.mix1[self.same] = 0  # asked already
+        """Ids proposed by orders 2 and 1 and what they have of the interval, for the first ``n`` blocks."""
+        self.at1 = ((self.hash1[:n] >> 4) & ((1 << _S1) - 1)) + self.base1[:n]
+        self.at2 = (((self.hash1[:n] + self.hash2[:n]) >> 4) & ((1 << _S2) - 1)) + self.base2[:n]
+        self.c2 = c2 = self.follow2.take(self.at2).astype(np.int64)
+        self.c1 = c1 = self.follow1.take(self.at1).astype(np.int64)
+        same = c1 == c2
+        self.state = self.lane[:n] + same * self.lanes
+        pack = self.weights.take(self.state)
+        self.w2, self.w1 = pack >> _U(16), pack & _U(0xFFFF)
+        w0 = _U(_ONE) - self.w2 - self.w1
+        # What an id has is the sum over all orders that can give it.
+        agreed = self.w1 * same
+        self.mix2 = np.minimum(self.w2 + agreed + (w0 * self.chance.take(c2) >> _U(16)), _U(_ONE - 2 * _LEAST))
+        alone = (self.w1 + (w0 * self.chance.take(c1) >> _U(16))) * ~same
+        self.mix1 = np.minimum(alone, _U(_ONE - _LEAST) - self.mix2)
         return c2, c1, self.mix2, self.mix1
 
-    def update(self, n: int, rank, is2, is1, miss, kind) -> None:
-        """Learn the coded rank; ``kind`` holds the classes of the missed blocks ``miss``."""
-
-        def came(chance, hit):
-            return np.where(hit, chance, 65536 - chance)
-
-        w2, w1 = self.first2[:n], self.first1[:n]
-        chances = came(self.p2, is2), came(self.by1, is2), came(self.by0, is2)
-        mixed = np.maximum((w2 * chances[0] + w1 * chances[1] + (65536 - w2 - w1) * chances[2]) >> 16, 1)
-        self.first2[:n] = np.minimum(_posterior(w2, chances[0], mixed), 64000) + 341
-        self.first1[:n] = np.minimum(_posterior(w1, chances[1], mixed) + 341, 65536 - self.first2[:n])
-        v = self.second1[:n]
-        chances = came(self.p1, is1), came(self.share1, is1)
-        mixed = np.maximum((v * chances[0] + (65536 - v) * chances[1]) >> 16, 1)
-        after = np.minimum(_posterior(v, chances[0], mixed), 64512) + 512
-        self.second1[:n] = np.where(is2 | self.same, v, after)
-        self.hit2[self.state] = np.clip(self.p2 + ((np.where(is2, 65536, 0) - self.p2) >> 5), 1024, 64512)
-        self.hit1[self.state] = np.clip(self.p1 + ((np.where(rank == self.c1, 65536, 0) - self.p1) >> 5), 1024, 64512)
+    def update(self, n: int, rank: np.ndarray, is2: np.ndarray) -> None:
+        """Learn the coded ids (int64); ``is2`` marks those that order 2 proposed."""
+        is1 = rank == self.c1
+        # The weights go a 32nd of the way to the part that each order had in what came (EM step for a
+        # mixture), and hand back a little.
+        mixed = np.maximum(_pick(is2, self.mix2, self.mix1), _U(1))
+        w2 = self.w2 - (self.w2 >> _U(5)) + (self.w2 * is2 << _U(11)) // mixed
+        w1 = self.w1 - (self.w1 >> _U(5)) + np.minimum((self.w1 * is1 << _U(11)) // mixed, _U(_ONE >> 5))
+        w2 += _U(16) - (w2 >> _U(10))
+        w1 += _U(16) - (w1 >> _U(10))
+        w1 = np.minimum(w1, _U(_ONE - 2 * _LEAST) - w2)  # w2 stays below 64,048
+        self.weights[self.state] = w2 << _U(16) | w1
         self.follow1[self.at1] = rank
         self.follow2[self.at2] = rank
-        self.last2[:n] = self.last1[:n]
-        self.last1[:n] = rank
-        if len(miss) == self.lanes:
-            self.cdf += (_TARGETS[:, kind] - self.cdf) >> 5
-        elif len(miss):
-            part = self.cdf[:, miss]
-            part += (_TARGETS[:, kind] - part) >> 5
-            self.cdf[:, miss] = part
+        # The id before the last one counts with another factor.
+        self.hash2[:n] = self.hash1[:n] * 7
+        self.hash1[:n] = rank * 40503
+
+
+def _pick(where: np.ndarray, yes: np.ndarray, no: np.ndarray) -> np.ndarray:
+    """``np.where`` without branches, for 64-bit numbers of one kind."""
+    return no ^ ((no ^ yes) & -where.astype(no.dtype))
 
 
 def _active(sizes: np.ndarray, step: int) -> int:
@@ -160,140 +148,129 @@ def _grid(values: np.ndarray, lanes: int) -> np.ndarray:
     return np.ascontiguousarray(out.reshape(lanes, BLOCK).T)
 
 
-def encode_blocks(ranks: np.ndarray, symbols: int) -> list[bytes]:
-    """Code ranks (below ``symbols``) in blocks of ``BLOCK``; one byte string per block."""
+def encode_blocks(ranks: np.ndarray, symbols: int | np.ndarray) -> list[bytes]:
+    """Code ranks in blocks of ``BLOCK``, one byte string per block.
+
+    ``symbols`` is the number of symbols, above all ranks, or the shares of the symbols in order 0.
+    """
     lanes = -(-len(ranks) // BLOCK)
     if not lanes:
         return []
     sizes = np.minimum(BLOCK, len(ranks) - np.arange(lanes) * BLOCK)
-    kinds = _classes(ranks)
-    grid, classes = _grid(ranks.astype(np.uint32), lanes), _grid(kinds.astype(np.uint8), lanes)
-    offsets = _grid((ranks.astype(np.int64) + 1 - (1 << kinds.astype(np.int64))).astype(np.uint32), lanes)
-    del kinds
+    grid = _grid(ranks.astype(np.uint32), lanes)
     mixer = _Mixer(lanes, symbols)
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
-    out = np.zeros((lanes, 3 * BLOCK + 8), np.uint16)  # at most 41 bits per id
-    used = np.zeros(lanes, np.int64)
+    out = np.zeros(lanes * (BLOCK + 2), np.uint32)  # at most 32 bits per id
+    used = np.arange(lanes, dtype=np.int64) * (BLOCK + 2)
     for step in range(int(sizes.max())):
         n = _active(sizes, step)
-        rank = grid[step, :n]
+        rank = grid[step, :n].astype(np.int64)
         c2, c1, p2, p1 = mixer.predict(n)
         is2 = rank == c2
         is1 = (rank == c1) & ~is2
-        width = span[:n]
-        a = (width >> _U(16)) * p2.astype(_U)
-        rest = width - a
-        b = (rest >> _U(16)) * p1.astype(_U)
-        start = np.where(is1, a, _U(0))
-        size = np.where(is2, a, b)
-        miss = np.flatnonzero(~(is2 | is1))
-        kind = classes[step, miss].astype(np.int64)
-        if len(miss):
-            unit = (rest[miss] - b[miss]) >> _U(15)
-            lower = mixer.cdf[kind, miss].astype(_U)
-            part = unit * (mixer.cdf[kind + 1, miss].astype(_U) - lower)
-            part >>= kind.astype(_U)
-            start[miss] = a[miss] + b[miss] + unit * lower + part * offsets[step, miss].astype(_U)
-            size[miss] = part
+        unit = span[:n] >> _U(16)
+        a, b = unit * p2, unit * p1
+        both = a + b
+        part = (span[:n] - both) >> mixer.bits
+        start = _pick(is2 | is1, a * is1, both + part * mixer.lower.take(rank))
+        size = _pick(is2 | is1, _pick(is2, a, b), part * mixer.share.take(rank))
         low[:n] += start
         span[:n] = size
-        mixer.update(n, rank, is2, is1, miss, kind)
-        short = np.flatnonzero(span < _BOTTOM)
-        while len(short):
-            at, reach = low[short], span[short]
-            crosses = ((at ^ (at + reach - _U(1))) >> _U(48)) != 0
-            reach = np.where(crosses, (~at + _U(1)) & _LOW48, reach)
-            out[short, used[short]] = (at >> _U(48)).astype(np.uint16)
-            used[short] += 1
-            low[short], span[short] = at << _U(16), reach << _U(16)
-            short = short[(reach << _U(16)) < _BOTTOM]
-    for shift in (48, 32, 16, 0):
-        out[np.arange(lanes), used] = ((low >> _U(shift)) & _U(0xFFFF)).astype(np.uint16)
+        mixer.update(n, rank, is2)
+        short = np.flatnonzero(size <= _LOW32)
+        if len(short):
+            at, reach, place = low[short], size[short], used[short]
+            out[place] = at >> _U(32)
+            used[short] = place + 1
+            low[short], span[short] = at << _U(32), _inside(at, reach) << _U(32)
+    for shift in (32, 0):
+        out[used] = low >> _U(shift) & _LOW32
         used += 1
-    big = out.astype(">u2")
+    used -= np.arange(lanes) * (BLOCK + 2)
+    big = out.astype(">u4").reshape(lanes, BLOCK + 2)
     return [big[k, : used[k]].tobytes() for k in range(lanes)]
 
 
-def decode_blocks(blocks: list[bytes], total: int, symbols: int) -> np.ndarray:
-    """The ranks of ``encode_blocks``, given their number and that of the symbols."""
+def _inside(low: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Spans of at most 32 bits, cut where the upper half of a number in them would change."""
+    left = (_U(1) << _U(32)) - (low & _LOW32)
+    return np.minimum(span, left)
+
+
+def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) -> np.ndarray:
+    """The ranks of ``encode_blocks``, given their number and the same ``symbols``."""
     lanes = len(blocks)
     if not lanes:
         return np.zeros(0, np.uint32)
     sizes = np.minimum(BLOCK, total - np.arange(lanes) * BLOCK)
-    most = max(map(len, blocks)) // 2 + 2
-    words = np.zeros((lanes, most), _U)
+    most = max(map(len, blocks)) // 4 + 2
+    words = np.zeros((lanes, most), np.uint32)
     for k, block in enumerate(blocks):
-        words[k, : len(block) // 2] = np.frombuffer(block, ">u2")
+        words[k, : len(block) // 4] = np.frombuffer(block, ">u4", len(block) // 4)
+    words = words.ravel()
+    first = np.arange(lanes, dtype=np.int64) * most
+    code = words[first].astype(_U) << _U(32) | words[first + 1]
+    used, last = first + 2, first + most - 1
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
-    code = np.zeros(lanes, _U)
-    for k in range(4):
-        code = (code << _U(16)) | words[:, k]
-    used = np.full(lanes, 4, np.int64)
     mixer = _Mixer(lanes, symbols)
+    top = _U((1 << int(mixer.bits)) - 1)
+    held_by = np.repeat(np.arange(len(mixer.share), dtype=np.uint32), mixer.share.astype(np.int64))
     grid = np.zeros((BLOCK, lanes), np.uint32)
     for step in range(int(sizes.max())):
         n = _active(sizes, step)
         c2, c1, p2, p1 = mixer.predict(n)
-        width, offset = span[:n], code[:n] - low[:n]
-        a = (width >> _U(16)) * p2.astype(_U)
-        rest = width - a
-        b = (rest >> _U(16)) * p1.astype(_U)
-        is2 = offset < a
-        is1 = ~is2 & (offset < a + b)
-        rank = np.where(is2, c2, c1).astype(np.uint32)
-        start = np.where(is1, a, _U(0))
-        size = np.where(is2, a, b)
-        miss = np.flatnonzero(~(is2 | is1))
-        kind = np.zeros(0, np.int64)
-        if len(miss):
-            unit = (rest[miss] - b[miss]) >> _U(15)
-            left = offset[miss] - a[miss] - b[miss]
-            value = (left // unit).astype(np.int32)
-            cdf = mixer.cdf if len(miss) == lanes else mixer.cdf[:, miss]
-            kind = (cdf[1:CLASSES] <= value).sum(axis=0, dtype=np.int64)
-            lane = np.arange(len(miss))
-            lower = cdf[kind, lane].astype(_U)
-            part = unit * (cdf[kind + 1, lane].astype(_U) - lower)
-            part >>= kind.astype(_U)
-            inside = (left - unit * lower) // part
-            start[miss] = a[miss] + b[miss] + unit * lower + part * inside
-            size[miss] = part
-            rank[miss] = ((1 << kind) + inside.astype(np.int64) - 1).astype(np.uint32)
+        offset = code[:n] - low[:n]
+        unit = span[:n] >> _U(16)
+        a, b = unit * p2, unit * p1
+        both = a + b
+        is2, near = offset < a, offset < both
+        part = (span[:n] - both) >> mixer.bits
+        slot = np.minimum((offset - both) // part, top)
+        rank = held_by.take(slot.view(np.int64)).astype(np.int64)
+        start = _pick(near, a * ~is2, both + part * mixer.lower.take(rank))
+        size = _pick(near, _pick(is2, a, b), part * mixer.share.take(rank))
+        rank = _pick(near, _pick(is2, c2, c1), rank)
         low[:n] += start
         span[:n] = size
         grid[step, :n] = rank
-        mixer.update(n, rank, is2, is1, miss, kind)
-        short = np.flatnonzero(span < _BOTTOM)
-        while len(short):
-            at, reach = low[short], span[short]
-            crosses = ((at ^ (at + reach - _U(1))) >> _U(48)) != 0
-            reach = np.where(crosses, (~at + _U(1)) & _LOW48, reach)
-            code[short] = (code[short] << _U(16)) | words[short, np.minimum(used[short], most - 1)]
-            used[short] += 1
-            low[short], span[short] = at << _U(16), reach << _U(16)
-            short = short[(reach << _U(16)) < _BOTTOM]
+        mixer.update(n, rank, is2)
+        short = np.flatnonzero(size <= _LOW32)
+        if len(short):
+            at, reach, place = low[short], size[short], used[short]
+            code[short] = code[short] << _U(32) | words[place]
+            used[short] = np.minimum(place + 1, last[short])
+            low[short], span[short] = at << _U(32), _inside(at, reach) << _U(32)
     return np.ascontiguousarray(grid.T).reshape(-1)[:total]
 
 
 def write_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     """One segment from the ids of whole documents and their numbers of ids."""
-    alphabet, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < 1 << 22:
+        counts = np.bincount(ids)
+        alphabet = np.flatnonzero(counts)
+        place = np.zeros(len(counts), np.uint32)
+        place[alphabet] = np.arange(len(alphabet))
+        inverse, counts = place[ids], counts[alphabet]
+    else:
+        alphabet, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.argsort(-counts, kind="stable")
-    if len(order) >= 1 << CLASSES:
-        raise ValueError(f"a segment holds at most {(1 << CLASSES) - 1} distinct ids")
+    if len(order) > MOST_SYMBOLS:
+        raise ValueError(f"a segment holds at most {MOST_SYMBOLS} distinct ids")
     rank_of = np.empty(len(order), np.uint32)
     rank_of[order] = np.arange(len(order))
-    blocks = encode_blocks(rank_of[inverse], len(order))
+    shares = shares_of(counts[order]) if len(order) else np.zeros(0, np.int64)
+    blocks = encode_blocks(rank_of[inverse], shares)
     squeeze = zstandard.ZstdCompressor(level=3).compress
     fields = [
         squeeze(lengths.astype("<u4").tobytes()),
         squeeze(alphabet[order].astype("<u4").tobytes()),
+        squeeze(shares.astype("<u4").tobytes()),
         b"".join(
             struct.pack("<II", len(block), zlib.crc32(ids[k * BLOCK : (k + 1) * BLOCK].astype("<u4").tobytes()))
             for k, block in enumerate(blocks)
         ),
     ]
-    head = MAGIC + struct.pack("<3I", *map(len, fields))
+    head = MAGIC + struct.pack("<4I", *map(len, fields))
     return head + b"".join(fields) + b"".join(blocks)
 
 
@@ -301,21 +278,21 @@ def read_segment(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Ids and numbers of ids per document; raises ``ValueError`` if a block is damaged."""
     if raw[: len(MAGIC)] != MAGIC:
         raise ValueError("not a token segment")
-    at = len(MAGIC) + 12
+    at = len(MAGIC) + 16
     fields = []
-    for size in struct.unpack("<3I", raw[len(MAGIC) : at]):
+    for size in struct.unpack("<4I", raw[len(MAGIC) : at]):
         fields.append(raw[at : at + size])
         at += size
     expand = zstandard.ZstdDecompressor().decompress
     lengths = np.frombuffer(expand(fields[0]), "<u4").astype(np.int64)
-    alphabet = np.frombuffer(expand(fields[1]), "<u4")
+    alphabet, shares = (np.frombuffer(expand(field), "<u4") for field in fields[1:3])
     sums, blocks = [], []
-    for size, crc in struct.iter_unpack("<II", fields[2]):
+    for size, crc in struct.iter_unpack("<II", fields[3]):
         sums.append(crc)
         blocks.append(raw[at : at + size])
         at += size
     try:
-        ids = alphabet[decode_blocks(blocks, int(lengths.sum()), len(alphabet))]
+        ids = alphabet[decode_blocks(blocks, int(lengths.sum()), shares)]
     except (IndexError, ZeroDivisionError) as error:
         raise ValueError("damaged block") from error
     for k, crc in enumerate(sums):
@@ -324,15 +301,13 @@ def read_segment(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ids, lengths
 
 
-def _cut_words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "replace").split()
-
-
 class WordTokenizer:
     """Ids of whole texts from a tokenizer that never joins across white space.
 
     Each distinct word is encoded once.  That equals encoding the whole text: the tokenizer drops
-    white space and treats the pieces between it on their own.
+    white space and treats the pieces between it on their own.  New words of Latin letters go to the model of
+    the tokenizer, which does its merges; others are encoded many at a time, as one text with a mark
+    between two words, and cut at the id of the mark.
     """
 
     def __init__(self, path: str):
@@ -341,17 +316,64 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-
-        def encode(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            words = [word.decode("utf-8", "replace") for word in new]
-            return in_a_row([e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
-
-        self.cache = ChunkCache([encode], cut=_cut_words)
-
-    def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, each closed by ``end_id``, and ids per text."""
-        (ids,), (sizes,), _ = self.cache.encode([text or "" for text in texts])
+        self.tokenizer = Tokenizer.from_file(path)
+        mark = self._ids([MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+        # Words of Latin letters need no more than the merges, if the rest of the tokenizer lower-cases them only.
+        self.model = self.tokenizer.model
+        self.stand_in = {byte: char for char, byte in byte_level_alphabet().items()}
+        letters = "".join(chr(c) for c in range(0x100) if chr(c).isalpha())
+        probes = ["The", letters, letters[::-1], "whednd", "STRASSE", "Straße", "x", "É", "DonT", "ill", "ÈÉêai"]
+        self.merges = all(self._ids([w]) == [self._merged(w)] for w in probes)
+        self.cache = ChunkCache([self._encode], most=MOST_WORDS)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _merged(self, word: str) -> list[int]:
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.stand_in)
+        return [token.id for token in self.model.tokenize(word)]
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter(
+            (self.merges and word.isalpha() and (word.isascii() or max(word) < "\u0100") for word in words), bool, len(words)
+        )
+        one = in_a_row([self._merged(word) for word, p in zip(words, plain.tolist()) if p])
+        two = self._mixed([word for word, p in zip(words, plain.tolist()) if not p])
+        size = np.empty(len(words), np.int64)
+        size[plain], size[~plain] = one[1], two[1]
+        ids, mine = np.empty(size.sum(), np.uint32), np.repeat(plain, size)
+        ids[mine], ids[~mine] = one[0], two[0]
+        return ids, size
+
+    def _mixed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if not words:
+            return in_a_row([])
+        parts = [self._together(words[at : at + JOINED_WORDS]) for at in range(0, len(words), JOINED_WORDS)]
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([sizes for _, sizes in parts])
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joint = f" {MARK} ".join(words)
+        if self.mark is not None and joint.count(MARK) == len(words) - 1:  # else a word holds the mark
+            ids = np.array(self._ids([joint])[0], np.uint32)
+            at = np.flatnonzero(ids == self.mark)
+            if len(at) == len(words) - 1:
+                return np.delete(ids, at), np.diff(np.r_[-1, at, len(ids)]) - 1
+        if len(words) > 64:
+            half = len(words) // 2
+            first, second = self._together(words[:half]), self._together(words[half:])
+            return np.concatenate([first[0], second[0]]), np.concatenate([first[1], second[1]])
+        return in_a_row(self._ids(words))
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each closed by ``end_id``, and ids per text; NULL is empty."""
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        numbered = words.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        (ids,), (sizes,), _ = self.cache.encode_numbered(distinct, numbered.indices.to_numpy(), counts)
         return np.insert(ids, np.cumsum(sizes), np.uint32(end_id)), sizes + 1
 
 
@@ -394,9 +416,9 @@ def write_tokens(
             return row
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                found, counts = tokenizer.encode(piece.column(1).to_pylist(), end_id)
+            for at in range(0, batch.num_rows, 4096):
+                piece = batch.slice(at, 4096)
+                found, counts = tokenizer.encode(piece.column(1), end_id)
                 keys.append(piece.column(0))
                 ids.append(found)
                 lengths.append(counts)
