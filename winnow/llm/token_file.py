@@ -49,9 +49,10 @@ MOST_SYMBOLS = (1 << 18) - 1  # of a segment
 END_ID = 2
 MARK, JOINED_WORDS = "^", 20_000
 MOST_WORDS = 1_500_000  # in the cache of a worker, some 180 bytes each
-_S1, _S2 = 11, 12  # bits of the order-1 and order-2 tables of one block
+_S1, _S2 = 10, 11  # bits of the order-1 and order-2 tables of one block
 _U = np.uint64
 _LOW32 = _U((1 << 32) - 1)
+_FIVE_LESS, _TEN_LESS = (_U((0xFFFFFFFF >> k) << 32 | 0xFFFFFFFF >> k) for k in (5, 10))
 _ONE = 1 << 16  # the whole of a chance
 _LEAST = 32  # what order 0 has of the interval at least
 
@@ -81,15 +82,16 @@ class _Mixer:
         self.bits = _U(_total_bits(len(shares)))
         kind = np.uint16 if len(shares) <= 1 << 16 else np.uint32
         self.share = shares.astype(_U)
-        self.lower = np.cumsum(self.share) - self.share
+        # Where a symbol begins in order 0, above its share.
+        self.places = (np.cumsum(self.share) - self.share) << _U(32) | self.share
         self.chance = (self.share << _U(16)) >> self.bits
         self.follow1 = np.zeros(lanes << _S1, kind)
         self.follow2 = np.zeros(lanes << _S2, kind)
         self.base1 = np.arange(lanes, dtype=np.int64) << _S1
         self.base2 = np.arange(lanes, dtype=np.int64) << _S2
-        # Weights of orders 2 and 1, 16 bits each, where they differ and where they agree; order 0 has the rest.
-        self.weights = np.full(2 * lanes, 4096 << 16 | 4096, _U)
-        self.weights[lanes:] = 16384 << 16 | 16384
+        # Weights of orders 2 and 1, 32 bits each, where they differ and where they agree; order 0 has the rest.
+        self.weights = np.full(2 * lanes, 4096 << 32 | 4096, _U)
+        self.weights[lanes:] = 16384 << 32 | 16384
         self.lane = np.arange(lanes, dtype=np.int64)
         self.lanes = lanes
         self.hash1 = np.zeros(lanes, np.int64)
@@ -103,8 +105,8 @@ class _Mixer:
         self.c1 = c1 = self.follow1.take(self.at1).astype(np.int64)
         same = c1 == c2
         self.state = self.lane[:n] + same * self.lanes
-        pack = self.weights.take(self.state)
-        self.w2, self.w1 = pack >> _U(16), pack & _U(0xFFFF)
+        self.pack = self.weights.take(self.state)
+        self.w2, self.w1 = self.pack >> _U(32), self.pack & _LOW32
         w0 = _U(_ONE) - self.w2 - self.w1
         # What an id has is the sum over all orders that can give it.
         agreed = self.w1 * same
@@ -115,16 +117,19 @@ class _Mixer:
 
     def update(self, n: int, rank: np.ndarray, is2: np.ndarray) -> None:
         """Learn the coded ids (int64); ``is2`` marks those that order 2 proposed."""
-        is1 = rank == self.c1
         # The weights go a 32nd of the way to the part that each order had in what came (EM step for a
-        # mixture), and hand back a little.
-        mixed = np.maximum(_pick(is2, self.mix2, self.mix1), _U(1))
-        w2 = self.w2 - (self.w2 >> _U(5)) + (self.w2 * is2 << _U(11)) // mixed
-        w1 = self.w1 - (self.w1 >> _U(5)) + np.minimum((self.w1 * is1 << _U(11)) // mixed, _U(_ONE >> 5))
-        w2 += _U(16) - (w2 >> _U(10))
-        w1 += _U(16) - (w1 >> _U(10))
-        w1 = np.minimum(w1, _U(_ONE - 2 * _LEAST) - w2)  # w2 stays below 64,048
-        self.weights[self.state] = w2 << _U(16) | w1
+        # mixture), and hand back a little.  They stay below 64,048, and their sum below 65,000.
+        pack = self.pack - ((self.pack >> _U(5)) & _FIVE_LESS)
+        hit = np.flatnonzero(is2 | (rank == self.c1))
+        if len(hit):
+            w2, w1, second = self.w2[hit], self.w1[hit], is2[hit]
+            mixed = np.maximum(_pick(second, self.mix2[hit], self.mix1[hit]), _U(1))  # 0 in damaged blocks only
+            first = rank[hit] == self.c1[hit]
+            gain1 = np.minimum((w1 * first << _U(11)) // mixed, _U(_ONE >> 5))
+            pack[hit] += ((w2 * second << _U(11)) // mixed << _U(32)) + gain1
+        pack -= (pack >> _U(10)) & _TEN_LESS
+        pack += _U(16 << 32 | 16)
+        self.weights[self.state] = pack
         self.follow1[self.at1] = rank
         self.follow2[self.at2] = rank
         # The id before the last one counts with another factor.
@@ -172,8 +177,9 @@ def encode_blocks(ranks: np.ndarray, symbols: int | np.ndarray) -> list[bytes]:
         a, b = unit * p2, unit * p1
         both = a + b
         part = (span[:n] - both) >> mixer.bits
-        start = _pick(is2 | is1, a * is1, both + part * mixer.lower.take(rank))
-        size = _pick(is2 | is1, _pick(is2, a, b), part * mixer.share.take(rank))
+        place = mixer.places.take(rank)
+        start = _pick(is2 | is1, a * is1, both + part * (place >> _U(32)))
+        size = _pick(is2 | is1, _pick(is2, a, b), part * (place & _LOW32))
         low[:n] += start
         span[:n] = size
         mixer.update(n, rank, is2)
@@ -227,8 +233,9 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) ->
         part = (span[:n] - both) >> mixer.bits
         slot = np.minimum((offset - both) // part, top)
         rank = held_by.take(slot.view(np.int64)).astype(np.int64)
-        start = _pick(near, a * ~is2, both + part * mixer.lower.take(rank))
-        size = _pick(near, _pick(is2, a, b), part * mixer.share.take(rank))
+        place = mixer.places.take(rank)
+        start = _pick(near, a * ~is2, both + part * (place >> _U(32)))
+        size = _pick(near, _pick(is2, a, b), part * (place & _LOW32))
         rank = _pick(near, _pick(is2, c2, c1), rank)
         low[:n] += start
         span[:n] = size
