@@ -383,3 +383,17 @@ def test_files_are_written_where_they_are_made(spark, tmp_path):
 
     write_files(spark.range(9), str(tmp_path / "made"), make)
     assert {p.name: p.read_bytes() for p in (tmp_path / "made").iterdir()} == {f"{i}.bin": b"%d" % i for i in range(9)}
+
+
+def test_archives_are_written_piece_by_piece(spark, tmp_path):
+    """A body may come in pieces, and a task meets its rows in batches bounded by bytes."""
+
+    def make(batches):
+        for number, batch in enumerate(batches):
+            yield f"{number}.warc", (b"%d," % batch.num_rows for _ in range(2))
+
+    write_files(spark.range(0, 40, 1, 1).selectExpr("repeat('x', 1 << 20) AS body"), str(tmp_path / "pieces"), make)
+    written = [p.read_text().split(",")[:2] for p in (tmp_path / "pieces").glob("*.warc")]
+    assert sum(int(first) for first, _ in written) == 40 and all(a == b for a, b in written)
+    assert max(int(first) for first, _ in written) <= 10
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, str(2**31 - 1), "2147483647b")

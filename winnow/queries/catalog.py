@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -434,23 +435,27 @@ def _archive_folder(spark, sf_dir, per_file: int = 64, packed: bool = True, dama
         (F.col("ord") % 7 == 3).alias("broken"),
     )
 
+    def members(rows, step):
+        """Gzip members or plain stretches of ``step`` records, of which one is held at a time."""
+        held = []
+        for row in rows:
+            for kind in ("request", "response"):
+                held.append(row[kind] + b"\r\n\r\n")
+                if len(held) == step:
+                    member = gzip.compress(b"".join(held)) if packed else b"".join(held)
+                    yield _changed(member) if damaged and row["broken"] and kind == "response" else member
+                    held = []
+        if held:
+            yield gzip.compress(b"".join(held)) if packed else b"".join(held)
+
     def archives(batches):
         """Archives of up to ``per_file`` captures, with one, two or many records per gzip member."""
         part, number = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, per_file):
-                some = batch.slice(at, per_file).to_pylist()
-                rows = [r + b"\r\n\r\n" for row in some for r in (row["request"], row["response"])]
-                step = 1 if damaged else (1, 2, 7)[number % 3]
-                members = [b"".join(rows[i : i + step]) for i in range(0, len(rows), step)]
-                if packed:
-                    members = [gzip.compress(member) for member in members]
-                if damaged:
-                    for k, row in enumerate(some):
-                        if row["broken"]:
-                            members[2 * k + 1] = _changed(members[2 * k + 1])
-                yield f"{part:05d}-{number:05d}.warc" + ".gz" * packed, b"".join(members)
-                number += 1
+        rows = (row for batch in batches for at in range(0, batch.num_rows, 64) for row in batch.slice(at, 64).to_pylist())
+        for first in rows:
+            own = chain([first], islice(rows, per_file - 1))
+            yield f"{part:05d}-{number:05d}.warc" + ".gz" * packed, members(own, 1 if damaged else (1, 2, 7)[number % 3])
+            number += 1
 
     path = new_path(spark, "archives")
     out.write_files(both, path, archives)

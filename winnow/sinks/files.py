@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyarrow.fs import FileType
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from winnow.operators.ordering import number_in_group, ordered_distinct
 from winnow.schemas import LISTING_PAGE
 from winnow.sources.warc_records import file_system
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 FRONT_MATTER = [
     "title", "post_title", "raw_text", "languages", "tag_list", "term_count", "content_length",
     "url",
@@ -105,7 +107,8 @@ def write_files(files: DataFrame, folder: str, make: Callable | None = None) ->
     """One file per row of ``(path, body)``, text or binary.
 
     ``make`` turns the Arrow batches of a task into such pairs, so that bodies are written where they
-    are made and no second process holds them.
+    are made and no second process holds them.  A body may also be an iterator of bytes, which is written piece
+    by piece; batches stay small whatever the length of the rows.
 
     Paths are unique.  A file is written under a name of its attempt and then renamed, so a task that
     dies or runs twice leaves whole files only; the attempts are deleted when the job ends or fails.
@@ -124,21 +127,29 @@ def write_files(files: DataFrame, folder: str, make: Callable | None = None) ->
             if parent not in made:
                 system.create_dir(parent, recursive=True)
                 made.add(parent)
-            data = body.encode() if isinstance(body, str) else bytes(body)
+            whole = isinstance(body, str | bytes | bytearray | memoryview)
             part = f"{scratch}/part"
-            with system.open_output_stream(part, compression=None) as out:
-                out.write(data)
+            with system.open_output_stream(part, compression=None, buffer_size=1 << 20) as out:
+                for data in [body] if whole else body:
+                    out.write(data.encode() if isinstance(data, str) else bytes(data))
             _publish(system, part, target)
 
     def write_made(batches):
         write_pairs(make(batches))
+        pa.default_memory_pool().release_unused()
         return iter(())
 
     try:
         if make is None:
             files.select("path", "body").foreachPartition(write_pairs)
         else:
-            files.mapInArrow(write_made, "path string").write.format("noop").mode("overwrite").save()
+            spark = files.sparkSession
+            before = spark.conf.get(_BATCH_BYTES, None)
+            spark.conf.set(_BATCH_BYTES, "8m")
+            try:
+                files.mapInArrow(write_made, "path string").write.format("noop").mode("overwrite").save()
+            finally:
+                spark.conf.unset(_BATCH_BYTES) if before is None else spark.conf.set(_BATCH_BYTES, before)
     finally:
         system, inner = file_system(attempts)
         if system.get_file_info(inner).type == FileType.Directory:

@@ -256,7 +256,7 @@ def archive_index(spark: SparkSession, paths: str | list[str], errors: str = "ra
         for batch in batches:
             for given in batch.to_pylist():
                 found = starts(given["path"], given["size"])
-                while some := list(islice(found, 50_000)):
+                while some := list(islice(found, 8192)):
                     columns = [pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), schema, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
