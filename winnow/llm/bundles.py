@@ -24,7 +24,7 @@ from winnow.llm.common import rows_of, store, write
 
 END = b"\xff"  # never part of UTF-8
 BUNDLE_BYTES = 8 << 20
-NUMBERED_BYTES = 4 << 20  # of bundles that also hold a table of their words
+NUMBERED_BYTES = 8 << 20  # of bundles that also hold a table of their words
 BUNDLE_ROWS = 1 << 16
 SHARD_BYTES = 16 << 20
 PACK_FIELDS = "shard int, bundle long, keys binary, data binary"
@@ -58,6 +58,51 @@ def expand_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def squeeze_ranks(values: np.ndarray) -> bytes:
+    """Numbers of which the small ones are frequent: a byte each, for the number itself or for its size and
+    its upper bits, and the lower bits of each size after those of the next smaller one."""
+    if len(values) and values.max() >= 1 << 23:
+        return b"P" + squeeze_planes(values)
+    values = values.astype("<u4")
+    width = (np.maximum(np.frexp(values.astype(np.float32))[1] - 4, 0) * (values > 127)).astype(np.uint8)
+    code = np.where(width > 0, 96 + 8 * width + ((values >> width) & 7), values).astype(np.uint8)
+    order, edges = _by_width(width)
+    parts = values[order].view(np.uint8).reshape(-1, 4)
+    lower = [
+        np.packbits(np.unpackbits(parts[edges[w] : edges[w + 1]], axis=1, count=w, bitorder="little")).tobytes()
+        for w in range(4, 20)
+    ]
+    head = squeeze(code.tobytes())
+    return b"R" + len(head).to_bytes(4, "little") + head + b"".join(lower)
+
+
+def _by_width(width: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Places of the numbers with lower bits, by how many these are, and where each number of bits begins."""
+    some = np.flatnonzero(width)
+    edges = np.cumsum(np.bincount(width[some], minlength=20))
+    return some[np.argsort(width[some], kind="stable")], [0, *edges.tolist()]
+
+
+def expand_ranks(raw: bytes) -> np.ndarray:
+    if raw[:1] == b"P":
+        return expand_planes(raw[1:]).astype(np.int64)
+    end = 5 + int.from_bytes(raw[1:5], "little")
+    code = np.frombuffer(expand(raw[5:end]), np.uint8)
+    width = np.where(code > 127, (code - 96) >> 3, 0).astype(np.uint8)
+    values = np.where(code > 127, (8 | code & 7).astype(np.int64) << width, code)
+    order, edges = _by_width(width)
+    lower, at = np.frombuffer(raw, np.uint8, offset=end), 0
+    found = np.zeros((len(order), 4), np.uint8)
+    for w in range(4, 20):
+        many = edges[w + 1] - edges[w]
+        size = -(-many * w // 8)
+        bits = np.unpackbits(lower[at : at + size], count=many * w).reshape(-1, w)
+        found[edges[w] : edges[w + 1], : -(-w // 8)] = np.packbits(bits, axis=1, bitorder="little")
+        at += size
+    values[order] |= found.view("<u4").ravel()
+    return values
+
+
 def make_bundles(
     docs: DataFrame, prepare: Callable[[str | None], bytes], id_col: str, text_col: str,
     learn: Column | None = None, name: str = "bundles",
@@ -257,7 +302,7 @@ def number_words(
             place[order] = np.arange(len(words))
             shard = word_shards(words, shards)[order]
             sizes = np.diff(np.r_[0, np.cumsum(many)][np.r_[0, ends]]).astype(np.uint32)
-            rows = [("body", -1, ids, squeeze_numbers(sizes), squeeze_planes(place[sequence]))]
+            rows = [("body", -1, ids, squeeze_numbers(sizes), squeeze_ranks(place[sequence]))]
             rows += [
                 (
                     "pack", one, None, squeeze(END.join([words[i] for i in order[at]]), 3),

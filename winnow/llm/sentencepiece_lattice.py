@@ -408,7 +408,7 @@ def encode(
         size, first = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
         size[place], first[place] = sizes, np.cumsum(sizes) - sizes
         counts = bd.expand_numbers(bundle.column("keys")[0].as_py(), np.uint32).astype(np.int64)
-        at = bd.expand_planes(bundle.column("data")[0].as_py()).astype(np.int64)
+        at = bd.expand_ranks(bundle.column("data")[0].as_py())
         ids = flat[bd.ranges(first[at], size[at])]
         ends = np.r_[0, np.cumsum(size[at])][np.r_[0, np.cumsum(counts)]]
         columns = {
