@@ -3,23 +3,22 @@
 File format.  A file is a table of segments in ascending order of ``(part, seq)``; each segment is
 one byte string that stands on its own:
 
-    magic "WTOK", version, u32 lengths of the three fields below, then
+    magic "WTOK", version, u32 lengths of the four fields below, then
     lengths   zstd of the number of ids per document, u32 each
     alphabet  zstd of the distinct ids of the segment, most frequent first, u32 each
+    shares    zstd of the share of each of them in order 0, u32 each, a power of two in all
     lanes     u32 bytes and u32 crc32 per block, then the coded blocks, one after the other
 
-Ids are cut into blocks of ``BLOCK``.  Every block resets all its statistics, carries the crc32 of
+Ids are cut into blocks of ``BLOCK``.  Every block resets what it has learned, carries the crc32 of
 its ids (as little-endian u32) and can be decoded alone.
 
-Coding of one id takes up to two binary decisions and then a magnitude class.  The first asks for the id that
-last followed the same two ids in this block.  Three predictions answer it: the hit rate of order 2, that of
-order 1 (which proposes the id that last followed the same one id), and the share that order 0, an adaptive
-distribution over the magnitude classes of frequency ranks, gives to that rank.  They are mixed with
-weights that adapt after every id to the chance each prediction gave to what came (Bayes' rule with a fixed
-share handed back to all).  The second decision asks for the id proposed by order 1, if it is another one,
-and mixes orders 1 and 0 in the same way.  What is left goes to order 0 alone: the class, then evenly inside
-it.  The shares of the interval drive a 64-bit range coder that puts out 16 bits at a time.  All
-statistics are whole numbers, so both directions agree on any machine.
+An id is coded from a mixture of three distributions: order 2 gives the id that last followed the same two ids
+in this block, order 1 the id that last followed the same one id, and order 0 every id by its share in the
+segment.  The weights adapt after every id by the part that each distribution had in it (an EM step of a 32nd,
+with a small share handed back); there are two sets, for orders 1 and 2 that agree and that differ.  The
+proposed ids have intervals of their own, as long as the sum over all orders that give them; what is left goes
+to order 0.  The range has 64 bits and puts out 32 at a time.  All statistics are whole numbers, so both
+directions agree on any machine.
 
 All blocks of a segment advance together, one id per step, as numpy arrays; the work per id is a
 fixed number of array operations in either direction.
