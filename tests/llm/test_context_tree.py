@@ -1,8 +1,10 @@
 """Context-tree weighting against its recursive definition, and the unigram base against counts."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +136,29 @@ def test_small_bundles_give_the_same(spark, monkeypatch):
     for r in split:
         assert r.base_score == pytest.approx(whole[r.doc_id].base_score)
         assert r.score == pytest.approx(whole[r.doc_id].score, rel=1e-6)
+
+
+def test_windows_of_a_bundle_in_pieces(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 107, rng.integers(0, 60), np.uint8)) for _ in range(400)]
+    learned = [bool(k % 3) for k in range(len(texts))]
+    code, starts = context_tree.windows(texts)
+    own = np.repeat(learned, np.diff(np.r_[starts, len(code)]))
+    expected = Counter(dict.fromkeys(code.tolist(), 0))
+    expected.update(code[own].tolist())
+    for size in (1, 100, 1 << 20):
+        monkeypatch.setattr(context_tree, "PIECE_BYTES", size)
+        parts = list(context_tree.pieces_of(texts))
+        assert [k for part in parts for k in range(part.start, part.stop)] == list(range(len(texts)))
+        found, n = context_tree._window_counts(texts, learned)
+        assert list(zip(found.tolist(), n.tolist())) == sorted(expected.items())
+
+
+def test_a_bundle_takes_little_memory():
+    texts = [b"some words that come again " * 40] * 4000  # 4.3 MB
+    tracemalloc.start()
+    try:
+        context_tree._window_counts(texts, [True] * len(texts))
+        assert tracemalloc.get_traced_memory()[1] < 100e6  # 143 MB with all windows at a time
+    finally:
+        tracemalloc.stop()

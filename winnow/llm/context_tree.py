@@ -20,6 +20,8 @@ At scale:
   that on top; they are the only thing that is broadcast.  In UTF-8 a byte can follow only some
   others, so real text stays far below: tens of thousands of nodes for a few languages.
 * A word or window that occurs everywhere counts once per bundle, so no key is hot.
+* A window per byte exists for ``PIECE_BYTES`` of a bundle at a time; a bundle as a whole is held as its
+  texts and its distinct windows.
 
 NULL and empty texts consist of the end alone.  Repeated rows are scored each.
 """
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,10 +40,12 @@ from pyspark.sql import functions as F
 
 from winnow.llm import bundles as bd
 from winnow.llm.bundles import END
-from winnow.llm.common import log_gamma, mixed, store
+from winnow.llm.common import log_gamma, mixed, runs, store
 
 DEPTH = 5
 ROOT_DEPTH = 3  # trees below this depth are folded inside one task
+PIECE_BYTES = 1 << 20  # of texts whose windows a task holds at a time; a longer text is a piece of its own
+PIECE_CODES = 1 << 17  # of windows whose chances are mixed at a time
 _HALF = math.log(0.5)
 
 
@@ -68,21 +73,40 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[at], starts
 
 
-def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values = np.sort(values)
-    edge = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, int)
-    return values[edge], np.diff(np.r_[edge, len(values)])
+def pieces_of(texts: list[bytes]) -> Iterator[slice]:
+    """The texts of a bundle, some at a time: up to ``PIECE_BYTES``, or one text."""
+    first, size = 0, 0
+    for k, text in enumerate(texts):
+        if k > first and size + len(text) >= PIECE_BYTES:
+            yield slice(first, k)
+            first, size = k, 0
+        size += len(text) + 1
+    yield slice(first, len(texts))
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct windows of several sorted parts, and the sums of their counts."""
+    code, n = (np.concatenate(part) for part in zip(*parts, strict=True))
+    order = np.argsort(code, kind="stable")  # of sorted runs
+    code = code[order]
+    edge = runs(code)
+    return code[edge], np.add.reduceat(n[order], edge)
 
 
 def _window_counts(texts: list[bytes], learned: list[bool]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct windows of a bundle, with their counts in learning rows."""
-    code, starts = windows(texts)
-    own = np.repeat(np.array(learned, bool), np.diff(np.r_[starts, len(code)]))
-    seen, counts = _counted(code[own])
-    everything, _ = _counted(code)
-    n = np.zeros(len(everything), np.int64)
-    n[np.searchsorted(everything, seen)] = counts
-    return everything, n
+    parts = []
+    for piece in pieces_of(texts):
+        code, starts = windows(texts[piece])
+        own = np.repeat(np.array(learned[piece], np.int64), np.diff(np.r_[starts, len(code)]))
+        code <<= 1
+        code |= own
+        code.sort()
+        n = code & 1
+        code >>= 1
+        edge = runs(code)
+        parts.append((code[edge], np.add.reduceat(n, edge)))
+    return _merged(parts)
 
 
 def _word_counts(texts: list[bytes], learned: list[bool]) -> dict[bytes, int]:
@@ -120,7 +144,7 @@ def fold_tree(code: np.ndarray, n: np.ndarray, top: int = ROOT_DEPTH):
     Gives the chance of each window's eight decisions, mixed over depths ``DEPTH`` to ``top``, and
     the nodes at depth ``top``: key (context and decision), zeros, ones and log ``Pw``.
     """
-    chances = np.empty((len(code), 8))
+    chances = np.empty((len(code), 8), np.float32)
     byte = code & 255
     context = code >> 8
     nodes = []
@@ -154,10 +178,13 @@ def _fold_shard(packs: pa.Table) -> pa.Table:
     One row holds the windows with their chances; the others hold sums of the nodes one depth
     further up, which several shards share.
     """
-    codes = [bd.numbers_of(raw) for raw in packs.column("keys").to_pylist()]
-    counts = [bd.expand_numbers(raw, np.int64) for raw in packs.column("data").to_pylist()]
-    code, inverse = np.unique(np.concatenate(codes), return_inverse=True)
-    n = np.bincount(inverse, np.concatenate(counts), len(code))
+    pa.default_memory_pool().release_unused()  # of earlier groups in this worker
+    code, n = _merged(
+        [
+            (bd.numbers_of(keys.as_py()), bd.expand_numbers(data.as_py(), np.int64))
+            for keys, data in zip(packs.column("keys"), packs.column("data"))
+        ]
+    )
     chances, (key, *sums) = fold_tree(code, n)
     key, up = np.unique(((key >> 16) << 8) | (key & 255), return_inverse=True)
     sums = [np.bincount(up, values, len(key)) for values in sums]
@@ -166,7 +193,7 @@ def _fold_shard(packs: pa.Table) -> pa.Table:
         {
             "shard": pa.array([packs.column("shard")[0].as_py()] * (len(key) + 1), pa.int32()),
             "codes": pa.array([bd.squeeze_numbers(np.diff(code, prepend=0)), *[None] * len(key)], pa.binary()),
-            "chances": pa.array([bd.squeeze_numbers(chances.astype(np.float32)), *[None] * len(key)], pa.binary()),
+            "chances": pa.array([bd.squeeze_numbers(chances), *[None] * len(key)], pa.binary()),
             "node": pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(key)]),
             "zeros": pa.concat_arrays([blank, pa.array(sums[0])]),
             "ones": pa.concat_arrays([blank, pa.array(sums[1])]),
@@ -269,12 +296,16 @@ def score_texts(
     top = spark.sparkContext.broadcast(top_tables(upper))
 
     def answer(asked: pa.Table, folded: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # of earlier groups in this worker
         code = bd.numbers_of(folded.column("codes")[0].as_py())
         chances = bd.expand_numbers(folded.column("chances")[0].as_py(), np.float32).reshape(-1, 8)
-        logs = _log_chance(code, chances.astype(np.float64), top.value).astype(np.float32)
+        logs = np.empty(len(code), np.float32)
+        for at in range(0, len(code), PIECE_CODES):
+            some = slice(at, at + PIECE_CODES)
+            logs[some] = _log_chance(code[some], chances[some].astype(np.float64), top.value)
         data = [
-            bd.squeeze_numbers(logs[np.searchsorted(code, bd.numbers_of(raw))])
-            for raw in asked.column("keys").to_pylist()
+            bd.squeeze_numbers(logs[np.searchsorted(code, bd.numbers_of(raw.as_py()))])
+            for raw in asked.column("keys")
         ]
         return pa.table(
             {
@@ -295,12 +326,14 @@ def score_texts(
     shard_of = _shard_of(shards)
 
     def scored(bundle: pa.Table, found: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # of earlier groups in this worker
         texts = bd.texts_of(bundle.column("body")[0].as_py())
         end = math.log10((train_texts + 1) / denominator)
         unknown = math.log10(1 / denominator)
         chance_of: dict[bytes, float] = {}
         logs_of: dict[int, bytes] = {}
-        for shard, keys, data in zip(*(found.column(c).to_pylist() for c in ("shard", "keys", "data")), strict=True):
+        for shard, keys, data in zip(*(found.column(c) for c in ("shard", "keys", "data")), strict=True):
+            shard, keys, data = shard.as_py(), keys.as_py(), data.as_py()
             if keys is None:
                 logs_of[shard] = data
             else:
@@ -315,14 +348,17 @@ def score_texts(
             n_tokens.append(len(split) + 1)
             n_known.append(len(hits) + (train_texts > 0))
             base.append(math.fsum(hits) + (len(split) - len(hits)) * unknown + end)
-        code, starts = windows(texts)
-        everything, _ = _counted(code)
+        del chance_of
+        everything, _ = _window_counts(texts, [False] * len(texts))
         value = np.empty(len(everything), np.float64)
         for shard, at in bd.shards_in_order(shard_of(everything)).items():
-            value[at] = bd.expand_numbers(logs_of[shard], np.float32)
-        place = pd.Index(everything).get_indexer(code)
-        score = np.add.reduceat(value[place], starts)
-        n_bytes = np.diff(np.r_[starts, len(code)])
+            value[at] = bd.expand_numbers(logs_of.pop(shard), np.float32)
+        index, scores, sizes = pd.Index(everything), [], []
+        for piece in pieces_of(texts):
+            code, starts = windows(texts[piece])
+            scores.append(np.add.reduceat(value[index.get_indexer(code)], starts))
+            sizes.append(np.diff(np.r_[starts, len(code)]))
+        score, n_bytes = np.concatenate(scores), np.concatenate(sizes)
         return pa.table(
             {
                 "id": bundle.column("ids").combine_chunks().flatten(),
