@@ -271,3 +271,29 @@ def test_tree_counts_every_pair_of_entries():
         for s, r, value in zip(own.tolist(), other.tolist(), sums, strict=True):
             got[s, r] += value
     assert {k: v for k, v in got.items() if v} == {k: v for k, v in wanted.items() if v}
+
+
+def test_only_new_parts_of_chunks_are_encoded():
+    told = []
+
+    def encode(new):
+        told.extend(new)
+        return chunk_tokens.in_a_row([[len(c), ord(c[-1])] for c in new])
+
+    cache = chunk_tokens.ChunkCache([encode], parts=chunk_tokens.Endings(["<|end|>"]))
+    (ids,), (sizes,), _ = cache.encode(["one two, two. two", "two, it's%", "3, --"])
+    assert sorted(told) == sorted(["one", " two", ",", ".", "two", " it's%", "3,", " --"])
+    assert sizes.tolist() == [12, 6, 4]
+    assert ids.tolist() == [3, 101, 4, 111, 1, 44, 4, 111, 1, 46, 4, 111, 3, 111, 1, 44, 6, 37, 2, 44, 3, 45]
+    assert not chunk_tokens.Endings(["x}"]).fits and not chunk_tokens.Endings(["--"]).fits
+
+
+def test_byte_ids_of_letters_and_signs():
+    cache = chunk_tokens.byte_cache(BYTES)
+    assert cache.parts is not None
+    signs = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    given = [f"word{c} Word{c}{c}, été{c}\nx{c} ª{c}'s{c} a²{c} 3{c}" for c in signs]
+    given += [f"it's{c} don't{c}. 中{c} é{c} a{c}́ <|endoftext|>{c}" for c in signs]
+    plain = chunk_tokens.ByteLevel(BYTES, True)
+    for text in given:
+        assert cache.encode([text])[0][0].tolist() == plain._ids([text])[0]

@@ -6,6 +6,9 @@ pre-token where white space follows other text, and no piece of the SentencePiec
 place (``load_pieces`` checks that).  Texts with other white space, whose cutting rules depend on
 more context, count as one chunk.  So the ids equal those of the whole text.
 
+Words that recur with other signs behind them are many: where the ids of a chunk are those of its letters and
+those of the signs that end it (``Endings``), only parts that are new go to the tokenizer.
+
 The cache stays in the Python worker between tasks.  When it holds ``most`` chunks (``MOST_CHUNKS``) or
 ``MOST_CHARS`` characters it keeps the chunks that it met most often, at most half of that, so its size
 does not depend on the data.
@@ -29,6 +32,8 @@ _RUNS = re.compile(r"[ \t\n]*[^ \t\n]+|[ \t\n]+")
 _ODD = "\x00\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE = re.compile("[\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _SLOW = ("\t", "  ", "\n\n", " \n", "\n ")
+_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_SIGNS = r"!-&(-/:-@\[-`{-~"  # of ASCII, but the apostrophe, which contractions begin with
 
 
 def _narrow(text: str) -> bool:
@@ -66,18 +71,43 @@ class _Places(dict):
         return place
 
 
+class Endings:
+    """Cuts a chunk in front of the signs that end it; with ``lower`` the letters become small ones.
+
+    Tokenizers that never join letters and signs give the ids of both in a row, unless one of their ``added``
+    tokens reaches across.  None stands for chunks that are not one or no blank, letters and then signs.
+    """
+
+    def __init__(self, added: Sequence[str], lower: bool = False):
+        self.lower = lower
+        self.match = re.compile(f"( ?[{_LETTERS}]+)([{_SIGNS}]{'*' if lower else '+'})").fullmatch
+        self.fits = not any(re.fullmatch(f" ?[{_LETTERS}]*[{_SIGNS}]*", token) for token in added)
+
+    def __call__(self, chunk: str) -> tuple[str, str] | None:
+        if chunk[-1:].isalpha() and (not self.lower or chunk.islower()):
+            return None  # no signs; most chunks are such
+        found = self.match(chunk)
+        if found is None:
+            return None
+        stem, signs = found.groups()
+        if self.lower:
+            stem = stem.lower()
+        return None if stem == chunk else (stem, signs)
+
+
 class ChunkCache:
     """Ids of texts from one or more encoders, each a function from chunks to their ids in a row and
     the number of ids of each.
 
-    ``exact`` tells for a chunk and its ids per encoder whether the tokens spell the chunk.
+    ``exact`` tells for a chunk and its ids per encoder whether the tokens spell the chunk.  ``parts`` gives,
+    for some chunks, two others whose ids in a row are those of the chunk; the second may be empty.
     """
 
     def __init__(
         self, encoders: Sequence[Callable], exact: Callable | None = None, cut: Callable[[str], list] = chunks,
-        most: int | None = None,
+        most: int | None = None, parts: Callable[[str], tuple[str, str] | None] | None = None,
     ):
-        self.encoders, self.exact, self.cut, self.most = encoders, exact, cut, most
+        self.encoders, self.exact, self.cut, self.most, self.parts = encoders, exact, cut, most, parts
         self.places = _Places()
         self.chars = 0
         self.flat = [np.zeros(0, np.uint32) for _ in encoders]
@@ -108,7 +138,10 @@ class ChunkCache:
         new = self.places.new
         if not new:
             return
-        found = [encode(new) for encode in self.encoders]
+        if self.parts:
+            found = self._learn_parts(new)
+        else:
+            found = [encode(new) for encode in self.encoders]
         for k, (flat, size) in enumerate(found):
             self.flat[k] = np.concatenate([self.flat[k], flat.astype(np.uint32)])
             self.sizes[k] = np.concatenate([self.sizes[k], size])
@@ -118,15 +151,42 @@ class ChunkCache:
         self.chars += sum(map(len, new))
         new.clear()
 
+    def _learn_parts(self, new: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of new chunks, and of parts of them that are new too and join ``new``, from those of the parts."""
+        look, known = self.places.__getitem__, len(self.hits)
+        # Where the ids of a chunk come from: the places of one or two others.
+        at, stems, signs = [], [], []
+        for k, found in enumerate(map(self.parts, list(new))):
+            if found is not None:
+                at.append(k)
+                stems.append(look(found[0]))
+                signs.append(look(found[1]) if found[1] else -1)
+        first, second = np.full((2, len(new)), -1, np.int64)  # parts that joined are not cut again
+        first[at], second[at] = stems, signs
+        whole = np.flatnonzero(first < 0)
+        first[whole] = known + whole
+        told = [new[k] for k in whole.tolist()]
+        out = []
+        for encode, flat, sizes in zip(self.encoders, self.flat, self.sizes, strict=True):
+            ids, size = encode(told)
+            line = np.concatenate([flat, ids.astype(np.uint32)])
+            count = np.concatenate([sizes, np.zeros(len(new) + 1, np.int64)])  # the last for no part
+            start = np.zeros(len(count), np.int64)
+            count[known + whole] = size
+            start[:known] = np.cumsum(sizes) - sizes
+            start[known + whole] = len(flat) + np.cumsum(size) - size
+            both = np.column_stack([first, second]).ravel()
+            many = count[both]
+            out.append((line[ranges(start[both], many)], many.reshape(-1, 2).sum(axis=1)))
+        return out
+
     def encode(self, texts: Sequence[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
         """Per encoder the ids of all texts in a row and their number per text; whether all spell it."""
         self._make_room()
-        look, places, counts = self.places.__getitem__, [], []
-        for text in texts:
-            cut = self.cut(text)
-            counts.append(len(cut))
-            places.extend(map(look, cut))
-        return self._spelled(np.array(places, np.int64), counts)
+        cuts = list(map(self.cut, texts))
+        counts = list(map(len, cuts))
+        look = self.places.__getitem__
+        return self._spelled(np.fromiter(map(look, chain.from_iterable(cuts)), np.int64, sum(counts)), counts)
 
     def encode_numbered(self, distinct: Sequence, numbers: np.ndarray, counts: np.ndarray):
         """The same for texts that are cut already: ``numbers`` point to the distinct chunks, ``counts`` per text."""
@@ -224,4 +284,13 @@ class ByteLevel:
 
 def byte_cache(path: str) -> ChunkCache:
     """The cache of a byte-level tokenizer that reads control strings as such."""
-    return held(("bytes", path), lambda: ChunkCache([ByteLevel(path, True)]))
+
+    def make() -> ChunkCache:
+        encoder = ByteLevel(path, True)
+        cut = Endings([token.content for token in encoder.tokenizer.get_added_tokens_decoder().values()])
+        # Letters and signs of a chunk are pre-tokens of their own by the usual rule; a file with another one is seen here.
+        probes = [" the,", " The.", "word;--", " et\u00e9%%%", " x)", " a_", " it\"", " don$$$", " h**", " s!?"]
+        fits = all(sum(encoder._ids([*cut(chunk)]), []) == encoder._ids([chunk])[0] for chunk in probes if cut.fits)
+        return ChunkCache([encoder], parts=cut if fits and cut.fits else None)
+
+    return held(("bytes", path), make)
