@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -312,3 +313,27 @@ def test_windows_keep_their_budget_in_tokens(spark):
     assert [w.n_tokens for w in windows] == counts
     assert [w.over_budget for w in windows] == [n > 256 for n in counts]
     assert len(windows) > 20
+
+
+def test_words_are_put_together_from_letters_and_signs():
+    tokenizer = token_file.WordTokenizer(WORDS)
+    told, encode = [], tokenizer.cache.encoders[0]
+    tokenizer.cache.encoders = [lambda new: (told.extend(new), encode(new))[1]]
+    signs = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    given = [f"word{c} Word{c}{c}, Été{c}\nx{c} ª{c}'s{c} a²{c} 3{c}" for c in signs]
+    given += [f"it's{c} don't{c}. 中{c} é{c} a{c}́ STRASSE{c}" for c in signs]
+    ids, sizes = tokenizer.encode(pa.array(given), 2)
+    expected = [[*one, 2] for one in tokenizer._ids(given)]
+    assert ids.tolist() == [i for one in expected for i in one]
+    assert sizes.tolist() == [len(one) for one in expected]
+    assert "word" in told and not any(w.lower().startswith("word") for w in told if w != "word")
+
+
+def test_texts_are_split_many_at_a_time():
+    split, cut = lattice.Cutter(lattice.load(PIECES)).in_two_steps()
+    texts = ["a b", "c", " d", "e  f g ", "   ", "h i"]
+    whole = [["a", "b"], ["c"], ["", "d"], ["e", " f", "g", ""], ["   "], ["h", "i"]]
+    cutter = lattice.Cutter(lattice.load(PIECES))
+    for text, chunks in zip(texts, split(texts).to_pylist()):
+        assert "".join(cut(chunks)[0]) == "".join(cutter.words(text))
+    assert split(["a b", "c"]).to_pylist() == whole[:2] and split(["h i"]).to_pylist() == whole[5:]

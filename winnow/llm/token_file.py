@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.chunk_tokens import ChunkCache, byte_level_alphabet, held, in_a_row
+from winnow.llm.chunk_tokens import ChunkCache, Endings, byte_level_alphabet, held, in_a_row
 from winnow.llm.common import prefix_sums, store
 
 MAGIC = b"WTOK\x02"
@@ -331,7 +331,12 @@ class WordTokenizer:
         letters = "".join(chr(c) for c in range(0x100) if chr(c).isalpha())
         probes = ["The", letters, letters[::-1], "whednd", "STRASSE", "Straße", "x", "É", "DonT", "ill", "ÈÉêai"]
         self.merges = all(self._ids([w]) == [self._merged(w)] for w in probes)
-        self.cache = ChunkCache([self._encode], most=MOST_WORDS)
+        # Letters and the signs behind them are split, so words that recur in other cases, or with other signs
+        # behind them, are put together from what is known.
+        cut = Endings([token.content for token in self.tokenizer.get_added_tokens_decoder().values()], lower=True)
+        ends = ["The,", "word.", "Et\u00e9;--", "X%%%", "a_", "It\"", "DON$$$", "h**", "S!?", letters + ")", "\u00c9)"]
+        fits = self.merges and all(sum(self._ids([p for p in cut(w) if p]), []) == self._ids([w])[0] for w in ends if cut.fits)
+        self.cache = ChunkCache([self._encode], most=MOST_WORDS, parts=cut if fits and cut.fits else None)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
