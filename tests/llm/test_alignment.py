@@ -8,8 +8,11 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tests.llm.cases import ODD, documents, empty_docs, odd_docs
 from tokenizers import Tokenizer
 
@@ -297,3 +300,63 @@ def test_byte_ids_of_letters_and_signs():
     plain = chunk_tokens.ByteLevel(BYTES, True)
     for text in given:
         assert cache.encode([text])[0][0].tolist() == plain._ids([text])[0]
+
+
+class Counted(chunk_tokens._Places):
+    looks = 0
+
+    def __getitem__(self, chunk):
+        self.looks += 1
+        return super().__getitem__(chunk)
+
+
+def test_distinct_chunks_are_looked_up_once():
+    """Before: one look-up for every chunk of every text."""
+    cache = chunk_tokens.byte_cache(BYTES)
+    places, cache.places = cache.places, Counted()
+    cache.places.update(places)
+    given = ["again and again, again.\nand " * 200] * 5
+    try:
+        (ids,), _, _ = cache.encode(given)
+        assert cache.places.looks < 20
+    finally:
+        chunk_tokens._HELD.pop(("bytes", BYTES))
+    assert ids.tolist() == Tokenizer.from_file(BYTES).encode(given[0], add_special_tokens=False).ids * 5
+
+
+def test_letters_go_to_the_merges_alone(monkeypatch):
+    """Before: the whole tokenizer, with its rule for pre-tokens, saw every new chunk."""
+    encoder = chunk_tokens.ByteLevel(BYTES, True)
+    told, given = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda some: told.extend(some) or given(some))
+    new = [" the", "Stra\u00dfe", " \u00c9t\u00e9\u00aa", "wordy", " it's", "\nand", "\u4e2d", " x9", " ", "--"]
+    ids, size = encoder(new)
+    assert not any(word in text for text in told for word in ("the", "Stra", "t\u00e9", "wordy"))
+    wanted = given(new)
+    assert size.tolist() == [*map(len, wanted)] and ids.tolist() == [i for one in wanted for i in one]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \t\n\x0b\x1c\rAZaz9'_,!\u00c9\u00e9\u00d7\u00f7\u00aa\u00b5\u00df\u00a0\u2003\u4e2d\u0301\U0001f600", max_size=30))), st.integers(0, 3))
+def test_cuts_on_bytes_are_those_of_the_rules(texts, skip):
+    import re
+
+    letters = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    ending = re.compile(f"( ?[{letters}]+)([_,!]*)")
+    odd = re.compile("[\x0b\x1c\r\u00a0\u2003]")
+    array = pa.array(["xx", *texts], pa.string()).slice(1)[skip:]
+    for words in (False, True):
+        for lower in (False, words):
+            for parts in (None, chunk_tokens.Endings([], lower)):
+                wanted = []
+                for text in texts[skip:]:
+                    text = text or ""
+                    if words:
+                        cut = re.findall("[^ \t\n\x0b\x0c\r]+", text)
+                    else:
+                        cut = [text] if odd.search(text) else re.findall("[ \t\n]*[^ \t\n]+|[ \t\n]+", text)
+                    found = [ending.fullmatch(c) if parts else None for c in cut]
+                    wanted.append([p for c, m in zip(cut, found) for p in (((m[1].lower() if lower else m[1]), m[2]) if m else (c,)) if p])
+                flat, counts = chunk_tokens.cut_texts(array, parts, words)
+                assert flat.to_pylist() == [p for one in wanted for p in one]
+                assert counts.tolist() == [*map(len, wanted)]

@@ -29,6 +29,7 @@ from winnow.llm.common import prefix_sums, rows_of, store
 LENGTH = 1024
 END_ID = 0
 BUNDLE_IDS = 1 << 20
+READ_CHARS = 1 << 22  # encoded at a time; words that recur among them are looked up once
 
 
 def encode_bundles(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -66,7 +67,7 @@ def encode_bundles(docs: DataFrame, tokenizer_path: str, id_col: str, text_col:
                 keys.append(i)
                 texts.append(text or "")
                 chars += len(texts[-1])
-                if chars >= 1 << 20 or len(texts) >= 1 << 14:
+                if chars >= READ_CHARS or len(texts) >= 1 << 14:
                     read()
                     if sum(map(len, flat)) >= BUNDLE_IDS:
                         yield bundle(kind)

@@ -29,16 +29,18 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.llm.chunk_tokens import ChunkCache, Endings, byte_level_alphabet, held, in_a_row
+from winnow.llm.chunk_tokens import (
+    ChunkCache, Endings, Letters, added_in_letters, cut_texts, held, in_a_row, interleave,
+)
 from winnow.llm.common import prefix_sums, store
 
 MAGIC = b"WTOK\x02"
@@ -326,38 +328,27 @@ class WordTokenizer:
         mark = self._ids([MARK])[0]
         self.mark = mark[0] if len(mark) == 1 else None
         # Words of Latin letters need no more than the merges, if the rest of the tokenizer lower-cases them only.
-        self.model = self.tokenizer.model
-        self.stand_in = {byte: char for char, byte in byte_level_alphabet().items()}
         letters = "".join(chr(c) for c in range(0x100) if chr(c).isalpha())
         probes = ["The", letters, letters[::-1], "whednd", "STRASSE", "Straße", "x", "É", "DonT", "ill", "ÈÉêai"]
-        self.merges = all(self._ids([w]) == [self._merged(w)] for w in probes)
+        self.letters = Letters(self.tokenizer, lower=True)
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        if added_in_letters(added) or not self.letters.agrees(self._ids, probes):
+            self.letters = None
         # Letters and the signs behind them are split, so words that recur in other cases, or with other signs
         # behind them, are put together from what is known.
-        cut = Endings([token.content for token in self.tokenizer.get_added_tokens_decoder().values()], lower=True)
+        cut = Endings(added, lower=True)
         ends = ["The,", "word.", "Et\u00e9;--", "X%%%", "a_", "It\"", "DON$$$", "h**", "S!?", letters + ")", "\u00c9)"]
-        fits = self.merges and all(sum(self._ids([p for p in cut(w) if p]), []) == self._ids([w])[0] for w in ends if cut.fits)
-        self.cache = ChunkCache([self._encode], most=MOST_WORDS, parts=cut if fits and cut.fits else None)
+        pieces = [cut_texts(pa.array([w]), cut, words=True)[0].to_pylist() for w in ends]
+        fits = self.letters and cut.fits and all(sum(self._ids(p), []) == self._ids([w])[0] for p, w in zip(pieces, ends))
+        self.cache = ChunkCache([self._encode], most=MOST_WORDS, parts=cut if fits else None, words=True)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _merged(self, word: str) -> list[int]:
-        word = word.lower()
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.stand_in)
-        return [token.id for token in self.model.tokenize(word)]
-
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter(
-            (self.merges and word.isalpha() and (word.isascii() or max(word) < "\u0100") for word in words), bool, len(words)
-        )
-        one = in_a_row([self._merged(word) for word, p in zip(words, plain.tolist()) if p])
-        two = self._mixed([word for word, p in zip(words, plain.tolist()) if not p])
-        size = np.empty(len(words), np.int64)
-        size[plain], size[~plain] = one[1], two[1]
-        ids, mine = np.empty(size.sum(), np.uint32), np.repeat(plain, size)
-        ids[mine], ids[~mine] = one[0], two[0]
-        return ids, size
+        plain = np.array([self.letters and self.letters.is_plain(word) for word in words], bool)
+        one = self.letters(list(compress(words, plain))) if plain.any() else in_a_row([])
+        return interleave(plain, one, self._mixed(list(compress(words, ~plain))))
 
     def _mixed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not words:
@@ -380,11 +371,7 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each closed by ``end_id``, and ids per text; NULL is empty."""
-        words = pc.ascii_split_whitespace(texts.fill_null(""))
-        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-        numbered = words.flatten().dictionary_encode()
-        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        (ids,), (sizes,), _ = self.cache.encode_numbered(distinct, numbered.indices.to_numpy(), counts)
+        (ids,), (sizes,), _ = self.cache.encode(texts)
         return np.insert(ids, np.cumsum(sizes), np.uint32(end_id)), sizes + 1
 
 
