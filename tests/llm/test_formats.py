@@ -327,3 +327,13 @@ def test_words_are_put_together_from_letters_and_signs():
     assert ids.tolist() == [i for one in expected for i in one]
     assert sizes.tolist() == [len(one) for one in expected]
     assert "word" in told and not any(w.lower().startswith("word") for w in told if w != "word")
+
+
+def test_forms_of_a_word_share_its_place():
+    """Before: every form of a word, with its capitals and signs, took a place of the cache."""
+    tokenizer = token_file.WordTokenizer(WORDS)
+    given = ["Word, word. WORD!!  word\tWord,", None, "Été. ÉTÉ don't"]
+    ids, sizes = tokenizer.encode(pa.array(given), 2)
+    assert sorted(tokenizer.cache.places) == sorted(["word", ",", ".", "!!", "été", "don't"])
+    assert ids.tolist() == [i for one in _library_ids(given) for i in one]
+    assert sizes.tolist() == [*map(len, _library_ids(given))]

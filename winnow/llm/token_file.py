@@ -86,8 +86,8 @@ class _Mixer:
         # Where a symbol begins in order 0, above its share.
         self.places = (np.cumsum(self.share) - self.share) << _U(32) | self.share
         self.chance = (self.share << _U(16)) >> self.bits
-        self.follow1 = np.zeros(lanes << _S1, kind)
-        self.follow2 = np.zeros(lanes << _S2, kind)
+        self.follow1 = np.full(lanes << _S1, 0, kind)  # unlike zeros, in large pages where the system has them
+        self.follow2 = np.full(lanes << _S2, 0, kind)
         self.base1 = np.arange(lanes, dtype=np.int64) << _S1
         self.base2 = np.arange(lanes, dtype=np.int64) << _S2
         # Weights of orders 2 and 1, 32 bits each, where they differ and where they agree; order 0 has the rest.
@@ -98,12 +98,17 @@ class _Mixer:
         self.hash1 = np.zeros(lanes, np.int64)
         self.hash2 = np.zeros(lanes, np.int64)
 
-    def predict(self, n: int):
-        """Ids proposed by orders 2 and 1 and what they have of the interval, for the first ``n`` blocks."""
+    def predict(self, n: int, coming: np.ndarray | None = None):
+        """Ids proposed by orders 2 and 1 and what they have of the interval, for the first ``n`` blocks.
+
+        ``coming`` are the ids to be coded, where they are known: they are noted while the places are at hand.
+        """
         self.at1 = ((self.hash1[:n] >> 4) & ((1 << _S1) - 1)) + self.base1[:n]
         self.at2 = (((self.hash1[:n] + self.hash2[:n]) >> 4) & ((1 << _S2) - 1)) + self.base2[:n]
         self.c2 = c2 = self.follow2.take(self.at2).astype(np.int64)
         self.c1 = c1 = self.follow1.take(self.at1).astype(np.int64)
+        if coming is not None:
+            self.note(coming)
         same = c1 == c2
         self.state = self.lane[:n] + same * self.lanes
         self.pack = self.weights.take(self.state)
@@ -116,8 +121,13 @@ class _Mixer:
         self.mix1 = np.minimum(alone, _U(_ONE - _LEAST) - self.mix2)
         return c2, c1, self.mix2, self.mix1
 
+    def note(self, rank: np.ndarray) -> None:
+        narrow = rank.astype(self.follow1.dtype)  # once, as a store that converts costs more
+        self.follow1[self.at1] = narrow
+        self.follow2[self.at2] = narrow
+
     def update(self, n: int, rank: np.ndarray, is2: np.ndarray) -> None:
-        """Learn the coded ids (int64); ``is2`` marks those that order 2 proposed."""
+        """Learn the coded ids (int64) but for ``note``; ``is2`` marks those that order 2 proposed."""
         # The weights go a 32nd of the way to the part that each order had in what came (EM step for a
         # mixture), and hand back a little.  They stay below 64,048, and their sum below 65,000.
         pack = self.pack - ((self.pack >> _U(5)) & _FIVE_LESS)
@@ -131,8 +141,6 @@ class _Mixer:
         pack -= (pack >> _U(10)) & _TEN_LESS
         pack += _U(16 << 32 | 16)
         self.weights[self.state] = pack
-        self.follow1[self.at1] = rank
-        self.follow2[self.at2] = rank
         # The id before the last one counts with another factor.
         self.hash2[:n] = self.hash1[:n] * 7
         self.hash1[:n] = rank * 40503
@@ -148,10 +156,19 @@ def _active(sizes: np.ndarray, step: int) -> int:
     return len(sizes) if step < sizes[-1] else len(sizes) - 1
 
 
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """The transposed array, made some columns at a time, so that whole cache lines are read and written."""
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    for at in range(0, rows.shape[1], 32):
+        for k in range(0, rows.shape[0], 256):
+            out[at : at + 32, k : k + 256] = rows[k : k + 256, at : at + 32].T
+    return out
+
+
 def _grid(values: np.ndarray, lanes: int) -> np.ndarray:
     out = np.zeros(lanes * BLOCK, values.dtype)
     out[: len(values)] = values
-    return np.ascontiguousarray(out.reshape(lanes, BLOCK).T)
+    return _turned(out.reshape(lanes, BLOCK))
 
 
 def encode_blocks(ranks: np.ndarray, symbols: int | np.ndarray) -> list[bytes]:
@@ -171,7 +188,7 @@ def encode_blocks(ranks: np.ndarray, symbols: int | np.ndarray) -> list[bytes]:
     for step in range(int(sizes.max())):
         n = _active(sizes, step)
         rank = grid[step, :n].astype(np.int64)
-        c2, c1, p2, p1 = mixer.predict(n)
+        c2, c1, p2, p1 = mixer.predict(n, rank)
         is2 = rank == c2
         is1 = (rank == c1) & ~is2
         unit = span[:n] >> _U(16)
@@ -241,6 +258,7 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) ->
         low[:n] += start
         span[:n] = size
         grid[step, :n] = rank
+        mixer.note(rank)
         mixer.update(n, rank, is2)
         short = np.flatnonzero(size <= _LOW32)
         if len(short):
@@ -248,7 +266,7 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) ->
             code[short] = code[short] << _U(32) | words[place]
             used[short] = np.minimum(place + 1, last[short])
             low[short], span[short] = at << _U(32), _inside(at, reach) << _U(32)
-    return np.ascontiguousarray(grid.T).reshape(-1)[:total]
+    return _turned(grid).reshape(-1)[:total]
 
 
 def write_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
