@@ -37,13 +37,13 @@ _WIDE = re.compile("[\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u30
 _LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _SIGNS = r"!-&(-/:-@\[-`{-~"  # of ASCII, but the apostrophe, which contractions begin with
 _BLANK, _LETTER, _SIGN = 1, 2, 3
-_KIND = np.array(
-    [_LETTER if re.match("[A-Za-z]", c) else _SIGN if re.match(f"[{_SIGNS}]", c) else c == " " for c in map(chr, range(256))],
-    np.uint8,
-)
-_KIND[0x80:] = 0
+# Tables over all bytes.
+_KIND = bytes(
+    _LETTER if re.match("[A-Za-z]", c) else _SIGN if re.match(f"[{_SIGNS}]", c) else _BLANK if c == " " else 0
+    for c in map(chr, range(0x80))
+) + bytes(0x80)
 # Bytes that can belong to such white space: control characters, and what begins the others in UTF-8.
-_MAYBE_ODD = np.isin(np.arange(256), [*(ord(c) for c in _ODD if c < " "), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF])
+_MAYBE_ODD = bytes(b in {*(ord(c) for c in _ODD if c < " "), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF} for b in range(0x100))
 
 
 def _narrow(text: str) -> bool:
@@ -90,7 +90,7 @@ class Endings:
 
     def __call__(self, raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Places in front of such signs in ``raw`` (UTF-8, changed if ``lower``), whose chunks start where ``begins`` is true."""
-        kind = _KIND.take(raw)
+        kind = np.frombuffer(bytearray(raw).translate(_KIND), np.uint8)  # writable
         lead = np.flatnonzero(raw >= 0xC2)  # of characters above U+007F
         if len(lead):
             lead = lead[lead < len(raw) - 1]
@@ -163,7 +163,7 @@ def cut_texts(texts: pa.Array, parts: Endings | None = None, words: bool = False
 
 def _odd_texts(raw: np.ndarray, place: np.ndarray, texts: pa.Array) -> list[int]:
     """Numbers of the texts that hold white space other than blank, tab and line feed."""
-    mark = np.flatnonzero(_MAYBE_ODD.take(raw))
+    mark = np.flatnonzero(np.frombuffer(raw.tobytes().translate(_MAYBE_ODD), bool))
     some = np.unique(np.searchsorted(place, mark, side="right") - 1)
     return [k for k in some.tolist() if _odd(texts[k].as_py())]
 

@@ -81,7 +81,7 @@ class _Mixer:
         if isinstance(shares, int):
             shares = shares_of(np.ones(max(1, shares), np.int64))
         self.bits = _U(_total_bits(len(shares)))
-        kind = np.uint16 if len(shares) <= 1 << 16 else np.uint32
+        self.kind = kind = np.uint16 if len(shares) <= 1 << 16 else np.uint32  # of ids, as the work follows their width
         self.share = shares.astype(_U)
         # Where a symbol begins in order 0, above its share.
         self.places = (np.cumsum(self.share) - self.share) << _U(32) | self.share
@@ -105,8 +105,8 @@ class _Mixer:
         """
         self.at1 = ((self.hash1[:n] >> 4) & ((1 << _S1) - 1)) + self.base1[:n]
         self.at2 = (((self.hash1[:n] + self.hash2[:n]) >> 4) & ((1 << _S2) - 1)) + self.base2[:n]
-        self.c2 = c2 = self.follow2.take(self.at2).astype(np.int64)
-        self.c1 = c1 = self.follow1.take(self.at1).astype(np.int64)
+        self.c2 = c2 = self.follow2.take(self.at2)
+        self.c1 = c1 = self.follow1.take(self.at1)
         if coming is not None:
             self.note(coming)
         same = c1 == c2
@@ -122,12 +122,11 @@ class _Mixer:
         return c2, c1, self.mix2, self.mix1
 
     def note(self, rank: np.ndarray) -> None:
-        narrow = rank.astype(self.follow1.dtype)  # once, as a store that converts costs more
-        self.follow1[self.at1] = narrow
-        self.follow2[self.at2] = narrow
+        self.follow1[self.at1] = rank
+        self.follow2[self.at2] = rank
 
     def update(self, n: int, rank: np.ndarray, is2: np.ndarray) -> None:
-        """Learn the coded ids (int64) but for ``note``; ``is2`` marks those that order 2 proposed."""
+        """Learn the coded ids (of ``kind``) but for ``note``; ``is2`` marks those that order 2 proposed."""
         # The weights go a 32nd of the way to the part that each order had in what came (EM step for a
         # mixture), and hand back a little.  They stay below 64,048, and their sum below 65,000.
         pack = self.pack - ((self.pack >> _U(5)) & _FIVE_LESS)
@@ -143,11 +142,11 @@ class _Mixer:
         self.weights[self.state] = pack
         # The id before the last one counts with another factor.
         self.hash2[:n] = self.hash1[:n] * 7
-        self.hash1[:n] = rank * 40503
+        np.multiply(rank, 40503, out=self.hash1[:n], dtype=np.int64)
 
 
 def _pick(where: np.ndarray, yes: np.ndarray, no: np.ndarray) -> np.ndarray:
-    """``np.where`` without branches, for 64-bit numbers of one kind."""
+    """``np.where`` without branches, for whole numbers of one kind."""
     return no ^ ((no ^ yes) & -where.astype(no.dtype))
 
 
@@ -180,14 +179,14 @@ def encode_blocks(ranks: np.ndarray, symbols: int | np.ndarray) -> list[bytes]:
     if not lanes:
         return []
     sizes = np.minimum(BLOCK, len(ranks) - np.arange(lanes) * BLOCK)
-    grid = _grid(ranks.astype(np.uint32), lanes)
     mixer = _Mixer(lanes, symbols)
+    grid = _grid(ranks.astype(mixer.kind), lanes)
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     out = np.zeros(lanes * (BLOCK + 2), np.uint32)  # at most 32 bits per id
     used = np.arange(lanes, dtype=np.int64) * (BLOCK + 2)
     for step in range(int(sizes.max())):
         n = _active(sizes, step)
-        rank = grid[step, :n].astype(np.int64)
+        rank = grid[step, :n]
         c2, c1, p2, p1 = mixer.predict(n, rank)
         is2 = rank == c2
         is1 = (rank == c1) & ~is2
@@ -238,8 +237,8 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) ->
     low, span = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     mixer = _Mixer(lanes, symbols)
     top = _U((1 << int(mixer.bits)) - 1)
-    held_by = np.repeat(np.arange(len(mixer.share), dtype=np.uint32), mixer.share.astype(np.int64))
-    grid = np.zeros((BLOCK, lanes), np.uint32)
+    held_by = np.repeat(np.arange(len(mixer.share), dtype=mixer.kind), mixer.share.astype(np.int64))
+    grid = np.zeros((BLOCK, lanes), mixer.kind)
     for step in range(int(sizes.max())):
         n = _active(sizes, step)
         c2, c1, p2, p1 = mixer.predict(n)
@@ -250,7 +249,7 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) ->
         is2, near = offset < a, offset < both
         part = (span[:n] - both) >> mixer.bits
         slot = np.minimum((offset - both) // part, top)
-        rank = held_by.take(slot.view(np.int64)).astype(np.int64)
+        rank = held_by.take(slot.view(np.int64))
         place = mixer.places.take(rank)
         start = _pick(near, a * ~is2, both + part * (place >> _U(32)))
         size = _pick(near, _pick(is2, a, b), part * (place & _LOW32))
@@ -266,7 +265,7 @@ def decode_blocks(blocks: list[bytes], total: int, symbols: int | np.ndarray) ->
             code[short] = code[short] << _U(32) | words[place]
             used[short] = np.minimum(place + 1, last[short])
             low[short], span[short] = at << _U(32), _inside(at, reach) << _U(32)
-    return _turned(grid).reshape(-1)[:total]
+    return _turned(grid).reshape(-1)[:total].astype(np.uint32)
 
 
 def write_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
