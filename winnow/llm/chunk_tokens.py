@@ -30,7 +30,7 @@ from winnow.llm.bundles import ranges
 MOST_CHUNKS = 500_000
 MOST_OF_BYTES = 1_000_000  # where one tokenizer alone has a cache, some 180 bytes each
 MOST_CHARS = 16_000_000
-TOGETHER = 20_000  # chunks that go to the model as one text
+TOGETHER, IN_A_TEXT = 20_000, 200  # chunks that go to the model in one call, and as one text
 # Other white space by any definition, and NUL, up to U+00FF and above.
 _ODD = "\x00\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE = re.compile("[\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
@@ -322,9 +322,13 @@ class Letters:
         joint = "\n".join(new)
         raw = np.frombuffer((joint.lower() if self.lower else joint).encode(), np.uint8)
         text = self.stands_for[raw].astype("<u2").tobytes().decode("utf-16-le")
-        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        breaks = np.flatnonzero(raw == 10)
+        some = breaks[IN_A_TEXT - 1 :: IN_A_TEXT].tolist()
+        texts = [text[a + 1 : b] for a, b in zip([-1, *some], [*some, len(text)], strict=True)]
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(one.ids for one in found), np.uint32)
         # A chunk ends with the token that ends at its last byte.
-        ends = np.r_[np.flatnonzero(raw == 10), len(raw)] - np.arange(len(new))
+        ends = np.r_[breaks, len(raw)] - np.arange(len(new))
         after = np.cumsum(self.lengths[ids])
         at = np.searchsorted(after, ends) + 1
         if at[-1] != len(ids) or not np.array_equal(after[at - 1], ends):
